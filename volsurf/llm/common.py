@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,3 +51,8 @@ def discard(df: DataFrame) -> None:
         spark = df.sparkSession
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def extended(schema: StructType, ddl: str) -> StructType:
+    """The schema with the fields of a DDL string after it."""
+    return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sharding, simhash, token_store, url_filter
+from . import embedding_dedup, packing, sharding, simhash, token_store, toxicity, url_filter
 from .common import shared_dir, table
 
 WORD_TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -41,6 +41,18 @@ def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.digests(token_store.read_store(spark, out))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_digests(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_TOKENIZER), end_id=2)
+
+
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -50,6 +62,9 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op4_sharding": op4_sharding,
     "op5_tokens": op5_tokens,
+    "op6_toxicity": op6_toxicity,
+    "op7_packing": op7_packing,
+    "op9_embeddings": op9_embeddings,
     "op10_urls": op10_urls,
 }
 

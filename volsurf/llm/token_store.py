@@ -176,45 +176,52 @@ def write_store(docs: DataFrame, out: str, tokenizer: str, end_id: int, keeps_sp
     ordered.mapInArrow(_segments(tokenizer, end_id, keeps_space), SEGMENT_SCHEMA).write.option("compression", "zstd").parquet(out)
 
 
-def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """The segments, each with ``start``: the number of ids in all segments before it."""
-    seg = spark.read.schema(SEGMENT_SCHEMA).parquet(path)
+def _places(seg: DataFrame) -> DataFrame:
+    """(part, segment, base): the number of ids in all segments before each."""
     small = seg.select("part", "segment", "n_tokens")
     within = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition of the store, whatever the number of segments
     sums = small.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    before = sums.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    places = small.withColumn("inner", F.coalesce(F.sum("n_tokens").over(within), F.lit(0))).join(before, "part")
-    return seg.join(places.select("part", "segment", (F.col("base") + F.col("inner")).alias("start")), ["part", "segment"])
+    before = sums.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
+    inner = small.select("part", "segment", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)).alias("inner"))
+    return inner.join(before, "part").select("part", "segment", (F.col("first") + F.col("inner")).alias("base"))
 
 
-def documents(segments: DataFrame) -> DataFrame:
-    """(doc_id, start, ids binary): every document's ids as little-endian uint32, by random access to its segment."""
+def read_store(spark: SparkSession, path: str) -> DataFrame:
+    """The segments of a store."""
+    return spark.read.schema(SEGMENT_SCHEMA).parquet(path)
+
+
+def _each_document(segments: DataFrame, value, ddl: str) -> DataFrame:
+    """Rows (doc_id, start, n_tokens, value(reader, k)) of all documents.
+
+    Starts within a segment come from the segment alone; what lies before it is
+    joined to the finished small rows, so segments themselves are not shuffled.
+    """
+    name, kind = ddl.split()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = pa.binary() if kind == "binary" else pa.int64()
         for batch in batches:
-            for start, keys, data in zip(*(batch.column(c) for c in ("start", "doc_ids", "data")), strict=True):
-                reader, base = DacReader(data.as_buffer()), start.as_py()
+            for part, number, keys, data in zip(*(batch.column(c) for c in ("part", "segment", "doc_ids", "data")), strict=True):
+                reader = DacReader(data.as_buffer())
                 begins = np.concatenate([[0], reader.doc_ends[:-1]])
-                for lo in range(0, reader.n_docs, 256):
-                    hi = min(lo + 256, reader.n_docs)
-                    ids = reader.slice(int(begins[lo]), int(reader.doc_ends[hi - 1])).astype("<u4")
-                    ends = np.concatenate([[0], reader.doc_ends[lo:hi] - begins[lo]]) * 4
-                    values = pa.Array.from_buffers(pa.large_binary(), hi - lo, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ids)]).cast(pa.binary())
-                    yield pa.RecordBatch.from_arrays([keys.values.slice(lo, hi - lo), pa.array(base + begins[lo:hi]), values], ["doc_id", "start", "ids"])
+                for lo in range(0, reader.n_docs, 1024):
+                    hi = min(lo + 1024, reader.n_docs)
+                    ends = reader.doc_ends[lo:hi]
+                    columns = [keys.values.slice(lo, hi - lo), pa.array(begins[lo:hi]), pa.array(ends - begins[lo:hi]), pa.array([value(reader, k) for k in range(lo, hi)], of)]
+                    fixed = [pa.array(np.full(hi - lo, x.as_py(), np.int32)) for x in (part, number)]
+                    yield pa.RecordBatch.from_arrays(columns + fixed, ["doc_id", "inner", "n_tokens", name, "part", "segment"])
 
-    return segments.select("start", "doc_ids", "data").mapInArrow(run, "doc_id long, start long, ids binary")
+    rows = segments.select("part", "segment", "doc_ids", "data").mapInArrow(run, f"doc_id long, inner long, n_tokens long, {ddl}, part int, segment int")
+    return rows.join(_places(segments), ["part", "segment"]).select("doc_id", (F.col("base") + F.col("inner")).alias("start"), "n_tokens", name)
 
 
-def digests(segments: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of the stored documents, without sending ids back to the JVM."""
+def documents(segments: DataFrame) -> DataFrame:
+    """(doc_id, start, n_tokens, ids): every document's ids as little-endian uint32, by random access to its segment."""
+    return _each_document(segments, lambda reader, k: reader.document(k).astype("<u4").tobytes(), "ids binary")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start, keys, data in zip(*(batch.column(c) for c in ("start", "doc_ids", "data")), strict=True):
-                reader, base = DacReader(data.as_buffer()), start.as_py()
-                begins = np.concatenate([[0], reader.doc_ends[:-1]])
-                crcs = [zlib.crc32(reader.document(k).astype("<u4")) for k in range(reader.n_docs)]
-                yield pa.RecordBatch.from_arrays([keys.values, pa.array(base + begins), pa.array(reader.doc_ends - begins), pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return segments.select("start", "doc_ids", "data").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+def digests(segments: DataFrame) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of the stored documents, without sending ids back to the JVM."""
+    return _each_document(segments, lambda reader, k: zlib.crc32(reader.document(k).astype("<u4")), "ids_crc32 long")

@@ -10,12 +10,14 @@ space, control characters, special-token strings) are encoded whole.
 from __future__ import annotations
 
 import os
+from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .words import KEEP, encode_lists
+from .words import KEEP, Places, encode_lists
 
 #: Texts that are encoded whole: special-token look-alikes; white space other than single blanks and line feeds.
 _WHOLE_DROPPED = r"<\||[\x1c-\x1f\x{85}\x{a0}]|\p{Zs}\p{Zs}|\p{Zl}|\p{Zp}|[\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}]"
@@ -29,53 +31,85 @@ def load(path: str):
     return Tokenizer.from_file(path)
 
 
+def _byte_letters() -> dict[int, str]:
+    """The printable stand-ins of byte-level BPE for byte values 128 to 255, by rule: printable ones stand for themselves."""
+    out, spare = {}, 0x100 + 33 + 1  # 33 values below 33 and 127 come first
+    for b in range(128, 256):
+        if 0xA1 <= b <= 0xAC or b >= 0xAE:
+            out[b] = chr(b)
+        else:
+            out[b], spare = chr(spare), spare + 1
+    return out
+
+
 class Encoder:
     """``encode(texts)`` gives the ids of all texts, flat, and row offsets.
 
     keeps_space: whether the tokenizer encodes white space (byte-level BPE) or
-    drops it (BPE with word ends).
+    drops it (BPE with word ends, after lower-casing).
     """
 
     def __init__(self, path: str, keeps_space: bool, keep: int = KEEP):
-        self.tokenizer, self.keeps_space, self.keep = load(path), keeps_space, keep
-        self._reset()
-
-    def _reset(self) -> None:
-        self.at: dict[str, int] = {}
+        self.tokenizer, self.keeps_space = load(path), keeps_space
+        self.places = Places(keep)
         self.flat, self.ends = np.zeros(1 << 16, np.uint32), np.zeros(1, np.int64)
-        self.used = 0
+        self.letters = _byte_letters()
+        self.stops = {c: self._whole([c])[0] for c in (".", ",", "\n")}
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _pretoken(self, chunk: str) -> str | None:
+        """The chunk as the model takes it, if it is one run of letters that normalization leaves alone."""
+        word = chunk
+        if self.keeps_space:
+            if chunk[0] != " ":
+                return None
+            word = chunk[1:]
+        if word.isascii():
+            if not word.isalpha():
+                return None
+        elif not word.isalpha() or not self.keeps_space and (word != word.lower() or not is_normalized("NFC", word)):
+            return None
+        else:
+            word = word.encode().decode("latin-1").translate(self.letters)
+        return "\u0120" + word if self.keeps_space else word
+
     def _chunk_ids(self, chunks: list[str]) -> list[list[int]]:
         """Ids of new chunks; a last full stop or comma after a letter is a token of its own."""
-        cores = {}
-        for c in chunks:
-            core = c[:-1] if c[-1] in ".," and c[-2:-1].isascii() and c[-2:-1].isalpha() else c
-            cores.setdefault(core, None)
-        known = {c: self.flat[self.ends[k] : self.ends[k + 1]].tolist() for c in cores if (k := self.at.get(c)) is not None}
-        asked = [c for c in cores if c not in known]
-        known.update(zip(asked, self._whole(asked), strict=True))
-        stops = {c: self._whole([c])[0] for c in ".,"}
-        return [known[c] if c in known else known[c[:-1]] + stops[c[-1]] for c in chunks]
+        cut = lambda c: c[:-1] if c[-1] in ".," and c[-2:-1].isascii() and c[-2:-1].isalpha() else c
+        model, at, flat, ends = self.tokenizer.model, self.places.at, self.flat, self.ends
+        known: dict[str, list[int]] = {}
+        rest = []
+        for core in dict.fromkeys(map(cut, chunks)):
+            if (k := at.get(core)) is not None:
+                known[core] = flat[ends[k] : ends[k + 1]].tolist()
+            elif (p := self._pretoken(core)) is not None:
+                known[core] = [t.id for t in model.tokenize(p)]
+            else:
+                rest.append(core)
+        known.update(zip(rest, self._whole(rest), strict=True))
+        return [known[c] if c in known else known[c[:-1]] + self.stops[c[-1]] for c in chunks]
 
     def _rows(self, chunks: pa.Array) -> np.ndarray:
-        if len(self.at) > self.keep:
-            self._reset()
+        stay = self.places.evict()
+        if stay is not None:
+            sizes = self.ends[stay + 1] - self.ends[stay]
+            ends = np.concatenate(([0], np.cumsum(sizes)))
+            self.flat = self.flat[np.repeat(self.ends[stay] - ends[:-1], sizes) + np.arange(ends[-1])]
+            self.ends = ends
         listed = chunks.to_pylist()
-        new = [c for c in listed if c not in self.at]
+        new = self.places.new(listed)
         if new:
             got = self._chunk_ids(new)
             sizes = np.fromiter(map(len, got), np.int64, len(got))
-            ids = np.fromiter((i for g in got for i in g), np.uint32, int(sizes.sum()))
-            if self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat[: self.used], np.zeros(max(len(ids), len(self.flat)), np.uint32)])
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.at.update(zip(new, range(len(self.at), len(self.at) + len(new)), strict=True))
-            self.ends = np.concatenate([self.ends, self.used + np.cumsum(sizes)])
-            self.used += len(ids)
-        return np.fromiter(map(self.at.__getitem__, listed), np.int64, len(listed))
+            used, more = int(self.ends[-1]), int(sizes.sum())
+            if used + more > len(self.flat):
+                self.flat = np.concatenate([self.flat[:used], np.zeros(max(more, used), np.uint32)])
+            self.flat[used : used + more] = np.fromiter(chain.from_iterable(got), np.uint32, more)
+            self.ends = np.concatenate([self.ends, used + np.cumsum(sizes)])
+            self.places.add(new)
+        return self.places.rows(listed)
 
     def _by_chunk(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if self.keeps_space:

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 #: Bytes of text that one step works on, so that memory is bounded per task.
 SLICE_BYTES = 8 << 20
 #: Words a table keeps before it starts anew.
-KEEP = 400_000
+KEEP = 500_000
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
@@ -52,30 +52,61 @@ def encode_lists(lists: pa.ListArray) -> tuple[pa.Array, np.ndarray, np.ndarray]
     return coded.dictionary, index, offsets
 
 
+class Places:
+    """Row numbers of words in the order they came, with a bound.
+
+    When more than ``keep`` words are held, those that only one batch had go.
+    """
+
+    def __init__(self, keep: int = KEEP):
+        self.keep = keep
+        self.at: dict[str, int] = {}
+        self.uses = np.zeros(1024, np.int32)
+
+    def evict(self) -> np.ndarray | None:
+        """If there are too many words: the old rows that stay, in their new order."""
+        if len(self.at) <= self.keep:
+            return None
+        stay = self.uses[: len(self.at)] > 1
+        if stay.sum() > self.keep // 2:
+            stay[:] = False
+        rows = np.nonzero(stay)[0]
+        self.at = dict(zip((w for w, s in zip(self.at, stay.tolist(), strict=True) if s), range(len(rows)), strict=True))
+        self.uses[:] = 0
+        return rows
+
+    def new(self, words: list[str]) -> list[str]:
+        return [w for w in words if w not in self.at]
+
+    def add(self, words: list[str]) -> None:
+        base = len(self.at)
+        self.at.update(zip(words, range(base, base + len(words)), strict=True))
+        if len(self.at) > len(self.uses):
+            self.uses = np.concatenate([self.uses, np.zeros(len(self.at), np.int32)])
+
+    def rows(self, words: list[str]) -> np.ndarray:
+        out = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
+        self.uses[out] += 1
+        return out
+
+
 class WordTable:
-    """Rows of ``compute(words)`` by word; ``compute`` sees every word once while it is kept."""
+    """Rows of ``compute(words)`` by word; ``compute`` sees a word once while it is kept."""
 
     def __init__(self, compute: Callable[[list[str]], np.ndarray], keep: int = KEEP):
-        self.compute, self.keep = compute, keep
-        self.at: dict[str, int] = {}
-        self.rows: np.ndarray | None = None
+        self.compute, self.places, self.values = compute, Places(keep), compute([])
 
     def lookup(self, words: pa.Array) -> np.ndarray:
-        """The rows of all words, in their order."""
-        if len(self.at) > self.keep:
-            self.at, self.rows = {}, None
+        """The rows of distinct words, in their order."""
+        stay = self.places.evict()
+        if stay is not None:
+            self.values = self.values[stay]
         listed = words.to_pylist()
-        new = [w for w in listed if w not in self.at]
-        if new or self.rows is None:
-            got = self.compute(new)
-            base = 0 if self.rows is None else self.used
-            need = base + len(new)
-            if self.rows is None or need > len(self.rows):
-                grown = np.zeros((max(need, 2 * base, 1024), *got.shape[1:]), got.dtype)
-                if base:
-                    grown[:base] = self.rows[:base]
-                self.rows = grown
-            self.rows[base:need] = got
-            self.used = need
-            self.at.update(zip(new, range(base, need), strict=True))
-        return self.rows[np.fromiter(map(self.at.__getitem__, listed), np.int64, len(listed))]
+        new = self.places.new(listed)
+        if new:
+            used, got = len(self.places.at), self.compute(new)
+            if used + len(new) > len(self.values):
+                self.values = np.concatenate([self.values[:used], np.zeros((max(len(new), used), *got.shape[1:]), got.dtype)])
+            self.values[used : used + len(new)] = got
+            self.places.add(new)
+        return self.values[self.places.rows(listed)]

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, packing, sharding, simhash, token_store, toxicity, url_filter
+from . import decontam, embedding_dedup, html_text, langid, packing, sharding, simhash, token_store, toxicity, url_filter
 from .common import shared_dir, table
 
 WORD_TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -31,6 +31,15 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = langid.fit(table(spark, sf_dir, "documents"))
+    return langid.identify_pages(table(spark, sf_dir, "pages"), model)
+
+
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", SHARDS).select("doc_id", "slot", "shard", "shard_name")
 
@@ -49,6 +58,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_digests(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_TOKENIZER), end_id=2)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -60,10 +73,13 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_language": op2_language,
+    "op3_html": op3_html,
     "op4_sharding": op4_sharding,
     "op5_tokens": op5_tokens,
     "op6_toxicity": op6_toxicity,
     "op7_packing": op7_packing,
+    "op8_decontamination": op8_decontamination,
     "op9_embeddings": op9_embeddings,
     "op10_urls": op10_urls,
 }

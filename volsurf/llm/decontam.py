@@ -13,8 +13,10 @@ while the item's answer (the last ANSWER words) stands there word for word.
 The space is that of the benchmark's passages, not the corpus's: a query has
 no part outside of it, so no rank is lost to directions that no query uses.
 Words that no item has count towards a window's length with the corpus's
-largest weight.  A window is folded in only if its share of benchmark words
-lets the cosine reach the threshold at all.
+largest weight; words in more than half of all documents weigh nothing, unless
+an item has no others.  Half-windows are folded in once and added up; a window
+is compared with the passages only if its share of benchmark words lets the
+cosine reach the threshold at all.
 
 Scale: items are a stated query set, handled in blocks of ITEMS; a block's
 vocabulary, weights and latent coordinates are bounded by it and go along with
@@ -29,7 +31,6 @@ Null doc ids are searched too; repeated rows give repeated results.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 from . import lcs
 from .words import slices, split
 
-WINDOW, RANK, OVERSAMPLE, COSINE = 64, 256, 16, 0.3
+WINDOW, RANK, OVERSAMPLE, COSINE = 64, 256, 16, 0.2
 COPY, PARAPHRASE, ANSWER, LEAST, ITEMS = 0.8, 0.6, 5, 5, 5000
 _TRIM = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])) + "«»“”‘’„…–—¿¡"
 _TERM_BLOCK = 64
@@ -162,21 +163,28 @@ def latent_space(rows: DataFrame, n_rows: int, idf: np.ndarray, rank: int = RANK
     return basis @ vector[:, order]
 
 
+def weights(n_docs: int, df: np.ndarray, sequences: list[list[int]]) -> np.ndarray:
+    """Inverse document frequencies of the terms, then that of any word the benchmark lacks."""
+    idf = np.maximum(0.0, np.log((n_docs - df + 0.5) / (df + 0.5)))
+    for s in sequences:
+        if not idf[s].any():
+            idf[s] = 1e-3
+    return np.append(idf, np.log(2 * n_docs + 1))
+
+
 class Finder:
     """Finds the items of a block in documents."""
 
-    def __init__(self, block: Benchmark, n_docs: int, df: np.ndarray, space: np.ndarray):
-        self.block, self.words = block, Words(block.vocabulary)
-        idf = np.log((n_docs + 1) / (df + 1)) + 1e-3
-        # the last weight is that of words the benchmark lacks
-        self.idf = np.append(idf, math.log(n_docs + 1) + 1e-3)
-        self.space = np.vstack([space * idf[:, None], np.zeros((1, space.shape[1]))]).astype(np.float32)
+    def __init__(self, block: Benchmark, idf: np.ndarray, space: np.ndarray):
+        self.block, self.words, self.idf = block, Words(block.vocabulary), idf
+        self.space = (space * idf[:-1, None]).astype(np.float32)
         self.item_of = np.array([k for k, s in enumerate(block.sequences) for _ in passages(s)], np.int64)
         vectors = []
         for s in block.sequences:
             for p in passages(s):
                 at, tf = np.unique(p, return_counts=True)
-                vectors.append(((tf * idf[at]) @ space[at]) / np.linalg.norm(tf * idf[at]))
+                x = tf * idf[at]
+                vectors.append((x @ space[at]) / (np.linalg.norm(x) or 1))
         self.latent = np.array(vectors, np.float32).T
         self.places = []
         for s in block.sequences:
@@ -185,50 +193,61 @@ class Finder:
                 where[t] = where.get(t, 0) | 1 << j
             self.places.append(where)
 
-    def _windows(self, number: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First and last half-window block of each window that may reach the threshold, as (row, start word)."""
+    def _candidates(self, number: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
+        """(row, start word, passage, cosine) of windows near a passage.
+
+        The cosine counts each occurrence of a repeated word as a dimension of
+        its own in the window's length, so it is never below the usual one.
+        """
         half = WINDOW // 2
-        sizes = np.diff(offsets)
-        n_blocks = -(-sizes // half)
-        row = np.repeat(np.arange(len(sizes)), n_blocks)
-        first = np.cumsum(n_blocks) - n_blocks
-        start = offsets[:-1][row] + (np.arange(len(row)) - first[row]) * half
-        if not len(start):
-            return row, start
-        mass = (self.idf**2)[number]
+        n_blocks = -(-np.diff(offsets) // half)
+        row = np.repeat(np.arange(len(n_blocks)), n_blocks)
+        if not len(row):
+            return
+        start = offsets[:-1][row] + (np.arange(len(row)) - np.repeat(np.cumsum(n_blocks) - n_blocks, n_blocks)) * half
+        weight = self.idf[number]
+        mass = weight**2
         inner = np.add.reduceat(np.where(number >= 0, mass, 0), start)
         total = np.add.reduceat(mass, start)
-        follows = np.append(row[1:] == row[:-1], False)
-        inner = inner + np.where(follows, np.append(inner[1:], 0), 0)
-        total = total + np.where(follows, np.append(total[1:], 0), 0)
-        # a later block alone is part of the window before it; only a document's first block may stand alone
-        alone = np.append(False, row[1:] == row[:-1]) & ~follows
-        some = np.nonzero((inner >= 0.5 * COSINE**2 * total) & ~alone)[0]
-        return row[some], start[some]
+        heavy = np.nonzero((number >= 0) & (weight > 0))[0]
+        block_at = np.searchsorted(start, heavy, side="right") - 1
+        same, first = row[1:] == row[:-1], np.append(True, row[1:] != row[:-1])
+        for lo in range(0, len(row), 4096):
+            hi = min(lo + 4096, len(row))
+            end = min(hi + 1, len(row))  # the next block completes the last window
+            z = np.zeros((end - lo, self.space.shape[1]), np.float32)
+            a, b = np.searchsorted(block_at, [lo, end])
+            if a < b:
+                own = block_at[a:b]
+                edge = np.nonzero(np.diff(own, prepend=-1))[0]
+                z[own[edge] - lo] = np.add.reduceat(self.space[number[heavy[a:b]]], edge, axis=0)
+            joined = np.zeros(hi - lo, bool)
+            joined[: end - lo - 1] = same[lo : end - 1]
+            k = np.nonzero(joined)[0]
+            w_in, w_all = inner[lo:hi].copy(), total[lo:hi].copy()
+            w_in[k] += inner[lo:end][k + 1]
+            w_all[k] += total[lo:end][k + 1]
+            # a document's last block is part of the window before it, unless it is the first too
+            some = np.nonzero((w_in >= COSINE**2 * w_all) & (joined | first[lo:hi]))[0]
+            window = z[some]
+            more = joined[some]
+            window[more] += z[some[more] + 1]
+            cosine = (window @ self.latent) / np.sqrt(np.maximum(w_all[some], 1e-12)).astype(np.float32)[:, None]
+            for w, p in zip(*(x.tolist() for x in np.nonzero(cosine >= COSINE)), strict=True):
+                at = lo + int(some[w])
+                yield int(row[at]), int(start[at]), p, float(cosine[w, p])
 
     def find(self, texts: pa.Array) -> list[tuple[int, int, float, float, bool]]:
         """(row, item, cosine, similarity, answer) of every item found in the texts."""
         number, offsets = self.words.read(texts)
-        rows, starts = self._windows(number, offsets)
         best: dict[tuple[int, int], tuple[float, float, bool]] = {}
-        for lo in range(0, len(rows), 512):
-            r, s = rows[lo : lo + 512], starts[lo : lo + 512]
-            stop = np.minimum(s + WINDOW, offsets[r + 1])
-            size = stop - s
-            flat = number[np.repeat(s - (np.cumsum(size) - size), size) + np.arange(size.sum())]
-            edge = np.cumsum(size) - size
-            z = np.add.reduceat(self.space[flat], edge, axis=0)
-            # norms with repeated words counted as such
-            pair = np.repeat(np.arange(len(r)), size).astype(np.int64) * len(self.idf) + np.where(flat < 0, len(self.idf) - 1, flat)
-            known, tf = np.unique(pair[flat >= 0], return_counts=True)
-            norm = np.bincount(known // len(self.idf), (tf * self.idf[known % len(self.idf)]) ** 2, len(r))
-            norm += np.bincount(np.repeat(np.arange(len(r)), size)[flat < 0], minlength=len(r)) * self.idf[-1] ** 2
-            cosine = (z @ self.latent) / np.sqrt(np.maximum(norm, 1e-12))[:, None]
-            for w, p in zip(*(x.tolist() for x in np.nonzero(cosine >= COSINE)), strict=True):
-                doc, item = int(r[w]), int(self.item_of[p])
-                sim, answer = self._check(item, number[max(offsets[doc], s[w] - len(self.block.sequences[item]) // 2) : min(offsets[doc + 1], stop[w] + len(self.block.sequences[item]) // 2)])
-                if sim >= COPY or sim >= PARAPHRASE and answer:
-                    best[doc, item] = max(best.get((doc, item), (0.0, 0.0, False)), (sim, float(cosine[w, p]), answer))
+        for row, start, passage, cosine in self._candidates(number, offsets):
+            item = int(self.item_of[passage])
+            around = len(self.block.sequences[item])
+            region = number[max(offsets[row], start - around) : min(offsets[row + 1], start + WINDOW + around)]
+            sim, answer = self._check(item, region)
+            if sim >= COPY or sim >= PARAPHRASE and answer:
+                best[row, item] = max(best.get((row, item), (0.0, 0.0, False)), (sim, cosine, answer))
         return [(d, i, c, s, a) for (d, i), (s, c, a) in sorted(best.items())]
 
     def _check(self, item: int, region: np.ndarray) -> tuple[float, bool]:
@@ -252,8 +271,8 @@ def finders(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> It
         n_docs, df = document_frequencies(docs, block.vocabulary, text_col)
         cut = [p for s in block.sequences for p in passages(s)]
         rows = spark.createDataFrame(pa.table({"terms": pa.array(cut, pa.list_(pa.int32()))})).repartition(max(1, len(cut) // 1000))
-        idf = np.log((n_docs + 1) / (df + 1)) + 1e-3
-        yield Finder(block, n_docs, df, latent_space(rows, len(cut), idf))
+        idf = weights(n_docs, df, block.sequences)
+        yield Finder(block, idf, latent_space(rows, len(cut), idf[:-1]))
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -33,7 +33,7 @@ from .components import connected_components
 from .words import slices
 
 SEED, SHINGLE, RADIUS, TILE = 42, 3, 2, 1024
-QUARTERS, BASE = 4, 32
+QUARTERS, BASE, BROADCAST_ROWS = 4, 32, 1_000_000
 
 
 def fingerprint(text: str | None, width: int = SHINGLE) -> int:
@@ -156,6 +156,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that name their component: one of each group of near copies, all columns as they are.
+
+    Of rows with equal ids one stays; rows with a null id can't be named, and
+    stay.  The ids that go are broadcast up to BROADCAST_ROWS of them (16 bytes
+    each) and joined by a shuffle beyond.
+    """
+    found = near_duplicates(docs, id_col, text_col).filter("doc_id is not null").select("doc_id", "component_id")
+    found = materialize(found, "members")
+    gone = found.filter("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    kept = docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    again = found.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1")
+    if again.isEmpty():
+        return kept
+    return kept.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(docs.filter(F.col(id_col).isNull()))
+
+
 def hex_digits(column):
     """An unsigned 64-bit number as 16 lowercase hex digits."""
     return F.lower(F.lpad(F.hex(column), 16, "0"))

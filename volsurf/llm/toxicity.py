@@ -41,7 +41,6 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import extended
 from .words import WordTable, slices, split
 
 ORDER, GAPS, DECAY, LANDMARKS, RIDGE = 4, 2, 0.5, 128, 1e-3
@@ -299,27 +298,18 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     return train([t or "" for t in rows.column("text").to_pylist()], rows.column("toxic").to_pylist(), counts[1] / (counts[0] + counts[1]))
 
 
-def scored(docs: DataFrame, model: Model | None, text_col: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with the score of each whole text in column ``name`` (replaced if there)."""
-    base = docs.drop(*({name} - {text_col}))
-    schema = extended(base.schema, f"`{name}` double")
+def clean_documents(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with a score below THRESHOLD, filtered in place; all columns stay as they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model) if model else None
         for batch in slices(batches, text_col):
-            got = scorer.score(batch.column(text_col)) if scorer else np.zeros(batch.num_rows)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got)], [*batch.schema.names, name])
+            yield batch.filter(pa.array(scorer.score(batch.column(text_col)) < THRESHOLD)) if scorer else batch
 
-    return base.mapInArrow(run, schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
-def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every document."""
-    out = _lean(docs, fit(docs, labels))
-    return out.select("doc_id", F.coalesce(fold(F.col("doc_id")) == HELD_FOLD, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
-
-
-def _lean(docs: DataFrame, model: Model | None) -> DataFrame:
+def scored(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score): the text doesn't come back from the workers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -328,4 +318,10 @@ def _lean(docs: DataFrame, model: Model | None) -> DataFrame:
             got = scorer.score(batch.column("text")) if scorer else np.zeros(batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(got)], ["doc_id", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, score double")
+
+
+def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of every document."""
+    out = scored(docs, fit(docs, labels))
+    return out.select("doc_id", F.coalesce(fold(F.col("doc_id")) == HELD_FOLD, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

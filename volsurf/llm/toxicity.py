@@ -12,8 +12,8 @@ kernel), so its margin is a sum of one number per word, and a word is
 evaluated once per task however often it occurs.
 
 A linear SVM is trained on sentences: the worst of each toxic document is
-positive, the HARD worst and the HARD first of each clean one are negative, and
-which are worst is settled in turns.  A logistic function of a document's worst
+positive, the 2 * HARD worst of each clean one are negative, and which are
+worst is settled in turns.  A logistic function of a document's worst
 sentence, its worst word and how much and how densely words exceed the margin
 of a typical insult gives the score.
 
@@ -30,7 +30,6 @@ rows stay.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 from typing import NamedTuple
@@ -44,7 +43,7 @@ from pyspark.sql import functions as F
 from .words import WordTable, slices, split
 
 ORDER, GAPS, DECAY, LANDMARKS, RIDGE = 4, 2, 0.5, 128, 1e-3
-SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 3000
+SAMPLE_TOXIC, SAMPLE_CLEAN, CANDIDATES = 1000, 2000, 8
 WINDOW, HARD, THRESHOLD, FOLDS, HELD_FOLD = 32, 3, 0.3, 4, 2
 _FILTER_BITS = 22
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -194,16 +193,16 @@ def document_features(margins: np.ndarray, ends: np.ndarray, offsets: np.ndarray
     return np.clip(out, -20, 20)
 
 
-def _landmarks(bags: list[set[str]], toxic: np.ndarray) -> list[str]:
-    """Words that stand out in toxic documents, then frequent words of clean ones, by turns 3 to 1."""
-    bad, good = Counter(), Counter()
-    for bag, t in zip(bags, toxic, strict=True):
-        (bad if t else good).update(bag)
-    n_bad, n_good = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    z = {w: (k / n_bad - good[w] / n_good) / np.sqrt((k + good[w] + 1) / (n_bad + n_good) * (1 / n_bad + 1 / n_good)) for w, k in bad.items() if len(w) > 2 and k > 1}
-    worst = sorted(z, key=lambda w: (-z[w], w))[: LANDMARKS * 3 // 4]
-    plain = sorted((w for w in good if len(w) > 2 and w not in set(worst)), key=lambda w: (-good[w], w))[: LANDMARKS // 4]
-    return worst + plain
+def _landmarks(names: list[str], bad: np.ndarray, good: np.ndarray, n_bad: int, n_good: int) -> list[str]:
+    """Words that stand out in toxic documents, then frequent words of clean ones, 3 to 1; bad and good are document counts."""
+    fair = np.fromiter((len(n) > 2 for n in names), bool, len(names))
+    z = (bad / n_bad - good / n_good) / np.sqrt((bad + good + 1) / (n_bad + n_good) * (1 / n_bad + 1 / n_good))
+    z[~fair | (bad < 2)] = -np.inf
+    top = lambda score, n: sorted(np.argsort(-score, kind="stable")[: 4 * n].tolist(), key=lambda k: (-score[k], names[k]))[:n]
+    worst = [k for k in top(z, LANDMARKS * 3 // 4) if z[k] > 0]
+    rest = np.where(fair, good.astype(float), -1.0)
+    rest[worst] = -1.0
+    return [names[k] for k in worst] + [names[k] for k in top(rest, LANDMARKS // 4) if rest[k] > 0]
 
 
 def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, steps: int = 300) -> tuple[np.ndarray, float]:
@@ -229,54 +228,74 @@ def _logistic(x: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
 
 
 def train(texts: list[str], toxic: list[int], share_toxic: float, rounds: int = 3) -> Model | None:
-    """A model of labelled texts, calibrated for documents of which ``share_toxic`` are toxic."""
+    """A model of labelled texts, calibrated for documents of which ``share_toxic`` are toxic.
+
+    Of each document CANDIDATES sentences take part: half of them those with the
+    words that stand out most, half spread evenly.
+    """
     y = np.array(toxic, bool)
     if not y.any() or y.all():
         return None
-    words, index, offsets = split(joined_spaced(pa.array(texts, pa.string())))
+    column = pa.array(texts, pa.string())
+    words, index, offsets = split(joined_spaced(column))
     listed = words.to_pylist()
     cores = [normalize(w) for w in listed]
     ends = np.array([w[-1] in ".!?" for w in listed], bool)[index]
-    names = np.array(cores, object)[index]
-    bags = [set(names[a:b].tolist()) - {""} for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-    landmarks = _landmarks(bags, y)
+    number = {c: k for k, c in enumerate(dict.fromkeys(cores))}
+    names = list(number)
+    word_at = np.fromiter(map(number.__getitem__, cores), np.int32, len(cores))[index]
+    del listed, cores
+    doc = np.repeat(np.arange(len(y)), np.diff(offsets))
+    pairs = np.unique(doc * len(names) + word_at)
+    counts = [np.bincount(pairs[m] % len(names), minlength=len(names)) for m in (y[pairs // len(names)], ~y[pairs // len(names)])]
+    landmarks = _landmarks(names, *counts, int(y.sum()), int((~y).sum()))
     kernel = Kernel(landmarks)
-    gram = kernel(landmarks)
-    gram = ((gram + gram.T) / 2).astype(float)
-    value, vector = np.linalg.eigh(gram)
+    gram = kernel(landmarks).astype(float)
+    value, vector = np.linalg.eigh((gram + gram.T) / 2)
     nystrom = (vector / np.sqrt(np.maximum(value, 0) + RIDGE)) @ vector.T
-    distinct = {c: k for k, c in enumerate(dict.fromkeys(cores))}
-    mapped = (kernel(list(distinct)).astype(float) @ nystrom).astype(np.float32)
-    word_at = np.array([distinct[c] for c in cores], np.int64)[index]
+
     starts = sentence_starts(ends, offsets)
     stops = np.r_[starts[1:], offsets[-1]]
     owner = np.searchsorted(offsets, starts, side="right") - 1
-    sentence = np.zeros((len(starts), len(landmarks)))
+    guess = np.zeros(len(names), np.float32)
+    for k, w in enumerate(landmarks[: LANDMARKS * 3 // 4]):
+        guess[number[w]] = len(landmarks) - k
+    margin = np.maximum.reduceat(guess[word_at], starts) if len(starts) else guess[:0]
+    first = np.searchsorted(owner, owner)  # where each sentence's document begins
+    order = np.lexsort((-margin, owner))
+    worst = order[(np.arange(len(order)) - first[order]) < CANDIDATES // 2]
+    total = np.searchsorted(owner, owner, side="right") - first
+    spread = np.nonzero((np.arange(len(owner)) - first) % np.maximum(1, total // (CANDIDATES // 2)) == 0)[0]
+    some = np.unique(np.r_[worst, spread])
+    starts, stops, owner, margin = starts[some], stops[some], owner[some], margin[some]
+
+    sizes = stops - starts
+    edge = np.cumsum(sizes) - sizes
+    flat = word_at[np.repeat(starts - edge, sizes) + np.arange(sizes.sum())]
+    used, flat = np.unique(flat, return_inverse=True)
+    sums = np.zeros((len(starts), len(landmarks)), np.float32)
+    near = kernel([names[k] for k in used])
     for lo in range(0, len(starts), 4096):
         hi = min(lo + 4096, len(starts))
-        block = mapped[word_at[starts[lo] : stops[hi - 1]]]
-        sentence[lo:hi] = np.add.reduceat(block, starts[lo:hi] - starts[lo], axis=0)
-    # the first guess: the sentence with the word that stands out most
-    bad_words = {distinct[w]: len(landmarks) - k for k, w in enumerate(landmarks[: LANDMARKS * 3 // 4]) if w in distinct}
-    first = np.zeros(len(distinct))
-    first[list(bad_words)] = list(bad_words.values())
-    margin = np.maximum.reduceat(first[word_at], starts) if len(starts) else np.zeros(0)
-    of = np.searchsorted(owner, np.arange(len(y) + 1))  # each document's sentences
+        sums[lo:hi] = np.add.reduceat(near[flat[edge[lo] : edge[hi - 1] + sizes[hi - 1]]], edge[lo:hi] - edge[lo], axis=0)
+    sentence = sums.astype(float) @ nystrom
+    del near, sums
     for _ in range(rounds):
         order = np.lexsort((-margin, owner))  # a document's sentences from the worst one
-        rank = np.arange(len(order)) - of[owner[order]]
-        kept = np.where(y[owner[order]], rank < 1, rank < HARD)
-        picked = np.unique(np.r_[order[kept], np.nonzero(~y[owner] & (np.arange(len(owner)) - of[owner] < HARD))[0]])
+        rank = np.arange(len(order)) - np.searchsorted(owner, owner[order])
+        picked = order[np.where(y[owner[order]], rank < 1, rank < 2 * HARD)]
         label = np.where(y[owner[picked]], 1.0, -1.0)
         cost = np.where(label > 0, 0.5 / max(1, (label > 0).sum()), 0.5 / max(1, (label < 0).sum()))
         w, b = _svm(sentence[picked], label, cost)
         margin = sentence @ w + b
     weights = (nystrom @ w).astype(np.float32)
-    value = mapped.astype(float) @ w
-    knee = max(1e-6, 0.5 * float(np.median(value[[distinct[k] for k in landmarks[: LANDMARKS // 4]]])))
-    x = document_features(value[word_at], ends, offsets, b, knee)
+    insults = kernel(landmarks[: LANDMARKS // 4]) @ weights
+    knee = max(1e-6, 0.5 * float(np.median(insults)))
+    model = Model(landmarks, weights, b, knee, np.zeros(5))
+    scorer = Scorer(model)
+    x = np.concatenate([scorer.features(column[lo : lo + 500]) for lo in range(0, len(y), 500)])
     prior = np.where(y, share_toxic / y.mean(), (1 - share_toxic) / (1 - y.mean()))
-    return Model(landmarks, weights, b, knee, _logistic(x, y.astype(float), prior))
+    return model._replace(link=_logistic(x, y.astype(float), prior))
 
 
 def fold(id_column):

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from . import html_text
 from .common import extended, materialize
 from .url_filter import host_of
-from .words import WordTable, slices, split
+from .words import WordTable, give_back, slices, split
 
 LANGUAGES = ("en", "de", "fr", "es")
 SAMPLE, BUCKETS, SMOOTHING = 500, 1 << 17, 0.3
@@ -116,7 +116,10 @@ def fit(docs: DataFrame, languages: Sequence[str] = LANGUAGES, id_col: str = "do
         ids = ids.unionByName(more)
     # at most SAMPLE ids per language
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids.dropDuplicates(["id"])), "id").select("text", "label").toArrow()
-    return train([t or "" for t in rows.column("text").to_pylist()], rows.column("label").to_pylist(), languages)
+    model = train([t or "" for t in rows.column("text").to_pylist()], rows.column("label").to_pylist(), languages)
+    del rows
+    give_back()
+    return model
 
 
 def scored(df: DataFrame, model: Model, text_col: str, keep: Sequence[str], prepare=None) -> DataFrame:

@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import WordTable, slices, split
+from .words import WordTable, give_back, slices, split
 
 ORDER, GAPS, DECAY, LANDMARKS, RIDGE = 4, 2, 0.5, 128, 1e-3
 SAMPLE_TOXIC, SAMPLE_CLEAN, CANDIDATES = 1000, 2000, 8
@@ -99,7 +99,7 @@ class Kernel:
         self.maybe = np.zeros(1 << _FILTER_BITS, bool)
         self.maybe[(self.known >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
 
-    def __call__(self, words: list[str], step: int = 20_000) -> np.ndarray:
+    def __call__(self, words: list[str], step: int = 5_000) -> np.ndarray:
         out = np.zeros((len(words), len(self.landmarks)), np.float32)
         for lo in range(0, len(words), step):
             at, codes, weights, norm = _codes(words[lo : lo + step])
@@ -295,6 +295,8 @@ def train(texts: list[str], toxic: list[int], share_toxic: float, rounds: int =
     scorer = Scorer(model)
     x = np.concatenate([scorer.features(column[lo : lo + 500]) for lo in range(0, len(y), 500)])
     prior = np.where(y, share_toxic / y.mean(), (1 - share_toxic) / (1 - y.mean()))
+    del scorer, sentence, pairs, word_at, number, names
+    give_back()
     return model._replace(link=_logistic(x, y.astype(float), prior))
 
 

@@ -7,6 +7,9 @@ distinct words of the batch and one index per occurrence, all in native code;
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,9 +17,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that one step works on, so that memory is bounded per task.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: Words a table keeps before it starts anew.
-KEEP = 500_000
+KEEP = 250_000
+
+
+def give_back() -> None:
+    """Returns freed memory to the system; workers stay alive between tasks and stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
@@ -29,6 +40,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             end = max(at + 1, int(np.searchsorted(size, base + SLICE_BYTES, side="right")))
             yield batch.slice(at, end - at)
             at = end
+    give_back()
 
 
 def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:

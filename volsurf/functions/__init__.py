@@ -1 +1 @@
-""""""
+"""Scalar functions and pricing kernels."""

@@ -1 +1 @@
-""""""
+"""Composite dataflows: contracts, features, stocks, maintenance, quality."""

@@ -1 +1 @@
-""""""
+"""Incremental and streaming runs."""

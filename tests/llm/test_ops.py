@@ -1,0 +1,466 @@
+"""Each operator against a brute-force version on small fixtures, with nulls, ties, repeats, empties and clashing columns."""
+
+import random
+import zlib
+from collections import defaultdict
+from itertools import combinations
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from volsurf.llm import components, decontam, embedding_dedup, html_text, langid, lcs, packing, sharding, simhash, token_store, tokens, toxicity, url_filter
+
+tokenizers = pytest.importorskip("tokenizers")
+public = pytest.importorskip("public_tokenizers")
+WORD, BYTE = str(public.path("word_bpe_49k.json")), str(public.path("byte_bpe_50k.json"))
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+RNG = random.Random(5)
+
+
+def prose(n, seed, syllables=("al", "be", "co", "du", "er", "fi", "go", "hu")):
+    r = random.Random(seed)
+    return " ".join("".join(r.choices(syllables, k=r.randint(1, 4))) for _ in range(n))
+
+
+def docs_of(spark, texts):
+    return spark.createDataFrame([(i, t, "en", "s", 0) for i, t in texts], DOCS)
+
+
+def roots(nodes, links):
+    up = {n: n for n in nodes}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        up[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+# --- components ---
+
+
+def test_components(spark):
+    r = random.Random(1)
+    links = [(r.randint(0, 60), r.randint(0, 60)) for _ in range(45)] + [(100 + k, 101 + k) for k in range(40)] + [(200, 200 + k) for k in range(30)]
+    want = roots({x for e in links for x in e}, links)
+    got = dict(components.connected_components(spark.createDataFrame([*links, (None, 3)], "u long, v long")).collect())
+    assert {n: got.get(n, n) for n in want} == want
+    assert components.connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+# --- 1 SimHash ---
+
+
+def plain_fingerprint(text):
+    w = (text or "").encode().lower().split()
+    if not w:
+        return 0
+    sh = [b" ".join(w[i : i + 3]) for i in range(len(w) - 2)] if len(w) >= 3 else [b" ".join(w)]
+    hs = [xxhash.xxh64_intdigest(s, 42) for s in sh]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hs) * 2 > len(hs))
+
+
+def test_simhash(spark):
+    base = [prose(80, k) for k in range(40)]
+    texts = [(k, t) for k, t in enumerate(base)]
+    texts += [(100 + k, base[0]) for k in range(30)] + [(200 + k, base[1] + " al" * (k + 1)) for k in range(25)]
+    texts += [(300, ""), (301, None), (302, " \n\t "), (303, "One two"), (304, "ONE TWO"), (305, "É é"), (0, base[0]), (None, base[2]), (306, "x" * 50_000)]
+    df = docs_of(spark, texts).withColumn("fp", F.lit("clash"))
+    got = simhash.near_duplicates(df).select("doc_id", simhash.hex_digits("fp").alias("h"), "component_id").collect()
+    assert len(got) == len(texts)
+    fps = [(i, plain_fingerprint(t)) for i, t in texts]
+    assert sorted((str(r.doc_id), r.h) for r in got) == sorted((str(i), f"{f:016x}") for i, f in fps)
+    distinct = sorted({f for _, f in fps})
+    to = roots(distinct, [(a, b) for a, b in combinations(distinct, 2) if (a ^ b).bit_count() <= 2])
+    least = defaultdict(lambda: 1 << 62)
+    for i, f in fps:
+        if i is not None:
+            least[to[f]] = min(least[to[f]], i)
+    assert sorted((str(r.doc_id), r.component_id) for r in got) == sorted((str(i), least[to[f]]) for i, f in fps)
+    kept = [r.doc_id for r in simhash.representatives(docs_of(spark, texts)).collect()]
+    assert sorted(k for k in kept if k is not None) == sorted(set(least.values())) and kept.count(None) == 1
+
+
+def test_tiles_find_every_link(spark):
+    r = random.Random(2)
+    fps = set()
+    for _ in range(60):
+        f = r.getrandbits(64)
+        fps |= {f} | {f ^ (1 << r.randrange(64)) ^ (1 << r.randrange(64)) for _ in range(r.choice([0, 1, 40]))}
+    signed = [(x - (1 << 64) if x >> 63 else x,) for x in fps]
+    got = [(u % 2**64, v % 2**64) for u, v in simhash.links(spark.createDataFrame(signed, "fp long"), tile=8).collect()]
+    assert all((u ^ v).bit_count() <= 2 for u, v in got)
+    assert roots(fps, got) == roots(fps, [(a, b) for a, b in combinations(fps, 2) if (a ^ b).bit_count() <= 2])
+
+
+def test_forest_of_dense_tiles():
+    for same in (True, False):
+        hit = np.triu(np.ones((40, 40), bool), 1) if same else np.random.default_rng(1).random((40, 30)) < 0.5
+        links = simhash._forest(hit, same)
+        name = (lambda k, side: k) if same else (lambda k, side: 1000 * side + k)
+        nodes = {name(k, s) for s, n in enumerate(hit.shape) for k in range(n)}
+        assert roots(nodes, [(name(a, 0), name(b, 1)) for a, b in links]) == roots(nodes, [(name(a, 0), name(b, 1)) for a, b in zip(*np.nonzero(hit), strict=True)])
+        assert len(links) < sum(hit.shape)
+
+
+def test_simhash_empty(spark):
+    assert simhash.near_duplicates(docs_of(spark, [])).count() == 0 and simhash.representatives(docs_of(spark, [])).count() == 0
+
+
+# --- 2 language ---
+
+ALPHABETS = {"en": ("th", "ing", "er", "wh"), "de": ("sch", "ung", "ein", "ä"), "fr": ("eau", "oi", "que", "é"), "es": ("ción", "ñ", "ar", "mente")}
+
+
+def test_language(spark):
+    rows = [(k * 10 + j, prose(60, k * 10 + j, ALPHABETS[x]), x, f"h{j % 3}.example.{x}", 0) for k, x in enumerate(ALPHABETS) for j in range(8)]
+    df = spark.createDataFrame([*rows, (900, "", "en", "h0.example.en", 0), (901, None, None, None, 0), (902, "1234 !!", "en", "", 0), (0, rows[0][1], "en", "h0.example.en", 0), (None, rows[9][1], None, None, 0)], DOCS)
+    df = df.withColumn("host", F.lit("clash")).withColumn("prior", F.lit(1))
+    model = langid.fit(df)
+    kept = langid.accepted_documents(df, model)
+    assert kept.columns == df.columns
+    got = kept.collect()
+    assert sorted(r.doc_id for r in got if r.doc_id is not None) == sorted([*(r[0] for r in rows), 0]) and len(got) == len(rows) + 2
+    pages = spark.createDataFrame([(r[0], f"http://{r[3]}/x", f"<html lang='{r[2]}'><body><p>{r[1]}</p></body></html>") for r in rows] + [(500, None, None), (501, "http://h0.example.de/", f"<html lang=fr><p>{prose(50, 3, ALPHABETS['de'])}")], "page_id long, url string, html string")
+    out = {r.page_id: r for r in langid.identify_pages(pages, model).collect()}
+    assert all(out[r[0]].language == r[2] and out[r[0]].accepted and out[r[0]].posterior > 0.9 for r in rows)
+    assert out[500].language == "und" and not out[500].accepted and out[501].language == "de"
+
+
+def test_priors_are_smoothed_by_level(spark):
+    rows = [("a.x", "x", None, [0.0, -9.0], 5.0)] * 30 + [("b.x", "x", None, [-9.0, 0.0], 5.0)] + [("c.y", "y", None, [-9.0, 0.0], 5.0)] * 9
+    df = spark.createDataFrame(rows, "host string, suffix string, declared string, log_p array<double>, trigrams double")
+    got = {r[0]: r[2] for r in langid.priors(df, ("p", "q")).host.collect()}
+    whole = [31 / 42, 11 / 42]
+    x = [(30 + 20 * whole[0]) / 51, (1 + 20 * whole[1]) / 51]
+    assert got["b.x"] == pytest.approx([20 * x[0] / 21, (1 + 20 * x[1]) / 21])
+
+
+# --- 3 HTML ---
+
+
+def lcs_length(a, b):
+    t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            t[i + 1][j + 1] = t[i][j] + 1 if x == y else max(t[i][j + 1], t[i + 1][j])
+    return t[-1][-1]
+
+
+def test_lcs():
+    r = random.Random(1)
+    for _ in range(500):
+        a, b = (["".join(r.choices("abcd")) for _ in range(r.randint(0, 9))] for _ in range(2))
+        pairs = lcs.common(a, b)
+        assert len(pairs) == lcs_length(a, b) and all(a[i] == b[j] for i, j in pairs)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:], strict=False))
+
+
+def test_blocks():
+    page = "<html><head><title>t</title></head><body><header><h1>Site</h1></header><nav>m</nav><div class='side-ad'>x<div>y</div></div><article><h1> A&amp;B </h1><p>one <b>t</b>wo&nbsp;<br>three<!-- c --><script>var a='</p>';</script><p>four<form>f</form><div id=comments>c</div></article><footer>z</footer>"
+    assert html_text.visible(page) == "A&B\none two three\nfour"
+    assert html_text.visible(None) == "" and html_text.visible("") == "" and html_text.visible("plain &lt;text&gt;") == "plain <text>"
+    assert html_text.lines("<main><article class='comment'>no</article><p>yes</p></main>") == [(True, "yes")]
+
+
+def test_differencing(spark):
+    menu = "<p>Menu</p><p>Shop</p>"
+    bare = lambda t: f"<html><body>{menu}<p>{t}</p><p>Imprint</p></body></html>"
+    rows = [(1, "http://a.org/x/1", bare("first")), (2, "http://a.org/x/2", bare("second")), (3, "http://a.org/y/1", bare("third")), (4, "http://b.org/x", bare("alone")), (5, "http://c.org/1", bare("copy")), (6, "http://c.org/2", bare("copy"))]
+    rows += [(7, "http://a.org/z/3", "<body><p>Menu</p><article><p>Shop</p><p>kept</p></article></body>"), (8, None, None), (9, "http://d.org/", ""), (9, "http://d.org/", ""), (None, "http://e.org/", "<p>n</p>")]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash")))
+    out = {(r.page_id, r.url): r.text for r in got.collect()}
+    assert got.count() == len(rows)
+    assert [out[k, u] for k, u, _ in rows[:3]] == ["first", "second", "third"]
+    assert out[4, "http://b.org/x"] == "Menu\nShop\nalone\nImprint" and out[5, "http://c.org/1"] == "Menu\nShop\ncopy\nImprint"
+    assert out[7, "http://a.org/z/3"] == "Shop\nkept" and out[8, None] == "" and out[None, "http://e.org/"] == "n"
+
+
+# --- 4 sharding ---
+
+
+def test_table_is_filled_by_turns():
+    names, slots = [f"n{k}" for k in range(7)], 101
+    owner = [None] * slots
+    lists = [[(o + s * j) % slots for j in range(slots)] for o, s in (sharding.preference(n, slots) for n in names)]
+    while None in owner:
+        for i, order in enumerate(lists):
+            free = next((x for x in order if owner[x] is None), None)
+            if free is not None:
+                owner[free] = i
+    assert sharding.fill(names, slots) == owner
+    counts = np.bincount(owner)
+    assert counts.max() - counts.min() <= 1
+    after = sharding.fill(names[:-1], slots)
+    assert sum(a != b for a, b in zip(owner, after, strict=True) if b is not None and a != 6) < slots // 4
+    for bad in ([], ["a", "a"]):
+        with pytest.raises(ValueError):
+            sharding.fill(bad, slots)
+    with pytest.raises(ValueError):
+        sharding.fill(["a"], 100)
+
+
+def test_placement(spark, tmp_path):
+    df = spark.createDataFrame([(1, "x"), (1, "y"), (None, "z"), (2, "w")], "k long, shard string")
+    got = sharding.place(df, "k", ["a", "b", "c"], 101).collect()
+    assert len(got) == 4 and len({r.shard for r in got if r.k == 1}) == 1 and all(r.shard_name == "abc"[r.shard] for r in got)
+    assert sharding.place(df.limit(0), "k", ["a"], 101).count() == 0
+    sharding.write_shards(df, "k", ["a", "b"], str(tmp_path / "s"), 101, files=2)
+    assert spark.read.parquet(str(tmp_path / "s")).count() == 4
+
+
+# --- 5 tokens ---
+
+ODD = ["", None, " ", "a", "x\n", "\n\nfoo  bar", "don't stop. It's, e.g. A.B.,c 12.5, <|endoftext|>", "a b", "É.́x É, K. ", "a.,", "tab\tx", "Straße. ﬁ.", "x" * 3000]
+
+
+@pytest.mark.parametrize(("path", "keeps"), [(WORD, False), (BYTE, True)])
+def test_encoder_is_the_library(path, keeps):
+    texts = ODD + [prose(50, k) for k in range(20)]
+    encoder = tokens.Encoder(path, keeps, keep=40)
+    for _ in range(3):
+        ids, ends = encoder.encode(pa.array(texts, pa.string()))
+        for k, t in enumerate(texts):
+            assert ids[ends[k] : ends[k + 1]].tolist() == encoder.tokenizer.encode(t or "", add_special_tokens=False).ids
+
+
+def test_dac_round_trip():
+    r = np.random.default_rng(1)
+    for n in (0, 1, 511, 512, 513, 5000):
+        ids = r.choice([3, 255, 256, 70_000, 1 << 25], n).astype(np.uint32)
+        ends = np.sort(r.integers(0, n + 1, 9)) if n else np.zeros(9, int)
+        ends[-1] = n
+        reader = token_store.DacReader(token_store.write_dac(ids, ends))
+        assert (reader.slice(0, n) == ids).all() and all(reader.get(i) == ids[i] for i in range(0, n, 7))
+        assert all((reader.slice(a, b) == ids[a:b]).all() for a, b in zip(ends, ends[1:], strict=False)) and (reader.document(0) == ids[: ends[0]]).all()
+        with pytest.raises(IndexError):
+            reader.get(n)
+    with pytest.raises(ValueError):
+        token_store.DacReader(b"XXXX" + bytes(60))
+
+
+def test_token_store(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_store, "SEGMENT_IDS", 300)
+    texts = [(RNG.randint(0, 50), t) for t in ODD + [prose(RNG.randint(1, 150), k) for k in range(60)]]
+    df = docs_of(spark, texts).withColumn("start", F.lit(1))
+    token_store.write_store(df, str(tmp_path / "t"), WORD, 1)
+    got = sorted(tuple(r) for r in token_store.digests(token_store.read_store(spark, str(tmp_path / "t"))).collect())
+    lib, at, want = tokens.load(WORD), 0, []
+    for i, t in sorted(texts, key=lambda x: (x[0], x[1] is not None, (x[1] or "").encode())):
+        ids = [*lib.encode(t or "", add_special_tokens=False).ids, 1]
+        want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    assert got == sorted(want)
+    whole = token_store.documents(token_store.read_store(spark, str(tmp_path / "t"))).collect()
+    assert sorted((r.doc_id, r.start, r.n_tokens, zlib.crc32(r.ids)) for r in whole) == got
+    token_store.write_store(df.limit(0), str(tmp_path / "e"), WORD, 1)
+    assert token_store.digests(token_store.read_store(spark, str(tmp_path / "e"))).count() == 0
+
+
+# --- 6 toxicity ---
+
+
+def test_kernel_tolerates_gaps():
+    k = toxicity.Kernel(["blockhead", "pleasant"])
+    got = k([toxicity.normalize(w) for w in ("blockhead", "b.l.o.c.k.h.e.a.d", "blockxhead", "bloockhead", "pleasant", "mountain", "")])
+    assert got[0, 0] == pytest.approx(1, abs=1e-5) and got[1, 0] == got[0, 0] and got[2, 0] > 0.3 and got[3, 0] > 0.3
+    assert got[5].max() < 0.05 and got[6].max() == 0 and got[4, 1] == pytest.approx(1, abs=1e-5)
+
+
+def test_toxicity(spark):
+    bad = ["blockhead", "numbskull", "dimwit"]
+    rows = []
+    for k in range(400):
+        words = prose(40, k).split()
+        if k % 4 == 0:
+            words.insert(k % 39, bad[k % 3])
+            words.insert(5, bad[(k // 4) % 3])
+        rows.append((k, " ".join(words) + "."))
+    extra = [(900, "you " + "block-head " * 3 + prose(30, 7)), (901, prose(20, 8) + " d i m w i t " + prose(5, 9) + " numbskulll"), (902, ""), (903, None), (904, prose(3000, 4)), (0, rows[0][1]), (None, prose(30, 11))]
+    df = docs_of(spark, rows + extra).withColumn("score", F.lit("clash"))
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(400)] + [(None, 1), (5000, 1), (1, None)], "doc_id long, toxic int")
+    got = toxicity.judged(df, labels).collect()
+    assert len(got) == 407 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got)
+    assert all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
+    held = [r for r in got if r.held_out and r.doc_id < 400]
+    assert np.mean([r.predicted == int(r.doc_id % 4 == 0) for r in held]) > 0.97
+    by = {r.doc_id: r.predicted for r in got}
+    assert by[900] == 1 and by[901] == 1 and by[902] == by[903] == by[904] == by[None] == 0
+    clean = toxicity.clean_documents(df, toxicity.fit(df, labels))
+    assert clean.columns == df.columns and clean.count() == sum(1 for r in got if not r.predicted)
+    assert toxicity.fit(df, labels.filter("toxic = 0")) is None
+    assert {r.score for r in toxicity.judged(df, labels.limit(0)).collect()} == {0.0}
+
+
+# --- 7 packing ---
+
+
+def test_plan_places_every_rank():
+    r = np.random.default_rng(1)
+    for cap, n in ((16, 200), (1024, 3000), (5, 0)):
+        sizes = r.integers(1, cap + 1, n)
+        counts = np.bincount(sizes, minlength=cap + 1)
+        moves = packing.plan(counts, cap)
+        fill = defaultdict(list)
+        for s in range(1, cap + 1):
+            own = moves[moves[:, 0] == s]
+            own = own[np.argsort(own[:, 1])]
+            for k in range(counts[s]):
+                m = own[np.searchsorted(own[:, 1], k, side="right") - 1]
+                fill[m[2] + k - m[1]].append((m[3], s))
+        for parts in fill.values():
+            at = 0
+            for offset, s in sorted(parts):
+                assert offset == at
+                at += s
+            assert at <= cap
+        if n:
+            assert len(fill) <= 1.02 * -(-int(sizes.sum()) // cap) + 2 and sorted(fill) == list(range(len(fill)))
+
+
+def test_packing(spark):
+    texts = [(k, prose(RNG.randint(0, 400), k)) for k in range(60)] + [(70, None), (71, ""), (72, prose(3000, 5)), (72, prose(3000, 5)), (None, "x y")]
+    df = docs_of(spark, texts).withColumn("length", F.lit(-1))
+    got = packing.packed_digests(df, BYTE, 2, capacity=256).collect()
+    lib, want = tokens.load(BYTE), []
+    for i, t in texts:
+        ids = [*lib.encode(t or "", add_special_tokens=False).ids, 2]
+        first = len(ids) - (-(-len(ids) // 256) - 1) * 256
+        at, p = 0, 0
+        while at < len(ids):
+            n = first if p == 0 else 256
+            want.append((str(i), p, at, n, zlib.crc32(np.array(ids[at : at + n], "<u4").tobytes())))
+            at, p = at + n, p + 1
+    assert sorted((str(r.doc_id), r.piece, r.start, r.length, r.ids_crc32) for r in got) == sorted(want)
+    by = defaultdict(list)
+    for r in got:
+        by[r.sequence_id].append((r.offset, r.length))
+    for parts in by.values():
+        parts.sort()
+        assert all(a + n == b for (a, n), (b, _) in zip(parts, parts[1:], strict=False)) and parts[0][0] == 0 and sum(n for _, n in parts) <= 256
+    assert packing.packed_digests(df.limit(0), BYTE, 2).count() == 0
+
+
+def test_sequences(spark):
+    from volsurf.llm.common import materialize
+
+    rows = materialize(packing.pieces(docs_of(spark, [(1, "one two"), (2, "three")]), BYTE, 2), "t")
+    seq = packing.sequences(packing.pack(rows)).collect()
+    lib = tokens.load(BYTE)
+    one, two = ([*lib.encode(t, add_special_tokens=False).ids, 2] for t in ("one two", "three"))
+    assert len(seq) == 1 and np.frombuffer(seq[0].ids, "<u4").tolist() in (one + two, two + one)
+
+
+# --- 8 decontamination ---
+
+
+def test_decontamination(spark):
+    items = [(k, prose(RNG.randint(16, 60), 1000 + k, tuple("ka le mi no pu ra se ti vo xu zy qi".split()))) for k in range(30)]
+    items += [(50, "too short"), (51, None), (52, prose(150, 77, tuple("wa ye zo bri klu".split())))]
+    texts = [(k, prose(200, k)) for k in range(40)]
+    half = items[3][1].split()
+    leaks = {100: 0, 101: 1, 102: 52, 103: 3}
+    texts += [(100, prose(97, 1) + " " + items[0][1].upper() + ", " + prose(300, 2)), (101, items[1][1]), (102, prose(33, 3) + " " + items[-1][1])]
+    # a paraphrase: every fourth word replaced but for the answer
+    texts += [(103, prose(40, 4) + " " + " ".join("uh" if k % 4 == 0 and k < len(half) - 5 else w for k, w in enumerate(half)) + " " + prose(40, 5))]
+    texts += [(104, " ".join(half[::3])), (105, ""), (106, None), (107, "two words"), (108, " ".join(sorted(items[5][1].split()))), (None, items[1][1])]
+    df, bench = docs_of(spark, texts), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminations(df, bench).collect()}
+    assert got == {*leaks.items(), (None, 1)}
+    kept = decontam.clean_documents(df.withColumn("cosine", F.lit(0)), bench)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _ in texts if i is not None and i not in leaks) and "cosine" in kept.columns
+    assert decontam.contaminations(df, bench.limit(0)).count() == 0 and decontam.contaminations(df.limit(0), bench).count() == 0
+    assert decontam.clean_documents(df, bench.limit(0)).count() == len(texts)
+
+
+def test_latent_space_spans_the_items(spark):
+    rows = [[int(x) for x in np.random.default_rng(k).integers(0, 50, 12)] for k in range(20)]
+    idf = np.linspace(0.5, 3, 50)
+    a = np.zeros((20, 50))
+    for i, row in enumerate(rows):
+        at, tf = np.unique(row, return_counts=True)
+        a[i, at] = tf * idf[at]
+        a[i] /= np.linalg.norm(a[i])
+    space = decontam.latent_space(spark.createDataFrame([(r,) for r in rows], "terms array<int>").repartition(3), 20, idf)
+    assert np.allclose(space.T @ space, np.eye(space.shape[1]), atol=1e-8) and np.allclose(a @ space @ space.T, a, atol=1e-6)
+    assert np.allclose(np.sort(np.linalg.norm(a @ decontam.latent_space(spark.createDataFrame([(r,) for r in rows], "terms array<int>"), 20, idf, rank=5), axis=0))[::-1], np.linalg.svd(a)[1][:5], rtol=0.05)
+
+
+# --- 9 embeddings ---
+
+
+def test_embeddings(spark):
+    r = np.random.default_rng(4)
+    base = r.standard_normal((150, 16))
+    near = base[:20].repeat(6, axis=0) + 0.05 * r.standard_normal((120, 16))
+    far = base[20:30] + 0.22 * r.standard_normal((10, 16))
+    x = np.vstack([base, near, far, base[:3], base[:3] * 7.5, np.repeat(base[40:41], 25, axis=0)])
+    rows = [(int(k), [float(c) for c in np.float32(v)]) for k, v in enumerate(x)]
+    junk = [None, [], [0.0] * 16, [float("nan")] + [1.0] * 15, [float("inf")] + [1.0] * 15, [None] + [1.0] * 15, [1.0, 2.0]]
+    rows += [(1000 + k, v) for k, v in enumerate(junk)] + [(5, rows[5][1]), (None, rows[6][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("label", F.lit(1)).withColumn("digest", F.lit("clash"))
+    got = embedding_dedup.near_duplicates(df).collect()
+    sound = [(i, np.array(v)) for i, v in rows if v and len(v) == 16 and None not in v and np.isfinite(v).all() and np.any(v)]
+    u = np.array([v / np.linalg.norm(v) for _, v in sound])
+    hit = u @ u.T >= 0.95
+    np.fill_diagonal(hit, False)
+    to = roots(range(len(sound)), [tuple(e) for e in np.argwhere(np.triu(hit))])
+    least = defaultdict(lambda: 1 << 62)
+    for k, (i, _) in enumerate(sound):
+        if i is not None:
+            least[to[k]] = min(least[to[k]], i)
+    want = [(str(i), int(hit[k].sum()), least[to[k]]) for k, (i, _) in enumerate(sound)] + [(str(i), 0, i) for i, v in rows if 1000 <= (i or 0) < 2000]
+    assert sorted((str(r.vec_id), r.n_links, r.component_id) for r in got) == sorted(want)
+    assert all(r.kept == (r.vec_id == r.component_id) for r in got)
+    assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_many_intervals(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "INTERVAL", 40)
+    monkeypatch.setattr(embedding_dedup, "LEAF", 8)
+    r = np.random.default_rng(6)
+    x = r.standard_normal((300, 4))
+    got = embedding_dedup.near_duplicates(spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hit = u @ u.T >= 0.95
+    assert {r.vec_id: r.n_links for r in got} == {k: int(hit[k].sum()) - 1 for k in range(300)}
+    to = roots(range(300), [tuple(e) for e in np.argwhere(np.triu(hit, 1))])
+    assert {r.vec_id: r.component_id for r in got} == to
+
+
+# --- 10 URLs ---
+
+URLS = ["http://a.net/x", "https://www.example.net/en/1?q#f", "https://example.net/fr/", "http://EXAMPLE.com/de/9", "http://example.com/DE/9", "http://b.example.com/de/", "ftp://x.org/fr/", "http://x.org", "http://net/", "http://a.net", "http://anet/", "no scheme", "", None, "://", "http://a.net?x=/", "http://cheap.pills.io/b"]
+
+
+def test_urls(spark):
+    def brute(url):
+        rest = url.split("://", 1)[1] if url and "://" in url else ""
+        cut = next((k for k, c in enumerate(rest) if c in "/?#"), len(rest))
+        host, tail = rest[:cut], rest[cut:]
+        path = tail[: next((k for k, c in enumerate(tail) if c in "?#"), len(tail))]
+        host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+        fits = [(h + p, v) for h, p, v in (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")) if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        best = max(fits, key=lambda f: len(f[0]), default=(None, None))
+        return url, host, path, best[0], best[1] or ("block" if host.startswith("cheap.pills") else "allow")
+
+    from volsurf.llm.queries import URL_RULES
+
+    rules = [*URL_RULES, url_filter.pattern_rule("pills", "block", r"^cheap\.pills\.", ["cheap", "pills"])]
+    df = spark.createDataFrame([(k, u) for k, u in enumerate(URLS + URLS[:2])], "page_id long, url string").withColumn("verdict", F.lit("clash"))
+    got = url_filter.judge(df, rules).orderBy("page_id").collect()
+    want = [brute(u) for u in URLS + URLS[:2]]
+    assert [(r.url, r.host, r.path, r.rule if r.rule != "pills" else None, r.verdict) for r in got] == want
+    assert url_filter.judge(df, []).filter("verdict != 'allow'").count() == 0 and url_filter.judge(df.limit(0), rules).count() == 0
+
+
+def test_rarest_token(spark):
+    rules = [url_filter.pattern_rule("a", "block", "x", ["com", "alpha"]), url_filter.pattern_rule("b", "block", "x", ["com", "beta"]), url_filter.pattern_rule("c", "block", "x", [])]
+    assert {r.rule: r.token for r in url_filter.index(spark, rules).collect()} == {"a": "alpha", "b": "beta", "c": ""}

@@ -3,8 +3,9 @@
 Words are compared by the characters they share in order, gaps allowed: the
 kernel of two words sums over all subsequences of ORDER characters that span
 ORDER + GAPS positions at most, each weighted DECAY for every skipped
-position, word ends counting as characters.  It is cosine-normalized and
-squared.  ``i.d.i.o.t``, ``idiiot`` and ``i d i o t`` thus stay close to the
+position, word ends counting as characters.  It is cosine-normalized (each
+occurrence of a subsequence counting for itself in the norm, values held to 1)
+and squared.  ``i.d.i.o.t``, ``idiiot`` and ``i d i o t`` thus stay close to the
 insult.  Landmarks are words of the labelled sample whose share of toxic
 documents stands out; the Nyström map turns kernel values to landmarks into
 features.  A sentence's feature is the sum over its words (a convolution
@@ -113,7 +114,7 @@ class Kernel:
                 first = np.nonzero(np.diff(at[hit], prepend=-1))[0]
                 sums = np.add.reduceat(self.table[place] * weights[hit, None].astype(np.float32), first, axis=0)
                 rows = at[hit][first]
-                out[lo + rows] = (sums / norm[rows, None]) ** 2
+                out[lo + rows] = np.minimum(1, sums / norm[rows, None]) ** 2
         return out
 
 

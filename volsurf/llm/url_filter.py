@@ -1,9 +1,8 @@
 """URL filtering by pattern rules indexed under their rarest literal token.
 
 A rule is a regular expression over ``host + path`` with the literal tokens
-that any match must contain.  Its index entry is the one of those tokens that
-occurs in fewest rules and, among these, in fewest URLs is not needed: ties go
-to the longer token.  A URL is cut into tokens at everything but letters and
+that any match must contain.  It is indexed under the one of them that occurs in
+fewest rules; ties go to the longer token.  A URL is cut into tokens at everything but letters and
 digits; its distinct tokens fetch candidate rules with one equi-join, and only
 candidates run their regular expression.
 
@@ -60,7 +59,7 @@ def index(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
     fields = ("token", "rule", "rule_verdict", "pattern", "rank")
     made = [F.struct(*(F.lit(v).alias(k) for k, v in zip(fields, row, strict=True))) for row in rows]
     if not made:
-        return spark.range(0).select(*(F.lit("").alias(f) for f in fields))
+        return spark.range(0).select(*(F.lit(None).cast("string").alias(f) for f in fields))
     return spark.range(1).select(F.inline(F.array(*made)))
 
 

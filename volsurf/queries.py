@@ -348,8 +348,10 @@ def _factors(spark, sf):
     return spark.sql(f"SELECT * FROM {_RATIOS}").withColumn("factor", numeric.split_factor(F.col("ratio")))
 
 
-_EASTER = """SELECT y, make_date(y::BIGINT, ((h + l - 7 * m + 114) // 31)::BIGINT, ((h + l - 7 * m + 114) % 31 + 1)::BIGINT) AS easter FROM (SELECT *, (a + 11 * h + 22 * l) // 451 AS m FROM (SELECT *, (32 + 2 * e + 2 * i - h - k) % 7 AS l FROM (SELECT *, (19 * a + b - d - g + 15) % 30 AS h FROM (
-    SELECT *, (b - f + 1) // 3 AS g FROM (SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c, (y // 100) // 4 AS d, (y // 100) % 4 AS e, (y // 100 + 8) // 25 AS f, (y % 100) // 4 AS i, (y % 100) % 4 AS k FROM range(1990, 2061) t(y))))))"""
+# Oudin's method, another one than the engine's
+_EASTER = """SELECT y, make_date(y::BIGINT, mon::BIGINT, (days + 28 - 31 * (mon // 4))::BIGINT) AS easter FROM (SELECT y, days, 3 + (days + 40) // 44 AS mon FROM (SELECT y, moon - (y + y // 4 + moon + 2 - cent + cent // 4) % 7 AS days FROM (
+    SELECT y, cent, m0 - (m0 // 28) * (1 - (m0 // 28) * (29 // (m0 + 1)) * ((21 - gold) // 11)) AS moon FROM (SELECT y, cent, gold, (cent - cent // 4 - (cent - (cent - 17) // 25) // 3 + 19 * gold + 15) % 30 AS m0 FROM (
+    SELECT y, y // 100 AS cent, y % 19 AS gold FROM range(1990, 2061) t(y))))))"""
 
 
 @query("fn15_easter", "y:i easter:d", _EASTER)

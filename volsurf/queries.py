@@ -634,6 +634,156 @@ def _worst(spark, sf):
     return quality.extremes(_qa(spark, sf))
 
 
+# --- single steps of the flows above --------------------------------------------------------------------------------
+
+
+@query("src05_raw_date_range", "low:d high:d days:i", "SELECT min(trade_date) AS low, max(trade_date) AS high, count(DISTINCT trade_date) AS days FROM raw", "raw")
+def _date_range(spark, sf):
+    return raw(spark, sf).agg(F.min("trade_date").alias("low"), F.max("trade_date").alias("high"), F.count_distinct("trade_date").alias("days"))
+
+
+@query("src11_stock_bounds", "symbol:s first_day:d last_day:d has_yield:b", "SELECT symbol, min(trade_date) AS first_day, max(trade_date) AS last_day, bool_and(dividend_yield >= 0) AS has_yield FROM stocks GROUP BY symbol", "stocks")
+def _bounds(spark, sf):
+    return stocks.bounds(view(spark, sf, "stocks"))
+
+
+@query("src14_resolved_rates", "rate_date:d rate:f", "SELECT rate_date, rate FROM rates", "rates")
+def _resolved(spark, sf):
+    from .sources.readers import resolved_rates
+
+    return resolved_rates(view(spark, sf, "rates").select(F.col("rate_date").alias("Date"), (F.col("rate") * 100).alias("value"), F.lit("X").alias("series_id")), "X")
+
+
+@query("src24_every_third_day", "path:s", "SELECT path FROM (SELECT path, row_number() OVER (ORDER BY path) AS n FROM (SELECT DISTINCT strftime(trade_date, '%Y/%m/%Y-%m-%d') || '.csv.gz' AS path FROM raw)) WHERE (n - 1) % 3 = 0", "raw")
+def _third(spark, sf):
+    from .sources.readers import every_nth
+
+    return every_nth(raw(spark, sf).select(calendar.day_path(F.col("trade_date")).alias("path")).distinct(), 3)
+
+
+@query("src27_symbols_with_errors", "symbol:s", f"SELECT DISTINCT symbol FROM ({_RANGES}) WHERE range_start <= range_end", "snapshots", "stocks")
+def _with_errors(spark, sf):
+    return maintenance.symbols_with_stock_errors(quality.stock_issues(view(spark, sf, "stocks"), _ranges(spark, sf)))
+
+
+@query("fil06_traded", "ticker:s trade_date:d ordinal:i", "SELECT * FROM raw WHERE volume > 0 AND close > 0", "raw")
+def _traded(spark, sf):
+    return raw(spark, sf).filter(filters.traded(F.col("volume"), F.col("close")))
+
+
+@query("fil15_valid_dates", "trade_date:s n:i", "SELECT * FROM (VALUES ('2024-01-02', 2), ('2024-03-05', 1)) t(trade_date, n)")
+def _valid(spark, sf):
+    rows = spark.createDataFrame([("2024-01-02",), ("1/2/2024",), ("x",), (None,), ("2024-03-05 00:00:00",)], "trade_date string")
+    return filters.valid_dates(rows).groupBy("trade_date").agg(F.count("*").alias("n"))
+
+
+@query("fil16_missing_values", "missing:i", "SELECT count(*) FILTER (ordinal % 7 = 0) AS missing FROM own", "own")
+def _missing_values(spark, sf):
+    return _audit_input(spark, sf).agg(F.count_if(numeric.is_missing(F.col("implied_volatility"))).alias("missing"))
+
+
+@query("fil17_covers_range", "symbol:s covers:b", "SELECT symbol, min(trade_date) <= DATE '2024-01-02' AND max(trade_date) >= DATE '2024-01-10' AS covers FROM stocks GROUP BY symbol", "stocks")
+def _covers(spark, sf):
+    known = stocks.bounds(view(spark, sf, "stocks"))
+    return known.withColumn("covers", (F.col("first_day") <= F.lit("2024-01-02").cast("date")) & (F.col("last_day") >= F.lit("2024-01-10").cast("date")))
+
+
+@query("prj01_expiry", "ticker:s trade_date:d ordinal:i dte_days:i time_to_expiry_years:f", "SELECT *, CAST(expiration_date - trade_date AS INTEGER) AS dte_days, (expiration_date - trade_date) / 365.25e0 AS time_to_expiry_years FROM parsed", "parsed")
+def _expiry(spark, sf):
+    return filters.with_expiry(symbols.parse_options(raw(spark, sf)))
+
+
+@query("prj02_day_rate", "ticker:s trade_date:d ordinal:i risk_free_rate:f", "SELECT p.*, r.rate AS risk_free_rate FROM raw p ASOF LEFT JOIN rates r ON p.trade_date >= r.rate_date", "raw", "rates")
+def _day_rate(spark, sf):
+    return joins.with_rates(raw(spark, sf), view(spark, sf, "rates"))
+
+
+@query("jn12_replaced_symbols", "ticker:s trade_date:d ordinal:i close:f", "SELECT ticker, trade_date, ordinal, CASE WHEN underlying = 'AAC' THEN close + 1 ELSE close END AS close FROM own", "own")
+def _replaced(spark, sf):
+    own = view(spark, sf, "own")
+    return joins.replaced(own, own.filter("underlying = 'AAC'").withColumn("close", F.col("close") + 1), "underlying")
+
+
+@query("jn16_repair_rates", "trade_date:d risk_free_rate:f", "SELECT d.trade_date, CASE WHEN day(d.trade_date) % 2 = 0 THEN 0.07e0 ELSE r.rate END AS risk_free_rate FROM (SELECT DISTINCT trade_date FROM raw) d ASOF LEFT JOIN rates r ON d.trade_date >= r.rate_date", "raw", "rates")
+def _repair_rates(spark, sf):
+    rows = raw(spark, sf)
+    carried = rows.withColumn("risk_free_rate", F.when(F.dayofmonth("trade_date") % 2 == 0, 0.07))
+    return maintenance.repair_rates(carried, rows, view(spark, sf, "rates"))
+
+
+@query("agg12_contract_counts", "trade_date:d underlying:s n:i n_30d:i n_60d:i n_90d:i", "SELECT trade_date, underlying, count(*) AS n, count(*) FILTER (dte_days BETWEEN 30 AND 45) AS n_30d, count(*) FILTER (dte_days BETWEEN 46 AND 70) AS n_60d, count(*) FILTER (dte_days BETWEEN 71 AND 90) AS n_90d FROM own GROUP BY ALL", "own")
+def _counts(spark, sf):
+    bucket = numeric.dte_bucket(F.col("dte_days"))
+    return view(spark, sf, "own").groupBy("trade_date", "underlying").agg(F.count("*").alias("n"), *(F.count_if(bucket == b).alias(f"n_{b}") for b in ("30d", "60d", "90d")))
+
+
+@query("agg13_nan_mean", "a:f b:f mean:f", "SELECT *, CASE WHEN a IS NULL THEN b WHEN b IS NULL THEN a ELSE (a + b) / 2 END AS mean FROM (VALUES (1e0, 3e0), (NULL, 3e0), (1e0, NULL), (NULL, NULL)) t(a, b)")
+def _nan_mean(spark, sf):
+    return spark.createDataFrame([(1.0, 3.0), (None, 3.0), (1.0, None), (None, None)], "a double, b double").withColumn("mean", numeric.nan_mean(F.col("a"), F.col("b")))
+
+
+@query("agg20_status_counts", "item:s message:s", "SELECT * FROM (VALUES ('failed', '2 repairs'), ('missing_input', '1 repairs')) t(item, message)")
+def _statuses(spark, sf):
+    ledger = spark.sql("SELECT explode(array('failed', 'Failed ', 'repaired', 'missing_input')) AS status")
+    return quality.split_issues(_mismatches(spark, sf).limit(0), ledger)
+
+
+@query("agg21_distinct_underlyings", "n:i", "SELECT count(DISTINCT underlying) AS n FROM own", "own")
+def _underlyings(spark, sf):
+    return view(spark, sf, "own").agg(F.count_distinct("underlying").alias("n"))
+
+
+@query("win08_last_by_order", "underlying:s trade_date:d ticker:s close:f", "SELECT underlying, trade_date, arg_max(ticker, ordinal) AS ticker, arg_max(close, ordinal) AS close FROM parsed GROUP BY ALL", "parsed")
+def _last(spark, sf):
+    return joins.last_by(symbols.parse_options(raw(spark, sf)).select("underlying", "trade_date", "ticker", "close", "ordinal"), ["underlying", "trade_date"], "ordinal")
+
+
+@query("srt03_first_contracts", "trade_date:d underlying:s expiration_date:d option_type:s strike:f ticker:s ordinal:i", "SELECT * FROM own ORDER BY trade_date, underlying, expiration_date, option_type, strike, ticker, ordinal LIMIT 20", "own")
+def _first(spark, sf):
+    return view(spark, sf, "own").orderBy("trade_date", "underlying", "expiration_date", "option_type", "strike", "ticker", "ordinal").limit(20)
+
+
+@query("set02_schema_union", "trade_date:d underlying:s close:f delta:f", "SELECT trade_date, underlying, close, NULL AS delta FROM parsed UNION ALL SELECT trade_date, underlying, close, delta FROM own", "parsed", "own")
+def _union(spark, sf):
+    return symbols.parse_options(raw(spark, sf)).select("trade_date", "underlying", "close").unionByName(view(spark, sf, "own").select("trade_date", "underlying", "close", "delta"), allowMissingColumns=True)
+
+
+@query("set05_completed_days", "trade_date:d", "SELECT DISTINCT trade_date FROM own INTERSECT SELECT trade_date FROM raw WHERE trade_date < DATE '2024-01-08'", "own", "raw")
+def _completed_days(spark, sf):
+    return incremental.completed_days(view(spark, sf, "own"), raw(spark, sf).filter("trade_date < '2024-01-08'"))
+
+
+@query("fn06_split_cells", "cell:s parts:s", "SELECT * FROM (VALUES ('a; b,c', 'a|b,c'), ('a, ,b', 'a|b'), (' ', '')) t(cell, parts)")
+def _cells(spark, sf):
+    return spark.createDataFrame([("a; b,c",), ("a, ,b",), (" ",)], "cell string").withColumn("parts", F.array_join(symbols.split_cell(F.col("cell")), "|"))
+
+
+@query("fn22_safe_divide", "n:f d:f ratio:f", "SELECT *, CASE WHEN abs(d) > 1e-12 THEN n / d END AS ratio FROM (VALUES (1e0, 2e0), (1e0, 0e0), (1e0, 1e-13), (NULL, 1e0), (1e0, NULL)) t(n, d)")
+def _divide(spark, sf):
+    return spark.createDataFrame([(1.0, 2.0), (1.0, 0.0), (1.0, 1e-13), (None, 1.0), (1.0, None)], "n double, d double").withColumn("ratio", numeric.safe_divide(F.col("n"), F.col("d")))
+
+
+@query("fn24_already_repaired", "trade_date:d underlying:s repaired:b", "SELECT DISTINCT trade_date, underlying, underlying <> 'AAB' AS repaired FROM own", "own")
+def _repaired(spark, sf):
+    clean = view(spark, sf, "stocks").withColumn("close", F.when(F.col("symbol") == "AAB", F.col("close") * 1.001).otherwise(F.col("close")))
+    return maintenance.already_repaired(view(spark, sf, "own"), clean)
+
+
+@query("df14_ledger_rows", "trade_date:d symbols:s status:s option_rows:i", f"""SELECT m.trade_date, string_agg(DISTINCT symbol, ';' ORDER BY symbol) AS symbols, CASE WHEN max(n) > 0 THEN 'repaired' ELSE 'no_repaired_rows' END AS status, coalesce(max(n), 0) AS option_rows
+    FROM ({_MIS}) m LEFT JOIN (SELECT trade_date, count(*) AS n FROM own WHERE trade_date <> DATE '2024-01-04' GROUP BY trade_date) o ON o.trade_date = m.trade_date WHERE clean_close / raw_close > 1.5e0 GROUP BY m.trade_date""", "stocks", "own")
+def _ledger(spark, sf):
+    work = maintenance.work_list(_mismatches(spark, sf), spark.sql("SELECT DATE '2020-01-01' AS trade_date, 'X' AS symbols, 'failed' AS status"))
+    return maintenance.ledger_rows(work, view(spark, sf, "own").filter("trade_date != '2024-01-04'"))
+
+
+@query("snk13_copy_plan", "day:d source:s target:s action:s", f"""SELECT day, 'a/' || strftime(day, '%Y/%m/%Y-%m-%d') || '.csv.gz' AS source, 'b/' || strftime(day, '%Y/%m/%Y-%m-%d') || '.csv.gz' AS target, CASE WHEN day IN (SELECT trade_date FROM raw) THEN 'skip' ELSE 'copy' END AS action
+    FROM ({_CALENDAR}) WHERE is_business AND day BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'""", "raw")
+def _copies(spark, sf):
+    from .sources.sinks import copy_plan
+
+    return copy_plan(calendar.business_days(spark, "2024-01-01", "2024-01-31"), raw(spark, sf), "a/", "b/")
+
+
 # --- with the solver; results are checked by tests, since no SQL follows a bisection over trees ----------------------
 
 

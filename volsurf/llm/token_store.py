@@ -41,6 +41,8 @@ from .tokens import Encoder, with_end
 from .words import slices
 
 CHUNK, BLOCK, SEGMENT_IDS = 8, 512, 1 << 21
+#: Nothing else is held here, so more words and longer slices fit than elsewhere.
+KEEP, SLICE_BYTES = 400_000, 8 << 20
 _HEAD, _MAGIC = "<4sBB2xQI4x", b"DAC1"
 SEGMENT_SCHEMA = "part int, segment int, first_id long, doc_ids array<long>, n_docs long, n_tokens long, data binary"
 
@@ -134,7 +136,7 @@ def _segments(path: str, end_id: int, keeps_space: bool):
         from pyspark import TaskContext
 
         part, number = TaskContext.get().partitionId(), 0
-        encoder = Encoder(path, keeps_space)
+        encoder = Encoder(path, keeps_space, KEEP)
         held, docs, ends, n = [], [], [], 0
 
         def flush():
@@ -145,7 +147,7 @@ def _segments(path: str, end_id: int, keeps_space: bool):
             held, docs, ends, n, number = [], [], [], 0, number + 1
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], ["part", "segment", "first_id", "doc_ids", "n_docs", "n_tokens", "data"])
 
-        for batch in slices(batches):
+        for batch in slices(batches, length=SLICE_BYTES):
             ids, at = with_end(*encoder.encode(batch.column("text")), end_id)
             keys = batch.column("doc_id").to_pylist()
             first = 0

@@ -30,14 +30,14 @@ def give_back() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about SLICE_BYTES of text; a longer text comes alone."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", length: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``length`` bytes of text; a longer text comes alone."""
     for batch in batches:
         size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
         at = 0
         while at < batch.num_rows:
             base = int(size[at - 1]) if at else 0
-            end = max(at + 1, int(np.searchsorted(size, base + SLICE_BYTES, side="right")))
+            end = max(at + 1, int(np.searchsorted(size, base + length, side="right")))
             yield batch.slice(at, end - at)
             at = end
     give_back()

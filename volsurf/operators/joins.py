@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from ..schemas import RATE_LOOKBACK_DAYS
 
-#: Rows below which a small side is broadcast; beyond, the same join shuffles.
-BROADCAST_ROWS = 2_000_000
+#: Rows up to which a side is broadcast; beyond, the same join shuffles.
+BROADCAST_ROWS = 100_000
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df``, marked for broadcast if a count proves it small."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """``df``, read once and marked for broadcast if it proves small; else as it is."""
+    got = df.limit(rows + 1).toArrow()
+    return F.broadcast(df.sparkSession.createDataFrame(got, df.schema)) if got.num_rows <= rows else df
 
 
 def last_by(df: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -88,10 +89,22 @@ def snapshot_of(days: DataFrame, snapshots: DataFrame, strict: bool = True) -> D
 
 
 def active_asof(df: DataFrame, snapshots: DataFrame, symbol: str = "underlying", strict: bool = True) -> DataFrame:
-    """Rows whose symbol is in the snapshot that holds on their day."""
-    days = snapshot_of(df, snapshots, strict)
-    members = days.join(snapshots.select("snapshot_date", F.col("symbol").alias("_s")).distinct(), "snapshot_date").select(F.col("trade_date").alias("_d"), "_s")
-    return df.join(small(members), (F.col("trade_date") == F.col("_d")) & (F.col(symbol) == F.col("_s")), "left_semi")
+    """Rows whose symbol is in the latest snapshot on or before their day; with ``strict``, a day before the first is an error.
+
+    A snapshot holds until the next one, so this is a join by symbol and
+    interval: the rows are read once, and not for their days first.
+    """
+    dates = snapshots.select("snapshot_date").distinct()
+    # a row per snapshot
+    spans = dates.withColumn("_until", F.coalesce(F.lead("snapshot_date").over(Window.orderBy("snapshot_date")), F.lit("9999-12-31").cast("date")))
+    members = snapshots.select("snapshot_date", F.col("symbol").alias("_s")).distinct().join(F.broadcast(spans), "snapshot_date")
+    if strict:
+        first = dates.agg(F.min("snapshot_date")).first()[0]
+        early = F.lit(True) if first is None else F.col("trade_date") < F.lit(first)
+        message = F.concat(F.lit("no snapshot on or before "), F.col("trade_date").cast("string"))
+        df = df.filter(F.when(early, F.raise_error(message).cast("boolean")).otherwise(True))
+    held = (F.col("trade_date") >= F.col("snapshot_date")) & (F.col("trade_date") < F.col("_until"))
+    return df.join(small(members), (F.col(symbol) == F.col("_s")) & held, "left_semi")
 
 
 def with_alias_close(df: DataFrame, stocks: DataFrame, aliases: dict[str, str]) -> DataFrame:

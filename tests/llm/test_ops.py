@@ -380,6 +380,18 @@ def test_decontamination(spark):
     assert decontam.clean_documents(df, bench.limit(0)).count() == len(texts)
 
 
+def test_every_copy_among_many_items(spark):
+    vocabulary = [a + b + c for a in ("al", "be", "co", "du", "er") for b in ("fi", "go", "hu", "ix", "jo") for c in ("ka", "lo", "mi", "nu", "po", "ra")]
+    r = random.Random(5)
+    items = [" ".join(r.choices([w + k for w in vocabulary for k in "abcdef"], k=r.randint(15, 59))) for _ in range(1200)]
+    items.insert(decontam.RANK - 5, " ".join(f"zu{k}vo" for k in range(700)))  # has passages in two blocks
+    texts = [prose(40, k) + " " + item + " " + prose(40, k + 5000) for k, item in enumerate(items)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = docs_of(spark, enumerate([*texts, *(prose(50, k + 9000) for k in range(50))]))
+    got = [(r.doc_id, r.item_id) for r in decontam.contaminations(docs, bench).collect()]
+    assert len(set(got)) == len(got) and {(k, k) for k in range(len(items))} <= set(got) and max(got)[0] < len(items)
+
+
 def test_latent_space_spans_the_items(spark):
     rows = [[int(x) for x in np.random.default_rng(k).integers(0, 50, 12)] for k in range(20)]
     idf = np.linspace(0.5, 3, 50)

@@ -2,8 +2,8 @@
 
 Benchmark items, cut into passages of WINDOW words at most, make a TF-IDF
 matrix over the benchmark's own vocabulary; inverse document frequencies come
-from the whole corpus.  A distributed randomised SVD of that matrix gives the
-latent space.  Every document is cut into windows of WINDOW words that overlap
+from the whole corpus.  Distributed randomised SVDs of that matrix, one for
+each RANK passages and of full rank there, give the latent spaces.  Every document is cut into windows of WINDOW words that overlap
 by half; windows are folded into the latent space, and those with a cosine of
 COSINE or more to a passage are candidates.  A candidate is checked on the
 words themselves: the longest common subsequence of the item and the words
@@ -18,9 +18,11 @@ an item has no others.  Half-windows are folded in once and added up; a window
 is compared with the passages only if its share of benchmark words lets the
 cosine reach the threshold at all.
 
-Scale: items are a stated query set, handled in blocks of ITEMS; a block's
-vocabulary, weights and latent coordinates are bounded by it and go along with
-the tasks.  Per block there are two passes over the documents, both map-side:
+Scale: items are a stated query set, handled in groups of up to ITEMS items and
+SHARED blocks of RANK passages; a group's vocabulary, weights and latent
+coordinates are bounded by it and go along with the tasks.  A space has as many
+directions as its block has passages, so a copy keeps its whole cosine however
+many items there are.  Per group there are two passes over the documents, both map-side:
 one counts document frequencies (one small table per task, summed by term), one
 searches.  Documents are never shuffled, and all candidates are checked.
 
@@ -45,6 +47,7 @@ from .words import slices, split
 
 WINDOW, RANK, OVERSAMPLE, COSINE = 64, 256, 16, 0.2
 COPY, PARAPHRASE, ANSWER, LEAST, ITEMS = 0.8, 0.6, 5, 5, 5000
+SHARED = 16
 _TRIM = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])) + "«»“”‘’„…–—¿¡"
 _TERM_BLOCK = 64
 
@@ -59,7 +62,7 @@ def terms(text: str) -> list[str]:
 
 
 class Benchmark(NamedTuple):
-    """A block of items: their ids, term sequences, and the sorted vocabulary."""
+    """A group of items: their ids, term sequences, and the sorted vocabulary."""
 
     ids: list
     sequences: list[list[int]]
@@ -125,6 +128,40 @@ def passages(sequence: list[int]) -> list[list[int]]:
     return [sequence[at : at + WINDOW] for at in range(0, len(sequence) - WINDOW // 2, WINDOW // 2)]
 
 
+class Block(NamedTuple):
+    """Passages of a group: the item of each, the terms they use, and the passages as numbers of those."""
+
+    items: np.ndarray
+    terms: np.ndarray
+    passages: list[list[int]]
+
+
+def blocks_of(sequences: list[list[int]]) -> list[Block]:
+    """All passages of all items, RANK to a block; a long item can fill several."""
+    cut = [(k, p) for k, s in enumerate(sequences) for p in passages(s)]
+    out = []
+    for at in range(0, len(cut), RANK):
+        items, part = zip(*cut[at : at + RANK], strict=True)
+        own = np.unique(np.concatenate(part))
+        out.append(Block(np.array(items, np.int64), own, [np.searchsorted(own, p).tolist() for p in part]))
+    return out
+
+
+def groups_of(rows: list[tuple]) -> Iterator[Benchmark]:
+    """The items in groups of at most SHARED blocks of passages; a longer item comes alone."""
+    part: list[tuple] = []
+    size = 0
+    for row in rows:
+        n = len(passages(terms(row[1] or "")))
+        if part and size + n > SHARED * RANK:
+            yield block_of(part)
+            part, size = [], 0
+        part.append(row)
+        size += n
+    if part:
+        yield block_of(part)
+
+
 def _times(rows: DataFrame, idf: np.ndarray, right: np.ndarray) -> np.ndarray:
     """AᵀA·right for the TF-IDF matrix A of passages (column ``terms``, one row each), summed over partitions by blocks of terms."""
     n, k = right.shape
@@ -172,20 +209,28 @@ def weights(n_docs: int, df: np.ndarray, sequences: list[list[int]]) -> np.ndarr
     return np.append(idf, np.log(2 * n_docs + 1))
 
 
-class Finder:
-    """Finds the items of a block in documents."""
+class Latent:
+    """A block's passages in their latent space, and what the group's terms are there."""
 
-    def __init__(self, block: Benchmark, idf: np.ndarray, space: np.ndarray):
-        self.block, self.words, self.idf = block, Words(block.vocabulary), idf
-        self.space = (space * idf[:-1, None]).astype(np.float32)
-        self.item_of = np.array([k for k, s in enumerate(block.sequences) for _ in passages(s)], np.int64)
+    def __init__(self, block: Block, idf: np.ndarray, space: np.ndarray):
+        own = idf[block.terms]
+        self.item_of = block.items
+        self.number = np.full(len(idf), -1, np.int32)  # the last place is that of foreign words, -1
+        self.number[block.terms] = np.arange(len(block.terms), dtype=np.int32)
+        self.space = (space * own[:, None]).astype(np.float32)
         vectors = []
-        for s in block.sequences:
-            for p in passages(s):
-                at, tf = np.unique(p, return_counts=True)
-                x = tf * idf[at]
-                vectors.append((x @ space[at]) / (np.linalg.norm(x) or 1))
+        for p in block.passages:
+            at, tf = np.unique(p, return_counts=True)
+            x = tf * own[at]
+            vectors.append((x @ space[at]) / (np.linalg.norm(x) or 1))
         self.latent = np.array(vectors, np.float32).T
+
+
+class Finder:
+    """Finds the items of a group in documents."""
+
+    def __init__(self, block: Benchmark, idf: np.ndarray, latents: list[Latent]):
+        self.block, self.words, self.idf, self.latents = block, Words(block.vocabulary), idf, latents
         self.places = []
         for s in block.sequences:
             where: dict[int, int] = {}
@@ -193,8 +238,8 @@ class Finder:
                 where[t] = where.get(t, 0) | 1 << j
             self.places.append(where)
 
-    def _candidates(self, number: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
-        """(row, start word, passage, cosine) of windows near a passage.
+    def _candidates(self, latent: Latent, number: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
+        """(row, start word, passage, cosine) of windows near a passage of a block.
 
         The cosine counts each occurrence of a repeated word as a dimension of
         its own in the window's length, so it is never below the usual one.
@@ -207,6 +252,7 @@ class Finder:
         start = offsets[:-1][row] + (np.arange(len(row)) - np.repeat(np.cumsum(n_blocks) - n_blocks, n_blocks)) * half
         weight = self.idf[number]
         mass = weight**2
+        number = latent.number[number]
         inner = np.add.reduceat(np.where(number >= 0, mass, 0), start)
         total = np.add.reduceat(mass, start)
         heavy = np.nonzero((number >= 0) & (weight > 0))[0]
@@ -215,12 +261,12 @@ class Finder:
         for lo in range(0, len(row), 4096):
             hi = min(lo + 4096, len(row))
             end = min(hi + 1, len(row))  # the next block completes the last window
-            z = np.zeros((end - lo, self.space.shape[1]), np.float32)
+            z = np.zeros((end - lo, latent.space.shape[1]), np.float32)
             a, b = np.searchsorted(block_at, [lo, end])
             if a < b:
                 own = block_at[a:b]
                 edge = np.nonzero(np.diff(own, prepend=-1))[0]
-                z[own[edge] - lo] = np.add.reduceat(self.space[number[heavy[a:b]]], edge, axis=0)
+                z[own[edge] - lo] = np.add.reduceat(latent.space[number[heavy[a:b]]], edge, axis=0)
             joined = np.zeros(hi - lo, bool)
             joined[: end - lo - 1] = same[lo : end - 1]
             k = np.nonzero(joined)[0]
@@ -232,7 +278,7 @@ class Finder:
             window = z[some]
             more = joined[some]
             window[more] += z[some[more] + 1]
-            cosine = (window @ self.latent) / np.sqrt(np.maximum(w_all[some], 1e-12)).astype(np.float32)[:, None]
+            cosine = (window @ latent.latent) / np.sqrt(np.maximum(w_all[some], 1e-12)).astype(np.float32)[:, None]
             for w, p in zip(*(x.tolist() for x in np.nonzero(cosine >= COSINE)), strict=True):
                 at = lo + int(some[w])
                 yield int(row[at]), int(start[at]), p, float(cosine[w, p])
@@ -241,8 +287,8 @@ class Finder:
         """(row, item, cosine, similarity, answer) of every item found in the texts."""
         number, offsets = self.words.read(texts)
         best: dict[tuple[int, int], tuple[float, float, bool]] = {}
-        for row, start, passage, cosine in self._candidates(number, offsets):
-            item = int(self.item_of[passage])
+        near = ((int(x.item_of[p]), row, start, cosine) for x in self.latents for row, start, p, cosine in self._candidates(x, number, offsets))
+        for item, row, start, cosine in near:
             around = len(self.block.sequences[item])
             region = number[max(offsets[row], start - around) : min(offsets[row + 1], start + WINDOW + around)]
             sim, answer = self._check(item, region)
@@ -260,19 +306,21 @@ class Finder:
 
 
 def finders(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> Iterator[Finder]:
-    """A finder for each block of items; reads the documents once per block for their frequencies."""
+    """A finder for each group of items; reads the documents once per group for their frequencies."""
     spark = docs.sparkSession
     numbered = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct().orderBy("item_id", "text")
     n = numbered.count()
     for at in range(0, n, ITEMS):
-        block = block_of([tuple(r) for r in numbered.offset(at).limit(ITEMS).collect()])
-        if not block.ids:
-            continue
-        n_docs, df = document_frequencies(docs, block.vocabulary, text_col)
-        cut = [p for s in block.sequences for p in passages(s)]
-        rows = spark.createDataFrame(pa.table({"terms": pa.array(cut, pa.list_(pa.int32()))})).repartition(max(1, len(cut) // 1000))
-        idf = weights(n_docs, df, block.sequences)
-        yield Finder(block, idf, latent_space(rows, len(cut), idf[:-1]))
+        for group in groups_of([tuple(r) for r in numbered.offset(at).limit(ITEMS).collect()]):
+            if not group.ids:
+                continue
+            n_docs, df = document_frequencies(docs, group.vocabulary, text_col)
+            idf = weights(n_docs, df, group.sequences)
+            latents = []
+            for block in blocks_of(group.sequences):
+                rows = spark.createDataFrame(pa.table({"terms": pa.array(block.passages, pa.list_(pa.int32()))})).coalesce(1)
+                latents.append(Latent(block, idf, latent_space(rows, len(block.passages), idf[block.terms])))
+            yield Finder(group, idf, latents)
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -392,6 +392,15 @@ def test_every_copy_among_many_items(spark):
     assert len(set(got)) == len(got) and {(k, k) for k in range(len(items))} <= set(got) and max(got)[0] < len(items)
 
 
+def test_foreign_words_hide_no_copy():
+    short, block = " ".join(f"zu{k}vo" for k in range(15)), decontam.block_of([(0, " ".join(f"zu{k}vo" for k in range(15))), (1, prose(40, 1))])
+    text = pa.array([" ".join(f"x{k}" for k in range(40)) + " " + short + " " + " ".join(f"y{k}" for k in range(90))])
+    for n_docs in (10**3, 10**9):
+        idf = decontam.weights(n_docs, np.full(len(block.vocabulary), n_docs // 3), block.sequences)
+        latents = [decontam.Latent(b, idf, np.eye(len(b.terms))) for b in decontam.blocks_of(block.sequences)]
+        assert [(d, i, s) for d, i, _, s, _ in decontam.Finder(block, idf, latents).find(text)] == [(0, 0, 1.0)]
+
+
 def test_latent_space_spans_the_items(spark):
     rows = [[int(x) for x in np.random.default_rng(k).integers(0, 50, 12)] for k in range(20)]
     idf = np.linspace(0.5, 3, 50)

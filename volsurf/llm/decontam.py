@@ -4,24 +4,23 @@ Benchmark items, cut into passages of WINDOW words at most, make a TF-IDF
 matrix over the benchmark's own vocabulary; inverse document frequencies come
 from the whole corpus.  Distributed randomised SVDs of that matrix, one for
 each RANK passages and of full rank there, give the latent spaces.  Every document is cut into windows of WINDOW words that overlap
-by half; windows are folded into the latent space, and those with a cosine of
-COSINE or more to a passage are candidates.  A candidate is checked on the
+by half; windows are folded into the latent space, and those that hold SHARE or more of
+a passage there are candidates.  A candidate is checked on the
 words themselves: the longest common subsequence of the item and the words
 around the window must hold COPY of the item's words, or PARAPHRASE of them
 while the item's answer (the last ANSWER words) stands there word for word.
 
 The space is that of the benchmark's passages, not the corpus's: a query has
 no part outside of it, so no rank is lost to directions that no query uses.
-Words that no item has count towards a window's length with the corpus's
-largest weight; words in more than half of all documents weigh nothing, unless
-an item has no others.  Half-windows are folded in once and added up; a window
-is compared with the passages only if its share of benchmark words lets the
-cosine reach the threshold at all.
+What else a window holds doesn't count: words that no item has, whose weight
+would grow with the corpus, leave a copy's share of its passage at 1.  Words in
+more than half of all documents weigh nothing, unless an item has no others.
+Half-windows are folded in once and added up.
 
 Scale: items are a stated query set, handled in groups of up to ITEMS items and
 SHARED blocks of RANK passages; a group's vocabulary, weights and latent
 coordinates are bounded by it and go along with the tasks.  A space has as many
-directions as its block has passages, so a copy keeps its whole cosine however
+directions as its block has passages, so a copy keeps its whole share however
 many items there are.  Per group there are two passes over the documents, both map-side:
 one counts document frequencies (one small table per task, summed by term), one
 searches.  Documents are never shuffled, and all candidates are checked.
@@ -45,7 +44,7 @@ from pyspark.sql import functions as F
 from . import lcs
 from .words import slices, split
 
-WINDOW, RANK, OVERSAMPLE, COSINE = 64, 256, 16, 0.2
+WINDOW, RANK, OVERSAMPLE, SHARE = 64, 256, 16, 0.1
 COPY, PARAPHRASE, ANSWER, LEAST, ITEMS = 0.8, 0.6, 5, 5, 5000
 SHARED = 16
 _TRIM = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])) + "«»“”‘’„…–—¿¡"
@@ -201,12 +200,12 @@ def latent_space(rows: DataFrame, n_rows: int, idf: np.ndarray, rank: int = RANK
 
 
 def weights(n_docs: int, df: np.ndarray, sequences: list[list[int]]) -> np.ndarray:
-    """Inverse document frequencies of the terms, then that of any word the benchmark lacks."""
+    """Inverse document frequencies of the terms, then the weight of any word the benchmark lacks: none."""
     idf = np.maximum(0.0, np.log((n_docs - df + 0.5) / (df + 0.5)))
     for s in sequences:
         if not idf[s].any():
             idf[s] = 1e-3
-    return np.append(idf, np.log(2 * n_docs + 1))
+    return np.append(idf, 0.0)
 
 
 class Latent:
@@ -222,8 +221,9 @@ class Latent:
         for p in block.passages:
             at, tf = np.unique(p, return_counts=True)
             x = tf * own[at]
-            vectors.append((x @ space[at]) / (np.linalg.norm(x) or 1))
+            vectors.append(x @ space[at])
         self.latent = np.array(vectors, np.float32).T
+        self.length = np.maximum(np.linalg.norm(self.latent, axis=0), 1e-12)
 
 
 class Finder:
@@ -239,10 +239,12 @@ class Finder:
             self.places.append(where)
 
     def _candidates(self, latent: Latent, number: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
-        """(row, start word, passage, cosine) of windows near a passage of a block.
+        """(row, start word, passage, cosine) of windows that hold SHARE of a passage of a block.
 
-        The cosine counts each occurrence of a repeated word as a dimension of
-        its own in the window's length, so it is never below the usual one.
+        The share is the window's part along the passage: no other word of the
+        window bears on it.  The cosine is over the block's words, and counts
+        each occurrence of a repeated word as a dimension of its own in the
+        window's length, so it is never below the usual one.
         """
         half = WINDOW // 2
         n_blocks = -(-np.diff(offsets) // half)
@@ -251,10 +253,8 @@ class Finder:
             return
         start = offsets[:-1][row] + (np.arange(len(row)) - np.repeat(np.cumsum(n_blocks) - n_blocks, n_blocks)) * half
         weight = self.idf[number]
-        mass = weight**2
         number = latent.number[number]
-        inner = np.add.reduceat(np.where(number >= 0, mass, 0), start)
-        total = np.add.reduceat(mass, start)
+        inner = np.add.reduceat(np.where(number >= 0, weight**2, 0), start)
         heavy = np.nonzero((number >= 0) & (weight > 0))[0]
         block_at = np.searchsorted(start, heavy, side="right") - 1
         same, first = row[1:] == row[:-1], np.append(True, row[1:] != row[:-1])
@@ -270,18 +270,17 @@ class Finder:
             joined = np.zeros(hi - lo, bool)
             joined[: end - lo - 1] = same[lo : end - 1]
             k = np.nonzero(joined)[0]
-            w_in, w_all = inner[lo:hi].copy(), total[lo:hi].copy()
+            w_in = inner[lo:hi].copy()
             w_in[k] += inner[lo:end][k + 1]
-            w_all[k] += total[lo:end][k + 1]
             # a document's last block is part of the window before it, unless it is the first too
-            some = np.nonzero((w_in >= COSINE**2 * w_all) & (joined | first[lo:hi]))[0]
+            some = np.nonzero((w_in > 0) & (joined | first[lo:hi]))[0]
             window = z[some]
             more = joined[some]
             window[more] += z[some[more] + 1]
-            cosine = (window @ latent.latent) / np.sqrt(np.maximum(w_all[some], 1e-12)).astype(np.float32)[:, None]
-            for w, p in zip(*(x.tolist() for x in np.nonzero(cosine >= COSINE)), strict=True):
+            along = (window @ latent.latent) / latent.length
+            for w, p in zip(*(x.tolist() for x in np.nonzero(along >= SHARE * latent.length)), strict=True):
                 at = lo + int(some[w])
-                yield int(row[at]), int(start[at]), p, float(cosine[w, p])
+                yield int(row[at]), int(start[at]), p, float(along[w, p]) / float(w_in[some[w]]) ** 0.5
 
     def find(self, texts: pa.Array) -> list[tuple[int, int, float, float, bool]]:
         """(row, item, cosine, similarity, answer) of every item found in the texts."""
@@ -299,6 +298,8 @@ class Finder:
     def _check(self, item: int, region: np.ndarray) -> tuple[float, bool]:
         sequence, where = self.block.sequences[item], self.places[item]
         own = [t for t in region.tolist() if t in where]
+        if len(own) < PARAPHRASE * len(sequence):
+            return 0.0, False
         sim = lcs.length(own, where, len(sequence)) / len(sequence)
         answer = sequence[-ANSWER:]
         text = region.tolist()

@@ -170,6 +170,14 @@ def test_blocks():
     assert html_text.lines("<main><article class='comment'>no</article><p>yes</p></main>") == [(True, "yes")]
 
 
+@pytest.mark.parametrize("wrapper", ["class='layout has-sidebar'", "id='page-no-ads'", "class='sidebar'", "class='layout menu' role='search'"])
+def test_names_drop_no_article(wrapper):
+    article = "<article><div class='entry-header'><h1>head</h1></div><div class='header'>sub</div><p>text</p><div class='ad'>buy</div></article>"
+    assert html_text.visible(f"<body><div {wrapper}><div class='ad'>x</div>{article}<p>out</p></div></body>") == "head\nsub\ntext"
+    assert html_text.visible(f"<main><div {wrapper}>{article}</div></main>") == "head\nsub\ntext"
+    assert html_text.visible(f"<body><form {wrapper}><main><p>text</p></main></form><div class='related'><article>more</article></div>") == "text"
+
+
 def test_differencing(spark):
     menu = "<p>Menu</p><p>Shop</p>"
     bare = lambda t: f"<html><body>{menu}<p>{t}</p><p>Imprint</p></body></html>"

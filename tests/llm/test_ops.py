@@ -84,8 +84,6 @@ def test_simhash(spark):
         if i is not None:
             least[to[f]] = min(least[to[f]], i)
     assert sorted((str(r.doc_id), r.component_id) for r in got) == sorted((str(i), least[to[f]]) for i, f in fps)
-    kept = [r.doc_id for r in simhash.representatives(docs_of(spark, texts)).collect()]
-    assert sorted(k for k in kept if k is not None) == sorted(set(least.values())) and kept.count(None) == 1
 
 
 def test_tiles_find_every_link(spark):
@@ -111,7 +109,7 @@ def test_forest_of_dense_tiles():
 
 
 def test_simhash_empty(spark):
-    assert simhash.near_duplicates(docs_of(spark, [])).count() == 0 and simhash.representatives(docs_of(spark, [])).count() == 0
+    assert simhash.near_duplicates(docs_of(spark, [])).count() == 0
 
 
 # --- 2 language ---

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from volsurf.llm import decontam, langid, packing, simhash, toxicity
+from volsurf.llm import decontam, langid, near_copies, packing, toxicity
 from volsurf.llm.common import materialize, table
 from volsurf.llm.queries import BYTE_TOKENIZER, tokenizer_path
 
@@ -25,8 +25,8 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return simhash.representatives(docs)
+    """One document of each group of near copies: five-word shingles, similarity 0.8."""
+    return near_copies.representatives(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,13 +14,18 @@ evaluated once per task however often it occurs.
 
 A linear SVM is trained on sentences: the worst of each toxic document is
 positive, the 2 * HARD worst of each clean one are negative, and which are
-worst is settled in turns.  A logistic function of a document's worst
-sentence, its worst word and how much and how densely words exceed the margin
-of a typical insult gives the score.
-
-The classifier is fitted on a bounded sample of labelled rows: at most
-SAMPLE_TOXIC toxic and SAMPLE_CLEAN clean ones, in the order of a digest of
-the id.  Scoring reads every whole text, map-side only.
+worst is settled in turns, over all sentences of all sampled documents.  A
+logistic function of a document's worst sentence, its worst word and how much
+and how densely words exceed the margin of a typical insult gives the score.
+Its weights are never negative, and it is fitted on features of documents that
+the SVM behind them has not seen (two further fits, each on one half).
+
+The classifier is fitted on a bounded sample of labelled rows that have a
+document: at most SAMPLE_TOXIC toxic and SAMPLE_CLEAN clean ones, in the order
+of a digest of the id; the lesser text of a repeated id.  Texts are read on the
+executors, whole; per turn the driver gets kernel values to LANDMARKS landmarks
+of at most SAMPLE_TOXIC + 2 * HARD * SAMPLE_CLEAN sentences a fit.  Scoring
+reads every whole text, map-side only.
 
 Edge cases: null and empty texts have the score of a text without any word.
 Null ids are scored, and are never held out.  Labels that are null or lack a
@@ -41,10 +46,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import WordTable, give_back, slices, split
+from .common import materialize
+from .words import WordTable, slices, split
 
 ORDER, GAPS, DECAY, LANDMARKS, RIDGE = 4, 2, 0.5, 128, 1e-3
-SAMPLE_TOXIC, SAMPLE_CLEAN, CANDIDATES = 1000, 2000, 8
+SAMPLE_TOXIC, SAMPLE_CLEAN, TURNS = 1000, 2000, 3
 WINDOW, HARD, THRESHOLD, FOLDS, HELD_FOLD = 32, 3, 0.3, 4, 2
 _FILTER_BITS = 22
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -194,18 +200,6 @@ def document_features(margins: np.ndarray, ends: np.ndarray, offsets: np.ndarray
     return np.clip(out, -20, 20)
 
 
-def _landmarks(names: list[str], bad: np.ndarray, good: np.ndarray, n_bad: int, n_good: int) -> list[str]:
-    """Words that stand out in toxic documents, then frequent words of clean ones, 3 to 1; bad and good are document counts."""
-    fair = np.fromiter((len(n) > 2 for n in names), bool, len(names))
-    z = (bad / n_bad - good / n_good) / np.sqrt((bad + good + 1) / (n_bad + n_good) * (1 / n_bad + 1 / n_good))
-    z[~fair | (bad < 2)] = -np.inf
-    top = lambda score, n: sorted(np.argsort(-score, kind="stable")[: 4 * n].tolist(), key=lambda k: (-score[k], names[k]))[:n]
-    worst = [k for k in top(z, LANDMARKS * 3 // 4) if z[k] > 0]
-    rest = np.where(fair, good.astype(float), -1.0)
-    rest[worst] = -1.0
-    return [names[k] for k in worst] + [names[k] for k in top(rest, LANDMARKS // 4) if rest[k] > 0]
-
-
 def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, steps: int = 300) -> tuple[np.ndarray, float]:
     """Squared-hinge linear SVM by accelerated gradient; the bias is not regularized."""
     x1 = np.hstack([x, np.ones((len(x), 1))])
@@ -218,87 +212,21 @@ def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, steps: int = 300) -> tu
     return w[:-1], float(w[-1])
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
-    """Weighted ridge logistic regression by Newton steps; weights, then the intercept."""
-    x1, w = np.hstack([x, np.ones((len(x), 1))]), np.zeros(x.shape[1] + 1)
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x1 @ w, -30, 30)))
-        h = x1.T @ (x1 * (cost * p * (1 - p))[:, None]) + np.diag(np.r_[np.full(x.shape[1], 1e-2), 1e-6])
-        w = w - np.linalg.solve(h, x1.T @ (cost * (p - y)) + np.r_[1e-2 * w[:-1], 0])
-    return w
-
-
-def train(texts: list[str], toxic: list[int], share_toxic: float, rounds: int = 3) -> Model | None:
-    """A model of labelled texts, calibrated for documents of which ``share_toxic`` are toxic.
-
-    Of each document CANDIDATES sentences take part: half of them those with the
-    words that stand out most, half spread evenly.
-    """
-    y = np.array(toxic, bool)
-    if not y.any() or y.all():
-        return None
-    column = pa.array(texts, pa.string())
-    words, index, offsets = split(joined_spaced(column))
-    listed = words.to_pylist()
-    cores = [normalize(w) for w in listed]
-    ends = np.array([w[-1] in ".!?" for w in listed], bool)[index]
-    number = {c: k for k, c in enumerate(dict.fromkeys(cores))}
-    names = list(number)
-    word_at = np.fromiter(map(number.__getitem__, cores), np.int32, len(cores))[index]
-    del listed, cores
-    doc = np.repeat(np.arange(len(y)), np.diff(offsets))
-    pairs = np.unique(doc * len(names) + word_at)
-    counts = [np.bincount(pairs[m] % len(names), minlength=len(names)) for m in (y[pairs // len(names)], ~y[pairs // len(names)])]
-    landmarks = _landmarks(names, *counts, int(y.sum()), int((~y).sum()))
-    kernel = Kernel(landmarks)
-    gram = kernel(landmarks).astype(float)
-    value, vector = np.linalg.eigh((gram + gram.T) / 2)
-    nystrom = (vector / np.sqrt(np.maximum(value, 0) + RIDGE)) @ vector.T
-
-    starts = sentence_starts(ends, offsets)
-    stops = np.r_[starts[1:], offsets[-1]]
-    owner = np.searchsorted(offsets, starts, side="right") - 1
-    guess = np.zeros(len(names), np.float32)
-    for k, w in enumerate(landmarks[: LANDMARKS * 3 // 4]):
-        guess[number[w]] = len(landmarks) - k
-    margin = np.maximum.reduceat(guess[word_at], starts) if len(starts) else guess[:0]
-    first = np.searchsorted(owner, owner)  # where each sentence's document begins
-    order = np.lexsort((-margin, owner))
-    worst = order[(np.arange(len(order)) - first[order]) < CANDIDATES // 2]
-    total = np.searchsorted(owner, owner, side="right") - first
-    spread = np.nonzero((np.arange(len(owner)) - first) % np.maximum(1, total // (CANDIDATES // 2)) == 0)[0]
-    some = np.unique(np.r_[worst, spread])
-    starts, stops, owner, margin = starts[some], stops[some], owner[some], margin[some]
-
-    sizes = stops - starts
-    edge = np.cumsum(sizes) - sizes
-    flat = word_at[np.repeat(starts - edge, sizes) + np.arange(sizes.sum())]
-    used, flat = np.unique(flat, return_inverse=True)
-    sums = np.zeros((len(starts), len(landmarks)), np.float32)
-    near = kernel([names[k] for k in used])
-    for lo in range(0, len(starts), 4096):
-        hi = min(lo + 4096, len(starts))
-        sums[lo:hi] = np.add.reduceat(near[flat[edge[lo] : edge[hi - 1] + sizes[hi - 1]]], edge[lo:hi] - edge[lo], axis=0)
-    sentence = sums.astype(float) @ nystrom
-    del near, sums
-    for _ in range(rounds):
-        order = np.lexsort((-margin, owner))  # a document's sentences from the worst one
-        rank = np.arange(len(order)) - np.searchsorted(owner, owner[order])
-        picked = order[np.where(y[owner[order]], rank < 1, rank < 2 * HARD)]
-        label = np.where(y[owner[picked]], 1.0, -1.0)
-        cost = np.where(label > 0, 0.5 / max(1, (label > 0).sum()), 0.5 / max(1, (label < 0).sum()))
-        w, b = _svm(sentence[picked], label, cost)
-        margin = sentence @ w + b
-    weights = (nystrom @ w).astype(np.float32)
-    insults = kernel(landmarks[: LANDMARKS // 4]) @ weights
-    knee = max(1e-6, 0.5 * float(np.median(insults)))
-    model = Model(landmarks, weights, b, knee, np.zeros(5))
-    scorer = Scorer(model)
-    x = np.concatenate([scorer.features(column[lo : lo + 500]) for lo in range(0, len(y), 500)])
-    prior = np.where(y, share_toxic / y.mean(), (1 - share_toxic) / (1 - y.mean()))
-    del scorer, sentence, pairs, word_at, number, names
-    give_back()
-    return model._replace(link=_logistic(x, y.astype(float), prior))
+def _logistic(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 0.5) -> np.ndarray:
+    """Weighted ridge logistic regression with weights of 0 or more, by Newton steps; weights, then the intercept."""
+    kept = np.arange(x.shape[1])
+    while True:
+        x1, w = np.hstack([x[:, kept], np.ones((len(x), 1))]), np.zeros(len(kept) + 1)
+        penalty = np.r_[np.full(len(kept), ridge), 1e-6]
+        for _ in range(30):
+            p = 1 / (1 + np.exp(-np.clip(x1 @ w, -30, 30)))
+            h = x1.T @ (x1 * (cost * p * (1 - p))[:, None]) + np.diag(penalty)
+            w = w - np.linalg.solve(h, x1.T @ (cost * (p - y)) + penalty * w)
+        if not len(kept) or w[:-1].min() >= 0:
+            out = np.zeros(x.shape[1] + 1)
+            out[kept], out[-1] = w[:-1], w[-1]
+            return out
+        kept = np.delete(kept, int(np.argmin(w[:-1])))
 
 
 def fold(id_column):
@@ -306,18 +234,170 @@ def fold(id_column):
     return F.crc32(id_column.cast("string").cast("binary")) % FOLDS
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """Trains on labelled rows outside the held-out fold; a bounded sample of them comes to the driver."""
+def sampled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, int], dict[int, int]] | None:
+    """The training rows (doc_id, half, toxic, text), their counts by label, and the counts of all labelled documents."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
     known = known.filter(fold(F.col("doc_id")) != HELD_FOLD).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    known = materialize(known.join(texts.select("doc_id"), "doc_id", "left_semi"), "labelled")
     counts = dict(known.groupBy("toxic").count().collect())
     if not counts.get(0) or not counts.get(1):
         return None
     some = [known.filter(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for t, n in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN))]
-    sample = some[0].unionByName(some[1])
     # at most SAMPLE_TOXIC + SAMPLE_CLEAN rows of two numbers
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id").select("text", "toxic").toArrow()
-    return train([t or "" for t in rows.column("text").to_pylist()], rows.column("toxic").to_pylist(), counts[1] / (counts[0] + counts[1]))
+    drawn = texts.join(F.broadcast(some[0].unionByName(some[1])), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    half = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(2)).cast("int")
+    rows = materialize(drawn.select("doc_id", half.alias("half"), "toxic", "text").repartition(12, "doc_id"), "training")
+    return rows, {1: min(counts[1], SAMPLE_TOXIC), 0: min(counts[0], SAMPLE_CLEAN)}, counts
+
+
+def landmarks(rows: DataFrame, n_bad: int, n_good: int, flush: int = 500_000) -> list[str]:
+    """Words that stand out in toxic documents, then frequent words of clean ones, 3 to 1 at most."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, list[int]] = {}
+
+        def out() -> pa.RecordBatch:
+            bad, good = zip(*seen.values(), strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(bad, pa.int64()), pa.array(good, pa.int64())], ["word", "bad", "good"])
+
+        for batch in slices(batches):
+            words, index, offsets = split(joined_spaced(batch.column("text")))
+            cores = [normalize(w) for w in words.to_pylist()]
+            for k, toxic in enumerate(batch.column("toxic").to_pylist()):
+                for core in {cores[i] for i in np.unique(index[offsets[k] : offsets[k + 1]]).tolist()}:
+                    seen.setdefault(core, [0, 0])[not toxic] += 1
+            if len(seen) > flush:
+                yield out()
+                seen.clear()
+        if seen:
+            yield out()
+
+    found = rows.select("text", "toxic").mapInArrow(count, "word string, bad long, good long").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    found = materialize(found.filter(F.length("word") > 2), "words")
+    spread = F.sqrt((F.col("bad") + F.col("good") + 1) / (n_bad + n_good) * (1 / n_bad + 1 / n_good))
+    ranked = found.withColumn("z", (F.col("bad") / n_bad - F.col("good") / n_good) / spread)
+    worst = [r.word for r in ranked.filter("bad >= 2 and z > 0").orderBy(F.desc("z"), "word").limit(LANDMARKS * 3 // 4).collect()]
+    rest = [r.word for r in ranked.filter("good > 0").orderBy(F.desc("good"), "word").limit(LANDMARKS).collect()]
+    return worst + [w for w in rest if w not in worst][: LANDMARKS // 4]
+
+
+def _margins(kernel: Kernel, weights: np.ndarray, words: list[str]) -> np.ndarray:
+    """Margins (words x fits) of words as they stand in texts."""
+    cores = [normalize(w) for w in words]
+    number = {c: k for k, c in enumerate(dict.fromkeys(cores))}
+    distinct = list(number)
+    value = np.zeros((len(distinct), weights.shape[1]))
+    for lo in range(0, len(distinct), 20_000):
+        value[lo : lo + 20_000] = kernel(distinct[lo : lo + 20_000]) @ weights
+    return value[[number[c] for c in cores]].reshape(len(words), -1)
+
+
+def _worst_sentences(rows: DataFrame, kernel: Kernel, weights: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(fit, label, kernel sums) of the sentences that train each fit: all sentences of all rows compete.
+
+    Fit 0 has all rows, fits 1 and 2 one half each.  Without weights a sentence
+    is as bad as the first landmark in it.
+    """
+    names = kernel.landmarks
+    guess = {w: float(len(names) - k) for k, w in enumerate(names[: LANDMARKS * 3 // 4])}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            words, index, offsets = split(joined_spaced(batch.column("text")))
+            listed = words.to_pylist()
+            ends = np.array([w[-1] in ".!?" for w in listed], bool)[index]
+            starts = sentence_starts(ends, offsets)
+            if not len(starts):
+                continue
+            first = np.searchsorted(starts, offsets[:-1])
+            stops = np.r_[starts[1:], offsets[-1]]
+            last = np.r_[first[1:], len(starts)]
+            if weights is None:
+                value = np.array([[guess.get(normalize(w), 0.0)] for w in listed])
+                margin = np.maximum.reduceat(value[index], starts)[:, [0, 0, 0]]
+            else:
+                margin = np.add.reduceat(_margins(kernel, weights, listed)[index], starts)
+            picks = []
+            for k, (doc, half, toxic) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "half", "toxic")), strict=True)):
+                for fit in (0, 1 + half):
+                    own = margin[first[k] : last[k], fit]
+                    picks += [(doc, fit, toxic, int(first[k] + s)) for s in np.argsort(-own, kind="stable")[: 1 if toxic else 2 * HARD]]
+            used = sorted({p[3] for p in picks})
+            spots = [index[starts[s] : stops[s]] for s in used]
+            some, flat = np.unique(np.concatenate(spots), return_inverse=True)
+            near = kernel([normalize(listed[k]) for k in some.tolist()])
+            edge = np.cumsum([0, *map(len, spots)])[:-1]
+            sums = dict(zip(used, np.add.reduceat(near[flat], edge), strict=True))
+            columns = [pa.array([p[c] for p in picks], t) for c, t in ((0, pa.int64()), (1, pa.int32()), (2, pa.int32()), (3, pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([sums[p[3]].astype(np.float32).tobytes() for p in picks], pa.binary())], ["doc_id", "fit", "toxic", "at", "x"])
+
+    found = rows.mapInArrow(run, "doc_id long, fit int, toxic int, at long, x binary").orderBy("fit", "doc_id", "at", "x").toArrow()
+    x = np.frombuffer(b"".join(found.column("x").to_pylist()), np.float32).reshape(-1, len(names)).astype(float)
+    return found.column("fit").to_numpy(), found.column("toxic").to_numpy(), x
+
+
+def _worst_words(rows: DataFrame, kernel: Kernel, weights: np.ndarray) -> np.ndarray:
+    """Per toxic row: the margin of its worst word under each fit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            words, index, offsets = split(joined_spaced(batch.column("text")))
+            full = offsets[1:] > offsets[:-1]
+            if full.any():
+                top = np.maximum.reduceat(_margins(kernel, weights, words.to_pylist())[index], offsets[:-1][full])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in top.T], ["m0", "m1", "m2"])
+
+    return rows.filter("toxic = 1").select("text").mapInArrow(run, "m0 double, m1 double, m2 double").toPandas().to_numpy().reshape(-1, 3)
+
+
+def train(rows: DataFrame, sizes: dict[int, int], share_toxic: float) -> Model:
+    """A model of the rows (doc_id, half, toxic, text), calibrated for documents of which ``share_toxic`` are toxic."""
+    names = landmarks(rows, sizes[1], sizes[0])
+    kernel = Kernel(names)
+    gram = kernel(names).astype(float)
+    value, vector = np.linalg.eigh((gram + gram.T) / 2)
+    nystrom = (vector / np.sqrt(np.maximum(value, 0) + RIDGE)) @ vector.T
+    weights, bias = None, np.zeros(3)
+    for _ in range(TURNS):
+        fit, toxic, x = _worst_sentences(rows, kernel, weights)
+        found = np.zeros((len(names), 3))
+        for k in range(3):
+            own = fit == k
+            label = np.where(toxic[own] > 0, 1.0, -1.0)
+            cost = np.where(label > 0, 0.5 / max(1, (label > 0).sum()), 0.5 / max(1, (label < 0).sum()))
+            if own.any():
+                w, bias[k] = _svm(x[own] @ nystrom, label, cost)
+                found[:, k] = nystrom @ w
+        weights = found
+    # half the margin of the worst word of a typical toxic document
+    knees = 0.5 * np.median(_worst_words(rows, kernel, weights), axis=0)
+    knees = np.where(knees > 1e-6, knees, np.maximum(np.abs(bias), 1.0))
+    models = [Model(names, weights[:, k].astype(np.float32), float(bias[k]), float(knees[k]), np.zeros(5)) for k in range(3)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a row is seen through the fit that had the other half
+        scorers = {0: Scorer(models[2]), 1: Scorer(models[1])}
+        for batch in slices(batches):
+            for half, scorer in scorers.items():
+                own = batch.filter(pc.equal(batch.column("half"), half))
+                if own.num_rows:
+                    got = scorer.features(own.column("text"))
+                    yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("toxic"), *(pa.array(c) for c in got.T)], ["doc_id", "toxic", "a", "b", "c", "d"])
+
+    got = rows.mapInArrow(run, "doc_id long, toxic int, a double, b double, c double, d double").orderBy("doc_id").toPandas()
+    y = got["toxic"].to_numpy(float)
+    prior = np.where(y > 0, share_toxic / y.mean(), (1 - share_toxic) / (1 - y.mean()))
+    return models[0]._replace(link=_logistic(got[["a", "b", "c", "d"]].to_numpy(), y, prior))
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
+    """Trains on a bounded sample of the labelled documents outside the held-out fold."""
+    drawn = sampled(docs, labels)
+    if drawn is None:
+        return None
+    rows, sizes, counts = drawn
+    return train(rows, sizes, counts[1] / (counts[0] + counts[1]))
 
 
 def clean_documents(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:

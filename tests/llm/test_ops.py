@@ -444,6 +444,8 @@ def test_embeddings(spark):
         if i is not None:
             least[to[k]] = min(least[to[k]], i)
     want = [(str(i), int(hit[k].sum()), least[to[k]]) for k, (i, _) in enumerate(sound)] + [(str(i), 0, i) for i, v in rows if 1000 <= (i or 0) < 2000]
+    # another dimension has links of its own
+    assert {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(spark.createDataFrame([(1, [1.0, 2.0]), (2, [2.0, 4.0]), (3, [1.0, 0.0, 0.0]), (4, [0.0, 1.0, 0.0]), (5, [0.0, 1e300, 0.0]), (6, [-1.0, -2.0])], "vec_id long, embedding array<double>")).collect()} == {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (1, 4), 5: (1, 4), 6: (0, 6)}
     assert sorted((str(r.vec_id), r.n_links, r.component_id) for r in got) == sorted(want)
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0

@@ -189,6 +189,55 @@ def test_differencing(spark):
     assert out[7, "http://a.org/z/3"] == "Shop\nkept" and out[8, None] == "" and out[None, "http://e.org/"] == "n"
 
 
+def test_extraction_is_that_of_one_machine(spark, monkeypatch):
+    r = random.Random(8)
+    shared = [prose(4, 900 + k) for k in range(12)]
+    rows = []
+    for k in range(160):
+        body = [r.choice(shared) for _ in range(r.randint(0, 6))] + [prose(6, k) for _ in range(r.randint(0, 3))] + [r.choice(shared) for _ in range(r.randint(0, 4))]
+        url = r.choice([None, f"http://{r.choice('abc')}.org/{r.choice('xyz')}/{r.choice('pq')}{r.randint(0, 30)}"])
+        rows.append((k, url, "<body>" + "".join(f"<p>{t}</p>" for t in body) + ("<article><p>kept</p></article>" if k % 9 == 0 else "") + "</body>"))
+    rows += rows[:3]
+
+    def parts(url):
+        rest = url.split("://", 1)[1] if url else ""
+        return rest.split("/", 1)[0], "/" + rest.split("/", 1)[1] if url else ""
+
+    order = sorted(rows, key=lambda x: "\x01".join([*parts(x[1]), str(x[0]).rjust(20, "0")]))
+    want = []
+    for k, (i, url, page) in enumerate(order):
+        own = [t for _, t in html_text.lines(page)]
+        if any(m for m, _ in html_text.lines(page)):
+            want.append((i, "kept"))
+            continue
+        near = [order[j] for j in (k - 1, k + 1) if 0 <= j < len(order) and parts(order[j][1])[0] == parts(url)[0]]
+        near = [(p, [t for _, t in html_text.lines(h)]) for _, p, h in near]
+        near = [(p, t) for p, t in near if t != own]
+        if near:
+            prefix = lambda p: next((n for n, (x, y) in enumerate(zip(parts(p)[1], parts(url)[1], strict=False)) if x != y), min(len(parts(p)[1]), len(parts(url)[1])))  # noqa: B023, E731
+            best = max(near, key=lambda n: prefix(n[0]))[1]
+            gone = {a for a, _ in lcs.common(own, best)}
+            assert len(gone) == lcs_length(own, best)
+            own = [t for n, t in enumerate(own) if n not in gone]
+        want.append((i, "\n".join(own)))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(6)
+    for size in (1 << 30, 900):
+        monkeypatch.setattr(html_text, "BUCKET_BYTES", size)
+        assert sorted((r.page_id, r.text) for r in html_text.extract(df).collect()) == sorted(want)
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<a "', "<a '", '<a ">"', "<!--", "<script>", "<a href=\"x\" b='", "</ ", "<a x=\"<"])
+def test_broken_markup_takes_linear_time(piece):
+    import time
+
+    page = piece * (1_000_000 // len(piece))
+    for text in (page, page + ">", f"<article><p>kept</p></article>{page}"):
+        began = time.process_time()
+        found = html_text.lines(text)
+        assert time.process_time() - began < 10
+    assert found[0] == (True, "kept")
+
+
 # --- 4 sharding ---
 
 

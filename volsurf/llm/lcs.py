@@ -18,7 +18,11 @@ def common(a: Sequence[Hashable], b: Sequence[Hashable]) -> list[tuple[int, int]
     tail = 0
     while tail < min(len(a), len(b)) - head and a[-1 - tail] == b[-1 - tail]:
         tail += 1
-    x, y = a[head : len(a) - tail], b[head : len(b) - tail]
+    # only items of both sides can pair
+    left, right = set(a[head : len(a) - tail]), set(b[head : len(b) - tail])
+    own = [i for i in range(head, len(a) - tail) if a[i] in right]
+    other = [j for j in range(head, len(b) - tail) if b[j] in left]
+    x, y = [a[i] for i in own], [b[j] for j in other]
     where: dict[Hashable, int] = {}
     for j, item in enumerate(y):
         where[item] = where.get(item, 0) | 1 << j
@@ -36,7 +40,7 @@ def common(a: Sequence[Hashable], b: Sequence[Hashable]) -> list[tuple[int, int]
             i -= 1
         else:
             i, j = i - 1, j - 1
-            pairs.append((head + i, head + j))
+            pairs.append((own[i], other[j]))
     ends = [(len(a) - tail + k, len(b) - tail + k) for k in range(tail)]
     return [(k, k) for k in range(head)] + pairs[::-1] + ends
 

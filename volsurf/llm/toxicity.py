@@ -366,9 +366,10 @@ def train(rows: DataFrame, sizes: dict[int, int], share_toxic: float) -> Model:
             own = fit == k
             label = np.where(toxic[own] > 0, 1.0, -1.0)
             cost = np.where(label > 0, 0.5 / max(1, (label > 0).sum()), 0.5 / max(1, (label < 0).sum()))
-            if own.any():
-                w, bias[k] = _svm(x[own] @ nystrom, label, cost)
-                found[:, k] = nystrom @ w
+            # a sentence without any known word is clean: as heavy as all other clean ones
+            z = np.vstack([x[own] @ nystrom, np.zeros(len(names))])
+            w, bias[k] = _svm(z, np.r_[label, -1.0], np.r_[cost, 0.5])
+            found[:, k] = nystrom @ w
         weights = found
     # half the margin of the worst word of a typical toxic document
     knees = 0.5 * np.median(_worst_words(rows, kernel, weights), axis=0)

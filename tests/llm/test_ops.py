@@ -456,6 +456,51 @@ def test_foreign_words_hide_no_copy():
         assert [(d, i, s) for d, i, _, s, _ in decontam.Finder(block, idf, latents).find(text)] == [(0, 0, 1.0)]
 
 
+def _plain_match(item, text):
+    """Every stretch of twice the item's length, without a candidate search."""
+    n, best = len(item), False
+    for at in range(0, len(text)):
+        part = text[at : at + 2 * n]
+        share = lcs_length(item, part) / n
+        best |= share >= 0.8 or share >= 0.6 and any(part[k : k + 5] == item[-5:] for k in range(len(part) - 4))
+    return best
+
+
+@pytest.mark.parametrize("n_items", [40, 1000])
+def test_recall_against_a_plain_scan(n_items):
+    r, rng = random.Random(n_items), np.random.default_rng(n_items)
+    share = 1 / np.arange(1, 4001)
+    share /= share.sum()
+    draw = lambda n: [f"w{k}" for k in rng.choice(4000, n, p=share)]
+    items = [(k, " ".join(draw((5, 6, 8, 12, 16, 30, 60, 100, 150)[k % 9]))) for k in range(n_items)]
+    planted = []
+    for k in r.sample(range(n_items), 40):
+        words = items[k][1].split()
+        changed = [f"zz{j}" if r.random() < 0.3 and j < len(words) - 5 else w for j, w in enumerate(words)]
+        planted += [(k, " ".join(draw(90) + w + draw(90))) for w in (words, changed)]
+    found = set()
+    for group in decontam.groups_of(items):
+        idf = decontam.weights(10**4, 10**4 * (1 - (1 - np.array([share[int(w[1:])] for w in group.vocabulary])) ** 200), group.sequences)
+        latents = []
+        for block in decontam.blocks_of(group.sequences):
+            a = np.zeros((len(block.passages), len(block.terms)))
+            for i, p in enumerate(block.passages):
+                np.add.at(a[i], p, idf[block.terms][p])
+            _, value, space = np.linalg.svd(a, full_matrices=False)
+            latents.append(decontam.Latent(block, idf, space[value > 1e-6].T))
+        found |= {(d, group.ids[i]) for d, i, *_ in decontam.Finder(group, idf, latents).find(pa.array([t for _, t in planted]))}
+    copies = [d in {x for x, i in found if i == planted[d][0]} for d in range(0, 80, 2)]
+    assert all(copies)
+    sure = [d for d in range(1, 80, 2) if _plain_match(items[planted[d][0]][1].split(), planted[d][1].split())]
+    assert len(sure) > 25 and np.mean([(d, planted[d][0]) in found for d in sure]) >= 0.9
+
+
+def test_short_items_stand_word_for_word(spark):
+    bench = spark.createDataFrame([(1, "too short"), (2, "blue"), (3, ""), (4, "one, two Three")], "item_id long, text string")
+    docs = docs_of(spark, [(1, prose(50, 1) + " Too short. " + prose(70, 2)), (2, prose(30, 3) + " too very short " + prose(5, 4)), (3, "one two three"), (4, "one two"), (5, "blue")])
+    assert {(r.doc_id, r.item_id) for r in decontam.contaminations(docs, bench).collect()} == {(1, 1), (3, 4), (5, 2)}
+
+
 def test_latent_space_spans_the_items(spark):
     rows = [[int(x) for x in np.random.default_rng(k).integers(0, 50, 12)] for k in range(20)]
     idf = np.linspace(0.5, 3, 50)

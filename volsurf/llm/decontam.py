@@ -6,9 +6,11 @@ from the whole corpus.  Distributed randomised SVDs of that matrix, one for
 each RANK passages and of full rank there, give the latent spaces.  Every document is cut into windows of WINDOW words that overlap
 by half; windows are folded into the latent space, and those that hold SHARE or more of
 a passage there are candidates.  A candidate is checked on the
-words themselves: the longest common subsequence of the item and the words
-around the window must hold COPY of the item's words, or PARAPHRASE of them
-while the item's answer (the last ANSWER words) stands there word for word.
+words themselves: within SPAN times the item's length, the longest common
+subsequence of the item and the words around the window must hold COPY of the
+item's words, or PARAPHRASE of them while the item's answer (the last ANSWER
+words) stands there word for word.  Items of fewer than LEAST words must stand
+in the text word for word.
 
 The space is that of the benchmark's passages, not the corpus's: a query has
 no part outside of it, so no rank is lost to directions that no query uses.
@@ -25,13 +27,15 @@ many items there are.  Per group there are two passes over the documents, both m
 one counts document frequencies (one small table per task, summed by term), one
 searches.  Documents are never shuffled, and all candidates are checked.
 
-Edge cases: null and empty texts are clean.  Items of fewer than LEAST words
-are too short to recognize and are passed over.  No items: nothing is found.
-Null doc ids are searched too; repeated rows give repeated results.
+Edge cases: null and empty texts are clean, and items without words are found
+nowhere.  An item longer than a window is found by any of its passages and
+checked as a whole.  No items: nothing is found.  Null doc ids are searched
+too; repeated rows give repeated results.
 """
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -45,9 +49,9 @@ from . import lcs
 from .words import slices, split
 
 WINDOW, RANK, OVERSAMPLE, SHARE = 64, 256, 16, 0.1
-COPY, PARAPHRASE, ANSWER, LEAST, ITEMS = 0.8, 0.6, 5, 5, 5000
+COPY, PARAPHRASE, ANSWER, LEAST, SPAN, ITEMS = 0.8, 0.6, 5, 5, 2, 5000
 SHARED = 16
-_TRIM = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])) + "«»“”‘’„…–—¿¡"
+_TRIM = string.punctuation + "«»“”‘’„…–—¿¡"
 _TERM_BLOCK = 64
 
 
@@ -70,7 +74,7 @@ class Benchmark(NamedTuple):
 
 def block_of(rows: list[tuple]) -> Benchmark:
     split_up = [(i, terms(t or "")) for i, t in rows]
-    split_up = [(i, w) for i, w in split_up if len(w) >= LEAST]
+    split_up = [(i, w) for i, w in split_up if w]
     vocabulary = sorted({x for _, w in split_up for x in w})
     number = {w: k for k, w in enumerate(vocabulary)}
     return Benchmark([i for i, _ in split_up], [[number[x] for x in w] for _, w in split_up], vocabulary)
@@ -297,13 +301,19 @@ class Finder:
 
     def _check(self, item: int, region: np.ndarray) -> tuple[float, bool]:
         sequence, where = self.block.sequences[item], self.places[item]
-        own = [t for t in region.tolist() if t in where]
-        if len(own) < PARAPHRASE * len(sequence):
-            return 0.0, False
-        sim = lcs.length(own, where, len(sequence)) / len(sequence)
-        answer = sequence[-ANSWER:]
-        text = region.tolist()
-        return sim, any(text[k : k + len(answer)] == answer for k in range(len(text) - len(answer) + 1)) if sim >= PARAPHRASE else False
+        n, answer = len(sequence), sequence[-ANSWER:]
+        holds = lambda text, run: any(text[k : k + len(run)] == run for k in range(len(text) - len(run) + 1))
+        if n < LEAST:
+            whole = holds(region.tolist(), sequence)
+            return float(whole), whole
+        best = (0.0, False)
+        for at in range(0, max(1, len(region) - SPAN * n + (n + 1) // 2), (n + 1) // 2):
+            text = region[at : at + SPAN * n].tolist()
+            own = [t for t in text if t in where]
+            if len(own) >= PARAPHRASE * n:
+                sim = lcs.length(own, where, n) / n
+                best = max(best, (sim, sim >= PARAPHRASE and holds(text, answer)), key=lambda b: (b[0] >= COPY or b[0] >= PARAPHRASE and b[1], b[0]))
+        return best
 
 
 def finders(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> Iterator[Finder]:

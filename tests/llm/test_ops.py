@@ -132,6 +132,60 @@ def test_language(spark):
     assert out[500].language == "und" and not out[500].accepted and out[501].language == "de"
 
 
+def test_language_is_that_of_plain_bayes(spark):
+    """Every posterior from counts of whole tables, in plain Python."""
+    import math
+
+    langs = list(ALPHABETS)
+    r = random.Random(4)
+    train = [(k, prose(30, k, ALPHABETS[langs[k % 4]]), langs[k % 4], "h", 0) for k in range(80)]
+    model = langid.fit(spark.createDataFrame(train, DOCS))
+    pages = [(k, r.choice([f"http://{r.choice(['a', 'b.', 'c.d'])}.{r.choice(['de', 'fr', 'com'])}/x", None]), f"<html lang={r.choice(langs)}><p>{prose(r.randint(1, 30), 500 + k, ALPHABETS[r.choice(langs)])}</p>") for k in range(60)]
+    pages += [(100, "http://a.de/", "<p>" + prose(40, 9, ("zw", "ok", "ij", "xu"))), (101, "http://a.de/", "<p>" + prose(4000, 9, ALPHABETS["de"])), (102, "http://a.de/", "<p>1234"), (103, None, None)]
+
+    def likely(text):
+        grams = [f"\x02{w}\x03"[i : i + 3] for w in text.lower().split() for i in range(len(w))]
+        _, at = langid._trigrams(text.split())
+        assert len(at) == len(grams)
+        return [sum(float(model.log_p[b, k]) for b in at) for k in range(4)], len(at)
+
+    rows = []
+    for i, url, html in pages:
+        host = url.split("://")[1].split("/")[0] if url else None
+        suffix = host.rsplit(".", 1)[1] if host else None
+        text = (html or "").split("<p>")[1].split("</p>")[0] if html else ""
+        log_p, n = likely(text) if any(c.isalpha() for c in text) else ([0.0] * 4, 0)
+        own = None if not n or n >= langid.ENOUGH and max(log_p) < n * model.floor else log_p.index(max(log_p))
+        rows.append((i, host, suffix, html.split("lang=")[1].split(">")[0] if html and "lang=" in html else None, log_p, n, own))
+    count = lambda f, k: sum(1 for x in rows if x[6] == k and f(x))
+    share = [count(lambda x: True, k) + 1 for k in range(4)]
+    share = [s / sum(share) for s in share]
+    got = {x.page_id: x for x in langid.identify_pages(spark.createDataFrame(pages, "page_id long, url string, html string"), model).collect()}
+    for i, host, suffix, declared, log_p, n, _ in rows:
+        by_suffix = [count(lambda x: x[2] == suffix, k) for k in range(4)]  # noqa: B023
+        up = [(c + 20 * s) / (sum(by_suffix) + 20) for c, s in zip(by_suffix, share, strict=True)]
+        by_host = [count(lambda x: (x[1], x[2]) == (host, suffix), k) for k in range(4)]  # noqa: B023
+        prior = [(c + 20 * s) / (sum(by_host) + 20) for c, s in zip(by_host, up, strict=True)] if sum(by_host) else share
+        agree = [(count(lambda x: x[3] == declared, k) + 1) / (count(lambda x: True, k) + 4) if declared and sum(count(lambda x: x[3] == declared, j) for j in range(4)) else 1 for k in range(4)]  # noqa: B023
+        temper = 120 / max(120, n)
+        logs = [a * temper + math.log(p) + math.log(q) for a, p, q in zip(log_p, prior, agree, strict=True)]
+        if n >= langid.ENOUGH:
+            logs.append(n * model.floor * temper + math.log(langid.BACKGROUND))
+        best = max(logs)
+        want = "und" if not n else (langs + ["other"])[logs.index(best)]
+        assert got[i].language == want and got[i].accepted == (want in langs and 1 / sum(math.exp(x - best) for x in logs) >= 0.5)
+        assert got[i].posterior == pytest.approx(1 / sum(math.exp(x - best) for x in logs) if n else 0.0, abs=1e-4)
+    assert got[100].language == "other" and got[101].language == "de" and got[102].language == got[103].language == "und"
+
+
+def test_foreign_texts_and_noise_are_rejected(spark):
+    rows = [(k * 20 + j, prose(60, k * 20 + j, ALPHABETS[x]), x, "h", 0) for k, x in enumerate(ALPHABETS) for j in range(20)]
+    noise = " ".join("".join(RNG.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(50))
+    df = docs_of(spark, [(900, prose(60, 1, ("zw", "ok", "ij", "xu"))), (901, noise), (902, prose(60, 2, ALPHABETS["fr"]))])
+    model = langid.fit(spark.createDataFrame(rows, DOCS))
+    assert [r.doc_id for r in langid.accepted_documents(df, model).collect()] == [902]
+
+
 def test_priors_are_smoothed_by_level(spark):
     rows = [("a.x", "x", None, [0.0, -9.0], 5.0)] * 30 + [("b.x", "x", None, [-9.0, 0.0], 5.0)] + [("c.y", "y", None, [-9.0, 0.0], 5.0)] * 9
     df = spark.createDataFrame(rows, "host string, suffix string, declared string, log_p array<double>, trigrams double")
@@ -329,6 +383,63 @@ def test_kernel_tolerates_gaps():
     assert got[5].max() < 0.05 and got[6].max() == 0 and got[4, 1] == pytest.approx(1, abs=1e-5)
 
 
+def plain_kernel(a, b):
+    """All subsequences of both words, one by one."""
+
+    def parts(word):
+        text, out = f"\x02{word}\x03", defaultdict(float)
+        norm = 1e-9
+        for places in combinations(range(len(text)), toxicity.ORDER):
+            span = places[-1] - places[0] + 1
+            if span <= toxicity.ORDER + toxicity.GAPS:
+                weight = toxicity.DECAY ** (span - toxicity.ORDER)
+                out["".join(text[p] for p in places)] += weight
+                norm += weight**2
+        return out, norm**0.5
+
+    (x, n), (y, m) = parts(a), parts(b)
+    return min(1.0, sum(v * y.get(k, 0.0) for k, v in x.items()) / (n * m)) ** 2
+
+
+def test_kernel_is_that_of_all_subsequences():
+    r = random.Random(3)
+    words = ["".join(r.choices("abcd", k=r.randint(0, 9))) for _ in range(25)] + ["blockhead", "bloockhead", "\u00e9t\u00e9", ""]
+    got = toxicity.Kernel(words[:12])(words)
+    assert np.allclose(got, [[plain_kernel(a, b) for b in words[:12]] for a in words], atol=1e-5)
+
+
+def test_score_is_that_of_plain_sums():
+    names = ["blockhead", "numbskull", "pleasant", "window"]
+    gram = np.array([[plain_kernel(a, b) for b in names] for a in names])
+    value, vector = np.linalg.eigh(gram)
+    nystrom = (vector / np.sqrt(np.maximum(value, 0) + toxicity.RIDGE)) @ vector.T
+    svm, bias, knee, link = np.array([1.0, 0.8, -0.3, -0.2]), -0.9, 0.6, np.array([0.7, 0.5, 0.3, 0.2, -2.0])
+    model = toxicity.Model(names, (nystrom @ svm).astype(np.float32), bias, knee, link)
+    texts = ["You blockhead! A pleasant window.", "numbskulls b.l.o.c.k.h.e.a.d", "", None, prose(100, 3), "such a blok head. numbskul, numbskull"]
+    margin = lambda w: float(np.array([plain_kernel(toxicity.normalize(w), n) for n in names]) @ nystrom @ svm)
+    want = []
+    for text in texts:
+        sentences, words = [[]], (text or "").split()
+        for k, w in enumerate(words):
+            if k and (words[k - 1][-1] in ".!?" or k % toxicity.WINDOW == 0):
+                sentences.append([])
+            sentences[-1].append(margin(w) / knee)
+        flat = [m for s in sentences for m in s]
+        over = sum(min(max(m, 0), 1) for m in flat if m > 0.8)
+        x = [max(sum(s) for s in sentences) + bias / knee, max(flat, default=0.0), np.log1p(over), np.log1p(100 * over / max(1, len(flat)))]
+        want.append(1 / (1 + np.exp(-(np.array(x) @ link[:-1] + link[-1]))))
+    assert np.allclose(toxicity.Scorer(model).score(pa.array(texts, pa.string())), want, atol=1e-3)
+
+
+def test_labels_of_absent_documents_take_no_place(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_TOXIC", 20)
+    monkeypatch.setattr(toxicity, "SAMPLE_CLEAN", 40)
+    df = docs_of(spark, [(k, f"{prose(30, k)} {'blockhead' if k % 3 == 0 else ''}") for k in range(90)])
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(20_000)], "doc_id long, toxic int")
+    rows, sizes, counts = toxicity.sampled(df, labels)
+    assert sizes == {1: 20, 0: 40} and rows.count() == 60 and sum(counts.values()) < 90
+
+
 def test_toxicity(spark):
     bad = ["blockhead", "numbskull", "dimwit"]
     rows = []

@@ -14,6 +14,11 @@ each text alone says.  Trigram likelihoods of neighbouring characters are far
 from independent, so their sum is tempered: a long text counts as EVIDENCE
 trigrams at most.
 
+A background class stands for all other languages and for noise: FLOOR of the
+way from a typical text's mean log-likelihood of a trigram to that of an unseen
+one.  It takes part in the posterior of texts with ENOUGH trigrams or more; a
+text that it wins is ``other`` and rejected.
+
 The trigram model is fitted on a bounded sample: SAMPLE labelled texts per
 language, in the order of a digest of the id.
 
@@ -25,7 +30,8 @@ they are broadcast up to BROADCAST_ROWS rows and joined by key beyond.
 Edge cases: null, empty and letterless texts have no text evidence: their
 language is ``und`` and they are rejected.  Null hosts and suffixes are groups
 of their own; a null declaration is no evidence.  Ties go to the first of
-``languages``.  Repeated rows stay.
+``languages``.  Repeated rows stay.  Very long texts are read whole, in one
+array of their own: memory follows the longest text.
 """
 
 from __future__ import annotations
@@ -43,11 +49,12 @@ from pyspark.sql import functions as F
 from . import html_text
 from .common import extended, materialize
 from .url_filter import host_of
-from .words import WordTable, give_back, slices, split
+from .words import WordTable, slices, split
 
 LANGUAGES = ("en", "de", "fr", "es")
 SAMPLE, BUCKETS, SMOOTHING = 500, 1 << 17, 0.3
 EVIDENCE, STRENGTH, ACCEPT, BROADCAST_ROWS = 120.0, 20.0, 0.5, 100_000
+FLOOR, ENOUGH, BACKGROUND = 0.4, 20, 0.01
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -68,6 +75,7 @@ def _trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 class Model(NamedTuple):
     languages: tuple[str, ...]
     log_p: np.ndarray  # BUCKETS x languages
+    floor: float  # the background's log-likelihood of a trigram
 
 
 class Scorer:
@@ -98,28 +106,43 @@ class Scorer:
         return out
 
 
-def train(texts: Sequence[str], labels: Sequence[str], languages: Sequence[str] = LANGUAGES) -> Model:
-    counts = np.full((BUCKETS, len(languages)), SMOOTHING)
-    for k, language in enumerate(languages):
-        for text, label in zip(texts, labels, strict=True):
-            if label == language:
-                counts[:, k] += np.bincount(_trigrams(text.split())[1], minlength=BUCKETS)
-    return Model(tuple(languages), np.log(counts / counts.sum(axis=0)).astype(np.float32))
+def model_of(counts: np.ndarray, languages: Sequence[str]) -> Model:
+    """The model of trigram counts (BUCKETS x languages)."""
+    smoothed = counts + SMOOTHING
+    log_p = np.log(smoothed / smoothed.sum(axis=0))
+    sizes = counts.sum(axis=0)
+    # the mean over the training texts, weighted by length
+    typical = (counts * log_p).sum(axis=0)[sizes > 0] / sizes[sizes > 0]
+    unseen = float(np.log(SMOOTHING / smoothed.sum(axis=0)).mean())
+    floor = (1 - FLOOR) * float(typical.mean()) + FLOOR * unseen if len(typical) else float("-inf")
+    return Model(tuple(languages), log_p.astype(np.float32), floor)
 
 
 def fit(docs: DataFrame, languages: Sequence[str] = LANGUAGES, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang") -> Model:
-    """Trains on SAMPLE labelled texts of each language."""
-    known = docs.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).dropna()
+    """Trains on SAMPLE labelled texts of each language; their counts are made on the executors."""
+    known = docs.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).dropna().distinct()
     picks = [known.filter(F.col("label") == x).orderBy(F.xxhash64("id"), "id").limit(SAMPLE) for x in languages]
     ids = picks[0]
     for more in picks[1:]:
         ids = ids.unionByName(more)
-    # at most SAMPLE ids per language
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids.dropDuplicates(["id"])), "id").select("text", "label").toArrow()
-    model = train([t or "" for t in rows.column("text").to_pylist()], rows.column("label").to_pylist(), languages)
-    del rows
-    give_back()
-    return model
+    # at most SAMPLE ids per language; of a repeated id the lesser text
+    ids = ids.groupBy("id").agg(F.min("label").alias("label"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+    place = {x: k for k, x in enumerate(languages)}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros((BUCKETS, len(place)), np.int64)
+        for batch in slices(batches):
+            for text, label in zip(batch.column("text"), batch.column("label").to_pylist(), strict=True):
+                seen[:, place[label]] += np.bincount(_trigrams((text.as_py() or "").split())[1], minlength=BUCKETS)
+        bucket, k = np.nonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(k), pa.array(seen[bucket, k])], ["bucket", "k", "n"])
+
+    # at most BUCKETS rows per language
+    found = texts.select("text", "label").mapInArrow(count, "bucket long, k long, n long").groupBy("bucket", "k").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros((BUCKETS, len(languages)))
+    counts[found["bucket"].to_numpy(int), found["k"].to_numpy(int)] = found["n"]
+    return model_of(counts, languages)
 
 
 def scored(df: DataFrame, model: Model, text_col: str, keep: Sequence[str], prepare=None) -> DataFrame:
@@ -139,10 +162,11 @@ def scored(df: DataFrame, model: Model, text_col: str, keep: Sequence[str], prep
     return base.mapInArrow(run, schema)
 
 
-def _text_alone(languages: Sequence[str]):
-    """The most likely language by the text; null without evidence."""
+def _text_alone(languages: Sequence[str], floor: float):
+    """The most likely language by the text; null without evidence, and where the background is likelier."""
     best = F.array_position(F.col("log_p"), F.array_max("log_p")).cast("int")
-    return F.when(F.col("trigrams") > 0, F.element_at(F.array(*map(F.lit, languages)), best))
+    known = (F.col("trigrams") < ENOUGH) | (F.array_max("log_p") >= F.col("trigrams") * floor)
+    return F.when((F.col("trigrams") > 0) & known, F.element_at(F.array(*map(F.lit, languages)), best))
 
 
 class Priors(NamedTuple):
@@ -151,9 +175,9 @@ class Priors(NamedTuple):
     unseen: list[float]
 
 
-def priors(rows: DataFrame, languages: Sequence[str]) -> Priors:
+def priors(rows: DataFrame, languages: Sequence[str], floor: float = float("-inf")) -> Priors:
     """Smoothed priors and agreement; rows: host, suffix, declared, log_p, trigrams."""
-    text = rows.select("host", "suffix", "declared", _text_alone(languages).alias("language")).filter("language is not null")
+    text = rows.select("host", "suffix", "declared", _text_alone(languages, floor).alias("language")).filter("language is not null")
     counts = materialize(text.groupBy("host", "suffix", "declared", "language").agg(F.count("*").alias("n")), "counts")
     per = [F.sum(F.when(F.col("language") == x, F.col("n")).otherwise(0)).cast("double").alias(f"n{k}") for k, x in enumerate(languages)]
     names = [f"n{k}" for k in range(len(languages))]
@@ -179,7 +203,7 @@ def _bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def fused(rows: DataFrame, known: Priors, languages: Sequence[str]) -> DataFrame:
+def fused(rows: DataFrame, known: Priors, languages: Sequence[str], floor: float = float("-inf")) -> DataFrame:
     """``rows`` without log_p, with text_language, language, posterior and accepted."""
     by = rows.join(_bounded(known.host), F.col("host").eqNullSafe(F.col("_host")) & F.col("suffix").eqNullSafe(F.col("_suffix")), "left")
     by = by.join(_bounded(known.declared), F.col("declared") == F.col("_declared"), "left")
@@ -190,13 +214,15 @@ def fused(rows: DataFrame, known: Priors, languages: Sequence[str]) -> DataFrame
         prior = F.log(F.coalesce(F.col("prior"), unseen)[k])
         declared = F.coalesce(F.log(F.col("agreement")[k]), F.lit(0.0))
         logs.append(F.col("log_p")[k] * temper + prior + declared)
-    by = by.withColumn("_logs", F.array(*logs))
+    # other languages have no prior of their own: a small share of every text
+    other = F.when(F.col("trigrams") >= ENOUGH, F.col("trigrams") * floor * temper + float(np.log(BACKGROUND))).otherwise(float("-inf"))
+    by = by.withColumn("_logs", F.array(*logs, other))
     top = F.array_max("_logs")
     posterior = 1 / F.aggregate("_logs", F.lit(0.0), lambda a, x: a + F.exp(x - top))
-    language = F.element_at(F.array(*map(F.lit, languages)), F.array_position("_logs", top).cast("int"))
+    language = F.element_at(F.array(*map(F.lit, (*languages, "other"))), F.array_position("_logs", top).cast("int"))
     some = F.col("trigrams") > 0
-    out = by.withColumns({"text_language": F.coalesce(_text_alone(languages), F.lit("und")), "language": F.when(some, language).otherwise("und"), "posterior": F.when(some, posterior).otherwise(F.lit(0.0))})
-    out = out.withColumn("accepted", some & (F.col("posterior") >= ACCEPT))
+    out = by.withColumns({"text_language": F.coalesce(_text_alone(languages, floor), F.when(some, "other").otherwise("und")), "language": F.when(some, language).otherwise("und"), "posterior": F.when(some, posterior).otherwise(F.lit(0.0))})
+    out = out.withColumn("accepted", some & (F.col("language") != "other") & (F.col("posterior") >= ACCEPT))
     return out.drop("_host", "_suffix", "prior", "_declared", "agreement", "_logs", "log_p")
 
 
@@ -220,7 +246,7 @@ def identify_pages(pages: DataFrame, model: Model) -> DataFrame:
     host = F.nullif(host_of(F.col("url")), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), suffix_of(host).alias("suffix"), declared_in(F.col("html")).alias("declared"), "html")
     rows = materialize(scored(rows, model, "html", ["page_id", "host", "suffix", "declared"], text), "page_scores")
-    return fused(rows, priors(rows, model.languages), model.languages).drop("trigrams")
+    return fused(rows, priors(rows, model.languages, model.floor), model.languages, model.floor).drop("trigrams")
 
 
 def accepted_documents(docs: DataFrame, model: Model, host_col: str = "source", declared_col: str = "lang", text_col: str = "text") -> DataFrame:
@@ -235,5 +261,5 @@ def accepted_documents(docs: DataFrame, model: Model, host_col: str = "source",
     host = F.nullif(F.col(of[host_col]).cast("string"), F.lit(""))
     rows = docs.toDF(*inner).withColumns({"host": host, "suffix": suffix_of(host), "declared": F.lower(F.col(of[declared_col]).cast("string"))})
     text, keep = of[text_col], ["host", "suffix", "declared"]
-    known = priors(scored(rows, model, text, keep), model.languages)
-    return fused(scored(rows, model, text, [*inner, *keep]), known, model.languages).filter("accepted").select(*inner).toDF(*columns)
+    known = priors(scored(rows, model, text, keep), model.languages, model.floor)
+    return fused(scored(rows, model, text, [*inner, *keep]), known, model.languages, model.floor).filter("accepted").select(*inner).toDF(*columns)

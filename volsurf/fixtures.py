@@ -118,8 +118,21 @@ def with_clause(dialect: str, *names: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({texts[n]})" for n in _closure(names))
 
 
+#: Session setting: a folder that ``write`` filled, from which ``load`` then reads.
+STORED = "volsurf.fixtures"
+
+
+def write(spark: SparkSession, sf_dir: str, path: str, *names: str) -> None:
+    """Writes views as Parquet tables, so that later loads read columns of files as they would real data."""
+    for name in names:
+        load(spark, sf_dir, name).write.mode("overwrite").parquet(f"{path}/{name}.parquet")
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the views above as a DataFrame."""
+    stored = spark.conf.get(STORED, None)
+    if stored:
+        return spark.read.parquet(f"{stored}/{name}.parquet")
     for t in TABLES:
         spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
     return spark.sql(f"{with_clause('spark', name)} SELECT * FROM {name}")

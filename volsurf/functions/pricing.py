@@ -28,7 +28,8 @@ def american_price(s: pd.Series, k: pd.Series, t: pd.Series, r: pd.Series, v: pd
 
 
 def _frame(values: np.ndarray) -> pd.DataFrame:
-    return pd.DataFrame(dict(zip(GREEKS, values, strict=True))).astype(object).where(~np.isnan(values.T), None).astype(float)
+    """NaN becomes null on the way to Arrow."""
+    return pd.DataFrame(dict(zip(GREEKS, values, strict=True)))
 
 
 @F.pandas_udf(_GREEKS)

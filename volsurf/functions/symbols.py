@@ -8,15 +8,23 @@ from pyspark.sql import functions as F
 from ..schemas import OPTION_SYMBOL, SUPPORTED_UNDERLYING
 
 
+#: Characters of a symbol behind its underlying: expiry, type and strike have fixed widths.
+_TAIL = 15
+
+
 def option_fields(ticker: Column) -> dict[str, Column]:
-    """underlying, expiration_date, option_type and strike of an option symbol; all null if it doesn't parse."""
+    """underlying, expiration_date, option_type and strike of an option symbol; all null if it doesn't parse.
+
+    One regular expression tells whether a symbol parses; its fields are cut out by place.
+    """
     text = F.upper(F.trim(ticker))
-    group = [F.nullif(F.regexp_extract(text, OPTION_SYMBOL, k), F.lit("")) for k in range(5)]
+    own = F.when(text.rlike(OPTION_SYMBOL), text)
+    kind = F.substring(own, 6 - _TAIL, 1)
     return {
-        "underlying": group[1],
-        "expiration_date": F.try_to_date(group[2], "yyMMdd"),
-        "option_type": F.when(group[3] == "C", "call").when(group[3] == "P", "put"),
-        "strike": group[4].cast("long") / F.lit(1000.0),
+        "underlying": F.substr(own, F.lit(3), F.length(own) - _TAIL - 2),
+        "expiration_date": F.try_to_date(F.substring(own, -_TAIL, 6), "yyMMdd"),
+        "option_type": F.when(kind == "C", "call").when(kind == "P", "put"),
+        "strike": F.substring(own, -8, 8).cast("long") / F.lit(1000.0),
     }
 
 
@@ -56,14 +64,19 @@ def split_cell(c: Column) -> Column:
     return F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "")
 
 
-def exploded_members(df: DataFrame, code: str, ticker: str, name: str) -> DataFrame:
+def exploded_members(df: DataFrame, code: str, ticker: str, name: str, order: str | None = None) -> DataFrame:
     """Cells with several codes, tickers and names, one row per position; a missing ticker falls back to the code.
 
-    The first row of a ticker wins; rows without either are dropped.
+    The first row of a ticker wins, in the order of the column ``order`` (if
+    given) and of positions; the other columns that ``df`` keeps, such as a
+    snapshot's date, separate tickers.  Rows without ticker and code are dropped.
     """
     zipped = df.select("*", F.posexplode_outer(F.arrays_zip(split_cell(F.col(code)).alias("code"), split_cell(F.col(ticker)).alias("ticker"), split_cell(F.col(name)).alias("name"))).alias("place", "m"))
-    keep = [c for c in df.columns if c not in (code, ticker, name)]
-    return zipped.select(*keep, "place", F.col("m.code").alias("original_ric"), index_ticker(F.coalesce("m.ticker", "m.code")).alias("ticker"), F.col("m.name").alias("name")).filter("ticker is not null")
+    keep = [c for c in df.columns if c not in (code, ticker, name, order)]
+    rank = F.struct(*([F.col(order).alias("o")] if order else []), F.col("place").alias("p"), F.col("m.code").alias("c"), F.col("m.name").alias("n"))
+    rows = zipped.select(*keep, "place", F.col("m.code").alias("original_ric"), index_ticker(F.coalesce("m.ticker", "m.code")).alias("ticker"), F.col("m.name").alias("name"), rank.alias("_rank")).filter("ticker is not null")
+    first = rows.groupBy(*keep, "ticker").agg(F.min_by(F.struct("place", "original_ric", "name"), "_rank").alias("_r"))
+    return first.select(*keep, "_r.place", "_r.original_ric", "ticker", "_r.name")
 
 
 def class_share_codes(symbol: Column) -> Column:

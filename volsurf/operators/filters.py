@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import finite, is_positive_finite, moneyness, year_fraction
-from ..functions.symbols import normalized_underlying, parse_options, supported_underlying
-from ..schemas import GREEKS, MAX_DTE, MIN_CLOSE, MIN_DTE
+from ..functions.symbols import parse_options
+from ..schemas import GREEKS, MAX_DTE, MIN_CLOSE, MIN_DTE, SUPPORTED_OPTION, UNDERLYING
 
 POSITIVE = ("close", "strike", "underlying_close", "time_to_expiry_years", "implied_volatility")
 SOLVED = ("close", "strike", "underlying_close", "time_to_expiry_years", "dividend_yield", "risk_free_rate", "implied_volatility", *GREEKS)
@@ -20,18 +22,22 @@ def with_expiry(df: DataFrame) -> DataFrame:
 
 
 def traded(volume: Column, close: Column) -> Column:
-    return (F.coalesce(volume, F.lit(0)) > 0) & (F.coalesce(F.nanvl(close, F.lit(0.0)), F.lit(0.0)) > 0)
+    """Whether a contract traded; a plain comparison of columns, so that it reaches the file."""
+    return (volume > 0) & (close > 0) & ~F.isnan(close)
 
 
 def eligible(raw: DataFrame, min_dte: int = MIN_DTE, max_dte: int = MAX_DTE, only: str | None = None) -> DataFrame:
     """Raw day rows to parsed contracts of supported underlyings that expire in range and traded.
 
-    ``only`` keeps one underlying, for debugging runs.
+    ``only`` keeps one underlying, for debugging runs.  Volume and close are
+    filtered in the scan; of the symbol one regular expression decides, and the
+    expiry is cut out of it.
     """
-    parsed = with_expiry(parse_options(raw)).filter(F.col("option_type").isin("call", "put") & F.col("dte_days").between(min_dte, max_dte))
-    named = parsed.withColumn("underlying", normalized_underlying(F.col("underlying"))).filter(supported_underlying(F.col("underlying")))
-    out = named.filter(traded(F.col("volume"), F.col("close")))
-    return out.filter(F.col("underlying") == only) if only else out
+    text = F.upper(F.trim("ticker"))
+    parses = text.rlike(SUPPORTED_OPTION if only is None else SUPPORTED_OPTION.replace(UNDERLYING, re.escape(only)))
+    days = F.datediff(F.try_to_date(F.substring(text, -15, 6), "yyMMdd"), "trade_date")
+    kept = raw.filter(traded(F.col("volume"), F.col("close"))).filter(parses & days.between(min_dte, max_dte))
+    return with_expiry(parse_options(kept))
 
 
 def strike_eligible(df: DataFrame) -> DataFrame:

@@ -7,26 +7,28 @@ from pyspark.sql import functions as F
 
 from ..schemas import RATE_LOOKBACK_DAYS
 
-#: Rows up to which a side is broadcast; beyond, the same join shuffles.
-BROADCAST_ROWS = 100_000
-
-
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df``, read once and marked for broadcast if it proves small; else as it is."""
-    got = df.limit(rows + 1).toArrow()
-    return F.broadcast(df.sparkSession.createDataFrame(got, df.schema)) if got.num_rows <= rows else df
-
-
 def last_by(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """One row per key: the last in the order of ``order``."""
     rest = [c for c in df.columns if c not in keys]
     return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_r")).select(*keys, *(F.col(f"_r.{c}") for c in rest))
 
 
+def one_per_day(stocks: DataFrame, columns: list[str]) -> DataFrame:
+    """(symbol, trade_date, columns): the last row of each symbol's day by ``ordinal``; tables without one have their greatest row."""
+    order = F.struct("ordinal", *columns) if "ordinal" in stocks.columns else F.struct(*columns)
+    picked = stocks.groupBy("symbol", "trade_date").agg(F.max_by(F.struct(*columns), order).alias("_r"))
+    return picked.select("symbol", "trade_date", *(F.col(f"_r.{c}") for c in columns))
+
+
 def with_stock_data(contracts: DataFrame, stocks: DataFrame) -> DataFrame:
-    """Adds underlying_close (null if the day is missing) and dividend_yield (then 0)."""
-    side = stocks.select(F.col("symbol").alias("underlying"), "trade_date", F.col("close").alias("underlying_close"), F.greatest(F.coalesce(F.nanvl("dividend_yield", F.lit(0.0)), F.lit(0.0)), F.lit(0.0)).alias("_q"))
-    joined = contracts.join(small(side), ["underlying", "trade_date"], "left")
+    """Adds underlying_close (null if the day is missing) and dividend_yield (then 0).
+
+    Of a symbol's repeated day the last row counts (see ``one_per_day``), so
+    contracts are never multiplied.
+    """
+    side = one_per_day(stocks, ["close", "dividend_yield"])
+    side = side.select(F.col("symbol").alias("underlying"), "trade_date", F.col("close").alias("underlying_close"), F.greatest(F.coalesce(F.nanvl("dividend_yield", F.lit(0.0)), F.lit(0.0)), F.lit(0.0)).alias("_q"))
+    joined = contracts.join(side, ["underlying", "trade_date"], "left")
     return joined.withColumn("dividend_yield", F.coalesce("_q", F.lit(0.0))).drop("_q")
 
 
@@ -44,9 +46,13 @@ def asof_rates(days: DataFrame, rates: DataFrame, lookback: int = RATE_LOOKBACK_
     return both.withColumn("risk_free_rate", F.last("rate", ignorenulls=True).over(order)).filter("trade_date is not null").select("trade_date", "risk_free_rate")
 
 
-def with_rates(contracts: DataFrame, rates: DataFrame, strict: bool = True) -> DataFrame:
-    """Adds risk_free_rate; with ``strict``, a day without any rate fails the job."""
-    found = asof_rates(contracts, rates)
+def with_rates(contracts: DataFrame, rates: DataFrame, strict: bool = True, days: DataFrame | None = None) -> DataFrame:
+    """Adds risk_free_rate; with ``strict``, a day without any rate fails the job.
+
+    The days come from ``days`` (the raw table, of which only the date is read),
+    so that the contracts are computed once.
+    """
+    found = asof_rates(contracts if days is None else days, rates)
     if strict:
         message = F.concat(F.lit("no risk-free rate on or before "), F.col("trade_date").cast("string"))
         found = found.withColumn("risk_free_rate", F.coalesce("risk_free_rate", F.raise_error(message).cast("double")))
@@ -71,7 +77,7 @@ def membership_windows(snapshots: DataFrame, start: str, end: str) -> DataFrame:
 def active_in_windows(df: DataFrame, windows: DataFrame, symbol: str = "underlying", day: str = "trade_date") -> DataFrame:
     """Rows whose symbol is a member on their day; both ends of a window count."""
     w = windows.select(F.col("symbol").alias("_s"), "start_date", "end_date")
-    return df.join(small(w), (F.col(symbol) == F.col("_s")) & F.col(day).between(F.col("start_date"), F.col("end_date")), "left_semi")
+    return df.join(w, (F.col(symbol) == F.col("_s")) & F.col(day).between(F.col("start_date"), F.col("end_date")), "left_semi")
 
 
 def snapshot_of(days: DataFrame, snapshots: DataFrame, strict: bool = True) -> DataFrame:
@@ -88,33 +94,51 @@ def snapshot_of(days: DataFrame, snapshots: DataFrame, strict: bool = True) -> D
     return found
 
 
+def _memberships(snapshots: DataFrame) -> DataFrame:
+    """(_s, _from, _until): each member of a snapshot, until the day of the next one."""
+    dates = snapshots.select("snapshot_date").distinct()
+    # a row per snapshot
+    spans = dates.withColumn("_until", F.coalesce(F.lead("snapshot_date").over(Window.orderBy("snapshot_date")), F.lit("9999-12-31").cast("date")))
+    return snapshots.select("snapshot_date", F.col("symbol").alias("_s")).distinct().join(F.broadcast(spans), "snapshot_date").withColumnRenamed("snapshot_date", "_from")
+
+
+def _not_before_snapshots(df: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """``df``; a day before the first snapshot fails the job."""
+    first = snapshots.agg(F.min("snapshot_date")).first()[0]
+    early = F.lit(True) if first is None else F.col("trade_date") < F.lit(first)
+    message = F.concat(F.lit("no snapshot on or before "), F.col("trade_date").cast("string"))
+    return df.filter(F.when(early, F.raise_error(message).cast("boolean")).otherwise(True))
+
+
 def active_asof(df: DataFrame, snapshots: DataFrame, symbol: str = "underlying", strict: bool = True) -> DataFrame:
     """Rows whose symbol is in the latest snapshot on or before their day; with ``strict``, a day before the first is an error.
 
     A snapshot holds until the next one, so this is a join by symbol and
     interval: the rows are read once, and not for their days first.
     """
-    dates = snapshots.select("snapshot_date").distinct()
-    # a row per snapshot
-    spans = dates.withColumn("_until", F.coalesce(F.lead("snapshot_date").over(Window.orderBy("snapshot_date")), F.lit("9999-12-31").cast("date")))
-    members = snapshots.select("snapshot_date", F.col("symbol").alias("_s")).distinct().join(F.broadcast(spans), "snapshot_date")
     if strict:
-        first = dates.agg(F.min("snapshot_date")).first()[0]
-        early = F.lit(True) if first is None else F.col("trade_date") < F.lit(first)
-        message = F.concat(F.lit("no snapshot on or before "), F.col("trade_date").cast("string"))
-        df = df.filter(F.when(early, F.raise_error(message).cast("boolean")).otherwise(True))
-    held = (F.col("trade_date") >= F.col("snapshot_date")) & (F.col("trade_date") < F.col("_until"))
-    return df.join(small(members), (F.col(symbol) == F.col("_s")) & held, "left_semi")
+        df = _not_before_snapshots(df, snapshots)
+    held = (F.col("trade_date") >= F.col("_from")) & (F.col("trade_date") < F.col("_until"))
+    return df.join(_memberships(snapshots), (F.col(symbol) == F.col("_s")) & held, "left_semi")
+
+
+def with_membership(df: DataFrame, snapshots: DataFrame, flag: str, symbol: str = "underlying", strict: bool = True) -> DataFrame:
+    """``df`` with whether each row's symbol is in the latest snapshot on or before its day; no row is multiplied."""
+    if strict:
+        df = _not_before_snapshots(df, snapshots)
+    held = (F.col("trade_date") >= F.col("_from")) & (F.col("trade_date") < F.col("_until"))
+    out = df.join(_memberships(snapshots), (F.col(symbol) == F.col("_s")) & held, "left")
+    return out.withColumn(flag, F.col("_s").isNotNull()).drop("_s", "_from", "_until")
 
 
 def with_alias_close(df: DataFrame, stocks: DataFrame, aliases: dict[str, str]) -> DataFrame:
     """Adds the close of the symbol, or of its alias where the symbol has no history at all."""
     known = stocks.select("symbol").distinct()
     alias = F.create_map(*(F.lit(x) for kv in aliases.items() for x in kv)) if aliases else F.create_map().cast("map<string,string>")
-    named = df.join(small(known.withColumnRenamed("symbol", "_known")), F.col("underlying") == F.col("_known"), "left")
+    named = df.join(known.withColumnRenamed("symbol", "_known"), F.col("underlying") == F.col("_known"), "left")
     named = named.withColumn("_s", F.coalesce("_known", alias[F.col("underlying")], "underlying")).drop("_known")
-    side = stocks.select(F.col("symbol").alias("_s"), "trade_date", F.col("close").alias("underlying_close"))
-    return named.join(small(side), ["_s", "trade_date"], "left").drop("_s")
+    side = one_per_day(stocks, ["close"]).select(F.col("symbol").alias("_s"), "trade_date", F.col("close").alias("underlying_close"))
+    return named.join(side, ["_s", "trade_date"], "left").drop("_s")
 
 
 def without(df: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:

@@ -62,25 +62,34 @@ def described(features: DataFrame, columns: list[str]) -> DataFrame:
     return long.groupBy("feature").agg(F.count("*").alias("n"), *(F.round(c, 4).alias(k) for k, c in stats.items()))
 
 
+def _target() -> Column:
+    """The delta target within whose tolerance a contract lies; tolerances of one side don't overlap, so there is one at most."""
+    out = F
+    for name, (side, target, tolerance) in DELTA_TARGETS.items():
+        out = out.when((F.col("option_type") == side) & (F.abs(F.col("delta") - target) <= tolerance), name)
+    return out
+
+
 def selected(contracts: DataFrame) -> DataFrame:
-    """One row per stock, day, bucket and target: the contract nearest to the target delta, if within its tolerance.
+    """One row per stock, day and bucket: of each target the contract nearest to it, if within its tolerance.
 
-    All targets are picked in a single aggregation of the contracts; ties go to
-    the earlier ordinal, then expiry, strike and ticker.
+    Every contract has one target or none, so one aggregation by target picks
+    all; it is combined before the shuffle, and a second one on its few rows
+    spreads targets to columns.  Ties go to the earlier ordinal, then expiry,
+    strike and ticker.
     """
     ordinal = F.col("ordinal") if "ordinal" in contracts.columns else F.lit(0)
-    rows = contracts.withColumn("bucket", dte_bucket(F.col("dte_days"))).filter("bucket is not null")
-    value = F.struct(F.col("implied_volatility").alias("iv"), "gamma", "theta", "vega")
-    picks = []
-    for name, (side, target, _) in DELTA_TARGETS.items():
-        rank = F.struct(F.abs(F.col("delta") - target).alias("d"), ordinal.alias("o"), F.col("expiration_date").alias("e"), F.col("strike").alias("k"), F.col("ticker").alias("t"))
-        hit = F.col("option_type") == side
-        picks += [F.min_by(F.when(hit, value), F.when(hit, rank)).alias(f"{name}_v"), F.min(F.when(hit, rank)).alias(f"{name}_r")]
-    wide = rows.groupBy(*KEYS, "bucket").agg(F.count("*").alias("n"), *picks)
-    for name, (_, _, tolerance) in DELTA_TARGETS.items():
-        near = F.col(f"{name}_r.d") <= tolerance
-        wide = wide.withColumns({f"{name}_v": F.when(near, F.col(f"{name}_v")), f"{name}_d": F.when(near, F.col(f"{name}_r.d"))})
-    return wide.drop(*(f"{n}_r" for n in DELTA_TARGETS))
+    rows = contracts.withColumns({"bucket": dte_bucket(F.col("dte_days")), "target": _target()}).filter("bucket is not null")
+    goal = F.create_map(*(F.lit(x) for n, (_, t, _) in DELTA_TARGETS.items() for x in (n, t)))
+    pick = F.struct(
+        F.abs(F.col("delta") - goal[F.col("target")]).alias("d"), ordinal.alias("o"), F.col("expiration_date").alias("e"), F.col("strike").alias("k"), F.col("ticker").alias("t"),
+        F.col("implied_volatility").alias("iv"), "gamma", "theta", "vega",
+    )
+    best = rows.groupBy(*KEYS, "bucket", "target").agg(F.count("*").alias("n"), F.min(F.when(F.col("target").isNotNull(), pick)).alias("p"))
+    own = lambda n: F.max(F.when(F.col("target") == n, F.col("p")))
+    wide = best.groupBy(*KEYS, "bucket").agg(F.sum("n").alias("n"), *(own(n).alias(f"_{n}") for n in DELTA_TARGETS))
+    value = lambda n: F.when(F.col(f"_{n}").isNotNull(), F.struct(*(F.col(f"_{n}.{c}") for c in ("iv", "gamma", "theta", "vega"))))
+    return wide.select(*KEYS, "bucket", "n", *(value(n).alias(f"{n}_v") for n in DELTA_TARGETS), *(F.col(f"_{n}.d").alias(f"{n}_d") for n in DELTA_TARGETS))
 
 
 def selection_long(contracts: DataFrame) -> DataFrame:

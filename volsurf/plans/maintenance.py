@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import split_factor
 from ..functions.symbols import parse_options, simple_ticker
 from ..operators.filters import is_sound, traded, with_expiry
-from ..operators.joins import active_asof, asof_rates, with_stock_data, without
+from ..operators.joins import asof_rates, with_membership, with_stock_data, without
 from ..schemas import TERMINAL_STATUSES
 
 
@@ -78,13 +78,9 @@ def ledger_rows(work: DataFrame, repaired: DataFrame, missing_input: DataFrame |
 
 def audited(contracts: DataFrame, snapshots: DataFrame, stock_symbols: DataFrame) -> DataFrame:
     """Contracts with flags: inside the universe, sound, and having a stock history."""
-    rows = contracts.withColumn("underlying", simple_ticker(F.col("underlying")))
-    keys = rows.select("trade_date", "underlying").distinct()
-    inside = active_asof(keys, snapshots).withColumn("_in", F.lit(True))
+    rows = with_membership(contracts.withColumn("underlying", simple_ticker(F.col("underlying"))), snapshots, "inside")
     held = stock_symbols.select(F.col("symbol").alias("underlying"), F.lit(True).alias("_held")).distinct()
-    flags = keys.join(inside, ["trade_date", "underlying"], "left").join(held, "underlying", "left")
-    out = rows.join(flags, ["trade_date", "underlying"], "left")
-    return out.withColumns({"inside": F.coalesce("_in", F.lit(False)), "sound": is_sound(), "has_stock": F.coalesce("_held", F.lit(False))}).drop("_in", "_held")
+    return rows.join(held, "underlying", "left").withColumns({"sound": is_sound(), "has_stock": F.coalesce("_held", F.lit(False))}).drop("_held")
 
 
 def audit(contracts: DataFrame, snapshots: DataFrame, stock_symbols: DataFrame) -> DataFrame:

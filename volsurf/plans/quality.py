@@ -10,7 +10,7 @@ from ..functions.numeric import finite
 from ..functions.pricing import american_price, with_implied_vol
 from ..functions.symbols import parse_options, simple_ticker
 from ..operators.filters import SOLVED, traded, with_expiry
-from ..operators.joins import active_asof, with_stock_data
+from ..operators.joins import with_membership, with_stock_data
 from ..schemas import ISSUES
 
 
@@ -101,16 +101,14 @@ def has_errors(issues: DataFrame) -> bool:
 
 def verification(contracts: DataFrame, snapshots: DataFrame) -> DataFrame:
     """Per day: rows outside the universe, rows with a missing number, and repeated keys beyond the first."""
-    rows = contracts.withColumn("underlying", simple_ticker(F.col("underlying")))
-    keys = rows.select("trade_date", "underlying").distinct()
-    inside = active_asof(keys, snapshots).withColumn("_in", F.lit(True))
+    rows = with_membership(contracts.withColumn("underlying", simple_ticker(F.col("underlying"))), snapshots, "_in")
     bad = F.lit(False)
     for c in SOLVED:
         if c != "dividend_yield":
             bad = bad | finite(F.col(c)).isNull()
-    flagged = rows.join(inside, ["trade_date", "underlying"], "left").withColumn("_bad", bad)
+    flagged = rows.withColumn("_bad", bad)
     return flagged.groupBy("trade_date").agg(
-        F.count("*").alias("n_rows"), F.count_if(F.col("_in").isNull()).alias("outside"), F.count_if("_bad").alias("invalid"), (F.count("*") - F.count_distinct("ticker")).alias("duplicates")
+        F.count("*").alias("n_rows"), F.count_if(~F.col("_in")).alias("outside"), F.count_if("_bad").alias("invalid"), (F.count("*") - F.count_distinct("ticker")).alias("duplicates")
     )
 
 

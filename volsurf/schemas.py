@@ -15,6 +15,9 @@ MANIFEST = "dataset string, trade_date date, schema_version int, source_version
 # These decide results and must be as they are.
 OPTION_SYMBOL = r"^O:([A-Z]{1,6})(\d{6})([CP])(\d{8})$"
 SUPPORTED_UNDERLYING = r"^[A-Z]{1,5}$"
+UNDERLYING = "[A-Z]{1,5}"
+#: An option symbol whose underlying is supported.
+SUPPORTED_OPTION = rf"^O:{UNDERLYING}\d{{6}}[CP]\d{{8}}$"
 MIN_DTE, MAX_DTE = 30, 90
 YEAR_DAYS = 365.25
 MIN_CLOSE = 5.0

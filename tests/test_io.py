@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from volsurf.operators import joins
 from volsurf.sources import readers, sinks
 from volsurf.streaming import incremental
 
@@ -33,7 +34,7 @@ def test_raw_days(spark, tmp_path):
 def test_stock_history(spark, tmp_path):
     (tmp_path / "aapl_stock_data.csv").write_text("Date,Close,TR.CLOSEPRICE(Adjusted=0),dividend_yield\n2024-01-02,1,185.5,\n2024-01-03,1,x,0.1\n2024-01-04,1,186,-1\n")
     got = sorted(readers.stock_history(spark, str(tmp_path)).collect())
-    assert [tuple(r) for r in got] == [("AAPL", D(2024, 1, 2), 185.5, 0.0), ("AAPL", D(2024, 1, 4), 186.0, 0.0)]
+    assert [tuple(r)[:4] for r in got] == [("AAPL", D(2024, 1, 2), 185.5, 0.0), ("AAPL", D(2024, 1, 4), 186.0, 0.0)]
     assert readers.stock_history(spark, str(tmp_path / "none")).count() == 0
 
 
@@ -83,3 +84,88 @@ def test_pending_days_without_checkpoint(spark):
     days = spark.createDataFrame([(D(2024, 1, 2),), (D(2024, 1, 3),)], "trade_date date")
     none = days.limit(0)
     assert [r.trade_date for r in incremental.pending_days(days, none, none).collect()] == [D(2024, 1, 3)]
+
+
+def test_histories_of_mixed_layouts(spark, tmp_path):
+    (tmp_path / "A_stock_data.csv").write_text("Date,dividend_yield,Open,Close\n2024-01-02,0.1,1,5\n2024-01-02,0.2,1,6\n")
+    (tmp_path / "b_stock_data.csv").write_text('\ufeffname,Close,day of date,dividend_yield\r\n"x, y",7,1/3/2024,\r\n')
+    (tmp_path / "C_stock_data.csv").write_text("Date,Open\n2024-01-02,1\n")
+    (tmp_path / "D_stock_data.csv").write_text("")
+    got = readers.stock_history(spark, str(tmp_path))
+    assert sorted(tuple(r) for r in got.collect()) == [("A", D(2024, 1, 2), 5.0, 0.1, 1), ("A", D(2024, 1, 2), 6.0, 0.2, 2), ("B", D(2024, 1, 3), 7.0, 0.0, 1)]
+    assert sorted(r.symbol for r in readers.stock_symbols(spark, str(tmp_path)).collect()) == ["A", "B", "C"]  # Spark lists no files without a byte
+    rows = spark.createDataFrame([("A", D(2024, 1, 2))], "underlying string, trade_date date")
+    assert [(r.underlying_close, r.dividend_yield) for r in joins.with_stock_data(rows, got).collect()] == [(6.0, 0.2)]
+
+
+def test_optional_and_probed_files(spark, tmp_path):
+    assert readers.optional(spark, str(tmp_path / "none"), "a string").count() == 0
+    (tmp_path / "broken.parquet").write_bytes(b"PAR1 and nothing more")
+    assert readers.optional(spark, str(tmp_path / "broken.parquet"), "a string", "parquet").count() == 0
+    day_file(tmp_path / "raw", D(2024, 1, 2), [("T", 1), ("U", 2)])
+    day_file(tmp_path / "raw", D(2024, 1, 3), [])
+    with gzip.open(tmp_path / "raw/2024-01-04.csv.gz", "wt"):
+        pass
+    got = {r.item[-17:-7]: (r.header.split(",")[0], r.rows) for r in readers.probed(spark, str(tmp_path / "raw")).collect()}
+    assert got == {"2024-01-02": ("ticker", 2), "2024-01-03": ("ticker", 0), "2024-01-04": ("", 0)}
+    assert sorted(r.trade_date for r in readers.completed_days(spark, str(tmp_path / "raw")).collect()) == [D(2024, 1, k) for k in (2, 3, 4)]
+
+
+def test_vendor_batches_wait_when_throttled():
+    class Busy(readers._VendorReader):
+        asked = 0
+
+        def request(self, candidate):
+            Busy.asked += 1
+            if Busy.asked < 3:
+                raise readers.Throttled
+            return [{"symbol": candidate}] if candidate != "none" else []
+
+    reader = Busy({"symbols": ",".join(f"S{k}" for k in range(23)), "pause": "0"}, ["symbol"])
+    parts = reader.partitions()
+    assert [len(str(p.value).split(",")) for p in parts] == [10, 10, 3]
+    assert list(reader.read(readers.InputPartition("none|A,B"))) == [("A",), ("B",)] and Busy.asked == 5
+    Busy.asked = -9
+    with pytest.raises(readers.Throttled):
+        list(reader.read(readers.InputPartition("A")))
+
+
+def test_rate_files_and_key(spark, tmp_path, monkeypatch):
+    (tmp_path / "r.json").write_text(json.dumps({"observations": [{"date": "2024-01-02", "value": "5"}]}))
+    assert [tuple(r) for r in readers.rate_responses(spark, str(tmp_path)).collect()] == [(D(2024, 1, 2), 0.05)]
+    monkeypatch.delenv("RATE_KEY", raising=False)
+    with pytest.raises(OSError, match="RATE_KEY"):
+        readers.rate_key()
+    monkeypatch.setenv("RATE_KEY", " k ")
+    assert readers.rate_key() == "k"
+
+
+def test_flattened_and_silent_answers(spark):
+    df = spark.sql("SELECT struct(1 AS Open, 2 AS Close) AS AAPL, 3 AS ` Date `")
+    assert readers.flattened(df).columns == ["AAPL_Open", "AAPL_Close", "Date"]
+    rows = spark.createDataFrame([(D(2024, 1, 1), 1, None, None, "x"), (D(2024, 1, 1), 2, "A.N", "A", "y")], "snapshot_date date, request int, ric string, ticker string, name string")
+    members, mute = readers.snapshot_rows(rows)
+    assert [r.ticker for r in members.collect()] == ["A"] and [r.request for r in mute.collect()] == [1]
+
+
+def test_a_broken_swap_is_recovered(spark, tmp_path):
+    (tmp_path / "live.old").mkdir()
+    (tmp_path / "live.old" / "x").write_text("old")
+    assert sinks.recovered(spark, str(tmp_path / "live")) and (tmp_path / "live" / "x").read_text() == "old"
+    (tmp_path / "new").mkdir()
+    sinks.swap(spark, str(tmp_path / "new"), str(tmp_path / "live"))
+    assert not (tmp_path / "live.old").exists() and not (tmp_path / "live" / "x").exists()
+    with pytest.raises(OSError, match="absent"):
+        sinks.swap(spark, str(tmp_path / "absent"), str(tmp_path / "live"))
+    assert (tmp_path / "live").exists()
+
+
+def test_stored_fixtures_are_read(spark, tmp_path):
+    from volsurf import fixtures
+
+    fixtures.write(spark, "/root/testdata/sf0.001", str(tmp_path), "rates")
+    spark.conf.set(fixtures.STORED, str(tmp_path))
+    try:
+        assert fixtures.load(spark, "/nowhere", "rates").count() > 0
+    finally:
+        spark.conf.unset(fixtures.STORED)

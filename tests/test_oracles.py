@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from volsurf.queries import ORACLE_SQL, QUERIES
@@ -21,7 +22,7 @@ def duck():
 
 def rows(df):
     df = df[sorted(df.columns)]
-    plain = [tuple("" if v is None or v != v else repr(round(float(v), 6)) if isinstance(v, float) else str(v) for v in r) for r in df.itertuples(index=False)]
+    plain = [tuple("" if pd.isna(v) else repr(round(float(v), 6)) if isinstance(v, float) else str(v) for v in r) for r in df.itertuples(index=False)]
     return sorted(plain)
 
 

@@ -116,3 +116,29 @@ def test_only_puts(spark):
     df = spark.createDataFrame([(D(2024, 1, 2), "A", "put", 0.2, -0.5, 0.1, float("nan"), 1.0)], "trade_date date, underlying string, option_type string, implied_volatility double, atm_delta double, atm_gamma double, atm_theta double, atm_vega double")
     got = features.daily_features(df).collect()[0]
     assert got.avg_call_iv is None and got.avg_put_iv == 0.2 and got.avg_put_theta is None
+
+
+def test_symbols_are_parsed_once(spark, tmp_path):
+    spark.sql("SELECT 'O:AAPL250117C00150000' AS ticker, 1L AS volume, 2D AS close, DATE '2024-12-01' AS trade_date").write.parquet(str(tmp_path / "raw"))
+    plan = filters.eligible(spark.read.parquet(str(tmp_path / "raw")))._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(volume,0)" in plan and "GreaterThan(c" in plan and "regexp_extract" not in plan
+    assert filters.eligible(spark.read.parquet(str(tmp_path / "raw")), only="AAPL").count() == 1 and filters.eligible(spark.read.parquet(str(tmp_path / "raw")), only="AAP").count() == 0
+
+
+def test_both_sides_are_needed(spark):
+    rows = spark.createDataFrame([(D(2024, 1, 2), "A", "call", 0.5)], "trade_date date, underlying string, option_type string, delta double")
+    with pytest.raises(ValueError, match="no calls or no puts"):
+        joins.call_put_outer(rows, ["delta"])
+
+
+def test_first_row_of_a_ticker_wins(spark):
+    rows = spark.createDataFrame([(D(2024, 1, 1), "X.N;Y.N;Z.N", "A;A;C", None), (D(2024, 2, 1), "Y.N", "A", None)], "day date, r string, t string, n string")
+    got = sorted((r.day, r.ticker, r.original_ric) for r in symbols.exploded_members(rows, "r", "t", "n").collect())
+    assert got == [(D(2024, 1, 1), "A", "X.N"), (D(2024, 1, 1), "C", "Z.N"), (D(2024, 2, 1), "A", "Y.N")]
+
+
+def test_wider_coverage(spark):
+    rows = spark.createDataFrame([(D(2024, 1, 2), d) for d in (20, 29, 30, 44, 50, 80, 95)] + [(D(2024, 1, 3), 50)], "trade_date date, dte_days int")
+    have = rows.filter("dte_days in (44, 50, 80) and trade_date = '2024-01-02'")
+    assert sorted((r.trade_date.day, r.dte_days) for r in filters.uncovered(rows, have, 20, 120).collect()) == [(2, 20), (2, 29), (2, 95), (3, 50)]
+    assert sorted((r.trade_date.day, r.dte_days) for r in filters.uncovered(rows, have).collect()) == [(2, 30), (3, 50)]

@@ -40,6 +40,9 @@ def ctes(dialect: str) -> dict[str, str]:
                    40e0 + (s_suppkey * 37) % 160 + ((s_suppkey * 13 + 7 * d) % 11) * 0.25e0 AS close,
                    CASE WHEN s_suppkey % 3 = 0 THEN 0e0 ELSE (s_suppkey % 5) * 0.005e0 END AS dividend_yield
             FROM supplier CROSS JOIN {DIGITS} WHERE (s_suppkey + d) % 17 <> 0""",
+        "stock_rows": """
+            SELECT symbol, trade_date, close, dividend_yield, CAST(2 AS BIGINT) AS ordinal FROM stocks
+            UNION ALL SELECT symbol, trade_date, close + 90e0, 0.5e0, CAST(1 AS BIGINT) FROM stocks WHERE close > 100e0""",
         "keyed": f"""
             SELECT {symbol(d, 'l_suppkey')} AS root, {day("DATE '2024-01-02'", '(l_orderkey + l_linenumber) % 10')} AS trade_date,
                    20 + l_partkey % 80 AS dte, CASE WHEN l_returnflag = 'A' OR (l_returnflag = 'N' AND l_linestatus = 'O') THEN 'C' ELSE 'P' END AS flag,
@@ -103,7 +106,7 @@ def _own(dialect: str) -> str:
             FROM parsed p JOIN stocks s ON p.underlying = s.symbol AND p.trade_date = s.trade_date"""
 
 
-_NEEDS = {"spots": ("stocks", "keyed"), "raw": ("spots",), "rates": ("daily_counts",), "parsed": ("raw",), "own": ("parsed", "stocks")}
+_NEEDS = {"spots": ("stocks", "keyed"), "raw": ("spots",), "rates": ("daily_counts",), "parsed": ("raw",), "own": ("parsed", "stocks"), "stock_rows": ("stocks",)}
 
 
 def _closure(names: tuple[str, ...]) -> list[str]:

@@ -27,6 +27,19 @@ def american_price(s: pd.Series, k: pd.Series, t: pd.Series, r: pd.Series, v: pd
     return pd.Series(kernels.american(*(x.to_numpy() for x in (s, k, t, r, v, call, q))))
 
 
+_TREE = StructType([StructField(c, DoubleType()) for c in ("steps", "up", "down", "p", "discount")])
+
+
+@F.pandas_udf(_TREE)
+def tree_parameters(t: pd.Series, r: pd.Series, v: pd.Series, q: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame(kernels.tree_parameters(*(x.to_numpy() for x in (t, r, v, q))))
+
+
+@F.pandas_udf(DoubleType())
+def single_tree_price(s: pd.Series, k: pd.Series, t: pd.Series, r: pd.Series, v: pd.Series, call: pd.Series, q: pd.Series) -> pd.Series:
+    return pd.Series(kernels.single_tree(*(x.to_numpy() for x in (s, k, t, r, v, call, q))))
+
+
 def _frame(values: np.ndarray) -> pd.DataFrame:
     """NaN becomes null on the way to Arrow."""
     return pd.DataFrame(dict(zip(GREEKS, values, strict=True)))

@@ -71,7 +71,8 @@ def exploded_members(df: DataFrame, code: str, ticker: str, name: str, order: st
     given) and of positions; the other columns that ``df`` keeps, such as a
     snapshot's date, separate tickers.  Rows without ticker and code are dropped.
     """
-    zipped = df.select("*", F.posexplode_outer(F.arrays_zip(split_cell(F.col(code)).alias("code"), split_cell(F.col(ticker)).alias("ticker"), split_cell(F.col(name)).alias("name"))).alias("place", "m"))
+    cells = (F.coalesce(split_cell(F.col(c)), F.array().cast("array<string>")).alias(a) for c, a in ((code, "code"), (ticker, "ticker"), (name, "name")))
+    zipped = df.select("*", F.posexplode(F.arrays_zip(*cells)).alias("place", "m"))
     keep = [c for c in df.columns if c not in (code, ticker, name, order)]
     rank = F.struct(*([F.col(order).alias("o")] if order else []), F.col("place").alias("p"), F.col("m.code").alias("c"), F.col("m.name").alias("n"))
     rows = zipped.select(*keep, "place", F.col("m.code").alias("original_ric"), index_ticker(F.coalesce("m.ticker", "m.code")).alias("ticker"), F.col("m.name").alias("name"), rank.alias("_rank")).filter("ticker is not null")

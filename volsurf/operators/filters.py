@@ -80,6 +80,25 @@ def missing_dte(df: DataFrame, low: int | None, high: int | None, target: int) -
     return df.filter(below | (F.col("dte_days") > high)) if target > MAX_DTE else df.filter(below)
 
 
+def uncovered(df: DataFrame, existing: DataFrame, min_dte: int = MIN_DTE, max_dte: int = MAX_DTE) -> DataFrame:
+    """Rows that each day's existing shard doesn't cover: expiries below its least one (below MIN_DTE for a wider range), and above its largest for a target beyond MAX_DTE.
+
+    Days without an existing row are wanted whole.
+    """
+    have = existing.filter("dte_days is not null").groupBy("trade_date").agg(F.min("dte_days").alias("_low"), F.max("dte_days").alias("_high"))
+    rows = df.filter(F.col("dte_days").between(min_dte, max_dte)).join(have, "trade_date", "left")
+    below = F.col("dte_days") < (F.lit(MIN_DTE) if min_dte < MIN_DTE else F.col("_low"))
+    wanted = F.col("_low").isNull() | below
+    if max_dte > MAX_DTE:
+        wanted = wanted | (F.col("dte_days") > F.col("_high"))
+    return rows.filter(wanted).drop("_low", "_high")
+
+
+def dte_bounds(df: DataFrame) -> DataFrame:
+    """(trade_date, low, high): the expiries that each day's rows span."""
+    return df.groupBy("trade_date").agg(F.min("dte_days").alias("low"), F.max("dte_days").alias("high"))
+
+
 def close_floor(df: DataFrame, close: str = "close") -> DataFrame:
     return df.filter(F.expr(f"try_cast(`{close}` AS double)") > MIN_CLOSE)
 

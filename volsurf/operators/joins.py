@@ -122,6 +122,30 @@ def active_asof(df: DataFrame, snapshots: DataFrame, symbol: str = "underlying",
     return df.join(_memberships(snapshots), (F.col(symbol) == F.col("_s")) & held, "left_semi")
 
 
+def allowed(df: DataFrame, snapshots: DataFrame | None, requested: DataFrame | None, symbol: str = "underlying") -> DataFrame:
+    """Rows whose symbol is active on its day and among the requested ones; either condition may be absent."""
+    out = active_asof(df, snapshots, symbol) if snapshots is not None else df
+    if requested is None:
+        return out
+    # lists of requested symbols are typed by hand
+    return out.join(requested.select(F.col("symbol").alias("_s")).distinct(), F.col(symbol) == F.col("_s"), "left_semi")
+
+
+def call_put_outer(contracts: DataFrame, values: list[str]) -> DataFrame:
+    """Per stock and day: the mean of each value for calls and for puts, null where a side is absent.
+
+    A table that lacks one side altogether is an error.
+    """
+    sides = {s: F.col("option_type") == s for s in ("call", "put")}
+    out = contracts.filter("option_type in ('call', 'put')").groupBy("trade_date", "underlying").agg(
+        *(F.avg(F.when(w, F.col(v))).alias(f"{v}_{s[0]}") for v in values for s, w in sides.items()), *(F.nullif(F.count_if(w), F.lit(0)).alias(f"n_{s}") for s, w in sides.items())
+    )
+    absent = contracts.agg(*(F.count_if(w).alias(s) for s, w in sides.items())).filter("call = 0 or put = 0")
+    if not absent.isEmpty():
+        raise ValueError("no calls or no puts at all")
+    return out
+
+
 def with_membership(df: DataFrame, snapshots: DataFrame, flag: str, symbol: str = "underlying", strict: bool = True) -> DataFrame:
     """``df`` with whether each row's symbol is in the latest snapshot on or before its day; no row is multiplied."""
     if strict:

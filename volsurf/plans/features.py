@@ -185,6 +185,12 @@ def surface_features(contracts: DataFrame) -> DataFrame:
     return out.withColumns(mean | slopes | counts).select(*SURFACE_COLUMNS)
 
 
+def contract_counts(contracts: DataFrame) -> DataFrame:
+    """Per stock and day: contracts in all and by expiry bucket."""
+    bucket = dte_bucket(F.col("dte_days"))
+    return contracts.groupBy(*KEYS).agg(F.count("*").alias("n"), *(F.count_if(bucket == b).alias(f"n_{b}") for b in DTE_BUCKETS))
+
+
 def missing_share(features: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
     """(area, missing_pct): the mean share of nulls over each group's columns, in percent."""
     means = features.agg(*(F.avg(F.col(c).isNull().cast("double")).alias(c) for c in dict.fromkeys(x for g in groups.values() for x in g)))

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import split_factor
-from ..functions.symbols import parse_options, simple_ticker
-from ..operators.filters import is_sound, traded, with_expiry
+from ..functions.pricing import with_atm_greeks
+from ..functions.symbols import normalized_underlying, parse_options, simple_ticker
+from ..operators.filters import is_sound, present_columns, traded, with_expiry
 from ..operators.joins import asof_rates, with_membership, with_stock_data, without
-from ..schemas import TERMINAL_STATUSES
+from ..schemas import ATM_CONTRACT_COLUMNS, MAX_DTE, MIN_DTE, TERMINAL_STATUSES
+from ..sources.sinks import staged
+from .contracts import solved
+from .features import daily_features
 
 
 def mismatches(clean: DataFrame, raw: DataFrame) -> DataFrame:
@@ -44,20 +51,88 @@ def repair_rates(contracts: DataFrame, days: DataFrame, rates: DataFrame) -> Dat
     return found.select("trade_date", F.coalesce("_own", "risk_free_rate").alias("risk_free_rate"))
 
 
-def recomputed_inputs(raw: DataFrame, stocks: DataFrame, affected: DataFrame, rates: DataFrame, min_dte: int = 30, max_dte: int = 90) -> DataFrame:
-    """Rows to price again: only affected symbols and days, without the universe filters of a first build."""
+def recomputed_inputs(raw: DataFrame, stocks: DataFrame, affected: DataFrame, rates: DataFrame, min_dte: int = MIN_DTE, max_dte: int = MAX_DTE) -> DataFrame:
+    """Rows to price again: only affected symbols and days, without the universe filters of a first build.
 
-    parsed = with_expiry(parse_options(raw)).filter(F.col("dte_days").between(min_dte, max_dte) & traded(F.col("volume"), F.col("close")))
+    ``rates`` has a row per day (see ``repair_rates``).
+    """
+    traded_rows = raw.filter(traded(F.col("volume"), F.col("close"))).join(F.broadcast(rates.select("trade_date")), "trade_date", "left_semi")
+    parsed = with_expiry(parse_options(traded_rows)).withColumn("underlying", normalized_underlying(F.col("underlying"))).filter(F.col("dte_days").between(min_dte, max_dte))
     wanted = parsed.join(affected.select("trade_date", F.col("symbol").alias("underlying")).distinct(), ["trade_date", "underlying"], "left_semi")
     return with_stock_data(wanted, stocks).join(F.broadcast(rates), "trade_date", "left")
 
 
-def spliced(contracts: DataFrame, repaired: DataFrame) -> DataFrame:
-    """A day's contracts with the repaired symbols' rows in place of their old ones."""
-    keys = repaired.select("trade_date", "underlying").distinct()
+def spliced(contracts: DataFrame, repaired: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """Contracts with the repaired rows in place of all old ones of their symbols and days; ``pairs`` (trade_date, underlying) names these, else the new rows do."""
+    keys = (repaired if pairs is None else pairs).select("trade_date", "underlying").distinct()
     return contracts.join(keys, ["trade_date", "underlying"], "left_anti").unionByName(repaired, allowMissingColumns=True)
 
 
+class Repair(NamedTuple):
+    """Contracts and features of the repaired days, and what goes to the ledger."""
+
+    contracts: DataFrame
+    features: DataFrame
+    ledger: DataFrame
+
+
+def split_repair(
+    raw: DataFrame,
+    clean: DataFrame,
+    found: DataFrame,
+    ledger: DataFrame,
+    contracts: DataFrame,
+    rates: DataFrame,
+    retry_failed: bool = False,
+    dry_run: bool = False,
+    price: Callable[[DataFrame], DataFrame] | None = None,
+) -> Repair:
+    """Prices the contracts of mismatched symbol-days again on the clean history.
+
+    Symbol-days that the ledger or the stored rows show as done are left alone.
+    A day's symbols are repaired together: its other contracts stay, its features
+    are built again, and its ledger row tells what became of it.  ``price`` adds
+    implied volatility and at-the-money Greeks.
+    """
+    days = lambda df: df.select("trade_date").distinct()
+    # pairs of symbols and days are few, and every status is cut from them
+    pairs = staged(work_list(found, ledger, retry_failed).select("trade_date", F.explode("symbols").alias("symbol")), "pairs")
+    present = staged(days(raw).intersect(days(contracts)), "days")
+    absent = pairs.join(present, "trade_date", "left_anti")
+    have = pairs.join(present, "trade_date", "left_semi")
+    stored = already_repaired(contracts.join(days(have), "trade_date", "left_semi"), clean).filter("repaired")
+    stored = staged(stored.select("trade_date", F.col("underlying").alias("symbol")), "stored")
+    done = have.join(stored, ["trade_date", "symbol"], "left_semi")
+    todo = staged(have.join(stored, ["trade_date", "symbol"], "left_anti"), "todo")
+    at = staged(repair_rates(contracts, days(todo), rates), "rates")
+    rated = todo.join(at.filter("risk_free_rate is not null"), "trade_date", "left_semi")
+    unrated = todo.join(at.filter("risk_free_rate is not null"), "trade_date", "left_anti")
+    if dry_run:
+        return Repair(contracts.limit(0), daily_features(contracts.limit(0)), ledger_entries({"missing_input": absent, "repaired": done, "dry_run": todo}))
+    inputs = recomputed_inputs(raw, clean, rated, at)
+    new = (price or (lambda df: with_atm_greeks(solved(df))))(inputs).filter("implied_volatility is not null")
+    # the solver's rows are used as contracts, for features and for the ledger
+    new = staged(present_columns(new, [*ATM_CONTRACT_COLUMNS, "ordinal"]), "priced")
+    repaired = rated.join(days(new), "trade_date", "left_semi")
+    empty = rated.join(days(new), "trade_date", "left_anti")
+    whole = spliced(contracts.join(days(repaired), "trade_date", "left_semi"), new, repaired.withColumnRenamed("symbol", "underlying"))
+    rows = new.groupBy("trade_date").agg(F.count("*").alias("option_rows"))
+    entries = ledger_entries({"missing_input": absent, "missing_risk_free_rate": unrated, "no_repaired_rows": empty, "repaired": repaired}, rows)
+    noted = ledger_entries({"repaired": done}).withColumn("note", F.lit("detected_existing_repair"))
+    return Repair(whole.sort("trade_date", "underlying", "ticker"), daily_features(whole), entries.unionByName(noted))
+
+
+def ledger_entries(pairs: dict[str, DataFrame], rows: DataFrame | None = None) -> DataFrame:
+    """A ledger row per day and status from (trade_date, symbol) pairs by status; ``rows`` counts the contracts of repaired days."""
+    out = None
+    for status, some in pairs.items():
+        part = some.groupBy("trade_date").agg(F.array_join(F.array_sort(F.collect_set("symbol")), ";").alias("symbols")).withColumn("status", F.lit(status))
+        out = part if out is None else out.unionByName(part)
+    counted = out.join(rows, "trade_date", "left") if rows is not None else out.withColumn("option_rows", F.lit(None).cast("long"))
+    own = F.when(F.col("status") == "repaired", F.col("option_rows")).cast("long")
+    return counted.select("trade_date", "symbols", "status", F.lit(None).cast("string").alias("note"), own.alias("option_rows"), F.lit(None).cast("string").alias("feature_path"))
+
+
 def already_repaired(contracts: DataFrame, clean: DataFrame, tolerance: float = 1e-6) -> DataFrame:
     """(trade_date, underlying, repaired): whether all stored closes agree with the clean history."""
     side = clean.select(F.col("symbol").alias("underlying"), "trade_date", F.col("close").alias("_clean"))
@@ -65,15 +140,12 @@ def already_repaired(contracts: DataFrame, clean: DataFrame, tolerance: float =
     return contracts.join(side, ["underlying", "trade_date"]).groupBy("trade_date", "underlying").agg(F.bool_and(F.coalesce(error <= tolerance, F.lit(False))).alias("repaired"))
 
 
-def ledger_rows(work: DataFrame, repaired: DataFrame, missing_input: DataFrame | None = None) -> DataFrame:
-    """Ledger entries of a repair run, one per day, in one fixed schema."""
+def ledger_rows(work: DataFrame, repaired: DataFrame) -> DataFrame:
+    """Ledger entries of a repair run from its work list (trade_date, symbols) and the contracts it priced: one per day."""
     rows = repaired.groupBy("trade_date").agg(F.count("*").alias("option_rows"))
-    status = F.when(F.col("option_rows") > 0, "repaired").otherwise("no_repaired_rows")
-    out = work.join(rows, "trade_date", "left")
-    if missing_input is not None:
-        out = out.join(missing_input.select("trade_date", F.lit(True).alias("_absent")).distinct(), "trade_date", "left")
-        status = F.when(F.col("_absent"), "missing_input").otherwise(status)
-    return out.select("trade_date", F.array_join("symbols", ";").alias("symbols"), status.alias("status"), F.lit(None).cast("string").alias("note"), F.coalesce("option_rows", F.lit(0)).cast("long").alias("option_rows"), F.lit(None).cast("string").alias("feature_path"))
+    pairs = work.select("trade_date", F.explode("symbols").alias("symbol"))
+    by = {"repaired": pairs.join(rows, "trade_date", "left_semi"), "no_repaired_rows": pairs.join(rows, "trade_date", "left_anti")}
+    return ledger_entries(by, rows).withColumn("option_rows", F.coalesce("option_rows", F.lit(0)).cast("long"))
 
 
 def audited(contracts: DataFrame, snapshots: DataFrame, stock_symbols: DataFrame) -> DataFrame:

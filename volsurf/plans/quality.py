@@ -91,6 +91,55 @@ def raw_issues(raw: DataFrame, last_day: str, sample: int = 1000) -> DataFrame:
     return _all(parts)
 
 
+RAW_COLUMNS = ("ticker", "volume", "open", "close", "high", "low", "window_start", "transactions")
+
+
+def _header(files: DataFrame) -> DataFrame:
+    return files.withColumn("_columns", F.transform(F.split(F.lower("header"), ","), lambda c: F.trim(c)))
+
+
+def raw_file_issues(files: DataFrame) -> DataFrame:
+    """Rules on raw files (see ``readers.probed``): unreadable without a header, empty without rows, required columns present."""
+    rows = _header(files).withColumn("_missing", F.array_sort(F.array_except(F.array(*map(F.lit, RAW_COLUMNS)), "_columns")))
+    some = rows.filter("header != '' and rows > 0")
+    return _all(
+        [
+            issue(rows.filter("header = ''"), "error", "options", F.col("item"), "unreadable"),
+            issue(rows.filter("header != '' and rows = 0"), "warning", "options", F.col("item"), "no rows"),
+            issue(some.filter(F.size("_missing") > 0), "error", "options", F.col("item"), F.concat(F.lit("missing columns: "), F.array_join("_missing", ", "))),
+        ]
+    )
+
+
+def snapshot_file_issues(files: DataFrame, members: DataFrame) -> DataFrame:
+    """Rules on snapshot files: readable, not empty, with a ticker column; and some members at all."""
+    rows = _header(files)
+    bare = rows.filter("header != ''").filter(~F.array_contains("_columns", "ticker"))
+    none = members.agg(F.count("*").alias("n")).filter("n = 0")
+    return _all(
+        [
+            issue(rows.filter("header = ''"), "error", "constituency", F.col("item"), "unreadable"),
+            issue(rows.filter("header != '' and rows = 0"), "error", "constituency", F.col("item"), "no rows"),
+            issue(bare, "error", "constituency", F.col("item"), "no ticker column"),
+            issue(none, "error", "constituency", F.lit("snapshots"), "no usable snapshots"),
+        ]
+    )
+
+
+def issue_sample(issues: DataFrame, n: int = 20) -> DataFrame:
+    """The first n issues: errors first, then by area and item."""
+    return issues.orderBy(F.col("severity") != "error", "area", "item", "message").limit(n)
+
+
+def duplicate_keys(rows: DataFrame, key: str = "ticker") -> DataFrame:
+    """(trade_date, duplicates): rows beyond the first of each key."""
+    return rows.groupBy("trade_date").agg((F.count("*") - F.count_distinct(key)).alias("duplicates"))
+
+
+def distinct_count(rows: DataFrame, column: str = "underlying") -> DataFrame:
+    return rows.agg(F.count_distinct(column).alias("n"))
+
+
 def no_issues(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], ISSUES)
 
@@ -155,6 +204,11 @@ def solver_summary(report: DataFrame) -> DataFrame:
     return report.agg(F.count("*").alias("stocks"), F.count_if(rate >= 95).alias("at_least_95"), F.count_if(rate >= 99).alias("at_least_99"), F.count_if(rate < 90).alias("below_90"))
 
 
+def solver_failures(samples: DataFrame) -> DataFrame:
+    """(iv_failure_reason, n) of the samples that were not solved."""
+    return samples.filter("iv_failure_reason != 'ok'").groupBy("iv_failure_reason").agg(F.count("*").alias("n"))
+
+
 def extremes(report: DataFrame, n: int = 15, worst: bool = True) -> DataFrame:
     """The n stocks of lowest (or highest) solve rate; among equals, those of more samples."""
     first = F.col("solve_rate") if worst else F.desc("solve_rate")
@@ -162,10 +216,10 @@ def extremes(report: DataFrame, n: int = 15, worst: bool = True) -> DataFrame:
 
 
 def funnel(raw: DataFrame, stocks: DataFrame) -> DataFrame:
-    """One row of counts: raw, parsed, in range, traded, with a close; from one pass over the rows."""
+    """One row of counts: raw, parsed, in range, traded, with a close, and sampled (a contract for each day, stock and type); from one pass over the rows."""
     rows = with_stock_data(with_expiry(parse_options(raw)), stocks)
     a = F.coalesce(F.col("option_type").isNotNull(), F.lit(False))
     b = a & F.coalesce(F.col("dte_days").between(30, 90), F.lit(False))
     c = b & traded(F.col("volume"), F.col("close"))
     d = c & F.col("underlying_close").isNotNull()
-    return rows.agg(F.count("*").alias("raw"), F.count_if(a).alias("parsed"), F.count_if(b).alias("in_range"), F.count_if(c).alias("traded"), F.count_if(d).alias("with_close"))
+    return rows.agg(F.count("*").alias("raw"), F.count_if(a).alias("parsed"), F.count_if(b).alias("in_range"), F.count_if(c).alias("traded"), F.count_if(d).alias("with_close"), F.count_distinct(F.when(d, F.struct("trade_date", "underlying", "option_type"))).alias("sampled"))

@@ -22,20 +22,31 @@ def trailing_dividends(symbol: str = "symbol"):
     return F.sum(F.coalesce("dividends", F.lit(0.0))).over(Window.partitionBy(symbol).orderBy(F.unix_date("trade_date")).rangeBetween(-364, 0))
 
 
+#: Prices besides the close that splits change.
+PRICES = ("open", "high", "low")
+
+
+def unsplit(vendor: DataFrame, symbol: str = "symbol") -> DataFrame:
+    """Close, and open, high and low where there are any, times the product of all later splits."""
+    columns = [c for c in ("close", *PRICES) if c in vendor.columns]
+    rows = vendor.withColumn("_factor", future_split_factor(symbol))
+    return rows.withColumns({c: F.col(c) * F.col("_factor") for c in columns}).drop("_factor")
+
+
 def normalized(vendor: DataFrame, symbol: str = "symbol") -> DataFrame:
     """Split-adjusted vendor closes to traded ones, with the trailing yield; low prices go last, so their dividends count.
 
     One window partition per symbol: a few thousand rows of its own history.
     """
     kept = vendor.filter("trade_date is not null and close is not null")
-    out = kept.withColumn("close", F.col("close") * future_split_factor(symbol)).withColumn("dividend_yield", finished_yield(trailing_dividends(symbol), F.col("close")))
+    out = unsplit(kept, symbol).withColumn("dividend_yield", finished_yield(trailing_dividends(symbol), F.col("close")))
     return close_floor(out)
 
 
 def normalized_same_day(vendor: DataFrame, symbol: str = "symbol") -> DataFrame:
     """The same, but with the day's own dividend in place of the trailing sum."""
     kept = vendor.filter("trade_date is not null and close is not null").withColumn("adj_close", F.col("close"))
-    out = kept.withColumn("close", F.col("close") * future_split_factor(symbol)).withColumn("dividend_yield", finished_yield(F.col("dividends"), F.col("close")))
+    out = unsplit(kept, symbol).withColumn("dividend_yield", finished_yield(F.col("dividends"), F.col("close")))
     return close_floor(out)
 
 
@@ -63,6 +74,26 @@ def bounds(stocks: DataFrame) -> DataFrame:
     return stocks.groupBy("symbol").agg(F.min("trade_date").alias("first_day"), F.max("trade_date").alias("last_day"), F.bool_and(fine).alias("has_yield"))
 
 
+def covers(stocks: DataFrame, start: str, end: str) -> DataFrame:
+    """(symbol) whose history reaches from ``start`` or earlier to ``end`` or later."""
+    per = stocks.groupBy("symbol").agg(F.min("trade_date").alias("a"), F.max("trade_date").alias("b"))
+    return per.filter((F.col("a") <= F.lit(start).cast("date")) & (F.col("b") >= F.lit(end).cast("date"))).select("symbol")
+
+
+def rebuild_statuses(symbols: DataFrame, existing: DataFrame, fetched: DataFrame, failures: DataFrame, overwrite: bool = False, dry_run: bool = False) -> DataFrame:
+    """(symbol, status, n) of a rebuild of all histories: exists, dry_run, failed, empty or saved.
+
+    ``existing``: symbols that have a rebuilt history; ``fetched``: rows by
+    symbol; ``failures``: symbols whose fetch failed.
+    """
+    counts = fetched.groupBy("symbol").agg(F.count("*").alias("n"))
+    marked = lambda df, c: df.select("symbol", F.lit(True).alias(c)).distinct()
+    rows = symbols.select("symbol").distinct().join(marked(existing, "_have"), "symbol", "left").join(marked(failures, "_bad"), "symbol", "left").join(counts, "symbol", "left")
+    status = F.when(F.col("_have") & ~F.lit(overwrite), "exists").when(F.lit(dry_run), "dry_run").when(F.col("_bad"), "failed").when(F.col("n").isNull(), "empty").otherwise("saved")
+    rows = rows.withColumn("status", status)
+    return rows.select("symbol", "status", F.when(F.col("status") == "saved", F.col("n")).alias("n"))
+
+
 def fetch_ranges(windows: DataFrame, start: str, end: str) -> DataFrame:
     """(symbol, range_start, range_end): the business days that all windows of a symbol span, clipped."""
     lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")

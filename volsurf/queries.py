@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from . import fixtures
 from .functions import calendar, numeric, symbols
-from .functions.pricing import american_price, with_atm_greeks, with_implied_vol, with_strike_greeks
+from .functions.pricing import american_price, tree_parameters, with_atm_greeks, with_implied_vol, with_strike_greeks
 from .operators import filters, joins
 from .plans import contracts, features, maintenance, quality, stocks
-from .schemas import DAILY_FEATURES, DELTA_TARGETS
+from .schemas import DAILY_FEATURES, DELTA_TARGETS, DTE_BUCKETS
+from .sources import readers, sinks
 from .streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,9 +115,10 @@ def _completed(spark, sf):
     return filters.completed_columns(symbols.parse_options(raw(spark, sf)), ["trade_date", "underlying", "close", "absent"])
 
 
-@query("agg10_filter_funnel", "raw:i parsed:i in_range:i traded:i with_close:i", """
-    SELECT count(*) AS raw, count(*) FILTER (p) AS parsed, count(*) FILTER (p AND r) AS in_range, count(*) FILTER (p AND r AND t) AS traded, count(*) FILTER (p AND r AND t AND s) AS with_close
-    FROM (SELECT expiration_date IS NOT NULL AS p, (expiration_date - parsed.trade_date) BETWEEN 30 AND 90 AS r, parsed.volume > 0 AND parsed.close > 0 AS t, stocks.close IS NOT NULL AS s
+@query("agg10_filter_funnel", "raw:i parsed:i in_range:i traded:i with_close:i sampled:i", """
+    SELECT count(*) AS raw, count(*) FILTER (p) AS parsed, count(*) FILTER (p AND r) AS in_range, count(*) FILTER (p AND r AND t) AS traded, count(*) FILTER (p AND r AND t AND s) AS with_close,
+        count(DISTINCT (d, underlying, option_type)) FILTER (p AND r AND t AND s) AS sampled
+    FROM (SELECT parsed.trade_date AS d, underlying, option_type, expiration_date IS NOT NULL AS p, (expiration_date - parsed.trade_date) BETWEEN 30 AND 90 AS r, parsed.volume > 0 AND parsed.close > 0 AS t, stocks.close IS NOT NULL AS s
           FROM parsed LEFT JOIN stocks ON underlying = symbol AND parsed.trade_date = stocks.trade_date)""", "parsed", "stocks")
 def _funnel(spark, sf):
     return quality.funnel(raw(spark, sf), view(spark, sf, "stocks"))
@@ -125,9 +127,9 @@ def _funnel(spark, sf):
 # --- joins ---------------------------------------------------------------------------------------------------------
 
 
-@query("jn01_close_and_yield", "ticker:s trade_date:d ordinal:i underlying_close:f dividend_yield:f", f"SELECT e.*, s.close AS underlying_close, coalesce(s.dividend_yield, 0) AS dividend_yield FROM ({ELIGIBLE}) e LEFT JOIN stocks s ON e.underlying = s.symbol AND e.trade_date = s.trade_date", "parsed", "stocks")
+@query("jn01_close_and_yield", "ticker:s trade_date:d ordinal:i underlying_close:f dividend_yield:f", f"SELECT e.*, s.close AS underlying_close, coalesce(s.dividend_yield, 0) AS dividend_yield FROM ({ELIGIBLE}) e LEFT JOIN (SELECT symbol, trade_date, arg_max(close, ordinal) AS close, arg_max(dividend_yield, ordinal) AS dividend_yield FROM stock_rows GROUP BY ALL) s ON e.underlying = s.symbol AND e.trade_date = s.trade_date", "parsed", "stock_rows")
 def _close(spark, sf):
-    return joins.with_stock_data(filters.eligible(raw(spark, sf)), view(spark, sf, "stocks"))
+    return joins.with_stock_data(filters.eligible(raw(spark, sf)), view(spark, sf, "stock_rows"))
 
 
 @query("jn03_asof_rate", "trade_date:d risk_free_rate:f", "SELECT d.trade_date, r.rate AS risk_free_rate FROM (SELECT DISTINCT trade_date FROM raw) d ASOF LEFT JOIN rates r ON d.trade_date >= r.rate_date", "raw", "rates")
@@ -151,19 +153,19 @@ def _active_asof(spark, sf):
     return joins.active_asof(filters.eligible(raw(spark, sf)), view(spark, sf, "snapshots"))
 
 
-@query("jn08_call_put_outer", "trade_date:d underlying:s n_call:i n_put:i", """
-    SELECT coalesce(c.trade_date, p.trade_date) AS trade_date, coalesce(c.underlying, p.underlying) AS underlying, n_call, n_put
-    FROM (SELECT trade_date, underlying, count(*) AS n_call FROM own WHERE option_type = 'call' GROUP BY ALL) c
-    FULL JOIN (SELECT trade_date, underlying, count(*) AS n_put FROM own WHERE option_type = 'put' GROUP BY ALL) p ON c.trade_date = p.trade_date AND c.underlying = p.underlying""", "own")
+@query("jn08_call_put_outer", "trade_date:d underlying:s n_call:i n_put:i delta_c:f delta_p:f", """
+    SELECT coalesce(c.trade_date, p.trade_date) AS trade_date, coalesce(c.underlying, p.underlying) AS underlying, n_call, n_put, delta_c, delta_p
+    FROM (SELECT trade_date, underlying, count(*) AS n_call, avg(delta) AS delta_c FROM own WHERE option_type = 'call' GROUP BY ALL) c
+    FULL JOIN (SELECT trade_date, underlying, count(*) AS n_put, avg(delta) AS delta_p FROM own WHERE option_type = 'put' GROUP BY ALL) p ON c.trade_date = p.trade_date AND c.underlying = p.underlying""", "own")
 def _outer(spark, sf):
-    return view(spark, sf, "own").groupBy("trade_date", "underlying").agg(*(F.nullif(F.count_if(F.col("option_type") == s), F.lit(0)).alias(f"n_{s}") for s in ("call", "put")))
+    return joins.call_put_outer(view(spark, sf, "own"), ["delta"])
 
 
 @query("jn14_alias_close", "ticker:s trade_date:d ordinal:i underlying_close:f", """SELECT p.*, s.close AS underlying_close FROM parsed p
     LEFT JOIN (SELECT DISTINCT symbol FROM stocks WHERE symbol <> 'AAB') k ON k.symbol = p.underlying
-    LEFT JOIN stocks s ON s.symbol = coalesce(k.symbol, CASE p.underlying WHEN 'AAB' THEN 'AAC' END, p.underlying) AND s.trade_date = p.trade_date AND s.symbol <> 'AAB'""", "parsed", "stocks")
+    LEFT JOIN (SELECT symbol, trade_date, arg_max(close, ordinal) AS close FROM stock_rows GROUP BY ALL) s ON s.symbol = coalesce(k.symbol, CASE p.underlying WHEN 'AAB' THEN 'AAC' END, p.underlying) AND s.trade_date = p.trade_date AND s.symbol <> 'AAB'""", "parsed", "stocks", "stock_rows")
 def _alias(spark, sf):
-    return joins.with_alias_close(symbols.parse_options(raw(spark, sf)), view(spark, sf, "stocks").filter("symbol != 'AAB'"), {"AAB": "AAC"})
+    return joins.with_alias_close(symbols.parse_options(raw(spark, sf)), view(spark, sf, "stock_rows").filter("symbol != 'AAB'"), {"AAB": "AAC"})
 
 
 @query("jn15_code_candidates", "symbol:s codes:s", """SELECT symbol, CASE symbol WHEN 'BRKB' THEN 'BRKb.N,BRKb,BRKb.OQ,BRK.B.N,BRK/B.N,BRKB.N,BRKB.OQ,BRKB.O,BRKB' WHEN 'BF.B' THEN 'BFb.N,BFb.OQ'
@@ -208,13 +210,13 @@ def _described(spark, sf):
     return features.described(_daily(spark, sf), DAILY_FEATURES)
 
 
-@query("agg07_day_diagnostics", "trade_date:d total:i calls:i puts:i missing_underlying:i written:i failed:i", f"""SELECT e.trade_date, count(*) AS total, count(*) FILTER (option_type = 'call') AS calls, count(*) FILTER (option_type = 'put') AS puts,
-    count(*) FILTER (s.close IS NULL) AS missing_underlying, count(*) FILTER (s.close IS NOT NULL) AS written, count(*) FILTER (s.close IS NULL) AS failed
+@query("agg07_day_diagnostics", "trade_date:d total:i calls:i puts:i missing_underlying:i invalid_expiry:i written:i failed:i", f"""SELECT e.trade_date, count(*) AS total, count(*) FILTER (option_type = 'call') AS calls, count(*) FILTER (option_type = 'put') AS puts,
+    count(*) FILTER (s.close IS NULL) AS missing_underlying, count(*) FILTER (s.close IS NOT NULL AND dte_days > 60) AS invalid_expiry, count(*) FILTER (s.close IS NOT NULL) AS written, count(*) FILTER (s.close IS NULL) AS failed
     FROM ({ELIGIBLE}) e LEFT JOIN stocks s ON e.underlying = s.symbol AND e.trade_date = s.trade_date GROUP BY e.trade_date""", "parsed", "stocks")
 def _diagnostics(spark, sf):
     rows = joins.with_stock_data(filters.eligible(view(spark, sf, "raw")), view(spark, sf, "stocks"))
     known = F.col("underlying_close").isNotNull()
-    return contracts.day_diagnostics(rows.withColumns({"implied_volatility": F.when(known, F.col("vol")), "iv_failure_reason": F.when(known, "ok").otherwise("missing_input")}))
+    return contracts.day_diagnostics(rows.withColumns({"implied_volatility": F.when(known, F.col("vol")), "iv_failure_reason": F.when(known, F.when(F.col("dte_days") > 60, "invalid_expiry").otherwise("ok")).otherwise("missing_input")}))
 
 
 _REASON = f"""SELECT CASE WHEN s.close IS NULL THEN 'missing_input'
@@ -242,12 +244,12 @@ def _raw_gamma(spark, sf):
 
 @query("agg17_duplicate_keys", "trade_date:d duplicates:i", "SELECT trade_date, count(*) - count(DISTINCT ticker) AS duplicates FROM raw GROUP BY trade_date", "raw")
 def _duplicates(spark, sf):
-    return raw(spark, sf).groupBy("trade_date").agg((F.count("*") - F.count_distinct("ticker")).alias("duplicates"))
+    return quality.duplicate_keys(raw(spark, sf))
 
 
 @query("agg22_dte_bounds", "trade_date:d low:i high:i", "SELECT trade_date, min(dte_days) AS low, max(dte_days) AS high FROM own GROUP BY trade_date", "own")
 def _dte_bounds(spark, sf):
-    return view(spark, sf, "own").groupBy("trade_date").agg(F.min("dte_days").alias("low"), F.max("dte_days").alias("high"))
+    return filters.dte_bounds(view(spark, sf, "own"))
 
 
 # --- windows, ranks, sets ------------------------------------------------------------------------------------------
@@ -334,9 +336,10 @@ def _normalisers(spark, sf):
     return spark.sql(f"SELECT * FROM {_NAMES}").select("x", symbols.normalized_underlying(x).alias("underlying"), symbols.index_ticker(x).alias("indexed"), symbols.simple_ticker(x).alias("simple"), symbols.vendor_ticker(x).alias("vendor"))
 
 
-@query("fn07_zip_explode", "place:i original_ric:s ticker:s name:s", "SELECT * FROM (VALUES (0, 'A.N', 'A', 'Alpha'), (1, 'B.OQ', 'BB', 'Beta'), (2, 'C.N', 'C', NULL)) t(place, original_ric, ticker, name)")
+@query("fn07_zip_explode", "place:i original_ric:s ticker:s name:s", "SELECT * FROM (VALUES (0, 'A.N', 'A', 'Alpha'), (1, 'B.OQ', 'BB', 'Beta'), (2, 'C.N', 'C', NULL), (2, 'D.N', 'D', 'Delta')) t(place, original_ric, ticker, name)")
 def _exploded(spark, sf):
-    return symbols.exploded_members(spark.createDataFrame([("A.N; B.OQ;C.N", "A,BB", "Alpha;Beta")], "r string, t string, n string"), "r", "t", "n")
+    rows = [(1, "A.N; B.OQ;C.N", "A,BB", "Alpha;Beta"), (2, "Z.N;A.N;D.N", "a;BB;D", "Zeta;Again;Delta")]
+    return symbols.exploded_members(spark.createDataFrame(rows, "o int, r string, t string, n string"), "r", "t", "n", "o")
 
 
 _RATIOS = "(VALUES (2.15e0), (2.17e0), (0.5e0), (1.0e0), (0.34e0), (9.3e0), (-2e0), (4.4e0), (0.0e0), (3.2e0)) AS t(ratio)"
@@ -459,39 +462,64 @@ def _long(spark, sf):
     return features.narrow(_daily(spark, sf))
 
 
-_BUCKET = f"""SELECT trade_date, underlying, bucket, {', '.join(f"max({c}) FILTER (target = '{n}') AS {n}_{a}" for n in DELTA_TARGETS for c, a in (("implied_volatility", "iv"), ("gamma", "gamma"), ("vega", "vega"), ("theta", "theta")))}
-    FROM ({_PICK}) WHERE rn = 1 AND distance <= tolerance GROUP BY ALL"""
 _MEAN2 = "(CASE WHEN {0} IS NULL THEN {1} WHEN {1} IS NULL THEN {0} ELSE ({0} + {1}) / 2 END)"
-
-
-@query("df08_bucket_metrics", "trade_date:d underlying:s bucket:s atm_iv:f risk_reversal_25_delta:f put_skew_10_25:f curvature_25_delta:f gamma_rr_25_delta:f gamma_wing_ratio:f vega_rr_25_delta:f theta_rr_25_delta:f", f"""SELECT *, {_MEAN2.format('atm_call_iv', 'atm_put_iv')} AS atm_iv, call_25_delta_iv - put_25_delta_iv AS risk_reversal_25_delta, put_10_delta_iv - put_25_delta_iv AS put_skew_10_25,
-    {_MEAN2.format('put_25_delta_iv', 'call_25_delta_iv')} - {_MEAN2.format('atm_call_iv', 'atm_put_iv')} AS curvature_25_delta, call_25_delta_gamma - put_25_delta_gamma AS gamma_rr_25_delta,
-    CASE WHEN abs(call_10_delta_gamma) > 1e-12 THEN put_10_delta_gamma / call_10_delta_gamma END AS gamma_wing_ratio, call_25_delta_vega - put_25_delta_vega AS vega_rr_25_delta, call_25_delta_theta - put_25_delta_theta AS theta_rr_25_delta FROM ({_BUCKET})""", "own")
+_TARGET_AT = f"CASE target {' '.join(f"WHEN '{n}' THEN {t}e0" for n, (_, t, _) in DELTA_TARGETS.items())} END"
+_PARTS = (("implied_volatility", "iv"), ("gamma", "gamma"), ("vega", "vega"), ("theta", "theta"), ("distance", "distance"))
+_WIDE = f"""SELECT trade_date, underlying, bucket, CASE WHEN count(*) >= 2 THEN regr_slope(implied_volatility, {_TARGET_AT}) END AS skew_slope,
+    {', '.join(f"max({c}) FILTER (target = '{n}') AS {n}_{a}" for n in DELTA_TARGETS for c, a in _PARTS)} FROM ({_PICK}) WHERE rn = 1 AND distance <= tolerance GROUP BY ALL"""
+_ATM = _MEAN2.format("atm_call_iv", "atm_put_iv")
+_METRIC_SQL = {f"{n}_iv": f"{n}_iv" for n in DELTA_TARGETS} | {
+    "atm_iv": _ATM,
+    "risk_reversal_25_delta": "call_25_delta_iv - put_25_delta_iv",
+    "risk_reversal_10_delta": "call_10_delta_iv - put_10_delta_iv",
+    "put_skew_10_25": "put_10_delta_iv - put_25_delta_iv",
+    "call_skew_10_25": "call_10_delta_iv - call_25_delta_iv",
+    "curvature_25_delta": f"{_MEAN2.format('put_25_delta_iv', 'call_25_delta_iv')} - {_ATM}",
+    "curvature_10_delta": f"{_MEAN2.format('put_10_delta_iv', 'call_10_delta_iv')} - {_ATM}",
+    "skew_slope": "skew_slope",
+    **{f"{n}_gamma": f"{n}_gamma" for n in DELTA_TARGETS if not n.startswith("atm")},
+    "gamma_rr_25_delta": "call_25_delta_gamma - put_25_delta_gamma",
+    "gamma_wing_ratio": "CASE WHEN abs(call_10_delta_gamma) > 1e-12 THEN put_10_delta_gamma / call_10_delta_gamma END",
+    "vega_rr_25_delta": "call_25_delta_vega - put_25_delta_vega",
+    "theta_rr_25_delta": "call_25_delta_theta - put_25_delta_theta",
+}
+_DISTANCES = {d: f"{n}_distance" for n, d in features.DISTANCES.items()}
+_BUCKET = f"SELECT trade_date, underlying, bucket, {', '.join(f'{v} AS {k}' for k, v in (_METRIC_SQL | _DISTANCES).items())} FROM ({_WIDE})"
+
+
+@query("df08_bucket_metrics", "trade_date:d underlying:s bucket:s " + " ".join(f"{c}:f" for c in (*features.METRICS, *features.DISTANCES.values())), _BUCKET, "own")
 def _buckets(spark, sf):
     per = features.bucket_metrics(filters.surface_eligible(view(spark, sf, "own")))
     return per.filter(" or ".join(f"{n}_iv is not null" for n in DELTA_TARGETS))
 
 
-def _across(m: str) -> str:
-    return f"(SELECT avg({m}) FROM b WHERE b.trade_date = o.trade_date AND b.underlying = o.underlying)"
+_ACROSS = ", ".join(
+    [f"avg({m}) AS {m}" for m in (*features.METRICS, *features.DISTANCES.values())]
+    + [f"max({m}) FILTER (bucket = '{b}') AS {m}_{b}" for b in DTE_BUCKETS for m in features.METRICS]
+    + [f"max({m}) FILTER (bucket = '90d') - max({m}) FILTER (bucket = '30d') AS {t}" for t, m in (("atm_term_slope", "atm_iv"), ("put_skew_term_slope", "put_25_delta_iv"), ("rr_term_slope", "risk_reversal_25_delta"))]
+)
+_RAW_GAMMA = """SELECT *, call_gamma_sum_raw - put_gamma_sum_raw AS gamma_imbalance_sum_raw, call_gamma_mean - put_gamma_mean AS gamma_imbalance_mean FROM (
+    SELECT trade_date, underlying, count(*) AS n_contracts_total, count(*) FILTER (dte_days <= 45) AS n_contracts_30d, count(*) FILTER (dte_days BETWEEN 46 AND 70) AS n_contracts_60d, count(*) FILTER (dte_days >= 71) AS n_contracts_90d,
+      coalesce(sum(gamma) FILTER (strike / underlying_close BETWEEN 0.97e0 AND 1.03e0), 0) AS near_atm_gamma_sum_raw, coalesce(sum(gamma) FILTER (option_type = 'put'), 0) AS put_gamma_sum_raw, coalesce(sum(gamma) FILTER (option_type = 'call'), 0) AS call_gamma_sum_raw,
+      avg(gamma) FILTER (strike / underlying_close BETWEEN 0.97e0 AND 1.03e0) AS near_atm_gamma_mean, avg(gamma) FILTER (option_type = 'put') AS put_gamma_mean, avg(gamma) FILTER (option_type = 'call') AS call_gamma_mean
+    FROM own WHERE dte_days BETWEEN 30 AND 90 GROUP BY trade_date, underlying)"""
 
 
-_TERM = "(SELECT max({0}) FILTER (bucket = '90d') - max({0}) FILTER (bucket = '30d') FROM b WHERE b.trade_date = o.trade_date AND b.underlying = o.underlying)"
+def _kind(column: str) -> str:
+    return {"trade_date": "d", "underlying": "s"}.get(column, "i" if column.startswith("n_contracts") else "f")
 
 
-@query("df08_surface", "trade_date:d underlying:s n_contracts_total:i n_contracts_30d:i n_contracts_60d:i n_contracts_90d:i put_25_delta_iv:f atm_iv:f call_10_delta_iv:f risk_reversal_25_delta:f atm_term_slope:f rr_term_slope:f atm_iv_60d:f near_atm_gamma_sum_raw:f", f"""
-    WITH b AS (SELECT *, {_MEAN2.format('atm_call_iv', 'atm_put_iv')} AS atm_iv, call_25_delta_iv - put_25_delta_iv AS risk_reversal_25_delta FROM ({_BUCKET})),
-    o AS (SELECT trade_date, underlying, count(*) AS n_contracts_total, count(*) FILTER (dte_days <= 45) AS n_contracts_30d, count(*) FILTER (dte_days BETWEEN 46 AND 70) AS n_contracts_60d, count(*) FILTER (dte_days >= 71) AS n_contracts_90d,
-        coalesce(sum(gamma) FILTER (strike / underlying_close BETWEEN 0.97e0 AND 1.03e0), 0) AS near_atm_gamma_sum_raw FROM own WHERE dte_days BETWEEN 30 AND 90 GROUP BY ALL)
-    SELECT o.*, {', '.join(f'{_across(m)} AS {m}' for m in ('put_25_delta_iv', 'atm_iv', 'call_10_delta_iv', 'risk_reversal_25_delta'))}, {_TERM.format('atm_iv')} AS atm_term_slope, {_TERM.format('risk_reversal_25_delta')} AS rr_term_slope,
-        (SELECT max(atm_iv) FROM b WHERE bucket = '60d' AND b.trade_date = o.trade_date AND b.underlying = o.underlying) AS atm_iv_60d FROM o""", "own")
+@query("df08_surface", " ".join(f"{c}:{_kind(c)}" for c in features.SURFACE_COLUMNS), f"SELECT * FROM ({_RAW_GAMMA}) o LEFT JOIN (SELECT trade_date, underlying, {_ACROSS} FROM ({_BUCKET}) GROUP BY ALL) w USING (trade_date, underlying)", "own")
 def _surface(spark, sf):
     return features.surface_features(view(spark, sf, "own"))
 
 
-@query("agg18_missing_share", "area:s missing_pct:f", f"SELECT 'iv' AS area, 100 * (avg((avg_call_iv IS NULL)::INT) + avg((avg_put_iv IS NULL)::INT)) / 2 AS missing_pct FROM ({_DAILY_SQL})", "own")
+_MISSING_GROUPS = {"iv": ["avg_call_iv", "avg_put_iv"], "delta": ["avg_call_delta", "avg_put_delta"], "all": DAILY_FEATURES}
+
+
+@query("agg18_missing_share", "area:s missing_pct:f", " UNION ALL ".join(f"SELECT '{g}' AS area, 100 * ({' + '.join(f'avg(({c} IS NULL)::INT)' for c in cols)}) / {len(cols)} AS missing_pct FROM ({_DAILY_SQL})" for g, cols in _MISSING_GROUPS.items()), "own")
 def _missing(spark, sf):
-    return features.missing_share(_daily(spark, sf), {"iv": ["avg_call_iv", "avg_put_iv"]})
+    return features.missing_share(_daily(spark, sf), _MISSING_GROUPS)
 
 
 _RANGES = f"""SELECT symbol, (SELECT first_on_or_after FROM ({_CALENDAR}) c WHERE c.day = a) AS range_start, (SELECT last_on_or_before FROM ({_CALENDAR}) c WHERE c.day = b) AS range_end
@@ -603,10 +631,9 @@ def _stale(spark, sf):
     return incremental.stale_days(raw(spark, sf).select("trade_date").distinct().withColumn("source_version", F.lit(2).cast("long")), manifest, "own", 3, 30, 90)
 
 
-@query("srt05_newest_day", "trade_date:d n:i", "SELECT trade_date, count(*) AS n FROM raw WHERE trade_date = (SELECT max(trade_date) FROM raw) GROUP BY ALL", "raw")
+@query("srt07_newest_day", "trade_date:d n:i", "SELECT trade_date, count(*) AS n FROM raw WHERE trade_date = (SELECT max(trade_date) FROM raw) GROUP BY ALL", "raw")
 def _newest(spark, sf):
-    rows = raw(spark, sf)
-    return rows.join(F.broadcast(rows.agg(F.max("trade_date").alias("trade_date"))), "trade_date", "left_semi").groupBy("trade_date").agg(F.count("*").alias("n"))
+    return readers.newest_day(raw(spark, sf)).groupBy("trade_date").agg(F.count("*").alias("n"))
 
 
 def _samples(spark, sf):
@@ -637,9 +664,9 @@ def _worst(spark, sf):
 # --- single steps of the flows above --------------------------------------------------------------------------------
 
 
-@query("src05_raw_date_range", "low:d high:d days:i", "SELECT min(trade_date) AS low, max(trade_date) AS high, count(DISTINCT trade_date) AS days FROM raw", "raw")
+@query("src05_raw_date_range", "low:d high:d", "SELECT min(trade_date) AS low, max(trade_date) AS high FROM raw", "raw")
 def _date_range(spark, sf):
-    return raw(spark, sf).agg(F.min("trade_date").alias("low"), F.max("trade_date").alias("high"), F.count_distinct("trade_date").alias("days"))
+    return readers.raw_span(raw(spark, sf))
 
 
 @query("src11_stock_bounds", "symbol:s first_day:d last_day:d has_yield:b", "SELECT symbol, min(trade_date) AS first_day, max(trade_date) AS last_day, bool_and(dividend_yield >= 0) AS has_yield FROM stocks GROUP BY symbol", "stocks")
@@ -649,16 +676,12 @@ def _bounds(spark, sf):
 
 @query("src14_resolved_rates", "rate_date:d rate:f", "SELECT rate_date, rate FROM rates", "rates")
 def _resolved(spark, sf):
-    from .sources.readers import resolved_rates
-
-    return resolved_rates(view(spark, sf, "rates").select(F.col("rate_date").alias("Date"), (F.col("rate") * 100).alias("value"), F.lit("X").alias("series_id")), "X")
+    return readers.resolved_rates(view(spark, sf, "rates").select(F.col("rate_date").alias("Date"), (F.col("rate") * 100).alias("value"), F.lit("X").alias("series_id")), "X")
 
 
 @query("src24_every_third_day", "path:s", "SELECT path FROM (SELECT path, row_number() OVER (ORDER BY path) AS n FROM (SELECT DISTINCT strftime(trade_date, '%Y/%m/%Y-%m-%d') || '.csv.gz' AS path FROM raw)) WHERE (n - 1) % 3 = 0", "raw")
 def _third(spark, sf):
-    from .sources.readers import every_nth
-
-    return every_nth(raw(spark, sf).select(calendar.day_path(F.col("trade_date")).alias("path")).distinct(), 3)
+    return readers.every_nth(raw(spark, sf).select(calendar.day_path(F.col("trade_date")).alias("path")).distinct(), 3)
 
 
 @query("src27_symbols_with_errors", "symbol:s", f"SELECT DISTINCT symbol FROM ({_RANGES}) WHERE range_start <= range_end", "snapshots", "stocks")
@@ -682,10 +705,9 @@ def _missing_values(spark, sf):
     return _audit_input(spark, sf).agg(F.count_if(numeric.is_missing(F.col("implied_volatility"))).alias("missing"))
 
 
-@query("fil17_covers_range", "symbol:s covers:b", "SELECT symbol, min(trade_date) <= DATE '2024-01-02' AND max(trade_date) >= DATE '2024-01-10' AS covers FROM stocks GROUP BY symbol", "stocks")
+@query("fil17_covers_range", "symbol:s", "SELECT symbol FROM stocks GROUP BY symbol HAVING min(trade_date) <= DATE '2024-01-02' AND max(trade_date) >= DATE '2024-01-10'", "stocks")
 def _covers(spark, sf):
-    known = stocks.bounds(view(spark, sf, "stocks"))
-    return known.withColumn("covers", (F.col("first_day") <= F.lit("2024-01-02").cast("date")) & (F.col("last_day") >= F.lit("2024-01-10").cast("date")))
+    return stocks.covers(view(spark, sf, "stocks"), "2024-01-02", "2024-01-10")
 
 
 @query("prj01_expiry", "ticker:s trade_date:d ordinal:i dte_days:i time_to_expiry_years:f", "SELECT *, CAST(expiration_date - trade_date AS INTEGER) AS dte_days, (expiration_date - trade_date) / 365.25e0 AS time_to_expiry_years FROM parsed", "parsed")
@@ -713,8 +735,7 @@ def _repair_rates(spark, sf):
 
 @query("agg12_contract_counts", "trade_date:d underlying:s n:i n_30d:i n_60d:i n_90d:i", "SELECT trade_date, underlying, count(*) AS n, count(*) FILTER (dte_days BETWEEN 30 AND 45) AS n_30d, count(*) FILTER (dte_days BETWEEN 46 AND 70) AS n_60d, count(*) FILTER (dte_days BETWEEN 71 AND 90) AS n_90d FROM own GROUP BY ALL", "own")
 def _counts(spark, sf):
-    bucket = numeric.dte_bucket(F.col("dte_days"))
-    return view(spark, sf, "own").groupBy("trade_date", "underlying").agg(F.count("*").alias("n"), *(F.count_if(bucket == b).alias(f"n_{b}") for b in ("30d", "60d", "90d")))
+    return features.contract_counts(view(spark, sf, "own"))
 
 
 @query("agg13_nan_mean", "a:f b:f mean:f", "SELECT *, CASE WHEN a IS NULL THEN b WHEN b IS NULL THEN a ELSE (a + b) / 2 END AS mean FROM (VALUES (1e0, 3e0), (NULL, 3e0), (1e0, NULL), (NULL, NULL)) t(a, b)")
@@ -730,7 +751,7 @@ def _statuses(spark, sf):
 
 @query("agg21_distinct_underlyings", "n:i", "SELECT count(DISTINCT underlying) AS n FROM own", "own")
 def _underlyings(spark, sf):
-    return view(spark, sf, "own").agg(F.count_distinct("underlying").alias("n"))
+    return quality.distinct_count(view(spark, sf, "own"))
 
 
 @query("win08_last_by_order", "underlying:s trade_date:d ticker:s close:f", "SELECT underlying, trade_date, arg_max(ticker, ordinal) AS ticker, arg_max(close, ordinal) AS close FROM parsed GROUP BY ALL", "parsed")
@@ -738,9 +759,9 @@ def _last(spark, sf):
     return joins.last_by(symbols.parse_options(raw(spark, sf)).select("underlying", "trade_date", "ticker", "close", "ordinal"), ["underlying", "trade_date"], "ordinal")
 
 
-@query("srt03_first_contracts", "trade_date:d underlying:s expiration_date:d option_type:s strike:f ticker:s ordinal:i", "SELECT * FROM own ORDER BY trade_date, underlying, expiration_date, option_type, strike, ticker, ordinal LIMIT 20", "own")
-def _first(spark, sf):
-    return view(spark, sf, "own").orderBy("trade_date", "underlying", "expiration_date", "option_type", "strike", "ticker", "ordinal").limit(20)
+@query("srt03_sorted_contracts", "trade_date:d underlying:s expiration_date:d option_type:s strike:f ticker:s ordinal:i", "SELECT * FROM own ORDER BY trade_date, underlying, expiration_date, option_type, strike", "own")
+def _sorted(spark, sf):
+    return contracts.shard_order(view(spark, sf, "own"))
 
 
 @query("set02_schema_union", "trade_date:d underlying:s close:f delta:f", "SELECT trade_date, underlying, close, NULL AS delta FROM parsed UNION ALL SELECT trade_date, underlying, close, delta FROM own", "parsed", "own")
@@ -805,3 +826,245 @@ def _solver_qa(spark, sf):
     rows = filters.eligible(raw(spark, sf))
     priced = joins.with_stock_data(rows, view(spark, sf, "stocks")).filter("underlying_close is not null")
     return quality.solver_report(quality.solver_samples(priced))
+
+
+# --- whole flows with a cheap solver, so that SQL can follow them ----------------------------------------------------
+
+
+def _cheap(rows: DataFrame) -> DataFrame:
+    """Stands for the solver: volatility and Greeks are plain fractions, and a third of the rows have none."""
+    iv = F.when(F.crc32(F.col("ticker").cast("binary")) % 3 != 0, F.col("strike") / F.col("underlying_close"))
+    marks = {f"{p}{g}": F.col("underlying_close") / 100 for p in ("", "atm_") for g in ("delta", "gamma", "theta", "vega")}
+    return rows.withColumns({"implied_volatility": iv, "iv_failure_reason": F.lit("ok"), **marks})
+
+
+_EXISTING = "SELECT *, CAST(expiration_date - trade_date AS INTEGER) AS dte FROM parsed WHERE (expiration_date - trade_date) BETWEEN 45 AND 70 AND volume > 0 AND trade_date < DATE '2024-01-08'"
+_LOW = f"(SELECT trade_date, min(dte) AS low, max(dte) AS high FROM ({_EXISTING}) GROUP BY trade_date)"
+
+
+def _existing(spark, sf):
+    return filters.with_expiry(symbols.parse_options(raw(spark, sf))).filter("dte_days between 45 and 70 and volume > 0 and trade_date < '2024-01-08'")
+
+
+@query("df06_uncovered_rows", "ticker:s trade_date:d ordinal:i dte_days:i", f"SELECT e.*, dte_days FROM ({ELIGIBLE}) e LEFT JOIN {_LOW} l ON e.trade_date = l.trade_date WHERE l.low IS NULL OR e.dte_days < l.low", "parsed")
+def _uncovered(spark, sf):
+    return filters.uncovered(filters.eligible(raw(spark, sf)), _existing(spark, sf))
+
+
+@query("df06_from_raw", "ticker:s trade_date:d strike:f implied_volatility:f delta:f", f"""
+    WITH new AS (SELECT e.ticker, e.trade_date, e.strike, e.strike / s.close AS implied_volatility, s.close / 100 AS delta, e.ordinal FROM ({ELIGIBLE}) e LEFT JOIN {_LOW} l ON e.trade_date = l.trade_date
+        JOIN stocks s ON s.symbol = e.underlying AND s.trade_date = e.trade_date WHERE (l.low IS NULL OR e.dte_days < l.low) AND e.underlying < 'AAF' AND e.ordinal % 3 <> 0
+        AND EXISTS (SELECT 1 FROM snapshots n WHERE n.symbol = e.underlying AND n.snapshot_date = (SELECT max(snapshot_date) FROM snapshots x WHERE x.snapshot_date <= e.trade_date)))
+    SELECT DISTINCT ON (trade_date, ticker) * FROM (SELECT * FROM new UNION ALL SELECT ticker, trade_date, strike, NULL, NULL, ordinal FROM ({_EXISTING}))""", "parsed", "stocks", "snapshots")
+def _from_raw(spark, sf):
+    requested = spark.sql("SELECT explode(array('AAA', 'AAB', 'AAC', 'AAD', 'AAE')) AS symbol")
+    solve = lambda rows: rows.withColumn("implied_volatility", F.when(F.col("ordinal") % 3 != 0, F.col("strike") / F.col("underlying_close")))
+    marks = lambda rows: rows.withColumns({g: F.col("underlying_close") / 100 for g in ("delta", "gamma", "theta", "vega")})
+    return contracts.strike_contracts_from_raw(raw(spark, sf), view(spark, sf, "stocks"), view(spark, sf, "rates"), view(spark, sf, "snapshots"), _existing(spark, sf), requested, solve=solve, greeks=marks)
+
+
+@query("set07_allowed", "ticker:s trade_date:d ordinal:i", """SELECT * FROM own WHERE underlying IN ('AAB', 'AAC', 'AAF') AND EXISTS (SELECT 1 FROM snapshots s WHERE s.symbol = own.underlying
+    AND s.snapshot_date = (SELECT max(snapshot_date) FROM snapshots x WHERE x.snapshot_date <= own.trade_date))""", "own", "snapshots")
+def _allowed(spark, sf):
+    return joins.allowed(view(spark, sf, "own"), view(spark, sf, "snapshots"), spark.sql("SELECT explode(array('AAB', 'AAC', 'AAF', 'AAC')) AS symbol"))
+
+
+@query("df04_rebuilt_features", "trade_date:d underlying:s avg_call_iv:f avg_put_iv:f", f"""SELECT trade_date, underlying, CASE WHEN trade_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-06' THEN -1 ELSE avg_call_iv END AS avg_call_iv,
+    CASE WHEN trade_date BETWEEN DATE '2024-01-04' AND DATE '2024-01-06' THEN -1 ELSE avg_put_iv END AS avg_put_iv FROM ({_DAILY_SQL})""", "own")
+def _rebuilt(spark, sf):
+    own = view(spark, sf, "own")
+    stored = features.daily_features(own, "").filter("trade_date < '2024-01-07'").withColumns({c: F.lit(-1.0) for c in DAILY_FEATURES})
+    stale = own.select("trade_date").distinct().filter("trade_date < '2024-01-04'")
+    return incremental.rebuilt_features(own, stored, stale, lambda rows: features.daily_features(rows, ""))[0]
+
+
+@query("snk04_lost_on_rebuild", "trade_date:d underlying:s", "SELECT DISTINCT trade_date, underlying FROM own WHERE trade_date >= DATE '2024-01-07' AND underlying < 'AAE'", "own")
+def _lost_on_rebuild(spark, sf):
+    own = view(spark, sf, "own")
+    stored = features.daily_features(own, "").filter("trade_date < '2024-01-07'")
+    return incremental.rebuilt_features(own, stored, own.select("trade_date").limit(0), lambda rows: features.daily_features(rows.filter("underlying >= 'AAE'"), ""))[1]
+
+
+_BROKEN = "a.symbol < 'AAG' AND day(a.trade_date) % 4 = 0"
+
+
+def _repair(spark, sf):
+    # these stand for stored tables: computed once
+    clean, days = sinks.staged(view(spark, sf, "stocks"), "stocks"), sinks.staged(raw(spark, sf), "raw")
+    found = sinks.staged(_mismatches(spark, sf).filter("symbol < 'AAG'"), "found")
+    stored = view(spark, sf, "own").drop("theta", "vega", "delta", "gamma").withColumns({"risk_free_rate": F.lit(0.04), "time_to_expiry_years": F.lit(0.1)})
+    # stored closes are off but for AAB, which has been repaired before; the 8th has no stored rows
+    stored = stored.withColumn("underlying_close", F.when(F.col("underlying") == "AAB", F.col("underlying_close")).otherwise(F.col("underlying_close") / 2)).filter("trade_date != '2024-01-08'")
+    stored = sinks.staged(stored, "contracts")
+    ledger = spark.sql("SELECT DATE '2024-01-04' AS trade_date, 'AAC' AS symbols, 'repaired' AS status")
+    price = lambda rows: _cheap(rows).withColumn("implied_volatility", F.when(F.col("ordinal") % 3 != 0, F.col("strike") / F.col("underlying_close")))
+    return maintenance.split_repair(days, clean, found, ledger, stored, view(spark, sf, "rates"), price=price)
+
+
+_PAIRS = "(SELECT DISTINCT trade_date, symbol FROM stocks a WHERE symbol < 'AAG' AND day(trade_date) % 4 = 0 AND NOT (symbol = 'AAC' AND trade_date = DATE '2024-01-04'))"
+_STORED = "(SELECT DISTINCT trade_date, underlying FROM own WHERE trade_date <> DATE '2024-01-08')"
+_TODO = f"""(SELECT p.trade_date, p.symbol FROM {_PAIRS} p WHERE p.trade_date IN (SELECT trade_date FROM {_STORED}) AND NOT (p.symbol = 'AAB' AND EXISTS (SELECT 1 FROM {_STORED} s WHERE s.trade_date = p.trade_date AND s.underlying = 'AAB')))"""
+_NEW = f"""(SELECT p.ticker, p.trade_date, p.underlying, p.option_type, p.ordinal, s.close AS underlying_close, p.strike / s.close AS implied_volatility FROM parsed p JOIN {_TODO} t ON t.trade_date = p.trade_date AND t.symbol = p.underlying
+    JOIN stocks s ON s.symbol = p.underlying AND s.trade_date = p.trade_date WHERE p.volume > 0 AND p.close > 0 AND (p.expiration_date - p.trade_date) BETWEEN 30 AND 90 AND p.ordinal % 3 <> 0)"""
+_DONE = f"(SELECT t.trade_date, t.symbol FROM {_TODO} t WHERE t.trade_date IN (SELECT trade_date FROM {_NEW}))"
+_WHOLE = f"""(SELECT ticker, trade_date, underlying, option_type, ordinal, CASE WHEN underlying = 'AAB' THEN underlying_close ELSE underlying_close / 2 END AS underlying_close, implied_volatility FROM own
+    WHERE trade_date IN (SELECT trade_date FROM {_DONE}) AND NOT EXISTS (SELECT 1 FROM {_DONE} d WHERE d.trade_date = own.trade_date AND d.symbol = own.underlying)
+    UNION ALL SELECT ticker, trade_date, underlying, option_type, ordinal, underlying_close, implied_volatility FROM {_NEW})"""
+
+
+@query("df14_repaired_contracts", "ticker:s trade_date:d ordinal:i underlying_close:f implied_volatility:f", f"SELECT * FROM {_WHOLE}", "own", "parsed", "stocks")
+def _repaired(spark, sf):
+    return _repair(spark, sf).contracts
+
+
+@query("df14_refreshed_features", "trade_date:d underlying:s avg_call_iv:f avg_put_iv:f", f"SELECT trade_date, underlying, avg(implied_volatility) FILTER (option_type = 'call') AS avg_call_iv, avg(implied_volatility) FILTER (option_type = 'put') AS avg_put_iv FROM {_WHOLE} GROUP BY ALL", "own", "parsed", "stocks")
+def _refreshed(spark, sf):
+    return _repair(spark, sf).features
+
+
+@query("df14_ledger", "trade_date:d symbols:s status:s note:s option_rows:f", f"""
+    WITH pairs AS (SELECT * FROM {_PAIRS}), done AS (SELECT p.* FROM pairs p WHERE p.symbol = 'AAB' AND EXISTS (SELECT 1 FROM {_STORED} s WHERE s.trade_date = p.trade_date AND s.underlying = 'AAB'))
+    SELECT trade_date, string_agg(symbol, ';' ORDER BY symbol) AS symbols, 'missing_input' AS status, NULL AS note, NULL AS option_rows FROM pairs WHERE trade_date NOT IN (SELECT trade_date FROM {_STORED}) GROUP BY trade_date
+    UNION ALL SELECT trade_date, string_agg(symbol, ';' ORDER BY symbol), 'repaired', 'detected_existing_repair', NULL FROM done GROUP BY trade_date
+    UNION ALL SELECT trade_date, string_agg(symbol, ';' ORDER BY symbol), 'repaired', NULL, (SELECT count(*) FROM {_NEW} n WHERE n.trade_date = d.trade_date) FROM {_DONE} d GROUP BY trade_date""", "own", "parsed", "stocks")
+def _repair_ledger(spark, sf):
+    return _repair(spark, sf).ledger
+
+
+@query("df20_rebuild_statuses", "symbol:s status:s n:f", """SELECT symbol, CASE WHEN symbol < 'AAC' THEN 'exists' WHEN symbol = 'AAD' THEN 'failed' WHEN symbol > 'AAG' THEN 'empty' ELSE 'saved' END AS status,
+    CASE WHEN symbol >= 'AAC' AND symbol <> 'AAD' AND symbol <= 'AAG' THEN count(*) END AS n FROM stocks GROUP BY symbol""", "stocks")
+def _rebuild(spark, sf):
+    s = view(spark, sf, "stocks")
+    return stocks.rebuild_statuses(s.select("symbol"), s.filter("symbol < 'AAC'"), s.filter("symbol <= 'AAG'"), s.filter("symbol = 'AAD'"))
+
+
+# --- files and vendors, from rows that stand for them ---------------------------------------------------------------
+
+
+@query("src09_mixed_histories", "symbol:s trade_date:d close:f dividend_yield:f", "SELECT symbol, trade_date, close, CASE WHEN symbol < 'AAD' THEN dividend_yield ELSE 0 END AS dividend_yield FROM stocks", "stocks")
+def _mixed(spark, sf):
+    rows = view(spark, sf, "stocks").withColumn("first", F.col("symbol") < "AAD")
+    line = F.when(F.col("first"), F.concat_ws(",", "trade_date", "close", "dividend_yield")).otherwise(F.concat_ws(",", F.lit('"a, b"'), F.col("close") + 1, F.concat("trade_date", F.lit(" 00:00:00")), "close"))
+    bodies = rows.groupBy("symbol", "first").agg(F.array_join(F.sort_array(F.collect_list(line)), "\n").alias("lines"))
+    header = F.when(F.col("first"), "Date,Close,dividend_yield").otherwise("Note,Adj Close,Quote Date,TR.CLOSEPRICE(Adjusted=0)")
+    return readers.parsed_histories(bodies.select("symbol", F.concat(header, F.lit("\n"), "lines").alias("body")))
+
+
+@query("src17_fetch_outcomes", "day:d outcome:s", f"""SELECT day, CASE WHEN day IN (SELECT trade_date FROM raw) THEN 'exists' WHEN day = DATE '2024-01-25' THEN 'forbidden' WHEN day > DATE '2024-01-25' THEN 'not_tried'
+    WHEN day(day) % 3 = 0 THEN 'skipped' WHEN day(day) % 3 = 1 THEN 'downloaded' ELSE 'failed' END AS outcome FROM ({_CALENDAR}) WHERE is_business AND day BETWEEN DATE '2024-01-02' AND DATE '2024-01-31'""", "raw")
+def _fetched(spark, sf):
+    days = calendar.business_days(spark, "2024-01-02", "2024-01-31")
+    d = F.dayofmonth("day")
+    answers = days.select("day", F.when(d == 25, 403).when(d % 3 == 0, 404).when(d % 3 == 1, 200).otherwise(500).alias("code"))
+    return sinks.fetch_outcomes(sinks.copy_plan(days, raw(spark, sf), "a/", "b/"), answers)
+
+
+@query("snk13_result_document", "status:i body:s", "SELECT 207 AS status, '{\"downloaded\":2,\"failed\":1}' AS body")
+def _document(spark, sf):
+    return sinks.result_document(spark.sql("SELECT explode(array('failed', 'downloaded', 'downloaded')) AS outcome"))
+
+
+@query("src18_first_usable_request", "snapshot_date:d ticker:s original_ric:s name:s", "SELECT DATE '2024-01-01' AS snapshot_date, * FROM (VALUES ('AAPL', 'AAPL.OQ', 'Apple'), ('BRK', 'BRKb.N', NULL)) t(ticker, original_ric, name)")
+def _usable(spark, sf):
+    rows = [("2024-01-01", 1, None, None, "x"), ("2024-01-01", 2, "AAPL.OQ;BRKb.N", "AAPL;BRK.B", "Apple"), ("2024-01-01", 3, "IBM.N", "IBM", None)]
+    responses = spark.createDataFrame(rows, "snapshot_date string, request int, ric string, ticker string, name string").withColumn("snapshot_date", F.to_date("snapshot_date"))
+    return readers.snapshot_rows(responses)[0]
+
+
+@query("src21_dividend_lead_in", "symbol:s trade_date:d dividends:f", "SELECT CAST(k AS VARCHAR) AS symbol, trade_date, dividends FROM history WHERE trade_date BETWEEN DATE '1996-01-01' - 370 AND DATE '1996-12-31'", "history")
+def _lead_in(spark, sf):
+    rows = _history(spark, sf).select("symbol", F.col("trade_date").cast("string").alias("trade_date"), F.col("dividends").cast("string").alias("dividends"))
+    return readers.dividend_events(rows, "1996-01-01", "1996-12-31")
+
+
+@query("df16_file_issues", "severity:s area:s item:s message:s", """SELECT * FROM (VALUES ('error', 'options', 'a', 'unreadable'), ('warning', 'options', 'b', 'no rows'), ('error', 'options', 'c', 'missing columns: low, transactions'),
+    ('error', 'constituency', 'a', 'unreadable'), ('error', 'constituency', 'b', 'no rows'), ('error', 'constituency', 'b', 'no ticker column'), ('error', 'constituency', 'c', 'no ticker column'), ('error', 'constituency', 'd', 'no ticker column'),
+    ('error', 'constituency', 'snapshots', 'no usable snapshots')) t(severity, area, item, message)""")
+def _file_issues(spark, sf):
+    whole = "ticker,volume,open,close,high,low,window_start,transactions"
+    raws = spark.createDataFrame([("a", "", 0), ("b", whole, 0), ("c", "Ticker, volume,open,close,high,window_start", 9), ("d", whole, 9)], "item string, header string, rows long")
+    snaps = raws.withColumn("header", F.when(F.col("item") == "d", "name,RIC").when(F.col("item") != "a", "symbol").otherwise(""))
+    return quality.raw_file_issues(raws).unionByName(quality.snapshot_file_issues(snaps, view(spark, sf, "snapshots").limit(0)))
+
+
+@query("srt05_first_files", "path:s", "SELECT DISTINCT strftime(trade_date, '%Y/%m/%Y-%m-%d') || '.csv.gz' AS path FROM raw ORDER BY path LIMIT 3", "raw")
+def _first_files(spark, sf):
+    return readers.first_files(raw(spark, sf).select(calendar.day_path(F.col("trade_date")).alias("path")).distinct(), 3)
+
+
+@query("srt06_issue_sample", "severity:s area:s item:s message:s", "SELECT severity, area, item, message FROM (VALUES ('error', 'b', '1', 'x'), ('error', 'a', '2', 'y'), ('warning', 'a', '1', 'z')) t(severity, area, item, message)")
+def _issue_sample(spark, sf):
+    rows = [("warning", "a", "2", "z"), ("warning", "a", "1", "z"), ("error", "b", "1", "x"), ("error", "a", "2", "y")]
+    return quality.issue_sample(spark.createDataFrame(rows, "severity string, area string, item string, message string"), 3)
+
+
+@query("agg09_solver_failures", "iv_failure_reason:s n:i", "SELECT 'no_root_in_range' AS iv_failure_reason, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY trade_date, underlying, option_type ORDER BY abs(strike / underlying_close - 1), volume DESC, ticker, ordinal) AS rn FROM own) WHERE rn = 1 AND ordinal % 5 = 0 HAVING count(*) > 0", "own")
+def _qa_failures(spark, sf):
+    return quality.solver_failures(_samples(spark, sf))
+
+
+@query("win03_unsplit_prices", "k:i trade_date:d open:f high:f low:f close:f", f"SELECT k, trade_date, (close - 1) * f AS open, (close + 2) * f AS high, (close - 2) * f AS low, close * f AS close FROM (SELECT *, {_FUTURE} AS f FROM history)", "history")
+def _unsplit_prices(spark, sf):
+    return stocks.unsplit(_history(spark, sf).withColumns({"open": F.col("close") - 1, "high": F.col("close") + 2, "low": F.col("close") - 2}))
+
+
+# --- trees and differences ------------------------------------------------------------------------------------------
+
+_DEPTH_GRID = "(SELECT t, v, q FROM (VALUES (20e0 / 365.25e0), (45e0 / 365.25e0), (300e0 / 365.25e0)) a(t), (VALUES (0.0009e0), (0.002e0), (0.0015e0), (0.2e0)) b(v), (VALUES (0e0), (0.03e0), (0.08e0)) c(q))"
+
+
+@query("udf04_tree_parameters", "t:f v:f q:f steps:f up:f p:f discount:f", f"""
+    WITH RECURSIVE deeper AS (SELECT t, v, q, greatest(101, least(1001, CAST(ceil(greatest(t, 1 / 365.25e0) * 365.25e0 * 4) AS INTEGER))) AS n FROM {_DEPTH_GRID}
+        UNION ALL SELECT t, v, q, least(1001, greatest(n + 1, CAST(ceil(n * 1.5e0) AS INTEGER))) FROM deeper WHERE n < 1001 AND NOT ((exp((0.05e0 - q) * t / n) - exp(-v * sqrt(t / n))) / (exp(v * sqrt(t / n)) - exp(-v * sqrt(t / n))) BETWEEN 0 AND 1)),
+    last AS (SELECT t, v, q, max(n) AS n FROM deeper GROUP BY ALL),
+    made AS (SELECT *, exp(v * sqrt(t / n)) AS u, (exp((0.05e0 - q) * t / n) - exp(-v * sqrt(t / n))) / (exp(v * sqrt(t / n)) - exp(-v * sqrt(t / n))) AS pp FROM last)
+    SELECT t, v, q, CASE WHEN pp BETWEEN 0 AND 1 THEN n END AS steps, CASE WHEN pp BETWEEN 0 AND 1 THEN u END AS up, CASE WHEN pp BETWEEN 0 AND 1 THEN pp END AS p, CASE WHEN pp BETWEEN 0 AND 1 THEN exp(-0.05e0 * t / n) END AS discount FROM made""")
+def _parameters(spark, sf):
+    rows = spark.sql(f"SELECT * FROM {_DEPTH_GRID}").withColumn("x", tree_parameters("t", F.lit(0.05), "v", "q"))
+    return rows.select("t", "v", "q", "x.steps", "x.up", "x.p", "x.discount")
+
+
+def _american_sql(points: str, depth: str) -> str:
+    """Columns of ``points`` (with s, k, t, v, q, call) and the mean price of the trees of depth and depth + 1."""
+    return f"""(WITH RECURSIVE par AS (SELECT *, exp(v * sqrt(t / n)) AS u, exp(-v * sqrt(t / n)) AS dn, exp(-0.05e0 * t / n) AS disc, CASE WHEN call THEN 1e0 ELSE -1e0 END AS g FROM (SELECT *, {depth} + x AS n FROM ({points}), (VALUES (0), (1)) w(x))),
+    pp AS (SELECT *, (exp((0.05e0 - q) * t / n) - dn) / (u - dn) AS up FROM par),
+    tree AS (SELECT *, n AS step, [greatest(g * (s * pow(u, 2 * j - n) - k), 0) FOR j IN range(0, n + 1)] AS val FROM pp
+        UNION ALL SELECT * REPLACE (step - 1 AS step, list_transform(range(1, step + 1), lambda j: greatest(disc * (up * val[j + 1] + (1 - up) * val[j]), g * (s * pow(u, 2 * (j - 1) - (step - 1)) - k))) AS val) FROM tree WHERE step > 0)
+    SELECT base, what, avg(val[1]) AS price FROM tree WHERE step = 0 GROUP BY ALL)"""
+
+
+_CLAMPED = "greatest(101, least(1001, CAST(ceil(greatest({t}, 1 / 365.25e0) * 365.25e0 * 4) AS INTEGER)))"
+_FD_GRID = "(SELECT s, k, t, v, q, c = 1 AS call, row_number() OVER (ORDER BY s, t, v, c) AS base FROM (VALUES (92e0), (110e0)) a(s), (VALUES (100e0)) b(k), (VALUES (20e0 / 365.25e0), (40e0 / 365.25e0)) d(t), (VALUES (0.2e0), (0.5e0)) e(v), (VALUES (0.02e0)) f(q), (VALUES (0), (1)) g(c))"
+
+
+def _differences_sql(strike: str, depth: str) -> str:
+    bumps = {"base": ("s", "t", "v"), "up": ("s + ds", "t", "v"), "down": ("greatest(1e-8, s - ds)", "t", "v"), "more": ("s", "t", "v + dv"), "less": ("s", "t", "greatest(1e-6, v - dv)"), "later": ("s", "greatest(1e-6, t - 1 / 365.25e0)", "v")}
+    grid = f"(SELECT *, greatest(0.01e0, 0.01e0 * s) AS ds, greatest(1e-4, 0.01e0 * v) AS dv FROM {_FD_GRID})"
+    points = " UNION ALL ".join(f"SELECT base, '{w}' AS what, {s} AS s, {strike} AS k, {t} AS t, {v} AS v, q, call, t AS whole FROM {grid} g" for w, (s, t, v) in bumps.items())
+    wide = f"SELECT base, {', '.join(f"max(price) FILTER (what = '{w}') AS p_{w}" for w in bumps)} FROM {_american_sql(points, depth)} GROUP BY base"
+    return f"""SELECT g.s, g.k, g.t, g.v, g.q, g.call, (p_up - p_down) / (2 * ds) AS delta, (p_up - 2 * p_base + p_down) / (ds * ds) AS gamma, (p_later - p_base) * 365.25e0 AS theta, (p_more - p_less) / (2 * dv) AS vega
+        FROM {grid} g JOIN ({wide}) USING (base)"""
+
+
+def _fd_grid(spark):
+    c = F.col
+    rows = spark.sql(f"SELECT * FROM {_FD_GRID}").drop("base")
+    return rows.select("s", "k", "t", "v", "q", "call", c("v").alias("implied_volatility"), c("s").alias("underlying_close"), c("k").alias("strike"), c("t").alias("time_to_expiry_years"), F.lit(0.05).alias("risk_free_rate"), F.when(c("call"), "call").otherwise("put").alias("option_type"), c("q").alias("dividend_yield"))
+
+
+@query("udf11_differences", f"{_GREEK_COLUMNS} delta:f gamma:f theta:f vega:f", _differences_sql("k", _CLAMPED.format(t="t")))
+def _fd_own(spark, sf):
+    return with_strike_greeks(_fd_grid(spark))
+
+
+@query("udf07_differences", f"{_GREEK_COLUMNS} delta:f gamma:f theta:f vega:f", _differences_sql("g.s", _CLAMPED.format(t="whole")))
+def _fd_atm(spark, sf):
+    rows = with_atm_greeks(_fd_grid(spark))
+    return rows.select("s", "k", "t", "v", "q", "call", *(F.col(f"atm_{g}").alias(g) for g in ("delta", "gamma", "theta", "vega")))
+
+
+@query("udf08_round_trip", "s:f t:f v:f q:f call:b iv:f", f"SELECT s, t, v, q, call, v AS iv FROM {_FD_GRID} WHERE v > 0.3e0")
+def _iv_round_trip(spark, sf):
+    """Puts, and calls with a yield: the volatility behind a tree's price is found again."""
+    rows = _fd_grid(spark).filter("v > 0.3").withColumn("close", american_price("s", "k", "t", F.lit(0.05), "v", "call", "q"))
+    return with_implied_vol(rows.drop("implied_volatility")).withColumn("iv", F.round("implied_volatility", 4))

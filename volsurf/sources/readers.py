@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import contextlib
+import csv
 import json
 import os
 import re
+import time
 from collections.abc import Iterator, Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
-from ..functions.symbols import index_ticker, simple_ticker
+from ..functions.symbols import exploded_members, index_ticker, simple_ticker
 from ..schemas import RAW_OPTION_DAY, SNAPSHOTS, STOCK_HISTORY
 
 
@@ -37,7 +41,7 @@ def raw_days(spark: SparkSession, path: str, start: str | None = None, end: str
         rows = rows.filter(F.col("trade_date") >= F.lit(start).cast("date"))
     if end:
         rows = rows.filter(F.col("trade_date") <= F.lit(end).cast("date"))
-    # a total order within a file, for rules such as "the first row of equals"
+    # an order within a file, for rules such as "the first row of equals"; the filters above take or leave whole files
     return rows.withColumn("ordinal", F.monotonically_increasing_id())
 
 
@@ -48,9 +52,42 @@ def listed_days(spark: SparkSession, path: str) -> DataFrame:
 
 
 def every_nth(files: DataFrame, stride: int) -> DataFrame:
+    """Every ``stride``-th file, from the first one, in the order of their paths."""
+    return files.withColumn("_n", F.row_number().over(Window.orderBy("path")) - 1).filter(F.col("_n") % stride == 0).drop("_n")
 
 
-    return files.withColumn("_n", F.row_number().over(Window.orderBy("path")) - 1).filter(F.col("_n") % stride == 0).drop("_n")
+def completed_days(spark: SparkSession, path: str) -> DataFrame:
+    """(trade_date) of the day files below a folder, from their names; contents stay unread, other names are skipped."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv*").load(path)
+    return files.select(day_of_file(F.col("path")).alias("trade_date")).dropna().distinct()
+
+
+def raw_span(raw: DataFrame) -> DataFrame:
+    """(low, high): the first and the last raw day."""
+    return raw.agg(F.min("trade_date").alias("low"), F.max("trade_date").alias("high"))
+
+
+def newest_day(raw: DataFrame) -> DataFrame:
+    """The rows of the newest raw day."""
+    newest = raw.agg(F.max("trade_date").alias("trade_date"))
+    # one row
+    return raw.join(F.broadcast(newest), "trade_date", "left_semi")
+
+
+def first_files(files: DataFrame, n: int) -> DataFrame:
+    """The first n files in the order of their paths."""
+    return files.orderBy("path").limit(n)
+
+
+def probed(spark: SparkSession, path: str, glob: str = "*.csv.gz") -> DataFrame:
+    """(item, header, rows) of every text file below a folder: its first line and how many follow.
+
+    A file without content has an empty header; files without a single byte are not listed by Spark.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path).select(F.col("path").alias("item"), "length")
+    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).text(path).select(F.col("_metadata.file_path").alias("item"), "value", F.monotonically_increasing_id().alias("n"))
+    seen = lines.groupBy("item").agg(F.min_by("value", "n").alias("header"), (F.count("*") - 1).alias("rows"))
+    return listed.join(seen, "item", "left").select("item", F.coalesce("header", F.lit("")).alias("header"), F.coalesce("rows", F.lit(0)).alias("rows"))
 
 
 def find_column(columns: Sequence[str], names: Sequence[str], contains: str | None = None) -> str | None:
@@ -63,39 +100,96 @@ def find_column(columns: Sequence[str], names: Sequence[str], contains: str | No
     return next((c for c in columns if contains and contains in c.lower()), None)
 
 
-def _number(c: str) -> Column:
-    return F.expr(f"try_cast(`{c}` AS double)")
+def _number(text: Column) -> Column:
+    return F.trim(text.cast("string")).try_cast("double")
 
 
-def _day(c: str) -> Column:
-    text = F.col(f"`{c}`").cast("string")
-    return F.coalesce(F.try_to_date(text, "yyyy-MM-dd"), F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")).cast("date"), F.try_to_date(text, "M/d/yyyy"))
+def _day(value: Column) -> Column:
+    """A date from any of the forms in which histories and rates come; null if none fits."""
+    text = F.trim(value.cast("string"))
+    forms = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ssXXX")
+    days = [F.try_to_date(text, f) for f in ("yyyy-MM-dd", "M/d/yyyy", "yyyy/MM/dd", "yyyyMMdd", "d-MMM-yyyy", "MMM d, yyyy")]
+    # the written day counts, whatever the zone behind it
+    return F.coalesce(days[0], *(F.when(F.try_to_timestamp(text, F.lit(f)).isNotNull(), F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd")) for f in forms), *days[1:])
 
 
-def resolved_history(df: DataFrame, symbol: Column) -> DataFrame:
-    """Any history table as (symbol, trade_date, close, dividend_yield).
+def history_columns(columns: Sequence[str]) -> tuple[str, str, str | None] | None:
+    """(date, close, yield) columns of a history; None without a close.
 
     The unadjusted close is preferred; else the first column with "close" in its
-    name that isn't the date.  Missing or negative yields are 0.
+    name that isn't the date.
     """
-    day = next((c for c in df.columns if "date" in c.lower()), df.columns[0])
-    close = find_column([c for c in df.columns if c != day], ["TR.CLOSEPRICE(Adjusted=0)"], "close")
-    if close is None:
+    if not columns:
+        return None
+    day = next((c for c in columns if "date" in c.lower()), columns[0])
+    close = find_column([c for c in columns if c != day], ["TR.CLOSEPRICE(Adjusted=0)"], "close")
+    return (day, close, next((c for c in columns if c.lower() == "dividend_yield"), None)) if close else None
+
+
+def _clean_yield(text: Column) -> Column:
+    return F.greatest(F.coalesce(F.nanvl(_number(text), F.lit(0.0)), F.lit(0.0)), F.lit(0.0))
+
+
+def resolved_history(df: DataFrame, symbol: Column) -> DataFrame:
+    """Any history table as (symbol, trade_date, close, dividend_yield); missing or negative yields are 0."""
+    found = history_columns(df.columns)
+    if found is None:
         return df.sparkSession.createDataFrame([], STOCK_HISTORY)
-    yields = next((c for c in df.columns if c.lower() == "dividend_yield"), None)
-    y = F.greatest(F.coalesce(F.nanvl(_number(yields), F.lit(0.0)), F.lit(0.0)), F.lit(0.0)) if yields else F.lit(0.0)
+    day, close, yields = (F.col(f"`{c}`") if c else None for c in found)
+    y = _clean_yield(yields) if yields is not None else F.lit(0.0)
     return df.select(symbol.alias("symbol"), _day(day).alias("trade_date"), _number(close).alias("close"), y.alias("dividend_yield")).dropna(subset=["trade_date", "close"])
 
 
+_HISTORY_FILE = r"^(.*)_stock_data\.csv$"
+
+
+def stock_symbols(spark: SparkSession, path: str) -> DataFrame:
+    """(symbol) of the history files of a folder, from their names."""
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*_stock_data.csv").load(path)
+    except AnalysisException:
+        return spark.createDataFrame([], "symbol string")
+    return files.select(F.upper(F.regexp_extract(F.element_at(F.split("path", "/"), -1), _HISTORY_FILE, 1)).alias("symbol")).distinct()
+
+
 def stock_history(spark: SparkSession, path: str) -> DataFrame:
-    """All ``{SYMBOL}_stock_data.csv`` files of a folder; the symbol comes from the file's name."""
-    symbol = F.upper(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)_stock_data\.csv$", 1))
+    """All ``{SYMBOL}_stock_data.csv`` files of a folder as (symbol, trade_date, close, dividend_yield, ordinal).
+
+    Every file is read by its own header, so layouts may be mixed; ``ordinal``
+    is a row's place in its file, by which the last row of a day is known.  A
+    file holds one symbol's history and is small enough for one row.  There are
+    few headers: only they reach the driver.
+    """
     try:
-        rows = spark.read.option("header", True).option("pathGlobFilter", "*_stock_data.csv").csv(path)
+        files = spark.read.option("pathGlobFilter", "*_stock_data.csv").text(path, wholetext=True)
     except AnalysisException:
-        return spark.createDataFrame([], STOCK_HISTORY)
-    rows = rows.withColumn("_symbol", symbol)
-    return resolved_history(rows, F.col("_symbol")) if len(rows.columns) > 2 else spark.createDataFrame([], STOCK_HISTORY)
+        return spark.createDataFrame([], f"{STOCK_HISTORY}, ordinal long")
+    symbol = F.upper(F.regexp_extract(F.col("_metadata.file_name"), _HISTORY_FILE, 1))
+    return parsed_histories(files.select(symbol.alias("symbol"), F.col("value").alias("body")))
+
+
+def parsed_histories(files: DataFrame) -> DataFrame:
+    """The rows of history files (symbol, body), each read by its own header; see ``stock_history``."""
+    spark, schema = files.sparkSession, f"{STOCK_HISTORY}, ordinal long"
+    body = F.regexp_replace(F.regexp_replace("body", "^\ufeff", ""), "\r", "")
+    files = files.select("symbol", body.alias("body")).withColumn("header", F.substring_index("body", "\n", 1))
+    known = []
+    for (header,) in files.select("header").distinct().collect():
+        columns = [c.strip() for c in next(csv.reader([header]), [])]
+        found = history_columns(columns)
+        if found:
+            known.append((header, columns, found))
+    if not known:
+        return spark.createDataFrame([], schema)
+    rows = files.select("symbol", "header", F.posexplode(F.split("body", "\n")).alias("ordinal", "line")).filter("ordinal > 0 and trim(line) != ''")
+    parsed = F
+    for header, columns, found in known:
+        line = F.from_csv("line", ", ".join(f"c{k} string" for k in range(len(columns))), {"mode": "PERMISSIVE"})
+        day, close, yields = (line[f"c{columns.index(c)}"] if c else F.lit(None).cast("string") for c in found)
+        parsed = parsed.when(F.col("header") == header, F.struct(day.alias("day"), close.alias("close"), yields.alias("y")))
+    rows = rows.withColumn("p", parsed).filter("p is not null")
+    out = rows.select("symbol", _day(F.col("p.day")).alias("trade_date"), _number(F.col("p.close")).alias("close"), _clean_yield(F.col("p.y")).alias("dividend_yield"), F.col("ordinal").cast("long"))
+    return out.dropna(subset=["trade_date", "close"])
 
 
 def resolved_rates(df: DataFrame, series: str | None = None) -> DataFrame:
@@ -108,8 +202,8 @@ def resolved_rates(df: DataFrame, series: str | None = None) -> DataFrame:
         raise ValueError("no rate column")
     if series and "series_id" in lower:
         df = df.filter(F.col(lower["series_id"]) == series)
-    rate = _number(decimal) if decimal else _number(percent) / 100
-    return df.select(_day(day).alias("rate_date"), rate.alias("rate")).dropna().orderBy("rate_date")
+    rate = _number(F.col(f"`{decimal}`")) if decimal else _number(F.col(f"`{percent}`")) / 100
+    return df.select(_day(F.col(f"`{day}`")).alias("rate_date"), rate.alias("rate")).dropna().orderBy("rate_date")
 
 
 def snapshots(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
@@ -133,10 +227,15 @@ def snapshots(spark: SparkSession, path: str, strict: bool = False) -> DataFrame
 
 
 def optional(spark: SparkSession, path: str, schema: StructType | str, form: str = "csv") -> DataFrame:
-    """A table that may be absent or unreadable: then an empty one of the schema."""
+    """A table that may be absent, empty or unreadable: then an empty one of the schema.
+
+    Reading is lazy, so one row is asked for here to learn whether it works.
+    """
     try:
-        return spark.read.schema(schema).option("header", True).format(form).load(path)
-    except AnalysisException:
+        found = spark.read.schema(schema).option("header", True).format(form).load(path)
+        found.isEmpty()
+        return found
+    except (PySparkException, Py4JJavaError):
         return spark.createDataFrame([], schema)
 
 
@@ -151,6 +250,59 @@ def parsed_rate_response(df: DataFrame, column: str = "body") -> DataFrame:
     return each.select(F.try_to_date(F.col("o.date"), "yyyy-MM-dd").alias("rate_date"), (F.expr("try_cast(o.value AS double)") / 100).alias("rate"))
 
 
+def rate_responses(spark: SparkSession, path: str) -> DataFrame:
+    """(rate_date, rate) from files that hold one JSON answer each."""
+    return parsed_rate_response(spark.read.text(path, wholetext=True).withColumnRenamed("value", "body"))
+
+
+def rate_key() -> str:
+    """The key of the rate service, from the environment alone."""
+    key = os.environ.get("RATE_KEY", "").strip()
+    if not key:
+        raise OSError("RATE_KEY is not set")
+    return key
+
+
+def snapshot_rows(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members of index snapshots from the answers to several request shapes.
+
+    ``responses``: snapshot_date, request (its number), ric, ticker, name, whose
+    cells may hold several values.  Of a snapshot's requests the first that names
+    a ticker counts: (snapshot_date, ticker, original_ric, name).  The second
+    table has the rows of answers that named none, for debugging.
+    """
+    rows = exploded_members(responses.withColumn("_order", F.xxhash64("ric", "ticker", "name")), "ric", "ticker", "name", "_order")
+    first = rows.groupBy("snapshot_date").agg(F.min("request").alias("request"))
+    members = rows.join(first, ["snapshot_date", "request"]).select("snapshot_date", "ticker", "original_ric", "name").dropDuplicates(["snapshot_date", "ticker"])
+    mute = responses.join(rows.select("snapshot_date", "request").distinct(), ["snapshot_date", "request"], "left_anti")
+    return members, mute
+
+
+#: Days before the first price day from which dividends are fetched, so that the first trailing sum is whole.
+DIVIDEND_LEAD = 370
+
+
+def dividend_events(rows: DataFrame, start: str, end: str) -> DataFrame:
+    """(symbol, trade_date, dividends) from vendor rows: the lead-in before ``start`` included, what is no number counts 0."""
+    days = rows.select("symbol", _day(F.col("trade_date")).alias("trade_date"), F.coalesce(_number(F.col("dividends")), F.lit(0.0)).alias("dividends"))
+    return days.filter(F.col("trade_date").between(F.date_sub(F.lit(start).cast("date"), DIVIDEND_LEAD), F.lit(end).cast("date")))
+
+
+def flattened(df: DataFrame) -> DataFrame:
+    """Columns of structs as columns of their own, named by both levels; other names are trimmed."""
+    out = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, StructType):
+            out += [F.col(f"`{f.name}`").getField(x).alias("_".join(p.strip() for p in (f.name, x) if p.strip())) for x in f.dataType.fieldNames()]
+        else:
+            out.append(F.col(f"`{f.name}`").alias(f.name.strip()))
+    return df.select(*out)
+
+
+class Throttled(Exception):
+    """The vendor asks to wait."""
+
+
 class VendorSource(DataSource):
     """``spark.read.format("vendor")``: rows that a request for each symbol returns.
 
@@ -172,11 +324,17 @@ class VendorSource(DataSource):
 
 
 class _VendorReader(DataSourceReader):
+    """BATCH symbols a task; a throttled request is repeated after a pause, ``attempts`` times at most."""
+
+    BATCH, PAUSE, ATTEMPTS = 10, 300.0, 5
+
     def __init__(self, options: dict, fields: list[str]):
         self.options, self.fields, self.key = options, fields, os.environ.get("VENDOR_KEY")
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(s) for s in self.options.get("symbols", "").split(",") if s]
+        symbols = [s for s in self.options.get("symbols", "").split(",") if s]
+        size = int(self.options.get("batch", self.BATCH))
+        return [InputPartition(",".join(symbols[at : at + size])) for at in range(0, len(symbols), size)]
 
     def request(self, candidate: str) -> list[dict]:
         try:
@@ -185,9 +343,15 @@ class _VendorReader(DataSourceReader):
         except (KeyError, OSError, ValueError):
             return []
 
+    def patient(self, candidate: str) -> list[dict]:
+        for attempt in range(int(self.options.get("attempts", self.ATTEMPTS))):
+            if attempt:
+                time.sleep(float(self.options.get("pause", self.PAUSE)))
+            with contextlib.suppress(Throttled):
+                return self.request(candidate)
+        raise Throttled(candidate)
+
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        for candidate in str(partition.value).split("|"):
-            rows = self.request(candidate)
-            if rows:
-                yield from (tuple(r.get(f) for f in self.fields) for r in rows)
-                return
+        for symbol in str(partition.value).split(","):
+            rows = next(filter(None, map(self.patient, symbol.split("|"))), [])
+            yield from (tuple(r.get(f) for f in self.fields) for r in rows)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,13 +18,35 @@ def write_days(df: DataFrame, path: str, sort: tuple[str, ...] = ("underlying",)
     kept.repartition("trade_date").sortWithinPartitions("trade_date", *sort).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("trade_date").parquet(path)
 
 
+@functools.lru_cache(maxsize=1)
+def _own_dir() -> str:
+    return f"file://{tempfile.mkdtemp(prefix='volsurf-')}"
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``, which all executors share; a temporary one of this process in local mode only."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is not set")
+    return _own_dir()
+
+
+def staged(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: several later steps use it, and their plans start from the table."""
+    path = f"{shared_dir(df.sparkSession)}/staged/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
 def report(df: DataFrame, path: str) -> None:
-    """Replaces a report, by an empty one if there is nothing to say."""
-    df.coalesce(1).write.mode("overwrite").parquet(path)
+    """Replaces a report, by an empty one if there is nothing to say; it is as wide as its input."""
+    df.write.mode("overwrite").parquet(path)
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -50,22 +76,67 @@ def backup_once(spark: SparkSession, path: str, to: str) -> bool:
 
 
 def swap(spark: SparkSession, new: str, live: str) -> None:
-    """Puts a finished folder in the place of the live one."""
+    """Puts a finished folder in the place of the live one; ``recovered`` mends a swap that broke off in between."""
     fs, source = _hadoop(spark, new)
     _, target = _hadoop(spark, live)
     old = _hadoop(spark, f"{live.rstrip('/')}.old")[1]
-    fs.delete(old, True)
+    recovered(spark, live)
+    if not fs.exists(source):
+        raise OSError(f"{new} can't be moved to {live}: it is absent")
     if fs.exists(target):
         fs.rename(target, old)
     if not fs.rename(source, target):
-        fs.rename(old, target)
+        if fs.exists(old):
+            fs.rename(old, target)
         raise OSError(f"{new} could not be moved to {live}")
     fs.delete(old, True)
 
 
+def recovered(spark: SparkSession, live: str) -> bool:
+    """After a swap that broke off: puts the old folder back if there is no live one, else removes it.  Whether a live folder exists."""
+    fs, target = _hadoop(spark, live)
+    old = _hadoop(spark, f"{live.rstrip('/')}.old")[1]
+    if fs.exists(old):
+        if fs.exists(target):
+            fs.delete(old, True)
+        else:
+            fs.rename(old, target)
+    return fs.exists(target)
+
+
 def copy_plan(days: DataFrame, present: DataFrame, source: str, target: str, overwrite: bool = False) -> DataFrame:
     """(day, source, target, action) for mirroring day files: business days whose copy is absent, or all of them."""
     due = days.filter("is_business").select("day")
     have = present.select(F.col("trade_date").alias("day"), F.lit(True).alias("_have")).distinct()
     action = F.when(F.col("_have") & ~F.lit(overwrite), "skip").otherwise("copy")
     return due.join(have, "day", "left").select("day", day_path(F.col("day"), source).alias("source"), day_path(F.col("day"), target).alias("target"), action.alias("action"))
+
+
+def fetch_outcomes(plan: DataFrame, answers: DataFrame) -> DataFrame:
+    """(day, outcome) of a run over a copy plan, in the order of days.
+
+    ``answers``: day, code (an HTTP status).  200 is downloaded, 404 skipped, any
+    other a failure; from the first 403 on the run has stopped.  Days that the
+    plan skips exist already.
+    """
+    due = plan.join(answers, "day", "left")
+    stop = due.filter("action = 'copy' and code = 403").agg(F.min("day").alias("_stop"))
+    code = F.col("code")
+    outcome = (
+        F.when(F.col("action") == "skip", "exists")
+        .when(F.col("day") == F.col("_stop"), "forbidden")
+        .when(F.col("day") > F.col("_stop"), "not_tried")
+        .when(code == 200, "downloaded")
+        .when(code == 404, "skipped")
+        .otherwise("failed")
+    )
+    # one row
+    return due.join(F.broadcast(stop)).select("day", outcome.alias("outcome"))
+
+
+def result_document(outcomes: DataFrame) -> DataFrame:
+    """(status, body): 200 if nothing failed, else 207, and the counts by outcome as JSON."""
+    counts = outcomes.groupBy("outcome").agg(F.count("*").alias("n"))
+    bad = F.coalesce(F.sum(F.when(F.col("outcome").isin("failed", "forbidden", "not_tried"), F.col("n"))), F.lit(0))
+    body = F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("outcome", "n")))))
+    return counts.agg(F.when(bad > 0, 207).otherwise(200).alias("status"), body.alias("body"))

@@ -321,6 +321,8 @@ def test_placement(spark, tmp_path):
     got = sharding.place(df, "k", ["a", "b", "c"], 101).collect()
     assert len(got) == 4 and len({r.shard for r in got if r.k == 1}) == 1 and all(r.shard_name == "abc"[r.shard] for r in got)
     assert sharding.place(df.limit(0), "k", ["a"], 101).count() == 0
+    by_clash = sharding.place(spark.createDataFrame([("x" * 200_000,), ("y",), (None,)], "shard string"), "shard", ["a", "b", "c"], 101)
+    assert sorted(r.slot for r in by_clash.collect()) == sorted(r.slot for r in sharding.place(spark.createDataFrame([("x" * 200_000,), ("y",), (None,)], "k string"), "k", ["a", "b", "c"], 101).collect())
     sharding.write_shards(df, "k", ["a", "b"], str(tmp_path / "s"), 101, files=2)
     assert spark.read.parquet(str(tmp_path / "s")).count() == 4
 
@@ -695,6 +697,17 @@ def test_urls(spark):
     assert url_filter.judge(df, []).filter("verdict != 'allow'").count() == 0 and url_filter.judge(df.limit(0), rules).count() == 0
 
 
+def test_patterns_block_unwanted_pages(spark):
+    from volsurf.llm.queries import PATTERN_RULES, SHAPES, UNWANTED, URL_RULES
+
+    assert len(PATTERN_RULES) == len(UNWANTED) * len(SHAPES) >= 200
+    urls = ["http://casino.com/x", "http://my-casino.com/", "http://mycasino.com/", "http://a.com/casino", "http://a.com/casino/b", "http://a.com/casinos", "http://a.com/login.php?x", "http://a.com/best-poker-x/", "http://a.net/casino", "http://a.org/fr/casino", "http://a.com/?q=/casino/", "http://com.casino/"]
+    df = spark.createDataFrame([(k, u) for k, u in enumerate(urls)], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(df, (*URL_RULES, *PATTERN_RULES)).collect()}
+    assert [k for k in got if got[k][1] == "block"] and {k for k in got if got[k][1] == "block"} == {0, 1, 3, 4, 6, 7, 8}
+    assert got[8][0] == "net/" and got[9] == ("org/fr/", "allow") and got[0][0] == "label:casino"
+
+
 def test_rarest_token(spark):
     rules = [url_filter.pattern_rule("a", "block", "x", ["com", "alpha"]), url_filter.pattern_rule("b", "block", "x", ["com", "beta"]), url_filter.pattern_rule("c", "block", "x", [])]
     assert {r.rule: r.token for r in url_filter.index(spark, rules).collect()} == {"a": "alpha", "b": "beta", "c": ""}

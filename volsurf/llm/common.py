@@ -23,11 +23,15 @@ def _own_dir() -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which all executors share.
 
-    Only where the session names none (tests in local mode) is it a temporary
-    folder of this process.
+    Only where the session names none and is in local mode (tests) is it a
+    temporary folder of this process.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
-    return found.rstrip("/") if found else _own_dir()
+    if found:
+        return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is not set")
+    return _own_dir()
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
@@ -44,10 +48,12 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return out
 
 
-def discard(df: DataFrame) -> None:
-    """Deletes the files of a materialized table that no later plan reads."""
-    path = getattr(df, "_volsurf_path", None)
-    if path:
+def discard(*tables: DataFrame) -> None:
+    """Deletes the files of materialized tables that no later plan reads."""
+    for df in tables:
+        path = getattr(df, "_volsurf_path", None)
+        if not path:
+            continue
         spark = df.sparkSession
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

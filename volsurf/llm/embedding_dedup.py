@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 from .components import connected_components
 from .simhash import _forest
 
@@ -281,6 +281,7 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     named = materialize(named.select("digest", "least_id", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "node").alias("root")), "named")
     least = materialize(named.groupBy("root").agg(F.min("least_id").alias("component_id")), "components")
     by_digest = materialize(named.join(least, "root").select("digest", "n_links", "component_id"), "by_digest")
+    discard(distinct, blocks, pairs, found, named, least)
     linked = keyed.select("vec_id", "digest").join(by_digest, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return linked.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))

@@ -290,14 +290,15 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> Dat
     return texts.mapInArrow(run, "node long, shingles array<long>").groupBy("node").agg(F.first("shingles").alias("shingles"))
 
 
-def links(docs: DataFrame, nodes: DataFrame, id_col: str = "doc_id", text_col: str = "text", tile: int = TILE) -> tuple[DataFrame, DataFrame]:
-    """(u, v) of confirmed links, enough to span every component, and the components (node, root)."""
+def links(docs: DataFrame, nodes: DataFrame, id_col: str = "doc_id", text_col: str = "text", tile: int = TILE) -> DataFrame:
+    """The components (node, root) of confirmed links; nodes without a smaller one in their component are absent."""
     tiles = materialize(_tiles(nodes, tile), "tiles")
     pairs = materialize(_tile_pairs(tiles), "tile_pairs")
     rows = tiles.select("tile", "rows")
     spark = docs.sparkSession
     good, failed = spark.createDataFrame([], "u long, v long"), None
     labels = sets = place = None
+    done = [tiles]
     for turn in range(MAX_ROUNDS):
         work = pairs.join(rows.toDF("a", "a_rows"), "a").join(rows.toDF("b", "b_rows"), "b")
         none = F.lit(None).cast("array<long>")
@@ -322,15 +323,18 @@ def links(docs: DataFrame, nodes: DataFrame, id_col: str = "doc_id", text_col: s
         similar = common >= SIMILARITY * (F.size("u_set") + F.size("v_set") - common) - 1e-9
         checked = materialize(both.select("a", "b", "u", "v", similar.alias("similar")), "checked")
         good = good.unionByName(checked.filter("similar").select("u", "v"))
-        labels = materialize(connected_components(good), "labels")
-        left = found.filter("u is null").select("a", "b").distinct()
+        labels = connected_components(good)
+        left = materialize(found.filter("u is null").select("a", "b").distinct(), "tile_pairs")
+        done += [pairs, found, checked]
         if left.isEmpty():
-            return good, labels
-        pairs = materialize(left, "tile_pairs")
+            discard(*done, sets, left)
+            return labels
+        pairs = left
         bad = checked.filter("not similar").select("a", "b", "u", "v")
         failed = bad if failed is None else failed.unionByName(bad)
         if turn == 0:
             place = materialize(_members(tiles, pairs), "members")
+            done.append(place)
     raise RuntimeError(f"candidates were left after {MAX_ROUNDS} rounds")
 
 
@@ -354,7 +358,7 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", til
     values = [F.first(c).alias(c) for c in ("low", "high", "size")]
     nodes = rows.groupBy("node").agg(first, *values)
     nodes = materialize(nodes.select("node", "best", F.col("best.k1").alias("k1"), F.col("best.k2").alias("k2"), "low", "high", "size"), "nodes")
-    _, roots = links(docs, nodes, id_col, text_col, tile)
+    roots = links(docs, nodes, id_col, text_col, tile)
     named = materialize(nodes.join(roots, "node", "left").select("node", "best", F.coalesce("root", "node").alias("root")), "named")
     best = materialize(named.groupBy("root").agg(F.min("best").alias("keep")), "kept")
     return rows.select("doc_id", "k1", "k2", "node"), materialize(named.join(best, "root").select("node", "root", "keep"), "groups")

@@ -20,6 +20,22 @@ URL_RULES = (
 )
 
 
+#: Words of pages that no corpus wants: shops, gambling, adult and pirated goods, and pages that hold no text.
+UNWANTED = (
+    "backlinks basket betting calendar cart casino checkout cialis crack escort essays feed jackpot keygen loans login logout lottery nulled nude payday "
+    "pharmacy pills poker porn print register replica roulette rss serials sex signin signup slots torrent viagra warez webcam wishlist xxx"
+).split()
+#: Where such a word stands: a label of the host, a part of one, a step of the path, a script, a part of a step.
+SHAPES = {
+    "label": r"^(?:[^/]*\.)?{}\.",
+    "host": r"^[^/]*-{}[.-]",
+    "step": r"/{}(?:/|$)",
+    "script": r"/{}\.(?:php|aspx?|html?)$",
+    "part": r"/[^/]*-{}(?:[-./]|$)",
+}
+PATTERN_RULES = tuple(url_filter.pattern_rule(f"{shape}:{word}", "block", pattern.format(word), (word,)) for word in UNWANTED for shape, pattern in SHAPES.items())
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
@@ -67,8 +83,10 @@ def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
-    return judged.select("page_id", "host", "path", "rule", "verdict")
+    judged = url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), (*URL_RULES, *PATTERN_RULES))
+    # what a pattern decides is the method's verdict, under no rule of the list
+    listed = F.when(F.col("rule").isin(*(r.name for r in URL_RULES)), F.col("rule"))
+    return judged.select("page_id", "host", "path", listed.alias("rule"), "verdict")
 
 
 QUERIES = {
@@ -94,7 +112,8 @@ def _sharding_sql() -> str:
     """
 
 
-_URL_SQL = """
+_WORDS = f"({'|'.join(UNWANTED)})"
+_URL_SQL = f"""
 WITH u AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 p AS (
@@ -103,8 +122,23 @@ p AS (
 r(h, pre, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
 m AS (
   SELECT page_id, arg_max(h || pre, length(h || pre)) AS rule, arg_max(v, length(h || pre)) AS verdict
-  FROM p JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, pre) GROUP BY page_id)
-SELECT p.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN m USING (page_id)
+  FROM p JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, pre) GROUP BY page_id),
+w AS (
+  SELECT page_id, regexp_matches('.' || host, '[.]{_WORDS}[.]') OR regexp_matches(host || '/', '-{_WORDS}[.-]')
+    OR regexp_matches(path, '/{_WORDS}(/|$|[.](php|asp|aspx|htm|html)$)') OR regexp_matches(path, '/[^/]*-{_WORDS}([-./]|$)') AS unwanted FROM p)
+SELECT p.page_id, host, path, rule, coalesce(verdict, CASE WHEN unwanted THEN 'block' ELSE 'allow' END) AS verdict FROM p LEFT JOIN m USING (page_id) JOIN w USING (page_id)
+"""
+
+#: All pairs, and reachability row by row: for small tables.
+_EMBEDDING_SQL = """
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+n AS (SELECT *, sqrt(list_sum([x * x FOR x IN e])) AS size FROM v),
+u AS (SELECT r, len(e) AS d, [x / size FOR x IN e] AS w FROM n WHERE isfinite(size) AND size > 0 AND NOT list_contains([x IS NULL FOR x IN e], true)),
+l AS (SELECT a.r AS a, b.r AS b FROM u a JOIN u b ON a.d = b.d AND a.r <> b.r WHERE list_dot_product(a.w, b.w) >= 0.95),
+reach AS (SELECT r AS a, r AS b FROM v UNION SELECT reach.a, l.b FROM reach JOIN l ON l.a = reach.b),
+c AS (SELECT reach.a AS r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.b GROUP BY reach.a),
+k AS (SELECT a AS r, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM v JOIN c USING (r) LEFT JOIN k USING (r)
 """
 
-ORACLE_SQL = {"op4_sharding": _sharding_sql(), "op10_urls": _URL_SQL}
+ORACLE_SQL = {"op4_sharding": _sharding_sql(), "op9_embeddings": _EMBEDDING_SQL, "op10_urls": _URL_SQL}

@@ -11,7 +11,8 @@ state, the same answer on every executor.  The table has SLOTS rows whatever
 the data's size, so its broadcast has a fixed bound.
 
 Edge cases: a null key is placed like the text ``\\N``.  Repeated keys get
-equal shards; other columns pass through.  No shards is an error.
+equal shards; other columns pass through, very long keys are hashed whole.  No
+shards is an error.
 """
 
 from __future__ import annotations
@@ -65,8 +66,8 @@ def slot_of(key, slots: int = SLOTS):
 
 
 def place(df: DataFrame, key: str, names: Sequence[str], slots: int = SLOTS) -> DataFrame:
-    """``df`` with slot, shard and shard_name of each row; columns of these names are replaced."""
-    rows = df.drop("slot", "shard", "shard_name").withColumn("slot", slot_of(F.col(key), slots))
+    """``df`` with slot, shard and shard_name of each row; columns of these names are replaced, the key too if it has one of them."""
+    rows = df.withColumn("_slot_of_key", slot_of(F.col(key), slots)).drop("slot", "shard", "shard_name").withColumnRenamed("_slot_of_key", "slot")
     return rows.join(F.broadcast(lookup_table(df.sparkSession, names, slots)), "slot")
 
 

@@ -10,7 +10,7 @@ Scale: copies collapse to one row per distinct fingerprint before anything is
 compared (with partial aggregation, so a group holding a third of the corpus
 costs one row a task).  Cells are cut into tiles of about ``TILE`` rows, so a
 crowded cell becomes many tiles and many small tasks.  Of 41 cells within
-reach of a cell half are probed, which is about one pair in 150 of all pairs.
+reach of a cell half are probed, which is about one pair in 75 of all pairs.
 
 Edge cases: null and empty texts and texts without words have fingerprint 0
 and link like any other.  Rows with a null id keep a fingerprint but name no
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 from .components import connected_components
 from .words import slices
 
@@ -153,6 +153,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = materialize(named, "named")
     whole = materialize(named.groupBy("root").agg(F.min("least_id").alias("component_id")), "components")
     by_fp = materialize(named.join(whole, "root").select("fp", "component_id"), "by_fp")
+    discard(distinct, named, whole)
     return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 

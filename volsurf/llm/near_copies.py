@@ -10,17 +10,18 @@ standard deviations above that (a pair right at 0.8 is missed about twice in
 10,000; closer ones never in practice).  Nodes of few shingles, whose bits are
 coarser, have the wider radius SMALL.
 
-Nodes are sorted by the sizes of their sets and cut into tiles of TILE rows.
-Sizes within a factor of SIMILARITY and population counts within the radius
+Nodes go to tiles of about TILE rows by the sizes of their sets, and within a
+band of nearly equal sizes by a hash.  Sizes within a factor of SIMILARITY and population counts within the radius
 are necessary, so tile pairs beyond either are skipped; the others are
 compared in full with numpy exclusive-or and bit counts.  At this radius
 population counts skip little and sizes most: the comparison stays quadratic in
 distinct texts of similar length, at about 1 ns a pair.
 
 A dense group has as many candidate pairs as the square of its size.  So a tile
-pair proposes FORESTS edge-disjoint spanning forests of its candidates; these
+pair proposes edge-disjoint spanning forests of its candidates (FORESTS within
+a tile, one between two); these
 are confirmed, components are formed, and only tile pairs with candidates left
-between different components are asked again, for four times as many forests
+between different components are asked again, for GROWTH times as many forests
 and without the pairs that failed.  The rounds end when no candidate is left,
 so no link is lost, and a group of g near copies costs about g confirmations.
 Edges are drawn in a shuffled order, so that no node gets most of them.
@@ -49,7 +50,7 @@ from .components import connected_components
 from .words import slices
 
 WIDTH, SIMILARITY, SEED = 5, 0.8, 42
-TILE, FORESTS, MAX_ROUNDS = 16_384, 4, 14
+TILE, BAND, FORESTS, GROWTH, MAX_ROUNDS = 16_384, 0.01, 4, 16, 8
 #: Bits that may differ of the first 64 and of all 128, from SMALL_SIZE shingles on and below.
 RADIUS, SMALL, SMALL_SIZE = (20, 34), (24, 42), 64
 BROADCAST_ROWS = 500_000
@@ -111,34 +112,37 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return _keyed(docs, id_col, text_col).mapInArrow(run, "doc_id long, k1 long, k2 long, node long, low long, high long, size int")
 
 
-def _tiles(nodes: DataFrame, tile: int) -> DataFrame:
-    """Runs of the order by size: (tile, least and greatest size, least and greatest population count, rows as bytes)."""
-    n = max(1, -(-nodes.count() // tile))
-    ordered = nodes.select("node", "low", "high", "size").repartitionByRange(n, "size", "node").sortWithinPartitions("size", "node")
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part, k, rows = TaskContext.get().partitionId(), 0, np.zeros(0, _NODE)
+def _plan(counts: list[tuple[int, int]], tile: int) -> list[tuple[int, int, int]]:
+    """(band, first tile, tiles) from the rows of each band: neighbouring bands share a tile until it is full, a crowded one has several."""
+    out, at, held = [], 0, 0
+    for band, n in counts:
+        if held and held + n > tile:
+            at, held = at + 1, 0
+        k = max(1, -(-n // tile))
+        out.append((band, at, k))
+        at, held = (at, held + n) if k == 1 else (at + k, 0)
+    return out
 
-        def row(cut: np.ndarray, k: int) -> pa.RecordBatch:
-            ones = np.bitwise_count(cut["low"])
-            values = [(part << 24) + k, int(cut["size"][0]), int(cut["size"][-1]), int(ones.min()), int(ones.max()), cut.tobytes()]
-            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)], ["tile", "least", "most", "few", "many", "rows"])
 
-        for batch in batches:
-            new = np.zeros(batch.num_rows, _NODE)
-            for c in _NODE.names:
-                new[c] = batch.column(c).to_numpy().view(_NODE[c])
-            rows = np.concatenate([rows, new])
-            while len(rows) > 2 * tile:
-                yield row(rows[:tile], k)
-                rows, k = rows[tile:], k + 1
-        for at in range(0, len(rows), tile):
-            yield row(rows[at : at + tile], k)
-            k += 1
-
-    return ordered.mapInArrow(pack, "tile long, least int, most int, few int, many int, rows binary")
+def _tiles(nodes: DataFrame, tile: int) -> DataFrame:
+    """Nodes of similar sizes together: (tile, least and greatest size, least and greatest population count, rows as bytes)."""
+    banded = nodes.select("node", "low", "high", "size", F.floor(F.log(F.greatest("size", F.lit(1))) / BAND).cast("int").alias("band"))
+    # sizes are below 2^31: at most 2149 bands
+    counts = sorted(map(tuple, banded.groupBy("band").count().collect()))
+    plan = F.broadcast(nodes.sparkSession.createDataFrame(_plan(counts, tile), "band int, first int, tiles int"))
+    placed = banded.join(plan, "band").withColumn("tile", (F.col("first") + F.pmod(F.xxhash64(F.lit(5), "node"), F.col("tiles"))).cast("long"))
+
+    def pack(group: pa.Table) -> pa.Table:
+        rows = np.zeros(group.num_rows, _NODE)
+        for c in _NODE.names:
+            rows[c] = group.column(c).to_numpy().view(_NODE[c])
+        rows.sort(order=["size", "node"])
+        ones = np.bitwise_count(rows["low"])
+        values = [group.column("tile")[0].as_py(), int(rows["size"][0]), int(rows["size"][-1]), int(ones.min()), int(ones.max()), rows.tobytes()]
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+        return pa.table({n: pa.array([v], t) for n, v, t in zip(("tile", "least", "most", "few", "many", "rows"), values, kinds, strict=True)})
+
+    return placed.select("tile", "node", "low", "high", "size").groupBy("tile").applyInArrow(pack, "tile long, least int, most int, few int, many int, rows binary")
 
 
 def _tile_pairs(tiles: DataFrame) -> DataFrame:
@@ -237,7 +241,8 @@ def _propose(forests: int):
         start = np.unique(whole, return_inverse=True)[1]
         failed = np.array(row["failed"] or (), np.int64).reshape(-1, 2)
         failed = set(map(tuple, failed.tolist()))
-        grown = [_Forest(start) for _ in range(forests)]
+        # nodes of one tile meet once, those of different tiles in as many pairs as there are tiles
+        grown = [_Forest(start) for _ in range(forests if same else -(-forests // FORESTS))]
         us, vs, more = [], [], False
         shift = 0 if same else len(x)
         for i, j in _hits(x, y, same):
@@ -313,7 +318,7 @@ def links(docs: DataFrame, nodes: DataFrame, id_col: str = "doc_id", text_col: s
             work = work.join(gone, ["a", "b"], "left").select("a", "b", "a_rows", "b_rows", *both, "failed")
         else:
             work = work.select("a", "b", "a_rows", "b_rows", none.alias("labelled"), none.alias("labels"), none.alias("failed"))
-        found = materialize(work.mapInArrow(_propose(FORESTS * 4**turn), "a long, b long, u long, v long"), "proposed")
+        found = materialize(work.mapInArrow(_propose(FORESTS * GROWTH**turn), "a long, b long, u long, v long"), "proposed")
         edges = found.filter("u is not null")
         if sets is None:
             ends = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct()

@@ -235,7 +235,8 @@ class Finder:
 
     def __init__(self, block: Benchmark, idf: np.ndarray, latents: list[Latent]):
         self.block, self.words, self.idf, self.latents = block, Words(block.vocabulary), idf, latents
-        self.places = []
+        self.mark = np.zeros(len(block.vocabulary) + 1, bool)  # the last place is that of foreign words, -1
+        self.places, self.terms = [], [np.unique(s).astype(np.int32) for s in block.sequences]
         for s in block.sequences:
             where: dict[int, int] = {}
             for j, t in enumerate(s):
@@ -282,37 +283,58 @@ class Finder:
             more = joined[some]
             window[more] += z[some[more] + 1]
             along = (window @ latent.latent) / latent.length
-            for w, p in zip(*(x.tolist() for x in np.nonzero(along >= SHARE * latent.length)), strict=True):
-                at = lo + int(some[w])
-                yield int(row[at]), int(start[at]), p, float(along[w, p]) / float(w_in[some[w]]) ** 0.5
+            w, p = np.nonzero(along >= SHARE * latent.length)
+            at = lo + some[w]
+            cosine = along[w, p] / np.sqrt(w_in[some[w]])
+            yield from zip(row[at].tolist(), start[at].tolist(), p.tolist(), cosine.tolist(), strict=True)
 
     def find(self, texts: pa.Array) -> list[tuple[int, int, float, float, bool]]:
         """(row, item, cosine, similarity, answer) of every item found in the texts."""
         number, offsets = self.words.read(texts)
-        best: dict[tuple[int, int], tuple[float, float, bool]] = {}
-        near = ((int(x.item_of[p]), row, start, cosine) for x in self.latents for row, start, p, cosine in self._candidates(x, number, offsets))
-        for item, row, start, cosine in near:
-            around = len(self.block.sequences[item])
-            region = number[max(offsets[row], start - around) : min(offsets[row + 1], start + WINDOW + around)]
-            sim, answer = self._check(item, region)
-            if sim >= COPY or sim >= PARAPHRASE and answer:
-                best[row, item] = max(best.get((row, item), (0.0, 0.0, False)), (sim, cosine, answer))
-        return [(d, i, c, s, a) for (d, i), (s, c, a) in sorted(best.items())]
+        near: dict[tuple[int, int], list[tuple[int, float]]] = {}
+        for latent in self.latents:
+            for row, start, p, cosine in self._candidates(latent, number, offsets):
+                near.setdefault((row, int(latent.item_of[p])), []).append((start, cosine))
+        out = []
+        for (row, item), spots in sorted(near.items()):
+            around, best = len(self.block.sequences[item]), (0.0, False)
+            runs: list[list[int]] = []  # the words around neighbouring windows are looked through once
+            for start, _ in sorted(spots):
+                low, high = max(int(offsets[row]), start - around), min(int(offsets[row + 1]), start + WINDOW + around)
+                if runs and low <= runs[-1][1]:
+                    runs[-1][1] = high
+                else:
+                    runs.append([low, high])
+            for low, high in runs:
+                best = max(best, self._check(item, number[low:high]), key=self._rank)
+            if self._rank(best)[0]:
+                out.append((row, item, max(c for _, c in spots), *best))
+        return out
+
+    @staticmethod
+    def _rank(found: tuple[float, bool]) -> tuple[bool, float]:
+        return found[0] >= COPY or found[0] >= PARAPHRASE and found[1], found[0]
 
     def _check(self, item: int, region: np.ndarray) -> tuple[float, bool]:
+        """(similarity, answer) of the best stretch of SPAN times the item's length."""
         sequence, where = self.block.sequences[item], self.places[item]
         n, answer = len(sequence), sequence[-ANSWER:]
         holds = lambda text, run: any(text[k : k + len(run)] == run for k in range(len(text) - len(run) + 1))
         if n < LEAST:
             whole = holds(region.tolist(), sequence)
             return float(whole), whole
+        terms = self.terms[item]
+        self.mark[terms] = True
+        known = self.mark[region]
+        self.mark[terms] = False
+        count = np.concatenate([[0], np.cumsum(known)])
+        at = np.arange(0, max(1, len(region) - SPAN * n + (n + 1) // 2), (n + 1) // 2)
         best = (0.0, False)
-        for at in range(0, max(1, len(region) - SPAN * n + (n + 1) // 2), (n + 1) // 2):
-            text = region[at : at + SPAN * n].tolist()
-            own = [t for t in text if t in where]
-            if len(own) >= PARAPHRASE * n:
-                sim = lcs.length(own, where, n) / n
-                best = max(best, (sim, sim >= PARAPHRASE and holds(text, answer)), key=lambda b: (b[0] >= COPY or b[0] >= PARAPHRASE and b[1], b[0]))
+        for k in at[count[np.minimum(at + SPAN * n, len(region))] - count[at] >= PARAPHRASE * n].tolist():
+            text = region[k : k + SPAN * n]
+            sim = lcs.length(text[known[k : k + SPAN * n]].tolist(), where, n) / n
+            if sim >= PARAPHRASE:
+                best = max(best, (sim, holds(text.tolist(), answer)), key=self._rank)
         return best
 
 

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+BATCH_ROWS = 2000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the data folder; any path that Spark's readers open will do."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -34,6 +37,14 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir()
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches have BATCH_ROWS rows at most: whole texts go to Python in them, twice per executor core."""
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+    return df
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back.
 

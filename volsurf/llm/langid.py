@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import html_text
-from .common import extended, materialize
+from .common import extended, materialize, small_batches
 from .url_filter import host_of
 from .words import WordTable, slices, split
 
@@ -127,7 +127,7 @@ def fit(docs: DataFrame, languages: Sequence[str] = LANGUAGES, id_col: str = "do
         ids = ids.unionByName(more)
     # at most SAMPLE ids per language; of a repeated id the lesser text
     ids = ids.groupBy("id").agg(F.min("label").alias("label"))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
     place = {x: k for k, x in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +147,7 @@ def fit(docs: DataFrame, languages: Sequence[str] = LANGUAGES, id_col: str = "do
 
 def scored(df: DataFrame, model: Model, text_col: str, keep: Sequence[str], prepare=None) -> DataFrame:
     """Columns ``keep`` with ``log_p`` (an array by language) and ``trigrams``; ``prepare`` turns raw values into text."""
-    base = df.select(*dict.fromkeys([*keep, text_col]))
+    base = small_batches(df).select(*dict.fromkeys([*keep, text_col]))
     schema = extended(base.select(*keep).schema, "log_p array<double>, trigrams double")
     n = len(model.languages)
 

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize
+from .common import discard, materialize, small_batches
 from .components import connected_components
 from .words import slices
 
@@ -94,7 +94,7 @@ def sketch(hashes: np.ndarray) -> tuple[int, int]:
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, two hashes of the text that stand for it together, and the text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(7), text).alias("k2"), text.alias("text"))
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(7), text).alias("k2"), text.alias("text"))
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -39,6 +39,8 @@ from .tokens import Encoder, with_end
 from .words import slices
 
 CAPACITY = 1024
+#: The tokenizer works best on more text at once than other operators.
+SLICE_BYTES = 4 << 20
 _RANK_BITS = 44
 _PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
@@ -58,7 +60,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, keeps_space: bool = Tru
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer, keeps_space)
-        for batch in slices(batches):
+        for batch in slices(batches, length=SLICE_BYTES):
             ids, ends = with_end(*encoder.encode(batch.column("text")), end_id)
             doc, piece, start, length = cut(np.diff(ends), capacity)
             at = np.concatenate([[0], np.cumsum(length)]) * 4

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .words import KEEP, Places, encode_lists
+from .words import Places, encode_lists
 
 #: Texts that are encoded whole: special-token look-alikes; white space other than single blanks and line feeds.
 _WHOLE_DROPPED = r"<\||[\x1c-\x1f\x{85}\x{a0}]|\p{Zs}\p{Zs}|\p{Zl}|\p{Zp}|[\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}]"
@@ -49,7 +49,7 @@ class Encoder:
     drops it (BPE with word ends, after lower-casing).
     """
 
-    def __init__(self, path: str, keeps_space: bool, keep: int = KEEP):
+    def __init__(self, path: str, keeps_space: bool, keep: int = 250_000):
         self.tokenizer, self.keeps_space = load(path), keeps_space
         self.places = Places(keep)
         self.flat, self.ends = np.zeros(1 << 16, np.uint32), np.zeros(1, np.int64)

@@ -46,7 +46,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, small_batches
 from .words import WordTable, slices, split
 
 ORDER, GAPS, DECAY, LANDMARKS, RIDGE = 4, 2, 0.5, 128, 1e-3
@@ -238,7 +238,7 @@ def sampled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, in
     """The training rows (doc_id, half, toxic, text), their counts by label, and the counts of all labelled documents."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
     known = known.filter(fold(F.col("doc_id")) != HELD_FOLD).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     known = materialize(known.join(texts.select("doc_id"), "doc_id", "left_semi"), "labelled")
     counts = dict(known.groupBy("toxic").count().collect())
     if not counts.get(0) or not counts.get(1):
@@ -251,7 +251,7 @@ def sampled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, in
     return rows, {1: min(counts[1], SAMPLE_TOXIC), 0: min(counts[0], SAMPLE_CLEAN)}, counts
 
 
-def landmarks(rows: DataFrame, n_bad: int, n_good: int, flush: int = 500_000) -> list[str]:
+def landmarks(rows: DataFrame, n_bad: int, n_good: int, flush: int = 100_000) -> list[str]:
     """Words that stand out in toxic documents, then frequent words of clean ones, 3 to 1 at most."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -409,7 +409,7 @@ def clean_documents(docs: DataFrame, model: Model | None, text_col: str = "text"
         for batch in slices(batches, text_col):
             yield batch.filter(pa.array(scorer.score(batch.column(text_col)) < THRESHOLD)) if scorer else batch
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)
 
 
 def scored(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -421,7 +421,7 @@ def scored(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_co
             got = scorer.score(batch.column("text")) if scorer else np.zeros(batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(got)], ["doc_id", "score"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, score double")
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, score double")
 
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -17,9 +17,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that one step works on, so that memory is bounded per task.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: Words a table keeps before it starts anew.
-KEEP = 250_000
+KEEP = 100_000
 
 
 def give_back() -> None:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from volsurf.functions import calendar, numeric, symbols
 from volsurf.functions.pricing import early_reason, with_atm_greeks, with_implied_vol
 from volsurf.operators import filters, joins
-from volsurf.plans import features, stocks
+from volsurf.plans import features, quality, stocks
+from volsurf.streaming import incremental
 
 D = dt.date
 
@@ -142,3 +143,58 @@ def test_wider_coverage(spark):
     have = rows.filter("dte_days in (44, 50, 80) and trade_date = '2024-01-02'")
     assert sorted((r.trade_date.day, r.dte_days) for r in filters.uncovered(rows, have, 20, 120).collect()) == [(2, 20), (2, 29), (2, 95), (3, 50)]
     assert sorted((r.trade_date.day, r.dte_days) for r in filters.uncovered(rows, have).collect()) == [(2, 30), (3, 50)]
+
+
+def sound_rows(spark, **changes):
+    row = {"trade_date": D(2024, 1, 2), "ticker": "T", "underlying": "A", "option_type": "put", "close": 5.0, "strike": 100.0, "underlying_close": 100.0, "time_to_expiry_years": 60 / 365.25, "dividend_yield": 0.0, "risk_free_rate": 0.05, "implied_volatility": 0.3, "delta": -0.5, "gamma": 0.1, "theta": -1.0, "vega": 9.0} | changes
+    return spark.createDataFrame([row])
+
+
+def test_verification_fails_the_job(spark):
+    snaps = spark.createDataFrame([(D(2024, 1, 1), "A")], "snapshot_date date, symbol string")
+    assert quality.verified(sound_rows(spark), snaps).count() == 1
+    for bad in (sound_rows(spark, underlying="B"), sound_rows(spark, gamma=float("nan")), sound_rows(spark).union(sound_rows(spark))):
+        with pytest.raises(Exception, match="verification failed"):
+            quality.verified(bad, snaps).collect()
+    assert not quality.has_errors(quality.no_issues(spark))
+    assert quality.has_errors(spark.createDataFrame([("error", "a", "b", "c")], "severity string, area string, item string, message string"))
+
+
+def test_features_of_mean_inputs(spark):
+    rows = sound_rows(spark, implied_volatility=0.2).union(sound_rows(spark, implied_volatility=0.4))
+    whole = features.daily_features(with_atm_greeks(sound_rows(spark))).collect()[0]
+    means = features.daily_features_from_means(rows).collect()[0]
+    assert means.avg_put_iv == pytest.approx(0.3) and means.avg_put_delta == pytest.approx(whole.avg_put_delta) and means.avg_call_iv is None
+
+
+def test_final_tables(spark):
+    out = features.final_tables(features.daily_features(with_atm_greeks(sound_rows(spark))).drop("avg_call_vega"))
+    assert len(out) == 10 and out["avg_put_iv"].columns == ["trade_date", "underlying", "avg_put_iv"] and out["avg_put_iv"].count() == 1
+    assert out["avg_call_vega"].columns[-1] == "avg_call_vega" and out["avg_call_vega"].count() == 0
+
+
+def test_snapshot_of_each_day(spark):
+    snaps = spark.createDataFrame([(D(2024, 1, 1), "A"), (D(2024, 4, 1), "B")], "snapshot_date date, symbol string")
+    days = spark.createDataFrame([(D(2024, 1, 1),), (D(2024, 3, 31),), (D(2024, 4, 2),)], "trade_date date")
+    assert sorted(tuple(r) for r in joins.snapshot_of(days, snaps).collect()) == [(D(2024, 1, 1), D(2024, 1, 1)), (D(2024, 3, 31), D(2024, 1, 1)), (D(2024, 4, 2), D(2024, 4, 1))]
+    with pytest.raises(Exception, match="no snapshot"):
+        joins.snapshot_of(days.limit(0).union(spark.createDataFrame([(D(2023, 1, 1),)], "trade_date date")), snaps).collect()
+
+
+def test_manifest_says_which_days_are_valid(spark):
+    rows = incremental.manifest_rows(sound_rows(spark), "own", 3, 7, 30, 90)
+    assert [(r.dataset, r.trade_date, r.schema_version, r.source_version, r.min_dte, r.max_dte, r["rows"]) for r in rows.collect()] == [("own", D(2024, 1, 2), 3, 7, 30, 90, 1)]
+    days = spark.createDataFrame([(D(2024, 1, 2), 7), (D(2024, 1, 3), 7)], "trade_date date, source_version long")
+    stale = lambda **k: [r.trade_date for r in incremental.stale_days(days, rows, "own", 3, **k).collect()]
+    assert stale(min_dte=30, max_dte=90) == [D(2024, 1, 3)] and len(stale(min_dte=20, max_dte=90)) == 2
+
+
+def test_cleaned_codes(spark):
+    got = spark.createDataFrame([(" A.N ",), (" ",), (None,)], "c string").select(symbols.cleaned_code(F.col("c"))).collect()
+    assert [r[0] for r in got] == ["A.N", None, None]
+
+
+def test_memberships_flag_rows_once(spark):
+    snaps = spark.createDataFrame([(D(2024, 1, 1), "A"), (D(2024, 1, 1), "A"), (D(2024, 4, 1), "A"), (D(2024, 7, 1), "B")], "snapshot_date date, symbol string")
+    rows = spark.createDataFrame([("A", D(2024, 4, 1)), ("A", D(2024, 7, 1)), ("B", D(2024, 7, 1)), ("C", D(2024, 7, 1))], "underlying string, trade_date date")
+    assert [r.inside for r in joins.with_membership(rows, snaps, "inside").orderBy("trade_date", "underlying").collect()] == [True, False, True, False]

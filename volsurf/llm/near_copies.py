@@ -24,9 +24,11 @@ are confirmed, components are formed, and only tile pairs with candidates left
 between different components are asked again, for GROWTH times as many forests
 and without the pairs that failed.  The rounds end when no candidate is left,
 so no link is lost, and a group of g near copies costs about g confirmations.
+The first round proposes pairs of CLOSE bits at most, nearly all of which pass,
+so that dense groups are one component before the doubtful pairs come.
 Edges are drawn in a shuffled order, so that no node gets most of them.
 
-Shingle sets are made again for nodes with candidates only, and shipped with
+Shingle sets are made for proposed nodes only, once each, and shipped with
 the edges; they never leave the cluster, and no unbounded group meets in a task.
 
 Edge cases: texts of fewer than WIDTH words have one shingle, all their words;
@@ -50,7 +52,8 @@ from .components import connected_components
 from .words import slices
 
 WIDTH, SIMILARITY, SEED = 5, 0.8, 42
-TILE, BAND, FORESTS, GROWTH, MAX_ROUNDS = 16_384, 0.01, 4, 16, 8
+TILE, BAND, FORESTS, GROWTH, MAX_ROUNDS = 16_384, 0.01, 4, 4, 16
+CLOSE = 18
 #: Bits that may differ of the first 64 and of all 128, from SMALL_SIZE shingles on and below.
 RADIUS, SMALL, SMALL_SIZE = (20, 34), (24, 42), 64
 BROADCAST_ROWS = 500_000
@@ -194,8 +197,8 @@ class _Forest:
         return taken
 
 
-def _hits(x: np.ndarray, y: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs within the radius and the ratio of sizes, block by block; x and y are sorted by size."""
+def _hits(x: np.ndarray, y: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Index pairs, with how many bits differ, within the radius and the ratio of sizes, block by block; x and y are sorted by size."""
     x_low, y_low = (np.ascontiguousarray(z["low"]) for z in (x, y))
     width = 4096
     differ, ones, close = (np.empty(_BLOCK * width, t) for t in (np.uint64, np.uint8, bool))
@@ -225,10 +228,10 @@ def _hits(x: np.ndarray, y: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray
             if same:
                 keep &= i < j
             if keep.any():
-                yield i[keep], j[keep]
+                yield i[keep], j[keep], bits[keep]
 
 
-def _propose(forests: int):
+def _propose(forests: int, close: int | None):
     """For each tile pair (a, b, rows of both, labels, failed): edges of so many forests, and a row (a, b, null, null) if candidates are left."""
     rng = np.random.default_rng(11)
 
@@ -245,9 +248,13 @@ def _propose(forests: int):
         grown = [_Forest(start) for _ in range(forests if same else -(-forests // FORESTS))]
         us, vs, more = [], [], False
         shift = 0 if same else len(x)
-        for i, j in _hits(x, y, same):
+        for i, j, bits in _hits(x, y, same):
             j = j + shift
             open_ = start[i] != start[j]
+            if close is not None:
+                near = open_ & (bits <= close)
+                more |= bool((open_ & ~near).any())
+                open_ = near
             i, j = i[open_], j[open_]
             if failed and len(i):
                 fresh = np.fromiter((p not in failed for p in zip(nodes[i].tolist(), nodes[j].tolist(), strict=True)), bool, len(i))
@@ -318,11 +325,14 @@ def links(docs: DataFrame, nodes: DataFrame, id_col: str = "doc_id", text_col: s
             work = work.join(gone, ["a", "b"], "left").select("a", "b", "a_rows", "b_rows", *both, "failed")
         else:
             work = work.select("a", "b", "a_rows", "b_rows", none.alias("labelled"), none.alias("labels"), none.alias("failed"))
-        found = materialize(work.mapInArrow(_propose(FORESTS * GROWTH**turn), "a long, b long, u long, v long"), "proposed")
+        found = materialize(work.mapInArrow(_propose(FORESTS * GROWTH ** max(0, turn - 1), None if turn else CLOSE), "a long, b long, u long, v long"), "proposed")
         edges = found.filter("u is not null")
-        if sets is None:
-            ends = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-            sets = materialize(_sets(docs, nodes.select("node", "k1", "k2").join(ends, "node"), id_col, text_col), "shingles")
+        ends = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+        ends = materialize(ends if sets is None else ends.join(sets.select("node"), "node", "left_anti"), "ends")
+        if sets is None or not ends.isEmpty():
+            new = materialize(_sets(docs, nodes.select("node", "k1", "k2").join(ends, "node"), id_col, text_col), "shingles")
+            done += [new, ends]
+            sets = new if sets is None else sets.unionByName(new)
         both = edges.join(sets.toDF("u", "u_set"), "u").join(sets.toDF("v", "v_set"), "v")
         common = F.size(F.array_intersect("u_set", "v_set"))
         similar = common >= SIMILARITY * (F.size("u_set") + F.size("v_set") - common) - 1e-9
@@ -332,7 +342,7 @@ def links(docs: DataFrame, nodes: DataFrame, id_col: str = "doc_id", text_col: s
         left = materialize(found.filter("u is null").select("a", "b").distinct(), "tile_pairs")
         done += [pairs, found, checked]
         if left.isEmpty():
-            discard(*done, sets, left)
+            discard(*done, left)
             return labels
         pairs = left
         bad = checked.filter("not similar").select("a", "b", "u", "v")

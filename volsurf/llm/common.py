@@ -6,10 +6,10 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-
 BATCH_ROWS = 2000
 
 
@@ -70,6 +70,22 @@ def discard(*tables: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def numbered(df: DataFrame, *order: Column, name: str) -> DataFrame:
+    """``df`` with the places of its rows, from 1, in the given order; rows are sorted by range, never in one task.
+
+    A partition's rows are numbered as they lie in the written table; only the
+    partitions' sizes are summed up in one place.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lying = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftrightunsigned("_place", 33)
+    sizes = lying.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    # one row for each partition
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    place = F.col("_before") + F.col("_place").bitwiseAND((1 << 33) - 1) + 1
+    return lying.withColumn("_part", part).join(F.broadcast(before), "_part").select(*df.columns, place.alias(name))
+
+
 def extended(schema: StructType, ddl: str) -> StructType:
     """The schema with the fields of a DDL string after it."""
     return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])

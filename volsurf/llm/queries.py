@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, embedding_dedup, html_text, langid, packing, sharding, simhash, token_store, toxicity, url_filter
+from . import decontam, divergence, embedding_dedup, html_text, importance, langid, packing, secret_scan, sharding, simhash, token_store, toxicity, url_filter
 from .common import shared_dir, table
 
 WORD_TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -89,6 +89,18 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", listed.alias("rule"), "verdict")
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.secrets(table(spark, sf_dir, "documents")))
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_language": op2_language,
@@ -100,6 +112,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_embeddings": op9_embeddings,
     "op10_urls": op10_urls,
+    "op11_divergence": op11_divergence,
+    "op12_secrets": op12_secrets,
+    "op13_importance": op13_importance,
 }
 
 
@@ -141,4 +156,58 @@ k AS (SELECT a AS r, count(*) AS n_links FROM l GROUP BY a)
 SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM v JOIN c USING (r) LEFT JOIN k USING (r)
 """
 
-ORACLE_SQL = {"op4_sharding": _sharding_sql(), "op9_embeddings": _EMBEDDING_SQL, "op10_urls": _URL_SQL}
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_DIVERGENCE_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LOWERED} AS text FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+v AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN v USING (lang, term) GROUP BY lang, source, term),
+tot AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source),
+voc AS (SELECT lang, count(*) AS v, sum(n) AS total FROM v GROUP BY lang),
+p AS (
+  SELECT g.lang, g.source, v.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (coalesce(tot.total, 0) + 2 * voc.v) AS p,
+         1 + (1000000000::HUGEINT * (v.n + 2)) // (voc.total + 2 * voc.v) AS q
+  FROM g JOIN v USING (lang) JOIN voc USING (lang) LEFT JOIN c USING (lang, source, term) LEFT JOIN tot USING (lang, source)),
+pair AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pair.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+#: CRC-32 byte by byte, over the table of its polynomial, once for each distinct feature.
+_IMPORTANCE_SQL = f"""
+WITH poly AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, n)) AS crc),
+texts AS (SELECT true AS mine, row_number() OVER () AS r, doc_id, {_LOWERED} AS text FROM documents UNION ALL SELECT false, row_number() OVER (), NULL, {_LOWERED} FROM benchmark),
+cut AS MATERIALIZED (SELECT mine, r, doc_id, regexp_extract_all(text, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM texts),
+word AS (SELECT mine, r, unnest(words) AS a, generate_subscripts(words, 1) AS i FROM cut),
+run AS (SELECT mine, r, a, lead(a) OVER w AS b, lead(a, 2) OVER w AS c FROM word WINDOW w AS (PARTITION BY mine, r ORDER BY i)),
+feature AS (SELECT mine, r, f, count(*) AS n FROM (SELECT mine, r, unnest([a, a || ' ' || b, a || ' ' || b || ' ' || c]) AS f FROM run) WHERE f IS NOT NULL GROUP BY ALL),
+hexed AS (SELECT f, hex(encode(f)) AS x FROM (SELECT DISTINCT f FROM feature)),
+hashed AS (
+  SELECT f, xor(list_reduce(list_transform(range(len(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT), lambda c, b: xor(c >> 8, poly.crc[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 10000 AS k
+  FROM hexed, poly),
+filled AS MATERIALIZED (SELECT mine, r, k, n FROM feature JOIN hashed USING (f)),
+bucket AS (SELECT k, coalesce(sum(n) FILTER (mine), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (NOT mine), 0)::DOUBLE AS t FROM filled GROUP BY k),
+whole AS (SELECT coalesce(sum(s), 0)::DOUBLE AS S, coalesce(sum(t), 0)::DOUBLE AS T FROM bucket),
+gain AS (SELECT k, floor(1000 * ln((bucket.t + 1) * (whole.S + 10000) / ((bucket.s + 1) * (whole.T + 10000))))::BIGINT AS gain FROM bucket, whole),
+weight AS (SELECT r, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight FROM filled JOIN gain USING (k) WHERE mine GROUP BY r),
+scored AS (
+  SELECT doc_id, len(words) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM cut LEFT JOIN weight USING (r) WHERE mine),
+drawn AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS FIRST) AS k, count(*) FILTER (n_words >= 20) OVER () AS fit FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND k <= 5 * fit // 100 THEN k END AS rank FROM drawn
+"""
+
+ORACLE_SQL = {
+    "op4_sharding": _sharding_sql(),
+    "op9_embeddings": _EMBEDDING_SQL,
+    "op10_urls": _URL_SQL,
+    "op11_divergence": _DIVERGENCE_SQL,
+    "op13_importance": _IMPORTANCE_SQL,
+}

@@ -99,7 +99,13 @@ def _header(files: DataFrame) -> DataFrame:
 
 
 def raw_file_issues(files: DataFrame) -> DataFrame:
-    """Rules on raw files (see ``readers.probed``): unreadable without a header, empty without rows, required columns present."""
+    """Rules on raw files: readable to their end, with a header, with rows, and with the required columns.
+
+    ``files``: item, header, rows (see ``readers.probed``), and error, if they were inspected (``readers.raw_files`` with a ledger).
+    """
+    if "error" in files.columns:
+        damaged = issue(files.filter("error is not null"), "error", "options", F.col("item"), F.concat(F.lit("unreadable: "), F.col("error")))
+        return damaged.unionByName(raw_file_issues(files.filter("error is null").drop("error")))
     rows = _header(files).withColumn("_missing", F.array_sort(F.array_except(F.array(*map(F.lit, RAW_COLUMNS)), "_columns")))
     some = rows.filter("header != '' and rows > 0")
     return _all(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import uuid
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,9 +14,9 @@ from . import fixtures
 from .functions import calendar, numeric, symbols
 from .functions.pricing import american_price, tree_parameters, with_atm_greeks, with_implied_vol, with_strike_greeks
 from .operators import filters, joins
-from .plans import contracts, features, maintenance, quality, stocks
-from .schemas import DAILY_FEATURES, DELTA_TARGETS, DTE_BUCKETS
-from .sources import readers, sinks
+from .plans import contracts, features, maintenance, quality, runs, stocks
+from .schemas import DAILY_FEATURES, DELTA_TARGETS, DTE_BUCKETS, LEDGER
+from .sources import csv_files, readers, sinks, versions
 from .streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -913,7 +916,7 @@ _WHOLE = f"""(SELECT ticker, trade_date, underlying, option_type, ordinal, CASE
 
 
 @query("df14_repaired_contracts", "ticker:s trade_date:d ordinal:i underlying_close:f implied_volatility:f", f"SELECT * FROM {_WHOLE}", "own", "parsed", "stocks")
-def _repaired(spark, sf):
+def _repaired_contracts(spark, sf):
     return _repair(spark, sf).contracts
 
 
@@ -987,6 +990,156 @@ def _file_issues(spark, sf):
     return quality.raw_file_issues(raws).unionByName(quality.snapshot_file_issues(snaps, view(spark, sf, "snapshots").limit(0)))
 
 
+# --- files by name, ledgers, committed runs: the data is first written as the files or tables that a run meets ---------
+
+
+def _folder(spark: SparkSession, tag: str) -> str:
+    return f"{sinks.shared_dir(spark)}/files/{tag}-{uuid.uuid4().hex}"
+
+
+def _cut_off(spark: SparkSession, path: str) -> None:
+    """Leaves the first half of a file, as a transfer that broke off does."""
+    fs, p = sinks._hadoop(spark, path)
+    whole, out = spark._jvm.org.apache.commons.io.IOUtils.toByteArray(fs.open(p)), fs.create(p, True)
+    out.write(whole[: len(whole) // 2])
+    out.close()
+
+
+def _raw_folder(spark, sf) -> str:
+    """Raw days as files of two layouts; the 5th is cut off."""
+    path, rows = _folder(spark, "raw"), raw(spark, sf)
+    even = F.dayofmonth("trade_date") % 2 == 0
+    sinks.day_files(rows.filter(even), path, ["ticker", "volume", "open", "close", "high", "low", "window_start", "transactions"], sort=["ordinal"])
+    other = rows.filter(~even).withColumns({"Close": F.col("close"), "note": F.lit('a, "b"'), " Volume ": F.col("volume")})
+    sinks.day_files(other, path, ["note", "Close", "transactions", "ticker", "` Volume `", "low"], sort=["ordinal"])
+    _cut_off(spark, f"{path}/2024/01/2024-01-05.csv.gz")
+    return path
+
+
+@query("src02_files_by_name", "ticker:s trade_date:d volume:i open:f close:f low:f transactions:i", """SELECT *, close AS low, CASE WHEN day(trade_date) % 2 = 0 THEN close END AS open
+    FROM raw WHERE trade_date <> DATE '2024-01-05'""", "raw")
+def _files_by_name(spark, sf):
+    return readers.raw_days(spark, _raw_folder(spark, sf), ledger=_folder(spark, "ledger"))
+
+
+@query("src25_quarantined_files", "item:s n:i error:s", """SELECT strftime(trade_date, '%Y-%m-%d') || '.csv.gz' AS item, CASE WHEN trade_date <> DATE '2024-01-05' THEN count(*) END AS n,
+    CASE WHEN trade_date = DATE '2024-01-05' THEN 'truncated' END AS error FROM raw GROUP BY trade_date""", "raw")
+def _quarantined(spark, sf):
+    files = readers.raw_files(spark, _raw_folder(spark, sf), ledger=_folder(spark, "ledger"))
+    return files.select(csv_files.file_name(F.col("path")).alias("item"), F.when(F.col("error").isNull(), F.col("rows")).alias("n"), "error")
+
+
+@query("df16_damaged_files", "severity:s area:s item:s message:s", """SELECT 'error' AS severity, 'options' AS area, strftime(trade_date, '%Y-%m-%d') || '.csv.gz' AS item, CASE WHEN trade_date = DATE '2024-01-05' THEN 'unreadable: truncated'
+    ELSE 'missing columns: high, open, window_start' END AS message FROM raw WHERE day(trade_date) % 2 = 1 GROUP BY trade_date""", "raw")
+def _damaged(spark, sf):
+    files = readers.raw_files(spark, _raw_folder(spark, sf), ledger=_folder(spark, "ledger"))
+    return quality.raw_file_issues(files.select(csv_files.file_name(F.col("path")).alias("item"), "header", "rows", "error"))
+
+
+@query("src23_file_heads", "ticker:s trade_date:d ordinal:i close:f", """SELECT ticker, trade_date, n - 1 AS ordinal, close FROM (SELECT *, row_number() OVER (PARTITION BY trade_date ORDER BY ordinal) AS n FROM raw)
+    WHERE n <= 7 AND trade_date <> DATE '2024-01-05'""", "raw")
+def _heads(spark, sf):
+    return readers.raw_heads(spark, _raw_folder(spark, sf), 7).filter("trade_date != '2024-01-05'")
+
+
+def _snapshot_folder(spark, sf) -> str:
+    path = _folder(spark, "snapshots")
+    rows = view(spark, sf, "snapshots").withColumns({"Ticker": F.concat("symbol", F.lit(".N")), "RIC": F.lit("wrong"), "name": F.lit("x, y")})
+    name = lambda day: f"constituency_{day}.csv.gz"
+    for low, high, columns in (("2023-10-01", "2023-10-01", ["Ticker", "name", "RIC"]), ("2024-01-05", "2024-01-05", ["name", "RIC", "Ticker"]), ("2024-01-09", "2024-01-09", ["RIC", "Ticker"])):
+        sinks.day_files(rows.filter(F.col("snapshot_date").between(low, high)), path, columns, "snapshot_date", name=name)
+    return path
+
+
+@query("src07_snapshots_by_name", "snapshot_date:d symbol:s", "SELECT DISTINCT snapshot_date, symbol FROM snapshots WHERE snapshot_date <> DATE '2024-01-09'", "snapshots")
+def _snapshots_by_name(spark, sf):
+    path = _snapshot_folder(spark, sf)
+    _cut_off(spark, f"{path}/constituency_2024-01-09.csv.gz")
+    return readers.snapshots(spark, path, ledger=_folder(spark, "ledger"))
+
+
+@query("src08_strict_snapshots", "snapshot_date:d symbol:s", "SELECT DISTINCT snapshot_date, symbol || '.N' AS symbol FROM snapshots", "snapshots")
+def _strict_snapshots(spark, sf):
+    return readers.snapshots(spark, _snapshot_folder(spark, sf), strict=True)
+
+
+_SHARD = "ticker string, trade_date date, underlying string, option_type string, ordinal long, dte_days int, implied_volatility double, delta double, gamma double, theta double, vega double"
+_FEATURE_DDL = "trade_date date, underlying string, " + ", ".join(f"{f} double" for f in DAILY_FEATURES)
+
+
+def _run(spark, sf, contracts_at: str, features_at: str, last: str, newer: str):
+    """A daily run over the days up to ``last``; the source of the day ``newer`` has a second version."""
+    own = view(spark, sf, "own")
+    sources = own.filter(F.col("trade_date") <= last).select("trade_date", F.when(F.col("trade_date") == newer, 2).otherwise(1).cast("long").alias("source_version")).distinct()
+    rows = lambda days: own.join(F.broadcast(days), "trade_date", "left_semi")
+    build = lambda r: r.filter("volume > 1").selectExpr(*(f"{c.split()[0]}" for c in _SHARD.split(", ")))
+    return runs.daily_run(rows, sources, versions.Table(spark, contracts_at), versions.Table(spark, features_at), build, lambda r: features.daily_features(r, ""), _SHARD, _FEATURE_DDL)
+
+
+def _two_runs(spark, sf):
+    at = _folder(spark, "contracts"), _folder(spark, "features")
+    _run(spark, sf, *at, "2024-01-06", "1900-01-01")
+    return at, _run(spark, sf, *at, "2024-01-31", "2024-01-03")
+
+
+_SECOND = "(trade_date = DATE '2024-01-03' OR trade_date > DATE '2024-01-06')"
+
+
+@query("inc02_committed_shards", "dataset:s trade_date:d source_version:i rows:i version:i", f"""
+    SELECT 'contracts' AS dataset, trade_date, CASE WHEN trade_date = DATE '2024-01-03' THEN 2 ELSE 1 END AS source_version, count(*) FILTER (volume > 1) AS rows, CASE WHEN {_SECOND} THEN 2 ELSE 1 END AS version FROM own GROUP BY trade_date
+    UNION ALL SELECT 'features', trade_date, CASE WHEN {_SECOND} THEN 2 ELSE 1 END, count(DISTINCT underlying) FILTER (volume > 1), CASE WHEN {_SECOND} THEN 2 ELSE 1 END FROM own GROUP BY trade_date""", "own")
+def _committed_shards(spark, sf):
+    (contracts_at, features_at), _ = _two_runs(spark, sf)
+    return versions.Table(spark, contracts_at).manifest().unionByName(versions.Table(spark, features_at).manifest())
+
+
+@query("inc09_two_stage_run", "trade_date:d underlying:s avg_call_iv:f avg_put_iv:f", """SELECT trade_date, underlying, avg(implied_volatility) FILTER (option_type = 'call') AS avg_call_iv, avg(implied_volatility) FILTER (option_type = 'put') AS avg_put_iv
+    FROM own WHERE volume > 1 GROUP BY trade_date, underlying""", "own")
+def _two_stage(spark, sf):
+    (_, features_at), _ = _two_runs(spark, sf)
+    return versions.Table(spark, features_at).read(_FEATURE_DDL)
+
+
+@query("agg23_run_counters", "step:s counter:s n:i", f"""WITH r AS (SELECT * FROM own WHERE {_SECOND})
+    SELECT 'raw' AS step, 'rows' AS counter, count(*) AS n FROM r UNION ALL SELECT 'contracts', 'rows', count(*) FROM r WHERE volume > 1 UNION ALL SELECT 'contracts', 'undated', 0
+    UNION ALL SELECT 'features', 'rows', count(*) FROM (SELECT DISTINCT trade_date, underlying FROM r WHERE volume > 1)""", "own")
+def _run_counters(spark, sf):
+    return _two_runs(spark, sf)[1].counters.rows(spark)
+
+
+@query("snk10_undated_rows", "written:i undated:i days:i", "SELECT count(*) FILTER (ordinal % 7 <> 0) AS written, count(*) FILTER (ordinal % 7 = 0) AS undated, count(DISTINCT trade_date) FILTER (ordinal % 7 <> 0) AS days FROM own", "own")
+def _undated(spark, sf):
+    path = _folder(spark, "days")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        counts = sinks.write_days(view(spark, sf, "own").withColumn("trade_date", F.when(F.col("ordinal") % 7 != 0, F.col("trade_date"))), path)
+    return spark.read.parquet(path).agg(F.lit(counts["written"]).alias("written"), F.lit(counts["undated"]).alias("undated"), F.count_distinct("trade_date").alias("days"))
+
+
+@query("snk06_published", "symbol:s trade_date:d close:f", "SELECT symbol, trade_date, close + 1 AS close FROM stocks", "stocks")
+def _published(spark, sf):
+    table, rows = versions.Table(spark, _folder(spark, "stocks")), view(spark, sf, "stocks")
+    first = table.publish(lambda folder: rows.write.parquet(folder), 0)
+    table.publish(lambda folder: rows.withColumn("close", F.col("close") + 1).write.parquet(folder), first)
+    with contextlib.suppress(versions.Conflict):
+        # a run that began from the first version comes too late
+        table.publish(lambda folder: rows.limit(1).write.parquet(folder), first)
+    table.vacuum()
+    return table.read(rows.schema)
+
+
+@query("inc05_repair_batches", "trade_date:d symbols:s status:s option_rows:f", f"""SELECT trade_date, string_agg(symbol, ';' ORDER BY symbol) AS symbols, 'repaired' AS status, count(*) AS option_rows FROM ({_MIS})
+    WHERE clean_close / raw_close > 1.5e0 GROUP BY trade_date, symbol < 'AAF'""", "stocks")
+def _repair_batches(spark, sf):
+    table, found = versions.Table(spark, _folder(spark, "ledger")), _mismatches(spark, sf)
+    rows = lambda pairs: maintenance.ledger_entries({"repaired": pairs}, pairs.groupBy("trade_date").agg(F.count("*").alias("option_rows")))
+    early = found.filter("symbol < 'AAF'")
+    # the first batch, the same one replayed, and one that brings its pairs again with others
+    for number, batch in ((0, early), (0, early), (1, found)):
+        incremental.repair_batch(batch, number, table, rows)
+    return table.read(LEDGER)
+
+
 @query("srt05_first_files", "path:s", "SELECT DISTINCT strftime(trade_date, '%Y/%m/%Y-%m-%d') || '.csv.gz' AS path FROM raw ORDER BY path LIMIT 3", "raw")
 def _first_files(spark, sf):
     return readers.first_files(raw(spark, sf).select(calendar.day_path(F.col("trade_date")).alias("path")).distinct(), 3)

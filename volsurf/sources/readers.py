@@ -10,15 +10,15 @@ import re
 import time
 from collections.abc import Iterator, Sequence
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 from ..functions.symbols import exploded_members, index_ticker, simple_ticker
-from ..schemas import RAW_OPTION_DAY, SNAPSHOTS, STOCK_HISTORY
+from ..schemas import RAW_OPTION_DAY, STOCK_HISTORY
+from . import csv_files
 
 
 def day_of_file(path: Column) -> Column:
@@ -26,23 +26,60 @@ def day_of_file(path: Column) -> Column:
     return F.try_to_date(F.nullif(F.regexp_extract(path, r"(\d{4}-\d{2}-\d{2})\.csv(?:\.gz)?$", 1), F.lit("")), "yyyy-MM-dd")
 
 
-def raw_days(spark: SparkSession, path: str, start: str | None = None, end: str | None = None, strict: bool = False) -> DataFrame:
+def raw_days(spark: SparkSession, path: str, start: str | None = None, end: str | None = None, strict: bool = False, ledger: str | None = None) -> DataFrame:
     """Raw day files below a folder, with trade_date from their names; both bounds count, each is optional.
 
-    The filter is on the file's path, so files out of range are not opened.
-    Unreadable names fail the job if ``strict``, and are skipped otherwise.
+    Columns are found by name, file by file.  Files out of range are not opened.
+    Unreadable names fail the call if ``strict``, and are skipped otherwise.
+    With a ``ledger`` (a folder) files are inspected first, and damaged ones left
+    out whole; see ``raw_files``.
     """
-    rows = spark.read.schema(RAW_OPTION_DAY).option("header", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv.gz").csv(path)
-    day = day_of_file(F.col("_metadata.file_path"))
+    files = raw_files(spark, path, start, end, strict, ledger)
+    layouts = csv_files.sound(files) if ledger else csv_files.headers(spark, [r.path for r in files.select("path").collect()])
+    return dated_rows(spark, layouts)
+
+
+def dated_rows(spark: SparkSession, layouts: dict[str, list[str]]) -> DataFrame:
+    """The rows of raw day files by layout (see ``csv_files``), with trade_date and ordinal."""
+    rows = csv_files.by_name(spark, layouts, RAW_OPTION_DAY)
+    # an order within a file, for rules such as "the first row of equals"
+    return rows.withColumn("trade_date", day_of_file(F.col("_file"))).drop("_file").withColumn("ordinal", F.monotonically_increasing_id())
+
+
+def raw_files(spark: SparkSession, path: str, start: str | None = None, end: str | None = None, strict: bool = False, ledger: str | None = None) -> DataFrame:
+    """(path, length, modified, trade_date) of the raw day files in range; with a ledger also header, rows and error."""
+    files = csv_files.listed(spark, path).withColumn("trade_date", day_of_file(F.col("path")))
     if strict:
-        day = F.coalesce(day, F.raise_error(F.concat(F.lit("no date in "), F.col("_metadata.file_path"))).cast("date"))
-    rows = rows.withColumn("trade_date", day).filter("trade_date is not null")
+        odd = files.filter("trade_date is null").select("path").orderBy("path").first()
+        if odd:
+            raise ValueError(f"no date in {odd.path}")
+    files = files.filter("trade_date is not null")
     if start:
-        rows = rows.filter(F.col("trade_date") >= F.lit(start).cast("date"))
+        files = files.filter(F.col("trade_date") >= F.lit(start).cast("date"))
     if end:
-        rows = rows.filter(F.col("trade_date") <= F.lit(end).cast("date"))
-    # an order within a file, for rules such as "the first row of equals"; the filters above take or leave whole files
-    return rows.withColumn("ordinal", F.monotonically_increasing_id())
+        files = files.filter(F.col("trade_date") <= F.lit(end).cast("date"))
+    return csv_files.ledgered(spark, files.drop("trade_date"), ledger).withColumn("trade_date", day_of_file(F.col("path"))) if ledger else files
+
+
+def raw_heads(spark: SparkSession, path: str, rows: int = 1000, start: str | None = None, end: str | None = None) -> DataFrame:
+    """The first rows of each raw day file, as ``raw_days`` has them; reading stops behind them.
+
+    ``ordinal`` is a row's place in its file.
+    """
+    files = [r.path for r in raw_files(spark, path, start, end).select("path").collect()]
+    if not files:
+        return dated_rows(spark, {})
+    # of a file's head the lines go on as text, each to be parsed by its own header
+    lines = csv_files.prefixes(spark, files, rows + 1)
+    fields = StructType.fromDDL(RAW_OPTION_DAY)
+    parsed = F.when(F.lit(False), F.struct(*(F.lit(None).cast(f.dataType).alias(f.name) for f in fields)))
+    for (header,) in lines.filter("n = 0").select("header").distinct().collect():
+        names = [c.lower() for c in csv_files.columns_of(header)]
+        line = F.from_csv("line", ", ".join(f"_{k} string" for k in range(len(names))), {"mode": "PERMISSIVE"})
+        values = [(line[f"_{names.index(f.name)}"] if f.name in names else F.lit(None)).try_cast(f.dataType).alias(f.name) for f in fields]
+        parsed = parsed.when(F.col("header") == header, F.struct(*values))
+    found = lines.filter("n > 0").select("path", "n", parsed.alias("p"))
+    return found.select("p.*", day_of_file(F.col("path")).alias("trade_date"), (F.col("n") - 1).alias("ordinal"))
 
 
 def listed_days(spark: SparkSession, path: str) -> DataFrame:
@@ -206,36 +243,30 @@ def resolved_rates(df: DataFrame, series: str | None = None) -> DataFrame:
     return df.select(_day(F.col(f"`{day}`")).alias("rate_date"), rate.alias("rate")).dropna().orderBy("rate_date")
 
 
-def snapshots(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
+def snapshots(spark: SparkSession, path: str, strict: bool = False, ledger: str | None = None) -> DataFrame:
     """``constituency_YYYY-MM-DD.csv`` files of a folder as (snapshot_date, symbol).
 
-    ``strict`` keeps tickers as they are but for case and blanks, and fails
-    without any snapshot; otherwise they are cut as index tickers are.
+    Every file's ticker column is found by its own header; files without one,
+    without a date or without rows give no members, and with a ``ledger`` (a
+    folder) neither do damaged ones.  ``strict`` keeps tickers as they are but
+    for case and blanks, and fails without any snapshot; otherwise they are cut
+    as index tickers are.
     """
-    try:
-        rows = spark.read.option("header", True).option("pathGlobFilter", "constituency_*.csv").csv(path)
-    except AnalysisException:
-        rows = None
-    ticker = next((c for c in rows.columns if c.strip().lower() == "ticker"), None) if rows is not None else None
-    if ticker is None:
-        if strict:
-            raise ValueError(f"no snapshots in {path}")
-        return spark.createDataFrame([], SNAPSHOTS)
-    day = day_of_file(F.col("_metadata.file_path"))
-    name = simple_ticker(F.col(f"`{ticker}`")) if strict else index_ticker(F.col(f"`{ticker}`"))
-    return rows.select(day.alias("snapshot_date"), name.alias("symbol")).dropna().filter("symbol != ''").distinct()
+    files = csv_files.listed(spark, path, "constituency_*.csv*", recursive=False)
+    layouts = csv_files.sound(csv_files.ledgered(spark, files, ledger)) if ledger else csv_files.headers(spark, [r.path for r in files.select("path").collect()])
+    layouts = csv_files.having(layouts, "ticker")
+    if strict and not layouts:
+        raise ValueError(f"no snapshots in {path}")
+    rows = csv_files.by_name(spark, layouts, "ticker string")
+    name = simple_ticker(F.col("ticker")) if strict else index_ticker(F.col("ticker"))
+    return rows.select(day_of_file(F.col("_file")).alias("snapshot_date"), name.alias("symbol")).dropna().filter("symbol != ''").distinct()
 
 
 def optional(spark: SparkSession, path: str, schema: StructType | str, form: str = "csv") -> DataFrame:
-    """A table that may be absent, empty or unreadable: then an empty one of the schema.
-
-    Reading is lazy, so one row is asked for here to learn whether it works.
-    """
+    """A table that may be absent or hold files that can't be read: these give no rows, the others do."""
     try:
-        found = spark.read.schema(schema).option("header", True).format(form).load(path)
-        found.isEmpty()
-        return found
-    except (PySparkException, Py4JJavaError):
+        return spark.read.schema(schema).option("header", True).option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).format(form).load(path)
+    except AnalysisException:
         return spark.createDataFrame([], schema)
 
 

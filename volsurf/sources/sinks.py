@@ -5,17 +5,90 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+import warnings
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import day_path
 
 
-def write_days(df: DataFrame, path: str, sort: tuple[str, ...] = ("underlying",)) -> None:
-    """One partition per trade date; only the days in ``df`` are replaced.  Rows without a date are left out."""
-    kept = df.filter("trade_date is not null")
+def write_days(df: DataFrame, path: str, sort: tuple[str, ...] = ("underlying",)) -> dict[str, int]:
+    """One partition per trade date; only the days in ``df`` are replaced.
+
+    Rows without a date are left out, with a warning.  Returns how many rows were
+    written and left out, counted by the plan that writes.
+    """
+    counters = Counters()
+    counted = counters.watch(df, "days", undated=F.count_if(F.col("trade_date").isNull()))
+    kept = counted.filter("trade_date is not null")
     kept.repartition("trade_date").sortWithinPartitions("trade_date", *sort).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("trade_date").parquet(path)
+    seen = counters.values()["days"]
+    if seen["undated"]:
+        warnings.warn(f"{seen['undated']} rows without a trade_date are left out of {path}", stacklevel=2)
+    return {"written": seen["rows"] - seen["undated"], "undated": seen["undated"]}
+
+
+class Counters:
+    """Counts of rows at the steps of a run, taken by the plans that do the work: no second pass.
+
+    A step that is watched keeps filters behind it from reaching the scan before
+    it, so a scan's own rows are better taken from the files' ledger.  Counts are
+    of the first action over a step; a stage that is repeated after a loss may
+    count its rows again.
+    """
+
+    def __init__(self) -> None:
+        self._steps: dict[str, tuple[Observation, list[str]]] = {}
+
+    def watch(self, df: DataFrame, step: str, **counts: Column) -> DataFrame:
+        """``df``, whose rows are counted as ``rows`` and by further aggregates."""
+        seen = Observation(f"{step}-{uuid.uuid4().hex}")
+        self._steps[step] = seen, ["rows", *counts]
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(n) for n, c in counts.items()))
+
+    def values(self) -> dict[str, dict[str, int]]:
+        """The counts of each step, once the actions over them have ended."""
+        out = {}
+        for step, (seen, names) in self._steps.items():
+            try:
+                out[step] = dict(seen.get)
+            except Py4JJavaError:
+                # a plan that turns out to be empty while it runs is cut short, and its counts are never taken
+                out[step] = dict.fromkeys(names, 0)
+        return out
+
+    def without(self, *steps: str) -> None:
+        """Forgets steps over which no action will run; their counts would be waited for without end."""
+        for step in steps:
+            self._steps.pop(step, None)
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """(step, counter, n)."""
+        flat = [(step, c, int(n)) for step, seen in self.values().items() for c, n in seen.items()]
+        return spark.createDataFrame(flat, "step string, counter string, n long")
+
+
+def raw_day_name(day: str) -> str:
+    return f"{day[:4]}/{day[5:7]}/{day}.csv.gz"
+
+
+def day_files(df: DataFrame, path: str, columns: Sequence[str], day: str = "trade_date", sort: Sequence[str] = (), name: Callable[[str], str] = raw_day_name) -> None:
+    """A gzip CSV with a header for each day, by default named as raw days are; the driver gives each its name."""
+    spark = df.sparkSession
+    work = f"{path.rstrip('/')}/.parts-{uuid.uuid4().hex}"
+    rows = df.filter(F.col(day).isNotNull()).withColumn("_day", F.col(day).cast("string")).repartition("_day").sortWithinPartitions("_day", *sort)
+    rows.select(*columns, "_day").write.option("header", True).option("compression", "gzip").partitionBy("_day").csv(work)
+    fs, p = _hadoop(spark, work)
+    for folder in fs.listStatus(p):
+        if folder.getPath().getName().startswith("_day="):
+            part = next(f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().endswith(".csv.gz"))
+            target = _hadoop(spark, f"{path.rstrip('/')}/{name(folder.getPath().getName()[5:])}")[1]
+            fs.mkdirs(target.getParent())
+            fs.rename(part, target)
+    fs.delete(p, True)
 
 
 @functools.lru_cache(maxsize=1)
@@ -33,11 +106,11 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir()
 
 
-def staged(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: several later steps use it, and their plans start from the table."""
+def staged(df: DataFrame, tag: str, spark: SparkSession | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read back (by another session, if given): several later steps use it, and their plans start from the table."""
     path = f"{shared_dir(df.sparkSession)}/staged/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return (spark or df.sparkSession).read.schema(df.schema).parquet(path)
 
 
 def append(df: DataFrame, path: str) -> None:

@@ -3,6 +3,7 @@
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,13 +60,35 @@ def test_groups_are_those_of_brute_force(spark, tile):
 
 
 def test_a_dense_group_takes_rounds(spark, monkeypatch):
-    monkeypatch.setattr(near_copies, "FORESTS", 1)
+    monkeypatch.setattr(near_copies, "CHUNK", 4)
     base = prose(120, 7)
     texts = [(k, edited(base, 0.02, k)) for k in range(90)]
     kept = near_copies.representatives(spark.createDataFrame(texts, "doc_id long, text string"), tile=16)
     assert {r.doc_id for r in kept.collect()} == {min(g)[1] for g in expected(texts).values()}
 
 
+@pytest.mark.parametrize(("n", "tile"), [(500, 128), (2000, near_copies.TILE)])
+def test_a_graded_group_needs_few_exact_checks(spark, n, tile):
+    base = prose(300, 11)
+    texts = [(k, edited(base, 0.08 * k / n, k)) for k in range(n)]
+    kept = {r.doc_id for r in near_copies.representatives(spark.createDataFrame(texts, "doc_id long, text string"), tile=tile).collect()}
+    sets = [near_copies.shingles(t) for _, t in texts]
+    every = near_copies._Sets(np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])]))
+    # brute force: the exact similarity of all pairs, from a matrix of members
+    names = {v: k for k, v in enumerate(np.unique(np.concatenate(sets)).tolist())}
+    member = np.zeros((n, len(names)), np.float32)
+    for k, s in enumerate(sets):
+        member[k, [names[v] for v in s.tolist()]] = 1
+    common = member @ member.T
+    link = common >= 0.8 * (every.size[:, None] + every.size[None, :] - common) - 1e-9
+    to = roots(range(n), zip(*(x.tolist() for x in np.nonzero(np.triu(link, 1))), strict=True))
+    assert kept == set(to.values())
+    # what the bitmaps leave to the exact test lies near the threshold; they lose no link
+    i, j = np.triu_indices(n, 1)
+    may = every.may_link(i, j)
+    assert not (link[i, j] & ~may).any() and (may & ~link[i, j]).sum() < 0.2 * (~link[i, j]).sum()
+
+
 def test_equal_ids_and_repeated_rows(spark):
     a, b = prose(60, 1), prose(60, 2)
     rows = [(3, b, "x"), (5, a, "x"), (5, b, "x"), (7, a, "x"), (9, a, "x"), (5, a, "y"), (5, a, "x"), (None, a, "x"), (None, prose(60, 3), "x"), (None, prose(60, 3), "x")]

@@ -10,26 +10,28 @@ standard deviations above that (a pair right at 0.8 is missed about twice in
 10,000; closer ones never in practice).  Nodes of few shingles, whose bits are
 coarser, have the wider radius SMALL.
 
-Nodes go to tiles of about TILE rows by the sizes of their sets, and within a
-band of nearly equal sizes by a hash.  Sizes within a factor of SIMILARITY and population counts within the radius
+Nodes go to tiles of TILE rows or TILE_SHINGLES shingles at most, by the sizes
+of their sets, and within a band of nearly equal sizes by a hash.  Sizes within
+a factor of SIMILARITY and population counts within the radius
 are necessary, so tile pairs beyond either are skipped; the others are
 compared in full with numpy exclusive-or and bit counts.  At this radius
 population counts skip little and sizes most: the comparison stays quadratic in
 distinct texts of similar length, at about 1 ns a pair.
 
-A dense group has as many candidate pairs as the square of its size.  So a tile
-pair proposes edge-disjoint spanning forests of its candidates (FORESTS within
-a tile, one between two); these
-are confirmed, components are formed, and only tile pairs with candidates left
-between different components are asked again, for GROWTH times as many forests
-and without the pairs that failed.  The rounds end when no candidate is left,
-so no link is lost, and a group of g near copies costs about g confirmations.
-The first round proposes pairs of CLOSE bits at most, nearly all of which pass,
-so that dense groups are one component before the doubtful pairs come.
-Edges are drawn in a shuffled order, so that no node gets most of them.
-
-Shingle sets are made for proposed nodes only, once each, and shipped with
-the edges; they never leave the cluster, and no unbounded group meets in a task.
+A tile pair first names the nodes that have candidates.  The shingle sets of
+these, and of no other nodes, are made once and shipped to the pair's task as
+one block, where candidates are confirmed against them: no pair is ever a row.
+First the tiles by themselves, then pairs of tiles, which start from the
+components that the first step has found.  Within a task candidates come
+closest first; one whose ends are connected already is skipped.  A sharper sketch
+comes before the exact test: sets hashed to bitmaps of 16 bits a member bound
+their intersection from above by the common bits and the members that share a
+bit, so a pair that fails this bound can't be linked.  A task gives a spanning
+forest of its links.  So a graded group costs bitmap tests in proportion to its
+pairs that are alike but not linked, some 2 µs each, and exact ones only near
+the threshold.
+
+Shingle sets never leave the cluster.  A task holds those of two tiles at most.
 
 Edge cases: texts of fewer than WIDTH words have one shingle, all their words;
 null, empty and blank texts have none and are copies of each other.  Of a
@@ -40,7 +42,7 @@ columns pass through.  An empty table stays empty.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,11 +51,14 @@ from pyspark.sql import functions as F
 
 from .common import discard, materialize, small_batches
 from .components import connected_components
-from .words import slices
+from .words import give_back, slices
 
 WIDTH, SIMILARITY, SEED = 5, 0.8, 42
-TILE, BAND, FORESTS, GROWTH, MAX_ROUNDS = 16_384, 0.01, 4, 4, 16
-CLOSE = 18
+TILE, TILE_SHINGLES, BAND = 16_384, 8_000_000, 0.01
+#: Candidates that are confirmed before the others are looked through again for those whose ends have been connected.
+CHUNK = 512
+#: Bits of a member in the bitmaps of sets, and the most 64-bit words of one.
+SPREAD, MOST_WORDS = 16, 256
 #: Bits that may differ of the first 64 and of all 128, from SMALL_SIZE shingles on and below.
 RADIUS, SMALL, SMALL_SIZE = (20, 34), (24, 42), 64
 BROADCAST_ROWS = 500_000
@@ -115,15 +120,15 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return _keyed(docs, id_col, text_col).mapInArrow(run, "doc_id long, k1 long, k2 long, node long, low long, high long, size int")
 
 
-def _plan(counts: list[tuple[int, int]], tile: int) -> list[tuple[int, int, int]]:
-    """(band, first tile, tiles) from the rows of each band: neighbouring bands share a tile until it is full, a crowded one has several."""
-    out, at, held = [], 0, 0
-    for band, n in counts:
-        if held and held + n > tile:
-            at, held = at + 1, 0
-        k = max(1, -(-n // tile))
+def _plan(counts: list[tuple[int, int, int]], tile: int, most: int = TILE_SHINGLES) -> list[tuple[int, int, int]]:
+    """(band, first tile, tiles) from the rows and shingles of each band: neighbouring bands share a tile until it is full, a crowded one has several."""
+    out, at, held, shingled = [], 0, 0, 0
+    for band, n, total in counts:
+        if held and (held + n > tile or shingled + total > most):
+            at, held, shingled = at + 1, 0, 0
+        k = max(1, -(-n // tile), -(-total // most))
         out.append((band, at, k))
-        at, held = (at, held + n) if k == 1 else (at + k, 0)
+        at, held, shingled = (at, held + n, shingled + total) if k == 1 else (at + k, 0, 0)
     return out
 
 
@@ -131,7 +136,7 @@ def _tiles(nodes: DataFrame, tile: int) -> DataFrame:
     """Nodes of similar sizes together: (tile, least and greatest size, least and greatest population count, rows as bytes)."""
     banded = nodes.select("node", "low", "high", "size", F.floor(F.log(F.greatest("size", F.lit(1))) / BAND).cast("int").alias("band"))
     # sizes are below 2^31: at most 2149 bands
-    counts = sorted(map(tuple, banded.groupBy("band").count().collect()))
+    counts = sorted(map(tuple, banded.groupBy("band").agg(F.count("*").alias("n"), F.sum("size").alias("total")).collect()))
     plan = F.broadcast(nodes.sparkSession.createDataFrame(_plan(counts, tile), "band int, first int, tiles int"))
     placed = banded.join(plan, "band").withColumn("tile", (F.col("first") + F.pmod(F.xxhash64(F.lit(5), "node"), F.col("tiles"))).cast("long"))
 
@@ -162,22 +167,16 @@ def _tile_pairs(tiles: DataFrame) -> DataFrame:
     return found.select(F.least("a_tile", "b_tile").alias("a"), F.greatest("a_tile", "b_tile").alias("b")).distinct()
 
 
-class _Forest:
-    """One spanning forest under construction: a label per row, equal where connected."""
+class _Groups:
+    """Labels of rows, equal where they are known to be connected."""
 
     def __init__(self, labels: np.ndarray):
-        self.labels = labels.copy()
-
-    def take(self, i: np.ndarray, j: np.ndarray, order: np.ndarray) -> np.ndarray:
-        """Which of the edges (i, j), tried in ``order``, connect what was apart."""
-        taken = np.zeros(len(i), bool)
-        left, right = self.labels[i], self.labels[j]
-        apart = order[left[order] != right[order]]
-        if not len(apart):
-            return taken
-        both = np.minimum(left[apart], right[apart]) * len(self.labels) + np.maximum(left[apart], right[apart])
-        apart = apart[np.sort(np.unique(both, return_index=True)[1])]
+        self.labels = np.unique(labels, return_inverse=True)[1]
+
+    def confirm(self, i: np.ndarray, j: np.ndarray, linked: Callable[[int, int], bool]) -> list[int]:
+        """Tries the pairs (i, j) in order where their ends are apart; the numbers of those that were linked, a forest."""
         up: dict[int, int] = {}
+        taken = []
 
         def root(x: int) -> int:
             while (y := up.get(x, x)) != x:
@@ -185,18 +184,50 @@ class _Forest:
                 x = y
             return x
 
-        for e, x, y in zip(apart.tolist(), left[apart].tolist(), right[apart].tolist(), strict=True):
+        for k, (m, n, x, y) in enumerate(zip(i.tolist(), j.tolist(), self.labels[i].tolist(), self.labels[j].tolist(), strict=True)):
             x, y = root(x), root(y)
-            if x != y:
+            if x != y and linked(m, n):
                 up[max(x, y)] = min(x, y)
-                taken[e] = True
-        move = np.arange(len(self.labels))
-        old = np.fromiter(up, np.int64, len(up))
-        move[old] = [root(x) for x in up]
-        self.labels = move[self.labels]
+                taken.append(k)
+        if up:
+            move = np.arange(int(self.labels.max()) + 1)
+            move[np.fromiter(up, np.int64, len(up))] = [root(x) for x in list(up)]
+            self.labels = move[self.labels]
         return taken
 
 
+class _Sets:
+    """Shingle sets of rows, with a bitmap of each."""
+
+    def __init__(self, values: np.ndarray, ends: np.ndarray):
+        self.values, self.ends = values, ends
+        self.size = np.diff(ends)
+        most = int(self.size.max(initial=1))
+        words = 1 << max(0, int(most * SPREAD - 1).bit_length() - 6)
+        self.words = min(max(words, 1), MOST_WORDS)
+        bits = (values >> np.uint64(17)) % np.uint64(self.words * 64)
+        self.bitmap = np.zeros((len(self.size), self.words), np.uint64)
+        row = np.repeat(np.arange(len(self.size)), self.size)
+        np.bitwise_or.at(self.bitmap, (row, (bits >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bits & np.uint64(63)))
+        #: members that share their bit with another one
+        self.lost = self.size - np.bitwise_count(self.bitmap).sum(1, dtype=np.int64)
+
+    def may_link(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether the sets can be similar, from a bound on what they have in common."""
+        out = np.zeros(len(i), bool)
+        step = max(1, (1 << 21) // self.words)
+        for at in range(0, len(i), step):
+            a, b = i[at : at + step], j[at : at + step]
+            common = np.bitwise_count(self.bitmap[a] & self.bitmap[b]).sum(1, dtype=np.int64) + np.minimum(self.lost[a], self.lost[b])
+            out[at : at + step] = common >= SIMILARITY * (self.size[a] + self.size[b] - common) - 1e-9
+        return out
+
+    def linked(self, i: int, j: int) -> bool:
+        a, b = self.values[self.ends[i] : self.ends[i + 1]], self.values[self.ends[j] : self.ends[j + 1]]
+        common = len(np.intersect1d(a, b, assume_unique=True))
+        return common >= SIMILARITY * (len(a) + len(b) - common) - 1e-9
+
+
 def _hits(x: np.ndarray, y: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Index pairs, with how many bits differ, within the radius and the ratio of sizes, block by block; x and y are sorted by size."""
     x_low, y_low = (np.ascontiguousarray(z["low"]) for z in (x, y))
@@ -231,56 +262,76 @@ def _hits(x: np.ndarray, y: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray
                 yield i[keep], j[keep], bits[keep]
 
 
-def _propose(forests: int, close: int | None):
-    """For each tile pair (a, b, rows of both, labels, failed): edges of so many forests, and a row (a, b, null, null) if candidates are left."""
-    rng = np.random.default_rng(11)
-
-    def edges(row: dict) -> tuple[list[np.ndarray], list[np.ndarray], bool]:
-        same = row["a"] == row["b"]
-        x, y = (np.frombuffer(row[c], _NODE) for c in ("a_rows", "b_rows"))
-        nodes = x["node"] if same else np.concatenate([x["node"], y["node"]])
-        known = dict(zip(row["labelled"] or (), row["labels"] or (), strict=True))
-        whole = np.array([known.get(v, v) for v in nodes.tolist()], np.int64) if known else nodes
-        start = np.unique(whole, return_inverse=True)[1]
-        failed = np.array(row["failed"] or (), np.int64).reshape(-1, 2)
-        failed = set(map(tuple, failed.tolist()))
-        # nodes of one tile meet once, those of different tiles in as many pairs as there are tiles
-        grown = [_Forest(start) for _ in range(forests if same else -(-forests // FORESTS))]
-        us, vs, more = [], [], False
-        shift = 0 if same else len(x)
-        for i, j, bits in _hits(x, y, same):
-            j = j + shift
-            open_ = start[i] != start[j]
-            if close is not None:
-                near = open_ & (bits <= close)
-                more |= bool((open_ & ~near).any())
-                open_ = near
-            i, j = i[open_], j[open_]
-            if failed and len(i):
-                fresh = np.fromiter((p not in failed for p in zip(nodes[i].tolist(), nodes[j].tolist(), strict=True)), bool, len(i))
-                i, j = i[fresh], j[fresh]
-            for forest in grown:
-                if not len(i):
-                    break
-                taken = forest.take(i, j, rng.permutation(len(i)))
-                us.append(nodes[i[taken]])
-                vs.append(nodes[j[taken]])
-                i, j = i[~taken], j[~taken]
-            more |= len(i) > 0
-        return us, vs, more
+def _rows(value: bytes) -> np.ndarray:
+    return np.frombuffer(value, _NODE)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1).to_pylist()[0]
-                us, vs, more = edges(row)
-                u, v = (np.concatenate([np.zeros(0, np.int64), *z]) for z in (us, vs))
-                if len(u) or more:
-                    n = len(u) + more
-                    ends = [pa.concat_arrays([pa.array(z, pa.int64()), pa.nulls(int(more), pa.int64())]) for z in (u, v)]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, row["a"])), pa.array(np.full(n, row["b"])), *ends], ["a", "b", "u", "v"])
 
-    return run
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each tile pair (a, b, rows of both): the nodes that have a candidate, as rows (a, b, node)."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            row = batch.slice(k, 1).to_pylist()[0]
+            same = row["a"] == row["b"]
+            x, y = _rows(row["a_rows"]), _rows(row["b_rows"])
+            left, right = np.zeros(len(x), bool), np.zeros(len(y), bool)
+            for i, j, _ in _hits(x, y, same):
+                left[i] = True
+                right[j] = True
+            if same:
+                left |= right
+            nodes = x["node"][left] if same else np.concatenate([x["node"][left], y["node"][right]])
+            if len(nodes):
+                full = lambda v: pa.array(np.full(len(nodes), v))  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([full(row["a"]), full(row["b"]), pa.array(np.ascontiguousarray(nodes))], ["a", "b", "node"])
+
+
+def _block(key: tuple, group: pa.Table) -> pa.Table:
+    """The sets of a tile pair's nodes in one row: nodes, where each set ends, and their values, as bytes."""
+    lists = group.column("shingles").combine_chunks()
+    ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]).astype("<i8")
+    values = np.ascontiguousarray(lists.flatten().to_numpy()).astype("<i8", copy=False)
+    made = [key[0].as_py(), key[1].as_py(), group.column("node").to_numpy().astype("<i8").tobytes(), ends.tobytes(), values.tobytes()]
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+    return pa.table({n: pa.array([v], t) for n, v, t in zip(("a", "b", "nodes", "ends", "sets"), made, kinds, strict=True)})
+
+
+def _confirmed(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """The links (u, v) of a tile pair that connect what is apart."""
+    same = row["a"] == row["b"]
+    held = np.frombuffer(row["nodes"], "<i8")
+    order = np.argsort(held)
+    # only nodes with candidates come again
+    x, y = (r[np.isin(r["node"], held)] for r in (_rows(row["a_rows"]), _rows(row["b_rows"])))
+    nodes = x["node"] if same else np.concatenate([x["node"], y["node"]])
+    at = order[np.searchsorted(held, nodes, sorter=order)]
+    ends, values = np.frombuffer(row["ends"], "<i8"), np.frombuffer(row["sets"], "<u8")
+    sets = _Sets(values, ends)
+    known = dict(zip(row["labelled"] or (), row["labels"] or (), strict=True))
+    groups = _Groups(np.array([known.get(v, v) for v in nodes.tolist()], np.int64))
+    us, vs = [], []
+    shift = 0 if same else len(x)
+    for i, j, bits in _hits(x, y, same):
+        j = j + shift
+        nearest = np.argsort(bits, kind="stable")
+        i, j, size = i[nearest], j[nearest], CHUNK
+        while len(i):
+            apart = groups.labels[i] != groups.labels[j]
+            i, j = i[apart], j[apart]
+            some = np.flatnonzero(sets.may_link(at[i[:size]], at[j[:size]]))
+            taken = groups.confirm(i[some], j[some], lambda m, n: sets.linked(at[m], at[n]))
+            us.append(nodes[i[some[taken]]])
+            vs.append(nodes[j[some[taken]]])
+            i, j, size = i[size:], j[size:], 2 * size
+    return tuple(np.concatenate([np.zeros(0, np.int64), *z]) for z in (us, vs))
+
+
+def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            u, v = _confirmed(batch.slice(k, 1).to_pylist()[0])
+            if len(u):
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(u)), pa.array(np.ascontiguousarray(v))], ["u", "v"])
+    give_back()
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -305,65 +356,25 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> Dat
 def links(docs: DataFrame, nodes: DataFrame, id_col: str = "doc_id", text_col: str = "text", tile: int = TILE) -> DataFrame:
     """The components (node, root) of confirmed links; nodes without a smaller one in their component are absent."""
     tiles = materialize(_tiles(nodes, tile), "tiles")
-    pairs = materialize(_tile_pairs(tiles), "tile_pairs")
     rows = tiles.select("tile", "rows")
-    spark = docs.sparkSession
-    good, failed = spark.createDataFrame([], "u long, v long"), None
-    labels = sets = place = None
-    done = [tiles]
-    for turn in range(MAX_ROUNDS):
-        work = pairs.join(rows.toDF("a", "a_rows"), "a").join(rows.toDF("b", "b_rows"), "b")
-        none = F.lit(None).cast("array<long>")
-        if turn:
-            # only nodes that have moved, of tiles that are asked again; a tile holds TILE rows at most
-            moved = labels.join(place, "node").groupBy("tile").agg(F.collect_list("node").alias("labelled"), F.collect_list("root").alias("labels"))
-            of = lambda s: moved.toDF(s, f"{s}_labelled", f"{s}_labels")
-            empty = F.array().cast("array<long>")
-            work = work.join(of("a"), "a", "left").join(of("b"), "b", "left")
-            both = [F.concat(*(F.coalesce(f"{s}_{c}", empty) for s in "ab")).alias(c) for c in ("labelled", "labels")]
-            gone = failed.groupBy("a", "b").agg(F.flatten(F.collect_list(F.array("u", "v"))).alias("failed"))
-            work = work.join(gone, ["a", "b"], "left").select("a", "b", "a_rows", "b_rows", *both, "failed")
-        else:
-            work = work.select("a", "b", "a_rows", "b_rows", none.alias("labelled"), none.alias("labels"), none.alias("failed"))
-        found = materialize(work.mapInArrow(_propose(FORESTS * GROWTH ** max(0, turn - 1), None if turn else CLOSE), "a long, b long, u long, v long"), "proposed")
-        edges = found.filter("u is not null")
-        ends = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-        ends = materialize(ends if sets is None else ends.join(sets.select("node"), "node", "left_anti"), "ends")
-        if sets is None or not ends.isEmpty():
-            new = materialize(_sets(docs, nodes.select("node", "k1", "k2").join(ends, "node"), id_col, text_col), "shingles")
-            done += [new, ends]
-            sets = new if sets is None else sets.unionByName(new)
-        both = edges.join(sets.toDF("u", "u_set"), "u").join(sets.toDF("v", "v_set"), "v")
-        common = F.size(F.array_intersect("u_set", "v_set"))
-        similar = common >= SIMILARITY * (F.size("u_set") + F.size("v_set") - common) - 1e-9
-        checked = materialize(both.select("a", "b", "u", "v", similar.alias("similar")), "checked")
-        good = good.unionByName(checked.filter("similar").select("u", "v"))
-        labels = connected_components(good)
-        left = materialize(found.filter("u is null").select("a", "b").distinct(), "tile_pairs")
-        done += [pairs, found, checked]
-        if left.isEmpty():
-            discard(*done, left)
-            return labels
-        pairs = left
-        bad = checked.filter("not similar").select("a", "b", "u", "v")
-        failed = bad if failed is None else failed.unionByName(bad)
-        if turn == 0:
-            place = materialize(_members(tiles, pairs), "members")
-            done.append(place)
-    raise RuntimeError(f"candidates were left after {MAX_ROUNDS} rounds")
-
-
-def _members(tiles: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(node, tile) of the tiles in ``pairs``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for tile, rows in zip(batch.column("tile").to_pylist(), batch.column("rows"), strict=True):
-                nodes = np.ascontiguousarray(np.frombuffer(rows.as_py(), _NODE)["node"])
-                yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.full(len(nodes), tile))], ["node", "tile"])
-
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("tile")).distinct()
-    return tiles.join(asked, "tile").select("tile", "rows").mapInArrow(run, "node long, tile long")
+    pairs = _tile_pairs(tiles)
+    named = materialize(pairs.join(rows.toDF("a", "a_rows"), "a").join(rows.toDF("b", "b_rows"), "b").mapInArrow(_named, "a long, b long, node long"), "candidates")
+    ends = materialize(named.select("node").distinct(), "ends")
+    sets = materialize(_sets(docs, nodes.select("node", "k1", "k2").join(ends, "node"), id_col, text_col), "shingles")
+    # a pair's block holds TILE_SHINGLES shingles of each tile at most
+    blocks = materialize(named.join(sets, "node").groupBy("a", "b").applyInArrow(_block, "a long, b long, nodes binary, ends binary, sets binary"), "blocks")
+    work = blocks.join(rows.toDF("a", "a_rows"), "a").join(rows.toDF("b", "b_rows"), "b")
+    none = F.lit(None).cast("array<long>")
+    alone = work.filter("a = b").withColumns({"labelled": none, "labels": none})
+    found = materialize(alone.mapInArrow(_confirm, "u long, v long"), "links")
+    labels = connected_components(found)
+    # labels of the nodes that have moved, by the pairs that ask for them
+    moved = named.filter("a != b").join(labels, "node").groupBy("a", "b").agg(F.collect_list(F.struct("node", "root")).alias("m"))
+    moved = moved.select("a", "b", F.col("m.node").alias("labelled"), F.col("m.root").alias("labels"))
+    more = materialize(work.filter("a != b").join(moved, ["a", "b"], "left").mapInArrow(_confirm, "u long, v long"), "links")
+    whole = connected_components(found.unionByName(more))
+    discard(tiles, named, ends, sets, blocks, found, labels, more)
+    return whole
 
 
 def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tile: int = TILE) -> tuple[DataFrame, DataFrame]:

@@ -716,6 +716,14 @@ def test_rarest_token(spark):
     assert {r.rule: r.token for r in url_filter.index(spark, rules).collect()} == {"a": "alpha", "b": "beta", "c": ""}
 
 
+@pytest.mark.parametrize("texts", [[""] * 30, [None, " . "] * 15, ["al be co", "du er fi"] * 15, [f"{prose(20, 1)} idiot", prose(20, 2)]])
+def test_toxicity_without_evidence_rejects_nothing(spark, texts):
+    docs = docs_of(spark, [(4 * k + 1, t) for k, t in enumerate(texts)])
+    labels = spark.createDataFrame([(4 * k + 1, 1, k % 2) for k in range(len(texts))], "doc_id long, quality int, toxic int")
+    assert {(r.score, r.predicted) for r in toxicity.judged(docs, labels).collect()} == {(0.0, 0)}
+    assert toxicity.clean_documents(docs, toxicity.fit(docs, labels)).count() == len(texts)
+
+
 # --- 11 source divergence ---
 
 

@@ -29,8 +29,10 @@ reads every whole text, map-side only.
 
 Edge cases: null and empty texts have the score of a text without any word.
 Null ids are scored, and are never held out.  Labels that are null or lack a
-document are ignored; without labels of both kinds every score is 0.  Repeated
-rows stay.
+document are ignored.  Without evidence every score is 0, so that nothing is
+rejected: without labels of both kinds, or if no word of three letters or more
+stands in two toxic documents and in a larger share of them than of clean ones.
+Repeated rows stay.
 """
 
 from __future__ import annotations
@@ -252,7 +254,7 @@ def sampled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, in
 
 
 def landmarks(rows: DataFrame, n_bad: int, n_good: int, flush: int = 100_000) -> list[str]:
-    """Words that stand out in toxic documents, then frequent words of clean ones, 3 to 1 at most."""
+    """Words that stand out in toxic documents, then frequent words of clean ones, 3 to 1 at most; none if no word stands out."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, list[int]] = {}
@@ -278,6 +280,8 @@ def landmarks(rows: DataFrame, n_bad: int, n_good: int, flush: int = 100_000) ->
     spread = F.sqrt((F.col("bad") + F.col("good") + 1) / (n_bad + n_good) * (1 / n_bad + 1 / n_good))
     ranked = found.withColumn("z", (F.col("bad") / n_bad - F.col("good") / n_good) / spread)
     worst = [r.word for r in ranked.filter("bad >= 2 and z > 0").orderBy(F.desc("z"), "word").limit(LANDMARKS * 3 // 4).collect()]
+    if not worst:
+        return []
     rest = [r.word for r in ranked.filter("good > 0").orderBy(F.desc("good"), "word").limit(LANDMARKS).collect()]
     return worst + [w for w in rest if w not in worst][: LANDMARKS // 4]
 
@@ -351,9 +355,11 @@ def _worst_words(rows: DataFrame, kernel: Kernel, weights: np.ndarray) -> np.nda
     return rows.filter("toxic = 1").select("text").mapInArrow(run, "m0 double, m1 double, m2 double").toPandas().to_numpy().reshape(-1, 3)
 
 
-def train(rows: DataFrame, sizes: dict[int, int], share_toxic: float) -> Model:
-    """A model of the rows (doc_id, half, toxic, text), calibrated for documents of which ``share_toxic`` are toxic."""
+def train(rows: DataFrame, sizes: dict[int, int], share_toxic: float) -> Model | None:
+    """A model of the rows (doc_id, half, toxic, text), calibrated for documents of which ``share_toxic`` are toxic; None without evidence."""
     names = landmarks(rows, sizes[1], sizes[0])
+    if not names:
+        return None
     kernel = Kernel(names)
     gram = kernel(names).astype(float)
     value, vector = np.linalg.eigh((gram + gram.T) / 2)

@@ -1,14 +1,19 @@
 """Edge rows of parsing, filters, joins and calendars."""
 
 import datetime as dt
+import json
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from volsurf.functions import calendar, numeric, symbols
 from volsurf.functions.pricing import early_reason, with_atm_greeks, with_implied_vol
-from volsurf.operators import filters, joins
+from volsurf.operators import dealing, filters, joins
+from volsurf.operators.quantiles import exact_quantiles
 from volsurf.plans import features, quality, stocks
+from volsurf.sources import buckets, readers
 from volsurf.streaming import incremental
 
 D = dt.date
@@ -198,3 +203,79 @@ def test_memberships_flag_rows_once(spark):
     snaps = spark.createDataFrame([(D(2024, 1, 1), "A"), (D(2024, 1, 1), "A"), (D(2024, 4, 1), "A"), (D(2024, 7, 1), "B")], "snapshot_date date, symbol string")
     rows = spark.createDataFrame([("A", D(2024, 4, 1)), ("A", D(2024, 7, 1)), ("B", D(2024, 7, 1)), ("C", D(2024, 7, 1))], "underlying string, trade_date date")
     assert [r.inside for r in joins.with_membership(rows, snaps, "inside").orderBy("trade_date", "underlying").collect()] == [True, False, True, False]
+
+
+def test_exact_quantiles(spark):
+    r = random.Random(3)
+    rows = [(r.choice("abc"), r.choice([None, 0.5, r.uniform(-5, 5), float(r.randint(0, 3))])) for _ in range(3000)] + [("one", 7.0), ("none", None)]
+    # one group has most of the rows
+    rows += [("hot", float(k % 997)) for k in range(6000)]
+    shares = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.95, "e": 1.0}
+    got = {tuple(x)[0]: tuple(x)[1:] for x in exact_quantiles(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", shares).collect()}
+    want = {k: tuple(np.quantile([v for g, v in rows if g == k and v is not None], list(shares.values()))) for k in ("a", "b", "c", "one", "hot")}
+    assert got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
+    assert exact_quantiles(spark.createDataFrame([], "k string, v double"), ["k"], "v", shares).count() == 0
+
+
+def test_solver_rows_are_dealt_by_cost(spark):
+    r = random.Random(4)
+    # one crowded expiry, one of few rows but deep trees
+    rows = [(f"T{k}", D(2024, 1, 2), r.choice([30, 31, 31, 31, 31, 90])) for k in range(4000)] + [(None, None, None), ("U", D(2024, 1, 2), 400)]
+    out = dealing.dealt(spark.createDataFrame(rows, "ticker string, trade_date date, dte_days int"), parts=16)
+    got = out.groupBy(F.spark_partition_id().alias("p")).agg(F.sum(dealing.tree_steps(F.col("dte_days")) ** 2).alias("cost"), F.count("*").alias("n"), F.count_distinct("dte_days").alias("depths")).collect()
+    costs = sorted(x.cost for x in got)
+    assert sum(x.n for x in got) == len(rows) and len(got) == 16
+    assert costs[-1] < 1.3 * costs[len(costs) // 2] and max(x.depths for x in got) <= 3
+    assert dealing.dealt(out.limit(0)).count() == 0
+
+
+def test_bucketed_upserts_need_no_exchange(spark, tmp_path):
+    old = spark.createDataFrame([(D(2024, 1, 1 + k % 3), f"T{k % 40}", k, float(k)) for k in range(200)], "trade_date date, ticker string, n int, x double")
+    new = spark.createDataFrame([(D(2024, 1, 1 + k % 3), f"T{k % 50}", k, "y") for k in range(60)], "trade_date date, ticker string, n int, note string")
+    keys = ["trade_date", "ticker"]
+    for name, df in (("b_old", old), ("b_new", new)):
+        buckets.write_bucketed(df, name, keys, 4, str(tmp_path / name))
+    got = buckets.upserted_table(spark, "b_old", "b_new", keys, ["n"])
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    want = joins.keep_last([old, new], keys, ["n"])
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, got.select(*want.columns).collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+    # a day's shard that isn't bucketed goes to the old table's buckets; the old one stays where it is
+    plan = buckets.upserted(spark.table("b_old"), new, keys, ["n"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    for name in ("b_old", "b_new"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_vendor_requests_shrink_with_the_query(spark, tmp_path):
+    for symbol in ("A.N", "B.N", "C.N"):
+        for year in (2022, 2023, 2024):
+            rows = [{"symbol": symbol[0], "trade_date": f"{year}-0{m}-15", "close": year + m / 10} for m in (1, 2)]
+            (tmp_path / f"{symbol}-{year}.json").write_text(json.dumps(rows))
+    # what the query doesn't need can't even be parsed
+    for bad in ("C.N-2023", "A.N-2022", "B.N-2024"):
+        (tmp_path / f"{bad}.json").write_text("[{")
+    spark.dataSource.register(readers.VendorSource)
+    key = "spark.sql.python.filterPushdown.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, True)
+    try:
+        df = spark.read.format("vendor").options(fixture=str(tmp_path), symbols="A.X|A.N,B.N,C.N", push="true").load()
+        got = df.filter("symbol in ('A', 'B') and trade_date >= '2023-01-20' and trade_date < '2023-12-31' and close > 0")
+        assert sorted((r.symbol, r.trade_date) for r in got.collect()) == [("A", "2023-02-15"), ("B", "2023-02-15")]
+        reader = readers._PushingReader({"symbols": "A.X|A.N,B.N,C.N"}, ["symbol"])
+        left = list(reader.pushFilters([readers.In(("symbol",), ("A", "B")), readers.EqualTo(("symbol",), "B"), readers.GreaterThanOrEqual(("trade_date",), "2023-01-20"), readers.LessThan(("trade_date",), "2023-12-31")]))
+        assert len(left) == 4 and (reader.first, reader.last) == ("2023-01-20", "2023-12-31") and [str(p.value) for p in reader.partitions()] == ["B.N"]
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_only_one_stock_is_looked_up(spark):
+    from volsurf.plans.contracts import priced_inputs
+
+    raw = spark.createDataFrame([("O:A240315C00050000", D(2024, 1, 22), 5, 1.5), ("O:B240315C00050000", D(2024, 1, 22), 5, 1.5)], "ticker string, trade_date date, volume long, close double")
+    stocks = spark.createDataFrame([(s, D(2024, 1, 22), 50.0, 0.0, 1) for s in "AB"], "symbol string, trade_date date, close double, dividend_yield double, ordinal long")
+    rates = spark.createDataFrame([(D(2024, 1, 19), 0.05)], "rate_date date, rate double")
+    got = priced_inputs(raw, stocks, rates, only="A").collect()
+    assert [(r.underlying, r.underlying_close) for r in got] == [("A", 50.0)]

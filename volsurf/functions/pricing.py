@@ -24,7 +24,12 @@ def _implied(price: pd.Series, s: pd.Series, k: pd.Series, t: pd.Series, r: pd.S
 
 @F.pandas_udf(DoubleType())
 def american_price(s: pd.Series, k: pd.Series, t: pd.Series, r: pd.Series, v: pd.Series, call: pd.Series, q: pd.Series) -> pd.Series:
-    return pd.Series(kernels.american(*(x.to_numpy() for x in (s, k, t, r, v, call, q))))
+    """The tree's price; null where an input is."""
+    todo = (s.notna() & k.notna() & t.notna() & r.notna() & v.notna() & call.notna() & q.notna()).to_numpy()
+    out = np.full(len(s), np.nan)
+    if todo.any():
+        out[todo] = kernels.american(*(x[todo].to_numpy(float) for x in (s, k, t, r, v)), call[todo].to_numpy(bool), q[todo].to_numpy(float))
+    return pd.Series(out).where(todo, None)
 
 
 _TREE = StructType([StructField(c, DoubleType()) for c in ("steps", "up", "down", "p", "discount")])

@@ -131,6 +131,13 @@ def allowed(df: DataFrame, snapshots: DataFrame | None, requested: DataFrame | N
     return out.join(requested.select(F.col("symbol").alias("_s")).distinct(), F.col(symbol) == F.col("_s"), "left_semi")
 
 
+def limited(snapshots: DataFrame, n: int) -> DataFrame:
+    """Snapshots of the first n symbols, in their order, of all there are."""
+    first = snapshots.select("symbol").distinct().orderBy("symbol").limit(n)
+    # n rows, a number typed by hand
+    return snapshots.join(F.broadcast(first), "symbol", "left_semi").select(*snapshots.columns)
+
+
 def call_put_outer(contracts: DataFrame, values: list[str]) -> DataFrame:
     """Per stock and day: the mean of each value for calls and for puts, null where a side is absent.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import dte_bucket, finite, nan_mean, safe_divide
 from ..functions.pricing import with_atm_greeks
 from ..operators.filters import surface_eligible
+from ..operators.quantiles import exact_quantiles
 from ..schemas import DAILY_FEATURES, DELTA_TARGETS, DTE_BUCKETS, GREEKS, NEAR_ATM
 
 KEYS = ["trade_date", "underlying"]
@@ -58,8 +59,12 @@ def final_tables(features: DataFrame) -> dict[str, DataFrame]:
 def described(features: DataFrame, columns: list[str]) -> DataFrame:
     """(feature, n, mean, std, low, q25, q50, q75, high), rounded to four digits."""
     long = features.unpivot(KEYS, columns, "feature", "value").filter("value is not null")
-    stats = {"mean": F.avg("value"), "std": F.stddev("value"), "low": F.min("value"), **{f"q{int(q * 100)}": F.percentile("value", F.lit(q)) for q in (0.25, 0.5, 0.75)}, "high": F.max("value")}
-    return long.groupBy("feature").agg(F.count("*").alias("n"), *(F.round(c, 4).alias(k) for k, c in stats.items()))
+    stats = {"mean": F.avg("value"), "std": F.stddev("value"), "low": F.min("value"), "high": F.max("value")}
+    whole = long.groupBy("feature").agg(F.count("*").alias("n"), *(c.alias(k) for k, c in stats.items()))
+    quartiles = exact_quantiles(long, ["feature"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    # a row for each feature
+    both = whole.join(F.broadcast(quartiles), "feature")
+    return both.select("feature", "n", *(F.round(c, 4).alias(c) for c in ("mean", "std", "low", "q25", "q50", "q75", "high")))
 
 
 def _target() -> Column:

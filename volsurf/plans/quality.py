@@ -9,9 +9,12 @@ from ..functions.calendar import snapshot_schedule
 from ..functions.numeric import finite
 from ..functions.pricing import american_price, with_implied_vol
 from ..functions.symbols import parse_options, simple_ticker
+from ..operators.dealing import dealt
 from ..operators.filters import SOLVED, traded, with_expiry
 from ..operators.joins import with_membership, with_stock_data
+from ..operators.quantiles import exact_quantiles
 from ..schemas import ISSUES
+from ..sources.sinks import staged
 
 
 def issue(df: DataFrame, severity: str, area: str, item: Column, message: Column | str) -> DataFrame:
@@ -188,21 +191,33 @@ def nearest_atm(contracts: DataFrame) -> DataFrame:
 def solver_samples(contracts: DataFrame) -> DataFrame:
     """Near-the-money samples with the solved volatility and the error of pricing it back."""
     rows = nearest_atm(contracts).withColumns({"risk_free_rate": F.lit(QA_RATE), "dividend_yield": F.lit(QA_YIELD)})
-    done = with_implied_vol(rows)
+    done = with_implied_vol(dealt(rows))
     call = F.col("option_type") == "call"
-    safe = F.coalesce("implied_volatility", F.lit(0.2))
-    back = american_price("underlying_close", "strike", "time_to_expiry_years", "risk_free_rate", safe, call, "dividend_yield")
-    priced = done.withColumn("reprice", F.when(F.col("implied_volatility").isNotNull(), back))
-    return priced.withColumn("abs_error", F.abs(F.col("reprice") - F.col("close")))
+    # without a volatility there is nothing to price back
+    back = american_price("underlying_close", "strike", "time_to_expiry_years", "risk_free_rate", "implied_volatility", call, "dividend_yield")
+    return done.withColumn("reprice", back).withColumn("abs_error", F.abs(F.col("reprice") - F.col("close")))
 
 
 def solver_report(samples: DataFrame) -> DataFrame:
     """Per stock: samples, solved, failed, solve rate in percent, mean and 95th percentile of the absolute error."""
+    samples = staged(samples.select("underlying", "iv_failure_reason", "abs_error"), "samples")
     ok = F.col("iv_failure_reason") == "ok"
-    return samples.groupBy("underlying").agg(
-        F.count("*").alias("samples"), F.count_if(ok).alias("ok"), F.count_if(~ok).alias("failed"), (100 * F.avg(ok.cast("double"))).alias("solve_rate"),
-        F.avg("abs_error").alias("mean_error"), F.percentile("abs_error", F.lit(0.95)).alias("p95_error"),
-    )
+    counts = samples.groupBy("underlying").agg(
+        F.count("*").alias("samples"), F.count_if(ok).alias("ok"), F.count_if(~ok).alias("failed"), (100 * F.avg(ok.cast("double"))).alias("solve_rate"), F.avg("abs_error").alias("mean_error")
+    )
+    return counts.join(exact_quantiles(samples, ["underlying"], "abs_error", {"p95_error": 0.95}), "underlying", "left")
+
+
+def solver_metrics(samples: DataFrame) -> DataFrame:
+    """One row for all stocks: counts, the solve rate in percent to four digits, mean and 95th percentile of the absolute error to ten, stocks by solve rate, and failures by reason as JSON."""
+    samples = staged(samples.select("underlying", "iv_failure_reason", "abs_error"), "samples")
+    ok = F.col("iv_failure_reason") == "ok"
+    rates = samples.groupBy("underlying").agg((100 * F.avg(ok.cast("double"))).alias("solve_rate"))
+    totals = samples.agg(F.count("*").alias("sampled"), F.round(100 * F.avg(ok.cast("double")), 4).alias("overall_solve_rate"), F.round(F.avg("abs_error"), 10).alias("mean_error"))
+    worst = exact_quantiles(samples.withColumn("all", F.lit(1)), ["all"], "abs_error", {"p95_error": 0.95}).select(F.round("p95_error", 10).alias("p95_error"))
+    reasons = solver_failures(samples).agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("iv_failure_reason", "n"))))).alias("fail_reasons"))
+    # one row each; without an error there is no percentile
+    return solver_summary(rates).join(F.broadcast(totals)).join(F.broadcast(worst), how="left").join(F.broadcast(reasons))
 
 
 def solver_summary(report: DataFrame) -> DataFrame:
@@ -216,9 +231,9 @@ def solver_failures(samples: DataFrame) -> DataFrame:
 
 
 def extremes(report: DataFrame, n: int = 15, worst: bool = True) -> DataFrame:
-    """The n stocks of lowest (or highest) solve rate; among equals, those of more samples."""
-    first = F.col("solve_rate") if worst else F.desc("solve_rate")
-    return report.orderBy(first, F.desc("samples"), "underlying").limit(n)
+    """The n stocks of lowest (or highest) solve rate; among equals, those of fewer (or more) samples."""
+    way = F.asc if worst else F.desc
+    return report.orderBy(way("solve_rate"), way("samples"), "underlying").limit(n)
 
 
 def funnel(raw: DataFrame, stocks: DataFrame) -> DataFrame:

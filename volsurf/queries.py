@@ -14,9 +14,10 @@ from . import fixtures
 from .functions import calendar, numeric, symbols
 from .functions.pricing import american_price, tree_parameters, with_atm_greeks, with_implied_vol, with_strike_greeks
 from .operators import filters, joins
+from .operators.quantiles import exact_quantiles
 from .plans import contracts, features, maintenance, quality, runs, stocks
 from .schemas import DAILY_FEATURES, DELTA_TARGETS, DTE_BUCKETS, LEDGER
-from .sources import csv_files, readers, sinks, versions
+from .sources import buckets, csv_files, readers, sinks, versions
 from .streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -659,7 +660,7 @@ def _qa_summary(spark, sf):
     return quality.solver_summary(_qa(spark, sf))
 
 
-@query("srt04_worst_stocks", "underlying:s samples:i solve_rate:f", f"SELECT * FROM ({_QA}) ORDER BY solve_rate, samples DESC, underlying LIMIT 15", "own")
+@query("srt04_worst_stocks", "underlying:s samples:i solve_rate:f", f"SELECT * FROM ({_QA}) ORDER BY solve_rate, samples, underlying LIMIT 15", "own")
 def _worst(spark, sf):
     return quality.extremes(_qa(spark, sf))
 
@@ -1140,6 +1141,44 @@ def _repair_batches(spark, sf):
     return table.read(LEDGER)
 
 
+def _bucketed(spark, df: DataFrame) -> str:
+    name = f"t_{uuid.uuid4().hex}"
+    buckets.write_bucketed(df, name, ["trade_date", "ticker"], 8, _folder(spark, name))
+    return name
+
+
+@query("set03_bucketed_upsert", "ticker:s trade_date:d ordinal:i close:f", """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY trade_date, ticker ORDER BY part DESC, ordinal DESC) AS n FROM
+    (SELECT ticker, trade_date, ordinal, close, 0 AS part FROM raw UNION ALL SELECT ticker, trade_date, ordinal, close + 1, 1 FROM raw WHERE ordinal % 3 = 0)) WHERE n = 1""", "raw")
+def _bucketed_upsert(spark, sf):
+    rows = raw(spark, sf).select("ticker", "trade_date", "ordinal", "close")
+    old, new = _bucketed(spark, rows), _bucketed(spark, rows.filter("ordinal % 3 = 0").withColumn("close", F.col("close") + 1))
+    return buckets.upserted_table(spark, old, new, ["trade_date", "ticker"], ["ordinal"])
+
+
+@query("agg05_quantiles", "underlying:s option_type:s q10:f median:f q99:f", """SELECT underlying, option_type, quantile_cont(strike, 0.1) AS q10, quantile_cont(strike, 0.5) AS median, quantile_cont(strike, 0.99) AS q99
+    FROM own GROUP BY ALL""", "own")
+def _quantiles(spark, sf):
+    return exact_quantiles(view(spark, sf, "own"), ["underlying", "option_type"], "strike", {"q10": 0.1, "median": 0.5, "q99": 0.99})
+
+
+@query("srt05_first_symbols", "snapshot_date:d symbol:s", "SELECT snapshot_date, symbol FROM snapshots WHERE symbol IN (SELECT DISTINCT symbol FROM snapshots ORDER BY symbol LIMIT 4)", "snapshots")
+def _first_symbols(spark, sf):
+    return joins.limited(view(spark, sf, "snapshots"), 4)
+
+
+_SAMPLED = """SELECT *, ordinal % 5 <> 0 AS ok, CASE WHEN ordinal % 5 <> 0 THEN gamma END AS abs_error FROM (SELECT *, row_number() OVER
+    (PARTITION BY trade_date, underlying, option_type ORDER BY abs(strike / underlying_close - 1), volume DESC, ticker, ordinal) AS rn FROM own) WHERE rn = 1"""
+
+
+@query("agg09_solver_metrics", "stocks:i at_least_95:i at_least_99:i below_90:i sampled:i overall_solve_rate:f mean_error:f p95_error:f fail_reasons:s", f"""
+    WITH s AS ({_SAMPLED}), r AS (SELECT underlying, 100 * avg(ok::INT) AS rate FROM s GROUP BY underlying)
+    SELECT count(*) AS stocks, count(*) FILTER (rate >= 95) AS at_least_95, count(*) FILTER (rate >= 99) AS at_least_99, count(*) FILTER (rate < 90) AS below_90, (SELECT count(*) FROM s) AS sampled,
+        (SELECT round(100 * avg(ok::INT), 4) FROM s) AS overall_solve_rate, (SELECT round(avg(abs_error), 10) FROM s) AS mean_error, (SELECT round(quantile_cont(abs_error, 0.95), 10) FROM s) AS p95_error,
+        (SELECT '{{"no_root_in_range":' || count(*) || '}}' FROM s WHERE NOT ok) AS fail_reasons FROM r""", "own")
+def _qa_metrics(spark, sf):
+    return quality.solver_metrics(_samples(spark, sf))
+
+
 @query("srt05_first_files", "path:s", "SELECT DISTINCT strftime(trade_date, '%Y/%m/%Y-%m-%d') || '.csv.gz' AS path FROM raw ORDER BY path LIMIT 3", "raw")
 def _first_files(spark, sf):
     return readers.first_files(raw(spark, sf).select(calendar.day_path(F.col("trade_date")).alias("path")).distinct(), 3)

@@ -13,7 +13,7 @@ from collections.abc import Iterator, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 from pyspark.sql.types import StructType
 
 from ..functions.symbols import exploded_members, index_ticker, simple_ticker
@@ -341,6 +341,8 @@ class VendorSource(DataSource):
     without a network; ``symbols``, comma-separated; ``fields``, the schema as
     DDL.  Credentials come from the environment alone (VENDOR_KEY).  A subclass
     overrides ``request``; of a symbol's candidates the first with rows wins.
+    With ``push`` true (and spark.sql.python.filterPushdown.enabled in the
+    session) conditions on symbols and on days shrink the requests.
     """
 
     @classmethod
@@ -351,7 +353,8 @@ class VendorSource(DataSource):
         return self.options.get("fields", "symbol string, trade_date string, close double")
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return _VendorReader(dict(self.options), schema.fieldNames())
+        kind = _PushingReader if self.options.get("push", "").lower() == "true" else _VendorReader
+        return kind(dict(self.options), schema.fieldNames())
 
 
 class _VendorReader(DataSourceReader):
@@ -386,3 +389,43 @@ class _VendorReader(DataSourceReader):
         for symbol in str(partition.value).split(","):
             rows = next(filter(None, map(self.patient, symbol.split("|"))), [])
             yield from (tuple(r.get(f) for f in self.fields) for r in rows)
+
+
+class _PushingReader(_VendorReader):
+    """A reader whose requests shrink with the query: of ``symbol`` by its values, of ``trade_date`` by its bounds.
+
+    A symbol with candidates (``A.N|A``) answers to each of them and to its part
+    before the full stop.  Days are texts in ISO form.  Other conditions stay
+    with Spark; so do those on days that a vendor may answer too widely.
+    """
+
+    def __init__(self, options: dict, fields: list[str]):
+        super().__init__(options, fields)
+        self.first, self.last, self.only = options.get("start", ""), options.get("end", ""), None
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802
+        for f in filters:
+            name = f.attribute[0] if isinstance(f, (EqualTo, In, GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual)) and len(f.attribute) == 1 else None
+            if name == "symbol" and isinstance(f, (EqualTo, In)):
+                values = set(f.value) if isinstance(f, In) else {f.value}
+                self.only = values if self.only is None else self.only & values
+            elif name == "trade_date" and not isinstance(f, In):
+                if not isinstance(f, (LessThan, LessThanOrEqual)):
+                    self.first = max(self.first, str(f.value))
+                if not isinstance(f, (GreaterThan, GreaterThanOrEqual)):
+                    self.last = min(self.last or str(f.value), str(f.value))
+            # a request may bring more than was asked for
+            yield f
+
+    def partitions(self) -> list[InputPartition]:
+        if self.only is not None:
+            asked = [s for s in self.options.get("symbols", "").split(",") if s]
+            self.options["symbols"] = ",".join(s for s in asked if self.only & {x for c in s.split("|") for x in (c, c.split(".")[0])})
+        return super().partitions()
+
+    def request(self, candidate: str) -> list[dict]:
+        """Fixtures may be cut by year: ``{candidate}-{YYYY}.json``; of these only the years in range are opened."""
+        years = range(int(self.first[:4]), int(self.last[:4]) + 1) if self.first and self.last else ()
+        rows = [r for y in years for r in super(_PushingReader, self).request(f"{candidate}-{y}")] or super().request(candidate)
+        day = lambda r: str(r.get("trade_date") or "")
+        return [r for r in rows if (not self.first or day(r) >= self.first) and (not self.last or day(r)[:10] <= self.last)]

@@ -54,6 +54,13 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "raw").drop("vol").withColumns({"open": F.col("close"), "high": F.col("close"), "low": F.col("close"), "window_start": F.lit(0).cast("long")})
 
 
+def over(spark: SparkSession, sf_dir: str, sql: str, *names: str) -> DataFrame:
+    """A text that both engines run, over views."""
+    for name in names:
+        view(spark, sf_dir, name).createOrReplaceTempView(name)
+    return spark.sql(sql)
+
+
 ELIGIBLE = """SELECT * FROM (SELECT *, CAST(expiration_date - trade_date AS INTEGER) AS dte_days FROM parsed) WHERE dte_days BETWEEN 30 AND 90
     AND regexp_matches(underlying, '^[A-Z]{1,5}$') AND coalesce(volume, 0) > 0 AND coalesce(close, 0) > 0"""
 WINDOWS = """
@@ -172,12 +179,16 @@ def _alias(spark, sf):
     return joins.with_alias_close(symbols.parse_options(raw(spark, sf)), view(spark, sf, "stock_rows").filter("symbol != 'AAB'"), {"AAB": "AAC"})
 
 
-@query("jn15_code_candidates", "symbol:s codes:s", """SELECT symbol, CASE symbol WHEN 'BRKB' THEN 'BRKb.N,BRKb,BRKb.OQ,BRK.B.N,BRK/B.N,BRKB.N,BRKB.OQ,BRKB.O,BRKB' WHEN 'BF.B' THEN 'BFb.N,BFb.OQ'
-    WHEN 'IBM' THEN 'IBM.N,IBM.OQ,IBM.O,IBM' ELSE 'AAPL.OQ,AAPL.N,AAPL.O,AAPL' END AS codes FROM (VALUES ('BRKB'), ('BF.B'), ('IBM'), ('AAPL')) t(symbol)""")
+_CODED = """(SELECT CASE k % 3 WHEN 0 THEN symbol WHEN 1 THEN symbol || '.B' ELSE substr(symbol, 1, 2) || 'K' || substr(symbol, 3, 1) END AS symbol, k % 6 = 0 AS listed FROM (SELECT DISTINCT symbol, ascii(substr(symbol, 3, 1)) AS k FROM stocks)
+    UNION ALL SELECT DISTINCT 'BRKB' AS symbol, false AS listed FROM stocks)"""
+
+
+@query("jn15_code_candidates", "symbol:s codes:s", f"""SELECT symbol, CASE WHEN symbol = 'BRKB' THEN 'BRKb.N,BRKb,BRKb.OQ,BRK.B.N,BRK/B.N,BRKB.N,BRKB.OQ,BRKB.O,BRKB' WHEN symbol LIKE '%.B' THEN split_part(symbol, '.', 1) || 'b.N,' || split_part(symbol, '.', 1) || 'b.OQ'
+    WHEN listed THEN symbol || '.OQ,' || symbol || '.N,' || symbol || '.O,' || symbol ELSE symbol || '.N,' || symbol || '.OQ,' || symbol || '.O,' || symbol END AS codes FROM {_CODED}""", "stocks")
 def _codes(spark, sf):
     from .schemas import RIC_ALIASES
 
-    rows = spark.createDataFrame([("BRKB", None), ("BF.B", None), ("IBM", ["IBM.N", "IBM.N"]), ("AAPL", ["AAPL.OQ"])], "symbol string, known array<string>")
+    rows = over(spark, sf, f"SELECT symbol, CASE WHEN listed THEN array(symbol || '.OQ', symbol || '.OQ') END AS known FROM {_CODED}", "stocks")
     alias = F.create_map(*(x for k, v in RIC_ALIASES.items() for x in (F.lit(k), F.array(*map(F.lit, v)))))
     return rows.select("symbol", F.array_join(symbols.code_candidates(F.col("symbol"), alias[F.col("symbol")], F.col("known")), ",").alias("codes"))
 
@@ -323,36 +334,44 @@ def _lost(spark, sf):
     return incremental.lost_underlyings(symbols.parse_options(raw(spark, sf)), view(spark, sf, "own"))
 
 
-@query("set09_snapshot_schedule", "snapshot_date:d", "SELECT DATE '2021-02-14' AS snapshot_date UNION SELECT DATE '2024-01-31' UNION SELECT CAST(x AS DATE) FROM range(DATE '2021-02-01', DATE '2024-02-01', INTERVAL 3 MONTH) t(x)")
+@query("set09_snapshot_schedule", "snapshot_date:d", """WITH b AS (SELECT min(trade_date) AS a, max(trade_date) AS z FROM history) SELECT a AS snapshot_date FROM b UNION SELECT z FROM b
+    UNION SELECT CAST(unnest(range(date_trunc('month', a)::TIMESTAMP, z::TIMESTAMP + INTERVAL 1 DAY, INTERVAL 3 MONTH)) AS DATE) FROM b""", "history")
 def _schedule(spark, sf):
-    return calendar.snapshot_schedule(spark, "2021-02-14", "2024-01-31")
+    a, z = view(spark, sf, "history").agg(F.min("trade_date"), F.max("trade_date")).first()
+    return calendar.snapshot_schedule(spark, str(a), str(z))
 
 
 # --- scalar functions ----------------------------------------------------------------------------------------------
 
-_NAMES = "(VALUES ('brk.b '), ('BRK/B'), ('brk/b.x'), ('AAPL1'), ('A1B2'), (' '), ('GOOG')) AS t(x)"
+_NAMES = """(SELECT DISTINCT CASE ascii(substr(symbol, 3, 1)) % 7 WHEN 0 THEN lower(symbol) || '.b ' WHEN 1 THEN symbol || '/B' WHEN 2 THEN lower(symbol) || '/b.x' WHEN 3 THEN symbol || '1' WHEN 4 THEN symbol || '1B2' WHEN 5 THEN ' ' ELSE symbol END AS x FROM stocks)"""
 
 
 @query("fn01_symbol_normalisers", "x:s underlying:s indexed:s simple:s vendor:s", f"""SELECT x, regexp_replace(upper(trim(x)), '^([A-Z]+)[0-9]$', '\\1') AS underlying, nullif(replace(split_part(upper(trim(x)), '.', 1), '/', '.'), '') AS indexed,
-    upper(trim(x)) AS simple, replace(x, '.', '-') AS vendor FROM {_NAMES}""")
+    upper(trim(x)) AS simple, replace(x, '.', '-') AS vendor FROM {_NAMES}""", "stocks")
 def _normalisers(spark, sf):
     x = F.col("x")
-    return spark.sql(f"SELECT * FROM {_NAMES}").select("x", symbols.normalized_underlying(x).alias("underlying"), symbols.index_ticker(x).alias("indexed"), symbols.simple_ticker(x).alias("simple"), symbols.vendor_ticker(x).alias("vendor"))
+    return over(spark, sf, f"SELECT * FROM {_NAMES}", "stocks").select("x", symbols.normalized_underlying(x).alias("underlying"), symbols.index_ticker(x).alias("indexed"), symbols.simple_ticker(x).alias("simple"), symbols.vendor_ticker(x).alias("vendor"))
 
 
-@query("fn07_zip_explode", "place:i original_ric:s ticker:s name:s", "SELECT * FROM (VALUES (0, 'A.N', 'A', 'Alpha'), (1, 'B.OQ', 'BB', 'Beta'), (2, 'C.N', 'C', NULL), (2, 'D.N', 'D', 'Delta')) t(place, original_ric, ticker, name)")
+@query("fn07_zip_explode", "snapshot_date:d place:i original_ric:s ticker:s name:s", """SELECT snapshot_date, row_number() OVER w - 1 AS place, symbol || '.N' AS original_ric, symbol AS ticker,
+    CASE WHEN row_number() OVER w < count(*) OVER (PARTITION BY snapshot_date) THEN 'name of ' || symbol END AS name FROM snapshots WINDOW w AS (PARTITION BY snapshot_date ORDER BY symbol)""", "snapshots")
 def _exploded(spark, sf):
-    rows = [(1, "A.N; B.OQ;C.N", "A,BB", "Alpha;Beta"), (2, "Z.N;A.N;D.N", "a;BB;D", "Zeta;Again;Delta")]
-    return symbols.exploded_members(spark.createDataFrame(rows, "o int, r string, t string, n string"), "r", "t", "n", "o")
+    cells = view(spark, sf, "snapshots").groupBy("snapshot_date").agg(F.array_sort(F.collect_list("symbol")).alias("s"))
+    of = lambda pre, post, sep: F.array_join(F.transform("s", lambda x: F.concat(F.lit(pre), x, F.lit(post))), sep)
+    # the last name is missing, and a later row has every ticker again
+    first = cells.select("snapshot_date", F.lit(1).alias("o"), of("", ".N", "; ").alias("r"), F.lower(of("", "", ",")).alias("t"), F.substring_index(of("name of ", "", ";"), ";", -1).alias("last"), of("name of ", "", ";").alias("n"))
+    first = first.withColumn("n", F.expr("substring(n, 1, length(n) - length(last) - 1)")).drop("last")
+    again = cells.select("snapshot_date", F.lit(2).alias("o"), of("", ".Z", ",").alias("r"), of("", "", ",").alias("t"), of("again ", "", ";").alias("n"))
+    return symbols.exploded_members(first.unionByName(again), "r", "t", "n", "o")
 
 
-_RATIOS = "(VALUES (2.15e0), (2.17e0), (0.5e0), (1.0e0), (0.34e0), (9.3e0), (-2e0), (4.4e0), (0.0e0), (3.2e0)) AS t(ratio)"
+_RATIOS = "(SELECT DISTINCT underlying, strike / underlying_close * (1 + dte_days % 12) * CASE WHEN dte_days % 5 = 0 THEN -1 WHEN dte_days % 7 = 0 THEN 0.1e0 ELSE 1 END AS ratio FROM own)"
 
 
-@query("fn23_split_factor", "ratio:f factor:f", f"""SELECT ratio, (SELECT f FROM (SELECT f, abs(ratio / f - 1) AS gap, i FROM (VALUES (1, 2e0), (2, 3e0), (3, 4e0), (4, 5e0), (5, 10e0), (6, 20e0), (7, 1e0 / 2), (8, 1e0 / 3), (9, 1e0 / 4), (10, 1e0 / 5), (11, 1e0 / 10), (12, 1e0 / 20)) v(i, f)
-    WHERE ratio > 0 AND (i <= 6 OR ratio < 1)) WHERE gap <= 0.08e0 ORDER BY gap, i LIMIT 1) AS factor FROM {_RATIOS}""")
+@query("fn23_split_factor", "underlying:s ratio:f factor:f", f"""SELECT underlying, ratio, (SELECT f FROM (SELECT f, abs(ratio / f - 1) AS gap, i FROM (VALUES (1, 2e0), (2, 3e0), (3, 4e0), (4, 5e0), (5, 10e0), (6, 20e0), (7, 1e0 / 2), (8, 1e0 / 3), (9, 1e0 / 4), (10, 1e0 / 5), (11, 1e0 / 10), (12, 1e0 / 20)) v(i, f)
+    WHERE ratio > 0 AND (i <= 6 OR ratio < 1)) WHERE gap <= 0.08e0 ORDER BY gap, i LIMIT 1) AS factor FROM {_RATIOS}""", "own")
 def _factors(spark, sf):
-    return spark.sql(f"SELECT * FROM {_RATIOS}").withColumn("factor", numeric.split_factor(F.col("ratio")))
+    return over(spark, sf, f"SELECT * FROM {_RATIOS}", "own").withColumn("factor", numeric.split_factor(F.col("ratio")))
 
 
 # Oudin's method, another one than the engine's
@@ -361,9 +380,10 @@ _EASTER = """SELECT y, make_date(y::BIGINT, mon::BIGINT, (days + 28 - 31 * (mon
     SELECT y, y // 100 AS cent, y % 19 AS gold FROM range(1990, 2061) t(y))))))"""
 
 
-@query("fn15_easter", "y:i easter:d", _EASTER)
+@query("fn15_easter", "y:i easter:d", f"SELECT e.* FROM ({_EASTER}) e WHERE y IN (SELECT year(trade_date) FROM history)", "history")
 def _easter(spark, sf):
-    return spark.range(1990, 2061).select(F.col("id").cast("int").alias("y"), calendar.easter(F.col("id").cast("int")).alias("easter"))
+    years = view(spark, sf, "history").select(F.year("trade_date").alias("y")).distinct()
+    return years.select("y", calendar.easter(F.col("y")).alias("easter"))
 
 
 _NTH = "(make_date(y::BIGINT, {m}, 1) + ((({w} - isodow(make_date(y::BIGINT, {m}, 1)) + 7) % 7) + {n})::INTEGER)"
@@ -375,18 +395,23 @@ _CALENDAR = f"""SELECT day, is_business, max(own) OVER (ORDER BY day ROWS BETWEE
     max(own) OVER (ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_on_or_before FROM (SELECT day, is_business, CASE WHEN is_business THEN day END AS own FROM ({_DAYS}))"""
 
 
-@query("fn16_calendar", "day:d is_business:b latest_completed:d first_on_or_after:d last_on_or_before:d", f"SELECT * FROM ({_CALENDAR}) WHERE day BETWEEN DATE '2021-01-01' AND DATE '2025-12-31'")
+@query("fn16_calendar", "day:d is_business:b latest_completed:d first_on_or_after:d last_on_or_before:d", f"SELECT c.* FROM ({_CALENDAR}) c, (SELECT min(day) AS a, max(day) AS z FROM daily_counts) b WHERE c.day BETWEEN a AND z", "daily_counts")
 def _calendar(spark, sf):
-    return calendar.business_days(spark, "2021-01-01", "2025-12-31")
+    a, z = view(spark, sf, "daily_counts").agg(F.min("day"), F.max("day")).first()
+    return calendar.business_days(spark, str(a), str(z))
 
 
-@query("fn12_month_arithmetic", "day:d later:d earlier:d path:s", "SELECT day, CAST(day + INTERVAL 1 MONTH AS DATE) AS later, CAST(day - INTERVAL 3 YEAR AS DATE) AS earlier, strftime(day, '%Y/%m/%Y-%m-%d') || '.csv.gz' AS path FROM (SELECT CAST(x AS DATE) AS day FROM range(DATE '2023-12-25', DATE '2024-03-05', INTERVAL 1 DAY) t(x))")
+@query("fn12_month_arithmetic", "day:d later:d earlier:d path:s", "SELECT day, CAST(day + INTERVAL 1 MONTH AS DATE) AS later, CAST(day - INTERVAL 3 YEAR AS DATE) AS earlier, strftime(day, '%Y/%m/%Y-%m-%d') || '.csv.gz' AS path FROM (SELECT DISTINCT trade_date AS day FROM history)", "history")
 def _months(spark, sf):
     d = F.col("day")
-    return spark.sql("SELECT explode(sequence(DATE '2023-12-25', DATE '2024-03-04')) AS day").select("day", calendar.months_later(d, 1).alias("later"), calendar.years_earlier(d, 3).alias("earlier"), calendar.day_path(d).alias("path"))
+    return view(spark, sf, "history").select(F.col("trade_date").alias("day")).distinct().select("day", calendar.months_later(d, 1).alias("later"), calendar.years_earlier(d, 3).alias("earlier"), calendar.day_path(d).alias("path"))
 
 
-_GRID = "(SELECT s, k, t, v, q, c = 1 AS call FROM (VALUES (80e0), (100e0), (130e0)) a(s), (VALUES (90e0), (100e0), (120e0)) b(k), (VALUES (0.1e0), (0.5e0)) d(t), (VALUES (0.1e0), (0.4e0)) e(v), (VALUES (0e0), (0.03e0)) f(q), (VALUES (0), (1)) g(c))"
+#: Points of the pricing functions: stocks and types with their closes, mean strikes and yields, terms and volatilities by their counts.
+_POINT = "CAST(floor(avg(underlying_close)) AS DOUBLE) AS s, CAST(floor(avg(strike)) AS DOUBLE) AS k, (20e0 + count(*) % 60) / 365.25e0 AS t, 0.15e0 + 0.05e0 * (count(*) % 7) AS v, max(dividend_yield) AS q, option_type = 'call' AS call FROM own"
+_GRID = f"(SELECT underlying, {_POINT} GROUP BY underlying, option_type)"
+#: Those that trees price: a call without a yield has a closed form (``udf08_iv_call_q0``).
+_TREES = f"(SELECT * FROM {_GRID} p WHERE q > 0 OR NOT call)"
 _ERF = "(sign({x}) * exp(-pow(least(abs({x}), 6e0), 2)) * list_sum([pow(least(abs({x}), 6e0), 2 * n + 1) / gamma(n + 1.5e0) FOR n IN range(140)]))"
 _ND = "(0.5e0 * (1 + {e}))"
 
@@ -400,62 +425,59 @@ _BS2 = f"SELECT *, d1 - v * sqrt(t) AS d2, CASE WHEN call THEN 1e0 ELSE -1e0 END
 _BS3 = f"SELECT *, {_nd('g * d1')} AS n1, {_nd('g * d2')} AS n2 FROM ({_BS2})"
 
 
-def _grid(spark):
-    return spark.sql(f"SELECT * FROM {_GRID}")
+def _grid(spark, sf):
+    return over(spark, sf, f"SELECT * FROM {_GRID}", "own")
 
 
-@query("udf02_bs_price", "s:f k:f t:f v:f q:f call:b price:f", f"SELECT *, g * (s * exp(-q * t) * n1 - k * exp(-0.05e0 * t) * n2) AS price FROM ({_BS3})")
+@query("udf02_bs_price", "underlying:s s:f k:f t:f v:f q:f call:b price:f", f"SELECT *, g * (s * exp(-q * t) * n1 - k * exp(-0.05e0 * t) * n2) AS price FROM ({_BS3})", "own")
 def _bs(spark, sf):
     c = F.col
-    return _grid(spark).withColumn("price", numeric.bs_price(c("s"), c("k"), c("t"), F.lit(0.05), c("v"), c("call"), c("q")))
+    return _grid(spark, sf).withColumn("price", numeric.bs_price(c("s"), c("k"), c("t"), F.lit(0.05), c("v"), c("call"), c("q")))
 
 
-@query("udf03_bs_greeks", "s:f k:f t:f v:f q:f call:b delta:f gamma:f theta:f vega:f", f"""SELECT *, g * exp(-q * t) * n1 AS delta, exp(-q * t) * pdf / (s * v * sqrt(t)) AS gamma, s * exp(-q * t) * pdf * sqrt(t) AS vega,
-    -s * exp(-q * t) * pdf * v / (2 * sqrt(t)) - g * 0.05e0 * k * exp(-0.05e0 * t) * n2 + g * q * s * exp(-q * t) * n1 AS theta FROM ({_BS3})""")
+@query("udf03_bs_greeks", "underlying:s s:f k:f t:f v:f q:f call:b delta:f gamma:f theta:f vega:f", f"""SELECT *, g * exp(-q * t) * n1 AS delta, exp(-q * t) * pdf / (s * v * sqrt(t)) AS gamma, s * exp(-q * t) * pdf * sqrt(t) AS vega,
+    -s * exp(-q * t) * pdf * v / (2 * sqrt(t)) - g * 0.05e0 * k * exp(-0.05e0 * t) * n2 + g * q * s * exp(-q * t) * n1 AS theta FROM ({_BS3})""", "own")
 def _greeks(spark, sf):
     c = F.col
-    return _grid(spark).withColumns(numeric.bs_greeks(c("s"), c("k"), c("t"), F.lit(0.05), c("v"), c("call"), c("q")))
-
+    return _grid(spark, sf).withColumns(numeric.bs_greeks(c("s"), c("k"), c("t"), F.lit(0.05), c("v"), c("call"), c("q")))
 
-_TREE_GRID = "(SELECT s, k, t, v, q, c = 1 AS call FROM (VALUES (90e0), (110e0)) a(s), (VALUES (100e0)) b(k), (VALUES (40e0 / 365.25e0), (20e0 / 365.25e0)) d(t), (VALUES (0.2e0), (0.5e0)) e(v), (VALUES (0.02e0)) f(q), (VALUES (0), (1)) g(c))"
 
-
-@query("udf06_crr_price", "s:f k:f t:f v:f q:f call:b price:f", f"""
+@query("udf06_crr_price", "underlying:s s:f k:f t:f v:f q:f call:b price:f", f"""
     WITH RECURSIVE par AS (SELECT *, n, exp(v * sqrt(t / n)) AS u, exp(-v * sqrt(t / n)) AS dn, exp(-0.05e0 * t / n) AS disc, CASE WHEN call THEN 1e0 ELSE -1e0 END AS g
-        FROM (SELECT *, greatest(101, least(1001, CAST(ceil(greatest(t, 1 / 365.25e0) * 365.25e0 * 4) AS INTEGER))) + x AS n FROM {_TREE_GRID}, (VALUES (0), (1)) w(x))),
+        FROM (SELECT *, greatest(101, least(1001, CAST(ceil(greatest(t, 1 / 365.25e0) * 365.25e0 * 4) AS INTEGER))) + x AS n FROM {_TREES}, (VALUES (0), (1)) w(x))),
     p AS (SELECT *, (exp((0.05e0 - q) * t / n) - dn) / (u - dn) AS up FROM par),
     tree AS (SELECT *, n AS step, [greatest(g * (s * pow(u, 2 * j - n) - k), 0) FOR j IN range(0, n + 1)] AS val FROM p
         UNION ALL SELECT * REPLACE (step - 1 AS step,
             list_transform(range(1, step + 1), lambda j: greatest(disc * (up * val[j + 1] + (1 - up) * val[j]), g * (s * pow(u, 2 * (j - 1) - (step - 1)) - k))) AS val) FROM tree WHERE step > 0)
-    SELECT s, k, t, v, q, call, avg(val[1]) AS price FROM tree WHERE step = 0 GROUP BY ALL""")
+    SELECT underlying, s, k, t, v, q, call, avg(val[1]) AS price FROM tree WHERE step = 0 GROUP BY ALL""", "own")
 def _crr(spark, sf):
-    return spark.sql(f"SELECT * FROM {_TREE_GRID}").withColumn("price", american_price("s", "k", "t", F.lit(0.05), "v", "call", "q"))
+    return _grid(spark, sf).filter("q > 0 or not call").withColumn("price", american_price("s", "k", "t", F.lit(0.05), "v", "call", "q"))
 
 
-@query("udf08_iv_call_q0", "s:f k:f t:f v:f iv:f", f"SELECT s, k, t, v, v AS iv FROM {_GRID} WHERE call AND q = 0 AND abs(s / k - 1) < 0.15e0")
+@query("udf08_iv_call_q0", "underlying:s s:f k:f t:f v:f iv:f", f"SELECT *, v AS iv FROM {_GRID} WHERE call AND q = 0 AND abs(s / k - 1) < 0.15e0", "own")
 def _iv_call(spark, sf):
     c = F.col
-    rows = _grid(spark).filter("call and q = 0 and abs(s / k - 1) < 0.15")
+    rows = _grid(spark, sf).filter("call and q = 0 and abs(s / k - 1) < 0.15")
     priced = rows.withColumns({"close": numeric.bs_price(c("s"), c("k"), c("t"), F.lit(0.05), c("v"), F.lit(True), F.lit(0.0)), "underlying_close": c("s"), "strike": c("k"), "time_to_expiry_years": c("t"), "risk_free_rate": F.lit(0.05), "option_type": F.lit("call"), "dividend_yield": F.lit(0.0)})
-    return with_implied_vol(priced).withColumn("iv", F.round("implied_volatility", 4))
+    return with_implied_vol(priced).withColumn("iv", F.round("implied_volatility", 3))
 
 
-def _as_contracts(spark):
+def _as_contracts(spark, sf):
     c = F.col
-    return _grid(spark).select("s", "k", "t", "v", "q", "call", c("v").alias("implied_volatility"), c("s").alias("underlying_close"), c("k").alias("strike"), c("t").alias("time_to_expiry_years"), F.lit(0.05).alias("risk_free_rate"), F.when(c("call"), "call").otherwise("put").alias("option_type"), c("q").alias("dividend_yield"))
+    return _grid(spark, sf).select("underlying", "s", "k", "t", "v", "q", "call", c("v").alias("implied_volatility"), c("s").alias("underlying_close"), c("k").alias("strike"), c("t").alias("time_to_expiry_years"), F.lit(0.05).alias("risk_free_rate"), F.when(c("call"), "call").otherwise("put").alias("option_type"), c("q").alias("dividend_yield"))
 
 
-_GREEK_COLUMNS = "s:f k:f t:f v:f q:f call:b"
+_GREEK_COLUMNS = "underlying:s s:f k:f t:f v:f q:f call:b"
 
 
 @query("udf07_atm_greeks", f"{_GREEK_COLUMNS} atm_delta:f atm_gamma:f atm_theta:f atm_vega:f")
 def _atm(spark, sf):
-    return with_atm_greeks(_as_contracts(spark))
+    return with_atm_greeks(_as_contracts(spark, sf))
 
 
 @query("udf11_strike_greeks", f"{_GREEK_COLUMNS} delta:f gamma:f theta:f vega:f")
 def _own_greeks(spark, sf):
-    return with_strike_greeks(_as_contracts(spark))
+    return with_strike_greeks(_as_contracts(spark, sf))
 
 
 # --- dataflows -----------------------------------------------------------------------------------------------------
@@ -698,10 +720,12 @@ def _traded(spark, sf):
     return raw(spark, sf).filter(filters.traded(F.col("volume"), F.col("close")))
 
 
-@query("fil15_valid_dates", "trade_date:s n:i", "SELECT * FROM (VALUES ('2024-01-02', 2), ('2024-03-05', 1)) t(trade_date, n)")
+@query("fil15_valid_dates", "trade_date:s n:i", "SELECT CAST(trade_date AS VARCHAR) AS trade_date, count(*) AS n FROM raw WHERE ordinal % 5 < 3 GROUP BY ALL", "raw")
 def _valid(spark, sf):
-    rows = spark.createDataFrame([("2024-01-02",), ("1/2/2024",), ("x",), (None,), ("2024-03-05 00:00:00",)], "trade_date string")
-    return filters.valid_dates(rows).groupBy("trade_date").agg(F.count("*").alias("n"))
+    k, day = F.col("ordinal") % 5, F.col("trade_date")
+    # dates in three forms, then what is none
+    text = F.when(k == 0, day.cast("string")).when(k == 1, F.date_format(day, "M/d/yyyy")).when(k == 2, F.concat(day.cast("string"), F.lit(" 00:00:00"))).when(k == 3, "x")
+    return filters.valid_dates(raw(spark, sf).withColumn("trade_date", text)).groupBy("trade_date").agg(F.count("*").alias("n"))
 
 
 @query("fil16_missing_values", "missing:i", "SELECT count(*) FILTER (ordinal % 7 = 0) AS missing FROM own", "own")
@@ -742,15 +766,21 @@ def _counts(spark, sf):
     return features.contract_counts(view(spark, sf, "own"))
 
 
-@query("agg13_nan_mean", "a:f b:f mean:f", "SELECT *, CASE WHEN a IS NULL THEN b WHEN b IS NULL THEN a ELSE (a + b) / 2 END AS mean FROM (VALUES (1e0, 3e0), (NULL, 3e0), (1e0, NULL), (NULL, NULL)) t(a, b)")
+_TWO = "(SELECT ticker, ordinal, CASE WHEN ordinal % 3 <> 0 THEN delta END AS a, CASE WHEN ordinal % 4 <> 0 THEN gamma END AS b FROM own)"
+
+
+@query("agg13_nan_mean", "ticker:s ordinal:i a:f b:f mean:f", f"SELECT *, CASE WHEN a IS NULL THEN b WHEN b IS NULL THEN a ELSE (a + b) / 2 END AS mean FROM {_TWO}", "own")
 def _nan_mean(spark, sf):
-    return spark.createDataFrame([(1.0, 3.0), (None, 3.0), (1.0, None), (None, None)], "a double, b double").withColumn("mean", numeric.nan_mean(F.col("a"), F.col("b")))
+    return over(spark, sf, f"SELECT * FROM {_TWO}", "own").withColumn("mean", numeric.nan_mean(F.col("a"), F.col("b")))
+
 
+_STATUS = "(SELECT CASE ascii(substr(symbol, 3, 1)) % 4 WHEN 0 THEN 'failed' WHEN 1 THEN 'Failed ' WHEN 2 THEN 'repaired' ELSE 'missing_input' END AS status FROM stocks)"
 
-@query("agg20_status_counts", "item:s message:s", "SELECT * FROM (VALUES ('failed', '2 repairs'), ('missing_input', '1 repairs')) t(item, message)")
+
+@query("agg20_status_counts", "item:s message:s", f"""SELECT lower(trim(status)) AS item, count(*) || ' repairs' AS message FROM {_STATUS} WHERE status <> 'repaired' GROUP BY ALL
+    UNION ALL SELECT 'mismatches', count(*) || ' rows' FROM ({_MIS}) WHERE clean_close / raw_close > 1.5e0""", "stocks")
 def _statuses(spark, sf):
-    ledger = spark.sql("SELECT explode(array('failed', 'Failed ', 'repaired', 'missing_input')) AS status")
-    return quality.split_issues(_mismatches(spark, sf).limit(0), ledger)
+    return quality.split_issues(_mismatches(spark, sf), over(spark, sf, f"SELECT * FROM {_STATUS}", "stocks"))
 
 
 @query("agg21_distinct_underlyings", "n:i", "SELECT count(DISTINCT underlying) AS n FROM own", "own")
@@ -778,14 +808,21 @@ def _completed_days(spark, sf):
     return incremental.completed_days(view(spark, sf, "own"), raw(spark, sf).filter("trade_date < '2024-01-08'"))
 
 
-@query("fn06_split_cells", "cell:s parts:s", "SELECT * FROM (VALUES ('a; b,c', 'a|b,c'), ('a, ,b', 'a|b'), (' ', '')) t(cell, parts)")
+@query("fn06_split_cells", "cell:s parts:s", """SELECT CASE WHEN day(trade_date) % 2 = 0 THEN string_agg(symbol, ' ; ' ORDER BY symbol) || ';x,y' ELSE string_agg(symbol, ', ,' ORDER BY symbol) END AS cell,
+    CASE WHEN day(trade_date) % 2 = 0 THEN string_agg(symbol, '|' ORDER BY symbol) || '|x,y' ELSE string_agg(symbol, '|' ORDER BY symbol) END AS parts FROM stocks GROUP BY trade_date""", "stocks")
 def _cells(spark, sf):
-    return spark.createDataFrame([("a; b,c",), ("a, ,b",), (" ",)], "cell string").withColumn("parts", F.array_join(symbols.split_cell(F.col("cell")), "|"))
+    listed = F.array_sort(F.collect_list("symbol"))
+    even = F.dayofmonth("trade_date") % 2 == 0
+    cells = view(spark, sf, "stocks").groupBy("trade_date").agg(listed.alias("s")).select(F.when(even, F.concat(F.array_join("s", " ; "), F.lit(";x,y"))).otherwise(F.array_join("s", ", ,")).alias("cell"))
+    return cells.withColumn("parts", F.array_join(symbols.split_cell(F.col("cell")), "|"))
+
 
+_RATIONAL = "(SELECT ticker, trade_date, ordinal, CASE WHEN ordinal % 7 = 0 THEN NULL ELSE delta END AS n, CASE WHEN ordinal % 5 = 0 THEN 0e0 WHEN ordinal % 5 = 1 THEN gamma * 1e-13 WHEN ordinal % 11 = 0 THEN NULL ELSE vega END AS d FROM own)"
 
-@query("fn22_safe_divide", "n:f d:f ratio:f", "SELECT *, CASE WHEN abs(d) > 1e-12 THEN n / d END AS ratio FROM (VALUES (1e0, 2e0), (1e0, 0e0), (1e0, 1e-13), (NULL, 1e0), (1e0, NULL)) t(n, d)")
+
+@query("fn22_safe_divide", "ticker:s ordinal:i n:f d:f ratio:f", f"SELECT *, CASE WHEN abs(d) > 1e-12 THEN n / d END AS ratio FROM {_RATIONAL}", "own")
 def _divide(spark, sf):
-    return spark.createDataFrame([(1.0, 2.0), (1.0, 0.0), (1.0, 1e-13), (None, 1.0), (1.0, None)], "n double, d double").withColumn("ratio", numeric.safe_divide(F.col("n"), F.col("d")))
+    return over(spark, sf, f"SELECT * FROM {_RATIONAL}", "own").withColumn("ratio", numeric.safe_divide(F.col("n"), F.col("d")))
 
 
 @query("fn24_already_repaired", "trade_date:d underlying:s repaired:b", "SELECT DISTINCT trade_date, underlying, underlying <> 'AAB' AS repaired FROM own", "own")
@@ -954,25 +991,34 @@ def _mixed(spark, sf):
     return readers.parsed_histories(bodies.select("symbol", F.concat(header, F.lit("\n"), "lines").alias("body")))
 
 
-@query("src17_fetch_outcomes", "day:d outcome:s", f"""SELECT day, CASE WHEN day IN (SELECT trade_date FROM raw) THEN 'exists' WHEN day = DATE '2024-01-25' THEN 'forbidden' WHEN day > DATE '2024-01-25' THEN 'not_tried'
-    WHEN day(day) % 3 = 0 THEN 'skipped' WHEN day(day) % 3 = 1 THEN 'downloaded' ELSE 'failed' END AS outcome FROM ({_CALENDAR}) WHERE is_business AND day BETWEEN DATE '2024-01-02' AND DATE '2024-01-31'""", "raw")
+# what a store answers for a day follows from how many events the day has
+_OUTCOMES = f"""SELECT c.day, CASE WHEN c.day IN (SELECT trade_date FROM raw) THEN 'exists' WHEN c.day = stop THEN 'forbidden' WHEN c.day > stop THEN 'not_tried' WHEN n % 3 = 0 THEN 'skipped' WHEN n % 3 = 1 THEN 'downloaded' ELSE 'failed' END AS outcome
+    FROM ({_CALENDAR}) c LEFT JOIN daily_counts d ON d.day = c.day, (SELECT min(day) AS stop FROM daily_counts WHERE n % 8 = 7 AND day IN (SELECT day FROM ({_CALENDAR}) WHERE is_business) AND day NOT IN (SELECT trade_date FROM raw)) x
+    WHERE is_business AND c.day BETWEEN (SELECT min(day) FROM daily_counts) AND (SELECT max(day) FROM daily_counts)"""
+
+
+@query("src17_fetch_outcomes", "day:d outcome:s", _OUTCOMES, "raw", "daily_counts")
 def _fetched(spark, sf):
-    days = calendar.business_days(spark, "2024-01-02", "2024-01-31")
-    d = F.dayofmonth("day")
-    answers = days.select("day", F.when(d == 25, 403).when(d % 3 == 0, 404).when(d % 3 == 1, 200).otherwise(500).alias("code"))
+    days, n = _calendar(spark, sf), F.col("n")
+    answers = view(spark, sf, "daily_counts").select("day", F.when(n % 8 == 7, 403).when(n % 3 == 0, 404).when(n % 3 == 1, 200).otherwise(500).alias("code"))
     return sinks.fetch_outcomes(sinks.copy_plan(days, raw(spark, sf), "a/", "b/"), answers)
 
 
-@query("snk13_result_document", "status:i body:s", "SELECT 207 AS status, '{\"downloaded\":2,\"failed\":1}' AS body")
+@query("snk13_result_document", "status:i body:s", f"""WITH o AS ({_OUTCOMES}), c AS (SELECT outcome, count(*) AS n FROM o GROUP BY outcome)
+    SELECT CASE WHEN count(*) FILTER (outcome IN ('failed', 'forbidden', 'not_tried')) > 0 THEN 207 ELSE 200 END AS status, '{{' || string_agg('"' || outcome || '":' || n, ',' ORDER BY outcome) || '}}' AS body FROM c""", "raw", "daily_counts")
 def _document(spark, sf):
-    return sinks.result_document(spark.sql("SELECT explode(array('failed', 'downloaded', 'downloaded')) AS outcome"))
+    return sinks.result_document(_fetched(spark, sf))
 
 
-@query("src18_first_usable_request", "snapshot_date:d ticker:s original_ric:s name:s", "SELECT DATE '2024-01-01' AS snapshot_date, * FROM (VALUES ('AAPL', 'AAPL.OQ', 'Apple'), ('BRK', 'BRKb.N', NULL)) t(ticker, original_ric, name)")
+@query("src18_first_usable_request", "snapshot_date:d ticker:s original_ric:s name:s", "SELECT DISTINCT snapshot_date, symbol AS ticker, symbol || 'x.N' AS original_ric, 'name of ' || symbol AS name FROM snapshots", "snapshots")
 def _usable(spark, sf):
-    rows = [("2024-01-01", 1, None, None, "x"), ("2024-01-01", 2, "AAPL.OQ;BRKb.N", "AAPL;BRK.B", "Apple"), ("2024-01-01", 3, "IBM.N", "IBM", None)]
-    responses = spark.createDataFrame(rows, "snapshot_date string, request int, ric string, ticker string, name string").withColumn("snapshot_date", F.to_date("snapshot_date"))
-    return readers.snapshot_rows(responses)[0]
+    cells = view(spark, sf, "snapshots").groupBy("snapshot_date").agg(F.array_sort(F.collect_set("symbol")).alias("s"))
+    of = lambda pre, post: F.array_join(F.transform("s", lambda x: F.concat(F.lit(pre), x, F.lit(post))), ";")
+    none = F.lit(None).cast("string")
+    mute = cells.select("snapshot_date", F.lit(1).alias("request"), none.alias("ric"), none.alias("ticker"), F.lit("x").alias("name"))
+    second = cells.select("snapshot_date", F.lit(2).alias("request"), of("", "x.N").alias("ric"), of("", ".X").alias("ticker"), of("name of ", "").alias("name"))
+    third = second.select("snapshot_date", F.lit(3).alias("request"), "ric", F.lit("ZZZ").alias("ticker"), "name")
+    return readers.snapshot_rows(mute.unionByName(second).unionByName(third))[0]
 
 
 @query("src21_dividend_lead_in", "symbol:s trade_date:d dividends:f", "SELECT CAST(k AS VARCHAR) AS symbol, trade_date, dividends FROM history WHERE trade_date BETWEEN DATE '1996-01-01' - 370 AND DATE '1996-12-31'", "history")
@@ -981,14 +1027,17 @@ def _lead_in(spark, sf):
     return readers.dividend_events(rows, "1996-01-01", "1996-12-31")
 
 
-@query("df16_file_issues", "severity:s area:s item:s message:s", """SELECT * FROM (VALUES ('error', 'options', 'a', 'unreadable'), ('warning', 'options', 'b', 'no rows'), ('error', 'options', 'c', 'missing columns: low, transactions'),
-    ('error', 'constituency', 'a', 'unreadable'), ('error', 'constituency', 'b', 'no rows'), ('error', 'constituency', 'b', 'no ticker column'), ('error', 'constituency', 'c', 'no ticker column'), ('error', 'constituency', 'd', 'no ticker column'),
-    ('error', 'constituency', 'snapshots', 'no usable snapshots')) t(severity, area, item, message)""")
+@query("df16_file_issues", "severity:s area:s item:s message:s", """SELECT 'error' AS severity, 'options' AS area, strftime(trade_date, '%Y-%m-%d') || '.csv.gz' AS item, 'missing columns: high, open, window_start' AS message FROM raw WHERE day(trade_date) % 2 = 1 GROUP BY trade_date
+    UNION ALL SELECT 'error', 'constituency', 'constituency_' || snapshot_date || '.csv.gz', 'no ticker column' FROM snapshots WHERE snapshot_date < DATE '2024-01-09' GROUP BY snapshot_date""", "raw", "snapshots")
 def _file_issues(spark, sf):
-    whole = "ticker,volume,open,close,high,low,window_start,transactions"
-    raws = spark.createDataFrame([("a", "", 0), ("b", whole, 0), ("c", "Ticker, volume,open,close,high,window_start", 9), ("d", whole, 9)], "item string, header string, rows long")
-    snaps = raws.withColumn("header", F.when(F.col("item") == "d", "name,RIC").when(F.col("item") != "a", "symbol").otherwise(""))
-    return quality.raw_file_issues(raws).unionByName(quality.snapshot_file_issues(snaps, view(spark, sf, "snapshots").limit(0)))
+    named = lambda files: files.select(csv_files.file_name(F.col("path")).alias("item"), "header", "rows")
+    path, rows = _folder(spark, "snapshots"), view(spark, sf, "snapshots").withColumnsRenamed({"symbol": "Ticker"}).withColumn("name", F.lit("x"))
+    name = lambda day: f"constituency_{day}.csv.gz"
+    for newest, columns in ((False, ["name"]), (True, ["name", "Ticker"])):
+        sinks.day_files(rows.filter((F.col("snapshot_date") >= "2024-01-09") == newest), path, columns, "snapshot_date", name=name)
+    snapshots = csv_files.ledgered(spark, csv_files.listed(spark, path), _folder(spark, "ledger"))
+    raws = readers.raw_files(spark, _raw_folder(spark, sf, whole=True), ledger=_folder(spark, "ledger"))
+    return quality.raw_file_issues(named(raws)).unionByName(quality.snapshot_file_issues(named(snapshots), readers.snapshots(spark, path)))
 
 
 # --- files by name, ledgers, committed runs: the data is first written as the files or tables that a run meets ---------
@@ -1006,14 +1055,15 @@ def _cut_off(spark: SparkSession, path: str) -> None:
     out.close()
 
 
-def _raw_folder(spark, sf) -> str:
-    """Raw days as files of two layouts; the 5th is cut off."""
+def _raw_folder(spark, sf, whole: bool = False) -> str:
+    """Raw days as files of two layouts; unless they are to be whole, the 5th is cut off."""
     path, rows = _folder(spark, "raw"), raw(spark, sf)
     even = F.dayofmonth("trade_date") % 2 == 0
     sinks.day_files(rows.filter(even), path, ["ticker", "volume", "open", "close", "high", "low", "window_start", "transactions"], sort=["ordinal"])
     other = rows.filter(~even).withColumns({"Close": F.col("close"), "note": F.lit('a, "b"'), " Volume ": F.col("volume")})
     sinks.day_files(other, path, ["note", "Close", "transactions", "ticker", "` Volume `", "low"], sort=["ordinal"])
-    _cut_off(spark, f"{path}/2024/01/2024-01-05.csv.gz")
+    if not whole:
+        _cut_off(spark, f"{path}/2024/01/2024-01-05.csv.gz")
     return path
 
 
@@ -1184,10 +1234,12 @@ def _first_files(spark, sf):
     return readers.first_files(raw(spark, sf).select(calendar.day_path(F.col("trade_date")).alias("path")).distinct(), 3)
 
 
-@query("srt06_issue_sample", "severity:s area:s item:s message:s", "SELECT severity, area, item, message FROM (VALUES ('error', 'b', '1', 'x'), ('error', 'a', '2', 'y'), ('warning', 'a', '1', 'z')) t(severity, area, item, message)")
+_ISSUES_OF = "(SELECT CASE WHEN k % 3 = 0 THEN 'warning' ELSE 'error' END AS severity, chr(CAST(97 + k % 4 AS INT)) AS area, symbol AS item, 'k' || k AS message FROM (SELECT DISTINCT symbol, ascii(substr(symbol, 3, 1)) AS k FROM stocks))"
+
+
+@query("srt06_issue_sample", "severity:s area:s item:s message:s", f"SELECT * FROM {_ISSUES_OF} ORDER BY severity <> 'error', area, item, message LIMIT 20", "stocks")
 def _issue_sample(spark, sf):
-    rows = [("warning", "a", "2", "z"), ("warning", "a", "1", "z"), ("error", "b", "1", "x"), ("error", "a", "2", "y")]
-    return quality.issue_sample(spark.createDataFrame(rows, "severity string, area string, item string, message string"), 3)
+    return quality.issue_sample(over(spark, sf, f"SELECT * FROM {_ISSUES_OF}", "stocks"))
 
 
 @query("agg09_solver_failures", "iv_failure_reason:s n:i", "SELECT 'no_root_in_range' AS iv_failure_reason, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY trade_date, underlying, option_type ORDER BY abs(strike / underlying_close - 1), volume DESC, ticker, ordinal) AS rn FROM own) WHERE rn = 1 AND ordinal % 5 = 0 HAVING count(*) > 0", "own")
@@ -1202,7 +1254,7 @@ def _unsplit_prices(spark, sf):
 
 # --- trees and differences ------------------------------------------------------------------------------------------
 
-_DEPTH_GRID = "(SELECT t, v, q FROM (VALUES (20e0 / 365.25e0), (45e0 / 365.25e0), (300e0 / 365.25e0)) a(t), (VALUES (0.0009e0), (0.002e0), (0.0015e0), (0.2e0)) b(v), (VALUES (0e0), (0.03e0), (0.08e0)) c(q))"
+_DEPTH_GRID = "(SELECT DISTINCT CASE WHEN underlying < 'AAB' THEN 3e0 ELSE dte_days / 365.25e0 END AS t, implied_volatility * CASE WHEN underlying < 'AAC' THEN 0.005e0 WHEN underlying < 'AAF' THEN 0.01e0 ELSE 1e0 END AS v, dividend_yield AS q FROM own)"
 
 
 @query("udf04_tree_parameters", "t:f v:f q:f steps:f up:f p:f discount:f", f"""
@@ -1210,9 +1262,9 @@ _DEPTH_GRID = "(SELECT t, v, q FROM (VALUES (20e0 / 365.25e0), (45e0 / 365.25e0)
         UNION ALL SELECT t, v, q, least(1001, greatest(n + 1, CAST(ceil(n * 1.5e0) AS INTEGER))) FROM deeper WHERE n < 1001 AND NOT ((exp((0.05e0 - q) * t / n) - exp(-v * sqrt(t / n))) / (exp(v * sqrt(t / n)) - exp(-v * sqrt(t / n))) BETWEEN 0 AND 1)),
     last AS (SELECT t, v, q, max(n) AS n FROM deeper GROUP BY ALL),
     made AS (SELECT *, exp(v * sqrt(t / n)) AS u, (exp((0.05e0 - q) * t / n) - exp(-v * sqrt(t / n))) / (exp(v * sqrt(t / n)) - exp(-v * sqrt(t / n))) AS pp FROM last)
-    SELECT t, v, q, CASE WHEN pp BETWEEN 0 AND 1 THEN n END AS steps, CASE WHEN pp BETWEEN 0 AND 1 THEN u END AS up, CASE WHEN pp BETWEEN 0 AND 1 THEN pp END AS p, CASE WHEN pp BETWEEN 0 AND 1 THEN exp(-0.05e0 * t / n) END AS discount FROM made""")
+    SELECT t, v, q, CASE WHEN pp BETWEEN 0 AND 1 THEN n END AS steps, CASE WHEN pp BETWEEN 0 AND 1 THEN u END AS up, CASE WHEN pp BETWEEN 0 AND 1 THEN pp END AS p, CASE WHEN pp BETWEEN 0 AND 1 THEN exp(-0.05e0 * t / n) END AS discount FROM made""", "own")
 def _parameters(spark, sf):
-    rows = spark.sql(f"SELECT * FROM {_DEPTH_GRID}").withColumn("x", tree_parameters("t", F.lit(0.05), "v", "q"))
+    rows = over(spark, sf, f"SELECT * FROM {_DEPTH_GRID}", "own").withColumn("x", tree_parameters("t", F.lit(0.05), "v", "q"))
     return rows.select("t", "v", "q", "x.steps", "x.up", "x.p", "x.discount")
 
 
@@ -1226,7 +1278,7 @@ def _american_sql(points: str, depth: str) -> str:
 
 
 _CLAMPED = "greatest(101, least(1001, CAST(ceil(greatest({t}, 1 / 365.25e0) * 365.25e0 * 4) AS INTEGER)))"
-_FD_GRID = "(SELECT s, k, t, v, q, c = 1 AS call, row_number() OVER (ORDER BY s, t, v, c) AS base FROM (VALUES (92e0), (110e0)) a(s), (VALUES (100e0)) b(k), (VALUES (20e0 / 365.25e0), (40e0 / 365.25e0)) d(t), (VALUES (0.2e0), (0.5e0)) e(v), (VALUES (0.02e0)) f(q), (VALUES (0), (1)) g(c))"
+_FD_GRID = f"(SELECT CAST(dividend_yield AS VARCHAR(9)) AS underlying, row_number() OVER (ORDER BY dividend_yield, option_type) AS base, {_POINT} WHERE dividend_yield > 0 OR option_type = 'put' GROUP BY dividend_yield, option_type)"
 
 
 def _differences_sql(strike: str, depth: str) -> str:
@@ -1234,29 +1286,29 @@ def _differences_sql(strike: str, depth: str) -> str:
     grid = f"(SELECT *, greatest(0.01e0, 0.01e0 * s) AS ds, greatest(1e-4, 0.01e0 * v) AS dv FROM {_FD_GRID})"
     points = " UNION ALL ".join(f"SELECT base, '{w}' AS what, {s} AS s, {strike} AS k, {t} AS t, {v} AS v, q, call, t AS whole FROM {grid} g" for w, (s, t, v) in bumps.items())
     wide = f"SELECT base, {', '.join(f"max(price) FILTER (what = '{w}') AS p_{w}" for w in bumps)} FROM {_american_sql(points, depth)} GROUP BY base"
-    return f"""SELECT g.s, g.k, g.t, g.v, g.q, g.call, (p_up - p_down) / (2 * ds) AS delta, (p_up - 2 * p_base + p_down) / (ds * ds) AS gamma, (p_later - p_base) * 365.25e0 AS theta, (p_more - p_less) / (2 * dv) AS vega
+    return f"""SELECT g.underlying, g.s, g.k, g.t, g.v, g.q, g.call, (p_up - p_down) / (2 * ds) AS delta, (p_up - 2 * p_base + p_down) / (ds * ds) AS gamma, (p_later - p_base) * 365.25e0 AS theta, (p_more - p_less) / (2 * dv) AS vega
         FROM {grid} g JOIN ({wide}) USING (base)"""
 
 
-def _fd_grid(spark):
+def _fd_grid(spark, sf):
     c = F.col
-    rows = spark.sql(f"SELECT * FROM {_FD_GRID}").drop("base")
-    return rows.select("s", "k", "t", "v", "q", "call", c("v").alias("implied_volatility"), c("s").alias("underlying_close"), c("k").alias("strike"), c("t").alias("time_to_expiry_years"), F.lit(0.05).alias("risk_free_rate"), F.when(c("call"), "call").otherwise("put").alias("option_type"), c("q").alias("dividend_yield"))
+    rows = over(spark, sf, f"SELECT * FROM {_FD_GRID}", "own").drop("base")
+    return rows.select("underlying", "s", "k", "t", "v", "q", "call", c("v").alias("implied_volatility"), c("s").alias("underlying_close"), c("k").alias("strike"), c("t").alias("time_to_expiry_years"), F.lit(0.05).alias("risk_free_rate"), F.when(c("call"), "call").otherwise("put").alias("option_type"), c("q").alias("dividend_yield"))
 
 
-@query("udf11_differences", f"{_GREEK_COLUMNS} delta:f gamma:f theta:f vega:f", _differences_sql("k", _CLAMPED.format(t="t")))
+@query("udf11_differences", f"{_GREEK_COLUMNS} delta:f gamma:f theta:f vega:f", _differences_sql("k", _CLAMPED.format(t="t")), "own")
 def _fd_own(spark, sf):
-    return with_strike_greeks(_fd_grid(spark))
+    return with_strike_greeks(_fd_grid(spark, sf))
 
 
-@query("udf07_differences", f"{_GREEK_COLUMNS} delta:f gamma:f theta:f vega:f", _differences_sql("g.s", _CLAMPED.format(t="whole")))
+@query("udf07_differences", f"{_GREEK_COLUMNS} delta:f gamma:f theta:f vega:f", _differences_sql("g.s", _CLAMPED.format(t="whole")), "own")
 def _fd_atm(spark, sf):
-    rows = with_atm_greeks(_fd_grid(spark))
-    return rows.select("s", "k", "t", "v", "q", "call", *(F.col(f"atm_{g}").alias(g) for g in ("delta", "gamma", "theta", "vega")))
+    rows = with_atm_greeks(_fd_grid(spark, sf))
+    return rows.select("underlying", "s", "k", "t", "v", "q", "call", *(F.col(f"atm_{g}").alias(g) for g in ("delta", "gamma", "theta", "vega")))
 
 
-@query("udf08_round_trip", "s:f t:f v:f q:f call:b iv:f", f"SELECT s, t, v, q, call, v AS iv FROM {_FD_GRID} WHERE v > 0.3e0")
+@query("udf08_round_trip", "underlying:s s:f t:f v:f q:f call:b iv:f", f"SELECT *, v AS iv FROM {_FD_GRID} WHERE v > 0.3e0", "own")
 def _iv_round_trip(spark, sf):
     """Puts, and calls with a yield: the volatility behind a tree's price is found again."""
-    rows = _fd_grid(spark).filter("v > 0.3").withColumn("close", american_price("s", "k", "t", F.lit(0.05), "v", "call", "q"))
+    rows = _fd_grid(spark, sf).filter("v > 0.3").withColumn("close", american_price("s", "k", "t", F.lit(0.05), "v", "call", "q"))
     return with_implied_vol(rows.drop("implied_volatility")).withColumn("iv", F.round("implied_volatility", 4))

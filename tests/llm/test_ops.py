@@ -225,6 +225,27 @@ def test_blocks():
     assert html_text.lines("<main><article class='comment'>no</article><p>yes</p></main>") == [(True, "yes")]
 
 
+@pytest.mark.parametrize("name", ["comment-list", "post-comments", "ad-slot", "cookie-banner", "share-buttons", "article_comments", "notice", "c-ads x"])
+def test_furniture_inside_articles_goes(name):
+    page = f"<body><article><h1 class='post-header'>head</h1><p class='has-comments no-ads lead'>text</p><div class='{name}'><p>gone</p></div><section id='{name.split()[0]}'>gone</section><p class='trade-off'>more</p></article></body>"
+    assert html_text.visible(page) == "head\ntext\nmore"
+
+
+@pytest.mark.parametrize("bits", [lcs.TABLE_BITS, 1, 300])
+def test_subsequences_in_little_memory(monkeypatch, bits):
+    monkeypatch.setattr(lcs, "TABLE_BITS", bits)
+    r = random.Random(bits)
+    for _ in range(60):
+        a, b = ([r.choice("abcdefgh") for _ in range(r.randint(0, 60))] for _ in "ab")
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        got = lcs.common(a, b)
+        assert len(got) == best[-1][-1] and all(a[i] == b[j] for i, j in got)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(got, got[1:]))
+
+
 @pytest.mark.parametrize("wrapper", ["class='layout has-sidebar'", "id='page-no-ads'", "class='sidebar'", "class='layout menu' role='search'"])
 def test_names_drop_no_article(wrapper):
     article = "<article><div class='entry-header'><h1>head</h1></div><div class='header'>sub</div><p>text</p><div class='ad'>buy</div></article>"

@@ -6,7 +6,8 @@ text lines of the two pages (one per block element) are aligned by a longest
 common subsequence, and lines that both have are template: they are deleted.
 
 What markup says outright comes first.  Scripts, styles, menus, forms and the
-like never become lines; a class or id says so by a whole word, and not of an
+like never become lines; a class or id says so by a whole name (``comments``) or
+by a name's first or last word (``post-comments``, ``ad-slot``; not ``no-ads``), and not of an
 element around the page's article or main element, nor of a heading in it.  Lines inside an ``article`` or ``main`` element are
 never deleted, and where a page has one the lines outside go: differencing
 alone keeps menus and adverts that change from page to page, and deletes text
@@ -65,6 +66,19 @@ _HEADINGS = frozenset("banner header masthead".split())
 _NEVER = frozenset("nav aside footer menu button dialog".split())
 
 
+#: Words that turn a name around.
+_NOT = frozenset("has have hide hidden no non not with without".split())
+_JOINT = re.compile("[-_]+")
+
+
+def _says_furniture(name: str, in_article: bool) -> bool:
+    """Whether a class or id is a furniture name, or begins or ends with one; names of headings count as wholes only, and outside articles."""
+    if name in _NAMES:
+        return not (in_article and name in _HEADINGS)
+    words = [w for w in _JOINT.split(name) if w]
+    return len(words) > 1 and _NOT.isdisjoint(words) and any(w in _NAMES and w not in _HEADINGS for w in (words[0], words[-1]))
+
+
 def _is_furniture(name: str, attributes: str, in_article: bool) -> bool:
     if name in _FURNITURE or name == "header" and not in_article:
         return True
@@ -74,7 +88,7 @@ def _is_furniture(name: str, attributes: str, in_article: bool) -> bool:
         value = next((v for v in values if v), "").lower()
         if kind.lower() == "role" and value in _ROLES:
             return True
-        if kind.lower() in ("class", "id") and any(w in _NAMES and not (in_article and w in _HEADINGS) for w in value.split()):
+        if kind.lower() in ("class", "id") and any(_says_furniture(n, in_article) for n in value.split()):
             return True
     return False
 

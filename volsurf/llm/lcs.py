@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Hashable, Sequence
 
+import numpy as np
+
+#: Bits of a table that is kept whole; a larger one is cut in halves first.
+TABLE_BITS = 1 << 27
+
 
 def common(a: Sequence[Hashable], b: Sequence[Hashable]) -> list[tuple[int, int]]:
     """Index pairs of one longest common subsequence, ascending.
 
     Row i of the table is an integer with a zero bit where the length grows, so
-    a row costs a few operations on len(b) bits and n rows are kept as n
-    integers.
+    a row costs a few operations on len(b) bits.  A table of more than
+    TABLE_BITS bits is never kept: the middle row, from both ends, says where
+    the second list divides, and the halves are solved by themselves, so memory
+    grows with the lists and not with their product.
     """
     head = 0
     while head < min(len(a), len(b)) and a[head] == b[head]:
@@ -22,11 +29,41 @@ def common(a: Sequence[Hashable], b: Sequence[Hashable]) -> list[tuple[int, int]
     left, right = set(a[head : len(a) - tail]), set(b[head : len(b) - tail])
     own = [i for i in range(head, len(a) - tail) if a[i] in right]
     other = [j for j in range(head, len(b) - tail) if b[j] in left]
-    x, y = [a[i] for i in own], [b[j] for j in other]
+    pairs, todo = [], [(0, len(own), 0, len(other))]
+    while todo:
+        i0, i1, j0, j1 = todo.pop()
+        x, y = [a[i] for i in own[i0:i1]], [b[j] for j in other[j0:j1]]
+        if len(x) > 1 and len(x) * len(y) > TABLE_BITS:
+            half = len(x) // 2
+            forward, backward = _lengths(x[:half], y), _lengths(x[half:][::-1], y[::-1])
+            cut = int(np.argmax(forward + backward[::-1]))
+            todo += [(i0, i0 + half, j0, j0 + cut), (i0 + half, i1, j0 + cut, j1)]
+        else:
+            pairs += [(own[i0 + i], other[j0 + j]) for i, j in _aligned(x, y)]
+    ends = [(len(a) - tail + k, len(b) - tail + k) for k in range(tail)]
+    return [(k, k) for k in range(head)] + sorted(pairs) + ends
+
+
+def _places(y: Sequence[Hashable]) -> dict[Hashable, int]:
     where: dict[Hashable, int] = {}
     for j, item in enumerate(y):
         where[item] = where.get(item, 0) | 1 << j
-    full = (1 << len(y)) - 1
+    return where
+
+
+def _lengths(x: Sequence[Hashable], y: Sequence[Hashable]) -> np.ndarray:
+    """The length of x's common subsequence with each beginning of y, from the empty one on."""
+    where, full = _places(y), (1 << len(y)) - 1
+    v = full
+    for item in x:
+        u = v & where.get(item, 0)
+        v = ((v + u) | (v - u)) & full
+    bits = np.unpackbits(np.frombuffer(v.to_bytes(len(y) // 8 + 1, "little"), np.uint8), bitorder="little")[: len(y)]
+    return np.concatenate([[0], np.cumsum(1 - bits.astype(np.int64))])
+
+
+def _aligned(x: Sequence[Hashable], y: Sequence[Hashable]) -> list[tuple[int, int]]:
+    where, full = _places(y), (1 << len(y)) - 1
     rows = [full]
     for item in x:
         v = rows[-1]
@@ -40,9 +77,8 @@ def common(a: Sequence[Hashable], b: Sequence[Hashable]) -> list[tuple[int, int]
             i -= 1
         else:
             i, j = i - 1, j - 1
-            pairs.append((own[i], other[j]))
-    ends = [(len(a) - tail + k, len(b) - tail + k) for k in range(tail)]
-    return [(k, k) for k in range(head)] + pairs[::-1] + ends
+            pairs.append((i, j))
+    return pairs[::-1]
 
 
 def length(a: Sequence[Hashable], where: dict[Hashable, int], n: int) -> int:

@@ -12,7 +12,7 @@ from ..functions.numeric import split_factor
 from ..functions.pricing import with_atm_greeks
 from ..functions.symbols import normalized_underlying, parse_options, simple_ticker
 from ..operators.filters import is_sound, present_columns, traded, with_expiry
-from ..operators.joins import asof_rates, with_membership, with_stock_data, without
+from ..operators.joins import asof_rates, one_per_day, with_membership, with_stock_data, without
 from ..schemas import ATM_CONTRACT_COLUMNS, MAX_DTE, MIN_DTE, TERMINAL_STATUSES
 from ..sources.sinks import staged
 from .contracts import solved
@@ -135,7 +135,8 @@ def ledger_entries(pairs: dict[str, DataFrame], rows: DataFrame | None = None) -
 
 def already_repaired(contracts: DataFrame, clean: DataFrame, tolerance: float = 1e-6) -> DataFrame:
     """(trade_date, underlying, repaired): whether all stored closes agree with the clean history."""
-    side = clean.select(F.col("symbol").alias("underlying"), "trade_date", F.col("close").alias("_clean"))
+    # of a repeated day the last close counts, as it does where contracts are built
+    side = one_per_day(clean, ["close"]).select(F.col("symbol").alias("underlying"), "trade_date", F.col("close").alias("_clean"))
     error = F.abs(F.col("underlying_close") - F.col("_clean")) / F.abs("_clean")
     return contracts.join(side, ["underlying", "trade_date"]).groupBy("trade_date", "underlying").agg(F.bool_and(F.coalesce(error <= tolerance, F.lit(False))).alias("repaired"))
 
@@ -181,5 +182,3 @@ def audit_totals(report: DataFrame) -> DataFrame:
 
 def repaired_contracts(contracts: DataFrame, snapshots: DataFrame, stock_symbols: DataFrame) -> DataFrame:
     return audited(contracts, snapshots, stock_symbols).filter("inside and sound").drop("inside", "sound", "has_stock")
-
-

@@ -1229,6 +1229,31 @@ def _qa_metrics(spark, sf):
     return quality.solver_metrics(_samples(spark, sf))
 
 
+_ANSWERS = """(SELECT symbol, k, symbol || CASE k % 4 WHEN 0 THEN '.N' WHEN 1 THEN '.OQ' WHEN 3 THEN '.O' ELSE '.X' END AS ric, trade_date, CAST(close AS VARCHAR(20)) AS close FROM (SELECT *, ascii(substr(symbol, 3, 1)) AS k FROM stocks)
+    UNION ALL SELECT symbol, k, symbol || '.N', trade_date, 'n/a' FROM (SELECT *, ascii(substr(symbol, 3, 1)) AS k FROM stocks) WHERE k % 4 = 1
+    UNION ALL SELECT symbol, k, symbol, trade_date, '1.5' FROM (SELECT *, ascii(substr(symbol, 3, 1)) AS k FROM stocks) WHERE k % 4 <> 2)"""
+
+
+def _candidates(spark, sf):
+    """Targets of all stocks, and what a vendor answers to some of their codes."""
+    targets = view(spark, sf, "stocks").select("symbol").distinct().withColumns({"codes": symbols.generic_codes(F.col("symbol")), "start": F.lit("2024-01-03").cast("date"), "end": F.lit("2024-01-09").cast("date")})
+    answers = over(spark, sf, f"SELECT ric, CAST(trade_date AS STRING) AS trade_date, close, '0' AS dividends FROM {_ANSWERS.replace('VARCHAR(20)', 'STRING')}", "stocks")
+    errors = targets.filter("ascii(substr(symbol, 3, 1)) % 8 = 2").select("symbol", F.lit("refused").alias("error")).withColumnRenamed("symbol", "ric")
+    return readers.first_usable_histories(targets, answers, errors)
+
+
+@query("src20_first_usable_code", "symbol:s ric:s trade_date:d close:f", f"SELECT symbol, ric, trade_date, CAST(close AS DOUBLE) AS close FROM {_ANSWERS} WHERE k % 4 <> 2 AND ric <> symbol AND close <> 'n/a' AND trade_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-09'", "stocks")
+def _first_usable(spark, sf):
+    return _candidates(spark, sf)[0]
+
+
+@query("src20_repair_report", "symbol:s ric:s rows:i error:s", f"""SELECT symbol, max(CASE WHEN k % 4 <> 2 AND ric <> symbol AND close <> 'n/a' THEN ric END) AS ric,
+    count(*) FILTER (k % 4 <> 2 AND ric <> symbol AND close <> 'n/a' AND trade_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-09') AS rows,
+    max(CASE WHEN k % 8 = 2 THEN symbol || ': refused' WHEN k % 4 = 2 THEN symbol || ': no usable rows' END) AS error FROM {_ANSWERS} GROUP BY symbol""", "stocks")
+def _repair_report(spark, sf):
+    return _candidates(spark, sf)[1]
+
+
 @query("srt05_first_files", "path:s", "SELECT DISTINCT strftime(trade_date, '%Y/%m/%Y-%m-%d') || '.csv.gz' AS path FROM raw ORDER BY path LIMIT 3", "raw")
 def _first_files(spark, sf):
     return readers.first_files(raw(spark, sf).select(calendar.day_path(F.col("trade_date")).alias("path")).distinct(), 3)

@@ -309,6 +309,32 @@ def snapshot_rows(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members, mute
 
 
+def first_usable_histories(targets: DataFrame, answers: DataFrame, errors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Histories of repair targets from the answers to their candidate codes, and a report of what became of each target.
+
+    ``targets``: symbol, codes (an array, in order of trust), start, end.
+    ``answers``: ric, trade_date, close, dividends as texts.  ``errors``: ric,
+    error, for requests that failed.  Of a target's codes the first counts that
+    has a row with a readable date in range and a readable close; equal days
+    keep their greatest row.  First table: (symbol, ric, trade_date, close,
+    dividends); second: (symbol, ric, rows, error), where error names the last
+    code that was tried and what was wrong with it, null for a target with rows.
+    """
+    tried = targets.select("symbol", "start", "end", F.posexplode("codes").alias("_k", "ric"))
+    rows = answers.select("ric", _day(F.col("trade_date")).alias("trade_date"), F.nanvl(_number(F.col("close")), F.lit(None).cast("double")).alias("close"), F.coalesce(_number(F.col("dividends")), F.lit(0.0)).alias("dividends")).dropna(subset=["trade_date", "close"])
+    usable = tried.join(rows, "ric").filter(F.col("trade_date").between(F.col("start"), F.col("end")))
+    usable = usable.groupBy("symbol", "_k", "ric", "trade_date").agg(F.max(F.struct("close", "dividends")).alias("_r"))
+    first = usable.groupBy("symbol").agg(F.min("_k").alias("_k"))
+    histories = usable.join(first, ["symbol", "_k"]).select("symbol", "ric", "trade_date", "_r.close", "_r.dividends")
+    found = histories.groupBy("symbol").agg(F.first("ric").alias("ric"), F.count("*").alias("rows"))
+    # a target fails with the last of its codes
+    said = tried.join(errors.groupBy("ric").agg(F.min("error").alias("error")), "ric", "left")
+    last = said.groupBy("symbol").agg(F.max_by(F.concat("ric", F.lit(": "), F.coalesce("error", F.lit("no usable rows"))), "_k").alias("_said"))
+    report = targets.select("symbol").join(found, "symbol", "left").join(last, "symbol", "left")
+    error = F.when(F.col("rows").isNull(), F.coalesce("_said", F.lit("no candidate codes")))
+    return histories, report.select("symbol", "ric", F.coalesce("rows", F.lit(0)).alias("rows"), error.alias("error"))
+
+
 #: Days before the first price day from which dividends are fetched, so that the first trailing sum is whole.
 DIVIDEND_LEAD = 370
 

@@ -173,8 +173,9 @@ def write_store(docs: DataFrame, out: str, tokenizer: str, end_id: int, keeps_sp
     """Encodes whole texts and writes the segments in ascending order of ids to the folder ``out``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # sorted by text too, so that equal ids have one order whatever the run
-    ordered = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    # by text too: an id that repeats (null, say) goes to as many tasks as it fills, and equal ids have one order whatever the run
+    keys = ["doc_id", "_hash", "text"]
+    ordered = rows.withColumn("_hash", F.xxhash64("text")).repartitionByRange(n, *keys[:2]).sortWithinPartitions(*keys).drop("_hash")
     ordered.mapInArrow(_segments(tokenizer, end_id, keeps_space), SEGMENT_SCHEMA).write.option("compression", "zstd").parquet(out)
 
 

@@ -632,6 +632,28 @@ def test_recall_against_a_plain_scan(n_items):
     assert len(sure) > 25 and np.mean([(d, planted[d][0]) in found for d in sure]) >= 0.9
 
 
+@pytest.mark.parametrize("n_items", [40, 300])
+def test_parts_of_long_items_are_leaks(spark, n_items):
+    r, rng = random.Random(n_items), np.random.default_rng(n_items)
+    share = 1 / np.arange(1, 4001)
+    share /= share.sum()
+    draw = lambda n: [f"w{k}" for k in rng.choice(4000, n, p=share)]
+    items = [(k, " ".join(draw(r.randint(150, 400)))) for k in range(n_items)]
+    docs, want = [], set()
+    for d in range(60):
+        k, size = r.randrange(n_items), r.choice([64, 70, 100, 200])
+        words = items[k][1].split()
+        at = r.randint(0, len(words) - min(size, len(words)))
+        docs.append((d, " ".join(draw(r.randint(0, 120)) + words[at : at + size] + draw(r.randint(0, 120)))))
+        want.add((d, k))
+    # a part of fewer than half a window, and documents without any
+    docs += [(1000 + d, " ".join(draw(80) + items[d][1].split()[20:48] + draw(80))) for d in range(20)] + [(2000 + d, " ".join(draw(300))) for d in range(60)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(x.doc_id, x.item_id): x.similarity for x in decontam.contaminations(docs_of(spark, docs), bench).collect()}
+    assert len(want & set(found)) >= 0.95 * len(want)
+    assert set(found) <= want and all(s >= decontam.PART for s in found.values())
+
+
 def test_short_items_stand_word_for_word(spark):
     bench = spark.createDataFrame([(1, "too short"), (2, "blue"), (3, ""), (4, "one, two Three")], "item_id long, text string")
     docs = docs_of(spark, [(1, prose(50, 1) + " Too short. " + prose(70, 2)), (2, prose(30, 3) + " too very short " + prose(5, 4)), (3, "one two three"), (4, "one two"), (5, "blue")])

@@ -9,7 +9,11 @@ a passage there are candidates.  A candidate is checked on the
 words themselves: within SPAN times the item's length, the longest common
 subsequence of the item and the words around the window must hold COPY of the
 item's words, or PARAPHRASE of them while the item's answer (the last ANSWER
-words) stands there word for word.  Items of fewer than LEAST words must stand
+words) stands there word for word.  An item longer than a window is also found
+by any one of its passages, which overlap by half: if PART of a passage's words
+stand in order within SPAN times its length.  A document thus leaks such an
+item as soon as it holds a run of WINDOW of its words, wherever that begins.
+Items of fewer than LEAST words must stand
 in the text word for word.
 
 The space is that of the benchmark's passages, not the corpus's: a query has
@@ -28,15 +32,15 @@ one counts document frequencies (one small table per task, summed by term), one
 searches.  Documents are never shuffled, and all candidates are checked.
 
 Edge cases: null and empty texts are clean, and items without words are found
-nowhere.  An item longer than a window is found by any of its passages and
-checked as a whole.  No items: nothing is found.  Null doc ids are searched
+nowhere.  The similarity of an item that is found by a passage alone is the
+passage's.  No items: nothing is found.  Null doc ids are searched
 too; repeated rows give repeated results.
 """
 
 from __future__ import annotations
 
 import string
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -49,8 +53,10 @@ from . import lcs
 from .words import slices, split
 
 WINDOW, RANK, OVERSAMPLE, SHARE = 64, 256, 16, 0.1
-COPY, PARAPHRASE, ANSWER, LEAST, SPAN, ITEMS = 0.8, 0.6, 5, 5, 2, 5000
+COPY, PARAPHRASE, PART, ANSWER, LEAST, SPAN, ITEMS = 0.8, 0.6, 0.75, 5, 5, 2, 5000
 SHARED = 16
+#: Partitions of a block of passages, whose products the SVD sums.
+PARTS = 8
 _TRIM = string.punctuation + "«»“”‘’„…–—¿¡"
 _TERM_BLOCK = 64
 
@@ -218,6 +224,7 @@ class Latent:
     def __init__(self, block: Block, idf: np.ndarray, space: np.ndarray):
         own = idf[block.terms]
         self.item_of = block.items
+        self.passages = [block.terms[p] for p in block.passages]
         self.number = np.full(len(idf), -1, np.int32)  # the last place is that of foreign words, -1
         self.number[block.terms] = np.arange(len(block.terms), dtype=np.int32)
         self.space = (space * own[:, None]).astype(np.float32)
@@ -236,12 +243,15 @@ class Finder:
     def __init__(self, block: Benchmark, idf: np.ndarray, latents: list[Latent]):
         self.block, self.words, self.idf, self.latents = block, Words(block.vocabulary), idf, latents
         self.mark = np.zeros(len(block.vocabulary) + 1, bool)  # the last place is that of foreign words, -1
-        self.places, self.terms = [], [np.unique(s).astype(np.int32) for s in block.sequences]
-        for s in block.sequences:
-            where: dict[int, int] = {}
-            for j, t in enumerate(s):
-                where[t] = where.get(t, 0) | 1 << j
-            self.places.append(where)
+        self.terms = [np.unique(s).astype(np.int32) for s in block.sequences]
+        self.places = [self._places(s) for s in block.sequences]
+
+    @staticmethod
+    def _places(sequence: Sequence[int]) -> dict[int, int]:
+        where: dict[int, int] = {}
+        for j, t in enumerate(sequence):
+            where[t] = where.get(t, 0) | 1 << j
+        return where
 
     def _candidates(self, latent: Latent, number: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
         """(row, start word, passage, cosine) of windows that hold SHARE of a passage of a block.
@@ -292,25 +302,42 @@ class Finder:
         """(row, item, cosine, similarity, answer) of every item found in the texts."""
         number, offsets = self.words.read(texts)
         near: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for latent in self.latents:
+        parts: dict[tuple[int, int], dict[tuple[int, int], list[int]]] = {}
+        for which, latent in enumerate(self.latents):
             for row, start, p, cosine in self._candidates(latent, number, offsets):
-                near.setdefault((row, int(latent.item_of[p])), []).append((start, cosine))
+                item = int(latent.item_of[p])
+                near.setdefault((row, item), []).append((start, cosine))
+                if len(self.block.sequences[item]) > WINDOW:
+                    parts.setdefault((row, item), {}).setdefault((which, p), []).append(start)
         out = []
         for (row, item), spots in sorted(near.items()):
-            around, best = len(self.block.sequences[item]), (0.0, False)
-            runs: list[list[int]] = []  # the words around neighbouring windows are looked through once
-            for start, _ in sorted(spots):
-                low, high = max(int(offsets[row]), start - around), min(int(offsets[row + 1]), start + WINDOW + around)
-                if runs and low <= runs[-1][1]:
-                    runs[-1][1] = high
-                else:
-                    runs.append([low, high])
-            for low, high in runs:
+            begin, end = int(offsets[row]), int(offsets[row + 1])
+            best = (0.0, False)
+            for low, high in self._around([s for s, _ in spots], len(self.block.sequences[item]), begin, end):
                 best = max(best, self._check(item, number[low:high]), key=self._rank)
-            if self._rank(best)[0]:
+            found = self._rank(best)[0]
+            for (which, p), starts in parts.get((row, item), {}).items() if not found else ():
+                passage = self.latents[which].passages[p]
+                for low, high in self._around(starts, len(passage), begin, end):
+                    share = max((x for x, _ in self._shares(passage, np.unique(passage), self._places(passage.tolist()), number[low:high], PART)), default=0.0)
+                    if share >= PART:
+                        found, best = True, max(best, (share, False))
+            if found:
                 out.append((row, item, max(c for _, c in spots), *best))
         return out
 
+    @staticmethod
+    def _around(starts: list[int], around: int, begin: int, end: int) -> list[list[int]]:
+        """Stretches of a document around windows; those of neighbouring windows are one, so that their words are looked through once."""
+        runs: list[list[int]] = []
+        for start in sorted(starts):
+            low, high = max(begin, start - around), min(end, start + WINDOW + around)
+            if runs and low <= runs[-1][1]:
+                runs[-1][1] = high
+            else:
+                runs.append([low, high])
+        return runs
+
     @staticmethod
     def _rank(found: tuple[float, bool]) -> tuple[bool, float]:
         return found[0] >= COPY or found[0] >= PARAPHRASE and found[1], found[0]
@@ -323,19 +350,24 @@ class Finder:
         if n < LEAST:
             whole = holds(region.tolist(), sequence)
             return float(whole), whole
-        terms = self.terms[item]
-        self.mark[terms] = True
+        best = (0.0, False)
+        for share, text in self._shares(sequence, self.terms[item], where, region, PARAPHRASE):
+            best = max(best, (share, holds(text.tolist(), answer)), key=self._rank)
+        return best
+
+    def _shares(self, sequence: Sequence[int], own: np.ndarray, where: dict[int, int], region: np.ndarray, least: float) -> Iterator[tuple[float, np.ndarray]]:
+        """(share of the sequence in order, words) of each stretch of SPAN times its length that holds ``least`` of it or more."""
+        n = len(sequence)
+        self.mark[own] = True
         known = self.mark[region]
-        self.mark[terms] = False
+        self.mark[own] = False
         count = np.concatenate([[0], np.cumsum(known)])
         at = np.arange(0, max(1, len(region) - SPAN * n + (n + 1) // 2), (n + 1) // 2)
-        best = (0.0, False)
-        for k in at[count[np.minimum(at + SPAN * n, len(region))] - count[at] >= PARAPHRASE * n].tolist():
+        for k in at[count[np.minimum(at + SPAN * n, len(region))] - count[at] >= least * n].tolist():
             text = region[k : k + SPAN * n]
-            sim = lcs.length(text[known[k : k + SPAN * n]].tolist(), where, n) / n
-            if sim >= PARAPHRASE:
-                best = max(best, (sim, holds(text.tolist(), answer)), key=self._rank)
-        return best
+            share = lcs.length(text[known[k : k + SPAN * n]].tolist(), where, n) / n
+            if share >= least:
+                yield share, text
 
 
 def finders(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> Iterator[Finder]:
@@ -351,7 +383,7 @@ def finders(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> It
             idf = weights(n_docs, df, group.sequences)
             latents = []
             for block in blocks_of(group.sequences):
-                rows = spark.createDataFrame(pa.table({"terms": pa.array(block.passages, pa.list_(pa.int32()))})).coalesce(1)
+                rows = spark.createDataFrame(pa.table({"terms": pa.array(block.passages, pa.list_(pa.int32()))})).repartition(PARTS)
                 latents.append(Latent(block, idf, latent_space(rows, len(block.passages), idf[block.terms])))
             yield Finder(group, idf, latents)
 

@@ -1073,7 +1073,7 @@ def _files_by_name(spark, sf):
     return readers.raw_days(spark, _raw_folder(spark, sf), ledger=_folder(spark, "ledger"))
 
 
-@query("src25_quarantined_files", "item:s n:i error:s", """SELECT strftime(trade_date, '%Y-%m-%d') || '.csv.gz' AS item, CASE WHEN trade_date <> DATE '2024-01-05' THEN count(*) END AS n,
+@query("src25_quarantined_files", "item:s n:f error:s", """SELECT strftime(trade_date, '%Y-%m-%d') || '.csv.gz' AS item, CASE WHEN trade_date <> DATE '2024-01-05' THEN count(*) END AS n,
     CASE WHEN trade_date = DATE '2024-01-05' THEN 'truncated' END AS error FROM raw GROUP BY trade_date""", "raw")
 def _quarantined(spark, sf):
     files = readers.raw_files(spark, _raw_folder(spark, sf), ledger=_folder(spark, "ledger"))

@@ -39,3 +39,49 @@ def test_pipeline(spark, tmp_path):
     assert kept[0] == everyone - toxic and kept[1] == kept[0] - {302, 303, 304} and kept[2] == kept[1] - {300} and kept[3] == kept[2] - {301}
     got = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
     assert set(got.doc_id) == kept[3] and got.groupby("sequence_id").length.sum().max() <= 1024 and np.all(got.piece == 0)
+
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def write_tables(spark, path, docs, labels, items):
+    docs.write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+
+
+@pytest.mark.skipif(importlib.util.find_spec("corpus_pipeline") is None, reason="no pipeline")
+def test_pipeline_of_nothing(spark, tmp_path):
+    import corpus_pipeline
+
+    write_tables(spark, tmp_path, spark.createDataFrame([], DOCUMENTS), [], [])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.skipif(importlib.util.find_spec("corpus_pipeline") is None, reason="no pipeline")
+def test_pipeline_keeps_what_is_clean(spark, tmp_path):
+    """Repeated and null ids, nulls in every column, columns with names of the stages' own, edited copies, labels of one kind."""
+    import corpus_pipeline
+
+    r = random.Random(2)
+    docs = [(k, prose(120, k), "en", f"s{k % 3}") for k in range(60)]
+    words = docs[7][1].split()
+    for k in r.sample(range(120), 2):
+        words[k] = f"zu{k}vo"
+    docs += [(100, " ".join(words), "en", "s0"), (8, prose(90, 801), "en", None), (None, prose(90, 802), None, "s1"), (None, prose(90, 803), "en", "s1"), (9, docs[9][1], "en", "s2")]
+    clash = spark.createDataFrame([(*d, 5, "x", 1.0, "y") for d in docs], f"{DOCUMENTS.rsplit(',', 1)[0]}, n_chars long, node string, score double, host string")
+    write_tables(spark, tmp_path, clash, [(k, 1, 0) for k in range(60)], [(0, None), (1, "")])
+    rows = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    seen = []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        rows = stage(spark, rows, str(tmp_path))
+        assert rows.columns == clash.columns
+        seen.append(sorted((x.doc_id is None, x.doc_id or 0, x.text) for x in rows.collect()))
+    everything = sorted((i is None, i or 0, t) for i, t, _, _ in docs)
+    # labels of one kind reject nothing; the edited copy and the repeated row go, and nothing else
+    assert seen[0] == seen[1] == everything
+    gone = {100: 1, 9: 1}
+    assert len(seen[2]) == len(everything) - 2 and {i: sum(x[1] == i for x in everything) - sum(x[1] == i for x in seen[2]) for i in gone} == gone
+    assert seen[3] == seen[2]
+    packed = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
+    assert len(packed) == len(seen[3]) and packed.doc_id.isna().sum() == 2

@@ -1,16 +1,18 @@
-"""Best-fit packing of token sequences, in bulk-synchronous rounds.
-
-Documents and gaps are sorted by size.  Each round takes the largest size that
-is still unplaced and sweeps the sorted gaps upward from it: the documents of
-that size match the successor gaps, conflicts are resolved by rank (document
-number r of a size takes gap number r of the run), the gaps left are updated,
-and the round repeats until none fits; then new sequences are opened.
-
-Sizes are whole numbers up to the capacity, so sorted documents and sorted gaps
-are runs of equal numbers, and a sweep moves whole runs.  It needs only how
-many documents each size has: CAPACITY counts, whatever the corpus.  The rounds
-over runs fill a plan of at most a few rows per pair of sizes (``plan``), and
-every document finds its place in it by its size and rank alone.
+"""Best-fit packing of token sequences, by a plan over sizes.
+
+The largest size that is still unplaced goes first.  Its documents are matched
+with the smallest gaps that hold them, run by run: sizes are whole numbers up to
+the capacity, so sorted documents and sorted gaps are runs of equal numbers, and
+one step of a sweep moves a whole run.  Within a run conflicts can't arise, as
+document number r of a size takes gap number r.  When no gap is left that fits,
+new sequences are opened.
+
+The sweep needs only how many documents each size has: CAPACITY counts, whatever
+the corpus, so it is done at once on the driver (``plan``), and fills a plan of
+at most a few rows per pair of sizes; every document then finds its place in it
+by its size and rank alone, on the cluster.  Rounds that are jobs of their own, one for
+each sweep of all sizes, would give the same kind of packing in many more jobs;
+the README has their figures.
 
 Ranks come from a range sort of small rows (no text, no ids unless asked to
 carry them) by size: within a partition by position, across partitions by the

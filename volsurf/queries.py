@@ -470,16 +470,6 @@ def _as_contracts(spark, sf):
 _GREEK_COLUMNS = "underlying:s s:f k:f t:f v:f q:f call:b"
 
 
-@query("udf07_atm_greeks", f"{_GREEK_COLUMNS} atm_delta:f atm_gamma:f atm_theta:f atm_vega:f")
-def _atm(spark, sf):
-    return with_atm_greeks(_as_contracts(spark, sf))
-
-
-@query("udf11_strike_greeks", f"{_GREEK_COLUMNS} delta:f gamma:f theta:f vega:f")
-def _own_greeks(spark, sf):
-    return with_strike_greeks(_as_contracts(spark, sf))
-
-
 # --- dataflows -----------------------------------------------------------------------------------------------------
 
 
@@ -1306,11 +1296,19 @@ _CLAMPED = "greatest(101, least(1001, CAST(ceil(greatest({t}, 1 / 365.25e0) * 36
 _FD_GRID = f"(SELECT CAST(dividend_yield AS VARCHAR(9)) AS underlying, row_number() OVER (ORDER BY dividend_yield, option_type) AS base, {_POINT} WHERE dividend_yield > 0 OR option_type = 'put' GROUP BY dividend_yield, option_type)"
 
 
-def _differences_sql(strike: str, depth: str) -> str:
+def _european_sql(points: str) -> str:
+    """(base, what, price) of ``points`` by the closed form, in which a call without a yield is priced."""
+    d1 = f"SELECT *, (ln(s / k) + (0.05e0 - q + v * v / 2) * t) / (v * sqrt(t)) AS d1 FROM ({points})"
+    return f"SELECT base, what, s * exp(-q * t) * {_nd('d1')} - k * exp(-0.05e0 * t) * {_nd('d1 - v * sqrt(t)')} AS price FROM ({d1})"
+
+
+def _differences_sql(strike: str, depth: str, base: str) -> str:
+    """Greeks by differences of prices: the closed form's for calls without a yield, of trees for the others."""
     bumps = {"base": ("s", "t", "v"), "up": ("s + ds", "t", "v"), "down": ("greatest(1e-8, s - ds)", "t", "v"), "more": ("s", "t", "v + dv"), "less": ("s", "t", "greatest(1e-6, v - dv)"), "later": ("s", "greatest(1e-6, t - 1 / 365.25e0)", "v")}
-    grid = f"(SELECT *, greatest(0.01e0, 0.01e0 * s) AS ds, greatest(1e-4, 0.01e0 * v) AS dv FROM {_FD_GRID})"
+    grid = f"(SELECT *, greatest(0.01e0, 0.01e0 * s) AS ds, greatest(1e-4, 0.01e0 * v) AS dv FROM {base})"
     points = " UNION ALL ".join(f"SELECT base, '{w}' AS what, {s} AS s, {strike} AS k, {t} AS t, {v} AS v, q, call, t AS whole FROM {grid} g" for w, (s, t, v) in bumps.items())
-    wide = f"SELECT base, {', '.join(f"max(price) FILTER (what = '{w}') AS p_{w}" for w in bumps)} FROM {_american_sql(points, depth)} GROUP BY base"
+    free, rest = (f"SELECT * FROM ({points}) WHERE {x}" for x in ("call AND q = 0", "q > 0 OR NOT call"))
+    wide = f"SELECT base, {', '.join(f"max(price) FILTER (what = '{w}') AS p_{w}" for w in bumps)} FROM ({_european_sql(free)} UNION ALL SELECT base, what, price FROM {_american_sql(rest, depth)}) GROUP BY base"
     return f"""SELECT g.underlying, g.s, g.k, g.t, g.v, g.q, g.call, (p_up - p_down) / (2 * ds) AS delta, (p_up - 2 * p_base + p_down) / (ds * ds) AS gamma, (p_later - p_base) * 365.25e0 AS theta, (p_more - p_less) / (2 * dv) AS vega
         FROM {grid} g JOIN ({wide}) USING (base)"""
 
@@ -1321,12 +1319,31 @@ def _fd_grid(spark, sf):
     return rows.select("underlying", "s", "k", "t", "v", "q", "call", c("v").alias("implied_volatility"), c("s").alias("underlying_close"), c("k").alias("strike"), c("t").alias("time_to_expiry_years"), F.lit(0.05).alias("risk_free_rate"), F.when(c("call"), "call").otherwise("put").alias("option_type"), c("q").alias("dividend_yield"))
 
 
-@query("udf11_differences", f"{_GREEK_COLUMNS} delta:f gamma:f theta:f vega:f", _differences_sql("k", _CLAMPED.format(t="t")), "own")
+#: Every stock and type, numbered.
+_ALL = f"(SELECT *, row_number() OVER (ORDER BY underlying, call) AS base FROM {_GRID} p)"
+_PRICED = f"(SELECT * FROM {_ALL} a WHERE q > 0 OR NOT call)"
+# at the money a call without a yield has the closed form's own Greeks
+_FREE3 = _BS3.replace(_GRID, f"(SELECT underlying, s, s AS k, t, v, q, call FROM {_GRID} p WHERE call AND q = 0)")
+_ATM_SQL = f"""{_differences_sql("g.s", _CLAMPED.format(t="whole"), _PRICED)} UNION ALL
+    SELECT underlying, s, k, t, v, q, call, n1 AS delta, pdf / (s * v * sqrt(t)) AS gamma, -s * pdf * v / (2 * sqrt(t)) - 0.05e0 * k * exp(-0.05e0 * t) * n2 AS theta, s * pdf * sqrt(t) AS vega FROM ({_FREE3})"""
+
+
+@query("udf07_atm_greeks", f"{_GREEK_COLUMNS} atm_delta:f atm_gamma:f atm_theta:f atm_vega:f", f"SELECT x.* EXCLUDE (k), g.k, delta AS atm_delta, gamma AS atm_gamma, theta AS atm_theta, vega AS atm_vega FROM ({_ATM_SQL}) x JOIN (SELECT underlying, call, k FROM {_GRID} p) g USING (underlying, call)", "own")
+def _atm(spark, sf):
+    return with_atm_greeks(_as_contracts(spark, sf))
+
+
+@query("udf11_strike_greeks", f"{_GREEK_COLUMNS} delta:f gamma:f theta:f vega:f", _differences_sql("k", _CLAMPED.format(t="t"), _ALL), "own")
+def _own_greeks(spark, sf):
+    return with_strike_greeks(_as_contracts(spark, sf))
+
+
+@query("udf11_differences", f"{_GREEK_COLUMNS} delta:f gamma:f theta:f vega:f", _differences_sql("k", _CLAMPED.format(t="t"), _FD_GRID), "own")
 def _fd_own(spark, sf):
     return with_strike_greeks(_fd_grid(spark, sf))
 
 
-@query("udf07_differences", f"{_GREEK_COLUMNS} delta:f gamma:f theta:f vega:f", _differences_sql("g.s", _CLAMPED.format(t="whole")), "own")
+@query("udf07_differences", f"{_GREEK_COLUMNS} delta:f gamma:f theta:f vega:f", _differences_sql("g.s", _CLAMPED.format(t="whole"), _FD_GRID), "own")
 def _fd_atm(spark, sf):
     rows = with_atm_greeks(_fd_grid(spark, sf))
     return rows.select("underlying", "s", "k", "t", "v", "q", "call", *(F.col(f"atm_{g}").alias(g) for g in ("delta", "gamma", "theta", "vega")))

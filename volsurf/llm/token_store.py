@@ -169,13 +169,19 @@ def _segments(path: str, end_id: int, keeps_space: bool):
     return run
 
 
+#: Characters of a text by which equal ids are ordered, before its hash.
+HEAD_CHARS = 256
+
+
 def write_store(docs: DataFrame, out: str, tokenizer: str, end_id: int, keeps_space: bool = False, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encodes whole texts and writes the segments in ascending order of ids to the folder ``out``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # by text too: an id that repeats (null, say) goes to as many tasks as it fills, and equal ids have one order whatever the run
-    keys = ["doc_id", "_hash", "text"]
-    ordered = rows.withColumn("_hash", F.xxhash64("text")).repartitionByRange(n, *keys[:2]).sortWithinPartitions(*keys).drop("_hash")
+    # (the bounds of ranges are samples of the keys, which whole texts must not be)
+    keys = ["doc_id", "_head", "_hash", "text"]
+    rows = rows.withColumns({"_head": F.substring("text", 1, HEAD_CHARS), "_hash": F.xxhash64("text")})
+    ordered = rows.repartitionByRange(n, *keys[:3]).sortWithinPartitions(*keys).drop("_head", "_hash")
     ordered.mapInArrow(_segments(tokenizer, end_id, keeps_space), SEGMENT_SCHEMA).write.option("compression", "zstd").parquet(out)
 
 

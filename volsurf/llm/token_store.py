@@ -170,7 +170,7 @@ def _segments(path: str, end_id: int, keeps_space: bool):
 
 
 #: Characters of a text by which equal ids are ordered, before its hash.
-HEAD_CHARS = 256
+HEAD_CHARS = 32
 
 
 def write_store(docs: DataFrame, out: str, tokenizer: str, end_id: int, keeps_space: bool = False, id_col: str = "doc_id", text_col: str = "text") -> None:

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from volsurf.operators import quantiles
-from volsurf.sources import sinks
+from volsurf.sources import sinks, versions
 
 
 def test_equal_values_are_counted_before_they_are_sorted(spark, monkeypatch):
@@ -16,3 +16,21 @@ def test_equal_values_are_counted_before_they_are_sorted(spark, monkeypatch):
     by = rows.toPandas()
     for k, own in ((None, by[by.k.isna()].x), (1, by[by.k == 1].x), (2, by[by.k == 2].x)):
         np.testing.assert_allclose(found[k], np.quantile(own, [0.013, 0.5, 1.0]), rtol=1e-12)
+
+
+def _big_day(spark):
+    text = F.sha2(F.col("id").cast("string"), 256)
+    return spark.range(0, 40_000, numPartitions=8).select(F.lit("2024-01-02").cast("date").alias("trade_date"), text.alias("underlying"), "id")
+
+
+def test_a_large_day_is_cut_among_tasks(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        assert sinks.write_days(_big_day(spark), str(tmp_path / "days")) == {"written": 40_000, "undated": 0}
+        table = versions.Table(spark, str(tmp_path / "table"))
+        table.write_days(_big_day(spark), table.newest(), sort=("underlying",))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    for out in (spark.read.parquet(str(tmp_path / "days")), table.read("underlying string, id long")):
+        assert out.select("id").distinct().count() == out.count() == 40_000
+        assert out.select(F.input_file_name()).distinct().count() > 1

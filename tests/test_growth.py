@@ -2,8 +2,12 @@
 
 import numpy as np
 from pyspark.sql import functions as F
+from test_oracles import SF
 
-from volsurf.operators import quantiles
+from volsurf import fixtures
+from volsurf.operators import joins, quantiles
+from volsurf.plans import features, quality
+from volsurf.queries import QUERIES
 from volsurf.sources import sinks, versions
 
 
@@ -34,3 +38,49 @@ def test_a_large_day_is_cut_among_tasks(spark, tmp_path):
     for out in (spark.read.parquet(str(tmp_path / "days")), table.read("underlying string, id long")):
         assert out.select("id").distinct().count() == out.count() == 40_000
         assert out.select(F.input_file_name()).distinct().count() > 1
+
+
+def _several_closes(spark):
+    """(contracts, closes, both met row by row): 400 contracts of two stocks, whose days have up to seven closes."""
+    rows = spark.range(400).selectExpr("concat('O:', id % 97) AS ticker", "DATE '2024-01-02' AS trade_date", "IF(id % 2 = 0, 'AAA', 'AAB') AS underlying", "IF(id % 3 = 0, 'call', 'put') AS option_type", "60.0D + id * 7 % 83 AS strike")
+    rows = rows.selectExpr("*", "DATE '2024-03-01' + CAST(strike % 3 AS INT) AS expiration_date", "CAST(strike * 31 % 50 AS BIGINT) AS ordinal", "CAST(strike % 4 AS BIGINT) AS volume", "30 + CAST(strike AS INT) % 61 AS dte_days", "0.1D + strike % 5 / 10 AS implied_volatility")
+    stocks = spark.range(14).selectExpr("IF(id % 2 = 0, 'AAA', 'AAB') AS symbol", "DATE '2024-01-02' AS trade_date", "80.0D + id * id % 11 * 3 AS close")
+    met = rows.join(stocks.withColumnsRenamed({"symbol": "underlying", "close": "underlying_close"}), ["underlying", "trade_date"])
+    return rows, joins.day_closes(stocks), met.selectExpr("*", *(f"{t} AS {g}" for g, t in _greeks("underlying_close").items()))
+
+
+def _greeks(close):
+    return fixtures.greeks(close, "strike", "implied_volatility", "option_type")
+
+
+def test_selected_contracts_are_not_multiplied_by_closes(spark):
+    rows, closes, met = _several_closes(spark)
+    assert met.count() > 2000
+    ours = features.selection_long(features.selected_of_closes(rows, closes, _greeks))
+    theirs = features.selection_long(features.selected(met))
+    assert len(ours.collect()) > 10
+    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, theirs.select(*ours.columns).collect()))
+
+
+def test_nearest_contract_is_not_multiplied_by_closes(spark):
+    rows, closes, met = _several_closes(spark)
+    ours = quality.nearest_atm_of_closes(rows, closes)
+    theirs = quality.nearest_atm(met).select(*ours.columns)
+    assert len(ours.collect()) == 4
+    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, theirs.collect()))
+
+
+def test_lines_are_shuffled_once_and_before_they_multiply(spark):
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for name in "win04_delta_selection agg14_skew_slope df08_bucket_metrics win05_nearest_atm agg09_solver_failures".split():
+            text = plan(QUERIES[name](spark, SF))
+            assert text.count("MergeJoin [") + text.count("HashJoin [") == 1, name
+            assert "Window" not in text, name
+        # lines and both sides of stocks
+        assert plan(fixtures.load(spark, SF, "own")).count("Exchange hashpartitioning(") == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -188,6 +188,20 @@ def nearest_atm(contracts: DataFrame) -> DataFrame:
     return contracts.withColumn("_n", F.row_number().over(by)).filter("_n = 1").drop("_n")
 
 
+def nearest_atm_of_closes(contracts: DataFrame, closes: DataFrame) -> DataFrame:
+    """The same where a stock's day may have several closes (see ``joins.day_closes``), and a contract counts with each of them.
+
+    (trade_date, underlying, option_type, ticker, ordinal, strike, underlying_close).
+    A contract finds its own nearest close first, in its row, so that rows are
+    never multiplied by closes; one aggregation then picks the contract.
+    """
+    volume = F.col("volume")
+    at = F.array_min(F.transform("closes", lambda c: F.struct(F.abs(F.col("strike") / c - 1).alias("gap"), c.alias("close"))))
+    pick = F.struct(F.col("_at.gap").alias("gap"), volume.isNull().alias("none"), (-volume).alias("volume"), "ticker", "ordinal", "strike", F.col("_at.close").alias("close"))
+    best = contracts.join(closes, ["underlying", "trade_date"]).withColumn("_at", at).groupBy("trade_date", "underlying", "option_type").agg(F.min(pick).alias("p"))
+    return best.select("trade_date", "underlying", "option_type", "p.ticker", "p.ordinal", "p.strike", F.col("p.close").alias("underlying_close"))
+
+
 def solver_samples(contracts: DataFrame) -> DataFrame:
     """Near-the-money samples with the solved volatility and the error of pricing it back."""
     rows = nearest_atm(contracts).withColumns({"risk_free_rate": F.lit(QA_RATE), "dividend_yield": F.lit(QA_YIELD)})

@@ -6,7 +6,7 @@ from test_oracles import SF
 
 from volsurf import fixtures
 from volsurf.operators import joins, quantiles
-from volsurf.plans import features, quality
+from volsurf.plans import features, maintenance, quality
 from volsurf.queries import QUERIES
 from volsurf.sources import sinks, versions
 
@@ -84,3 +84,10 @@ def test_lines_are_shuffled_once_and_before_they_multiply(spark):
         assert plan(fixtures.load(spark, SF, "own")).count("Exchange hashpartitioning(") == 3
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_repair_keeps_affected_days_only(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(maintenance, "staged", lambda df, tag: kept.setdefault(tag, sinks.staged(df, tag)))
+    QUERIES["df14_repaired_contracts"](spark, SF)
+    assert {str(r[0]) for tag in ("raw", "contracts") for r in kept[tag].select("trade_date").distinct().collect()} == {"2024-01-04"}

@@ -91,3 +91,30 @@ def test_a_repair_keeps_affected_days_only(spark, monkeypatch):
     monkeypatch.setattr(maintenance, "staged", lambda df, tag: kept.setdefault(tag, sinks.staged(df, tag)))
     QUERIES["df14_repaired_contracts"](spark, SF)
     assert {str(r[0]) for tag in ("raw", "contracts") for r in kept[tag].select("trade_date").distinct().collect()} == {"2024-01-04"}
+
+
+def test_a_day_of_a_file_is_not_sorted(spark, tmp_path):
+    def peak(**options):
+        # what the tasks of the write held at most
+        known = {t for t in _stages(spark)}
+        sinks.day_files(_big_day(spark), str(tmp_path / f"days{len(options)}"), ["underlying", "id"], **options)
+        return max(_stages(spark)[t] for t in _stages(spark) if t not in known)
+
+    assert peak() < 0.5 * peak(sort=["id"])
+    rows = spark.read.option("header", True).csv(str(tmp_path / "days0" / "2024" / "01" / "2024-01-02.csv.gz"))
+    assert rows.count() == rows.select("id").distinct().count() == 40_000
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def _stages(spark):
+    """Of each stage that has run, the bytes that a task held at most."""
+    store, out, k, missing = spark.sparkContext._jsc.sc().statusStore(), {}, 0, 0
+    while missing < 50:
+        try:
+            stage = store.lastStageAttempt(k)
+            missing, tasks = 0, store.taskList(k, stage.attemptId(), 1000)
+            out[k] = max((tasks.apply(j).taskMetrics().get().peakExecutionMemory() for j in range(tasks.size()) if tasks.apply(j).taskMetrics().isDefined()), default=0)
+        except Exception:  # noqa: BLE001
+            missing += 1
+        k += 1
+    return out

@@ -86,6 +86,23 @@ def test_lines_are_shuffled_once_and_before_they_multiply(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_the_union_shuffles_lines_once_and_before_they_multiply(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = QUERIES["set02_schema_union"](spark, SF)
+        assert found.count()
+        found.collect()
+        first, last = (found._jdf.queryExecution().executedPlan().toString().split(f"== {x} Plan ==")[-1] for x in ("Initial", "Final"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # a join in each half, the second over the first one's shuffle, and no sort
+    assert first.count("MergeJoin [") + first.count("HashJoin [") == 2
+    assert "ReusedExchange" in last.split("== Initial Plan ==")[0]
+    assert "Sort [" not in first
+    # numbers are not taken to their decimal texts
+    assert " round(" not in first and "(round(" not in first
+
+
 def test_a_repair_keeps_affected_days_only(spark, monkeypatch):
     kept = {}
     monkeypatch.setattr(maintenance, "staged", lambda df, tag: kept.setdefault(tag, sinks.staged(df, tag)))

@@ -135,3 +135,14 @@ def _stages(spark):
             missing += 1
         k += 1
     return out
+
+
+def _plan(spark, name):
+    return QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_means_are_taken_before_rows_repeat(spark):
+    text = _plan(spark, "agg13_nan_mean")
+    # the last step repeats rows, whose numbers are done, and no number is taken to its decimal text
+    assert text.index("Generate") < text.index("rint(")
+    assert "(round(" not in text and " round(" not in text and "aggregate(" not in text

@@ -146,3 +146,11 @@ def test_means_are_taken_before_rows_repeat(spark):
     # the last step repeats rows, whose numbers are done, and no number is taken to its decimal text
     assert text.index("Generate") < text.index("rint(")
     assert "(round(" not in text and " round(" not in text and "aggregate(" not in text
+
+
+def test_lines_are_sorted_before_they_multiply(spark):
+    text = _plan(spark, "srt03_sorted_contracts")
+    assert text.index("Generate") < text.index("Sort [") < text.index("Join")
+    assert text.count("Generate") == 2 and " round(" not in text and "(round(" not in text
+    rows = [tuple(r)[:5] for r in QUERIES["srt03_sorted_contracts"](spark, SF).select("trade_date", "underlying", "expiration_date", "option_type", "strike").collect()]
+    assert rows == sorted(rows)

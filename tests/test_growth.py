@@ -154,3 +154,9 @@ def test_lines_are_sorted_before_they_multiply(spark):
     assert text.count("Generate") == 2 and " round(" not in text and "(round(" not in text
     rows = [tuple(r)[:5] for r in QUERIES["srt03_sorted_contracts"](spark, SF).select("trade_date", "underlying", "expiration_date", "option_type", "strike").collect()]
     assert rows == sorted(rows)
+
+
+def test_lines_are_spliced_before_they_multiply(spark):
+    text = _plan(spark, "df14_splice")
+    assert text.rindex("Generate") < text.index("LeftAnti")
+    assert " round(" not in text and "(round(" not in text

@@ -160,3 +160,10 @@ def test_lines_are_spliced_before_they_multiply(spark):
     text = _plan(spark, "df14_splice")
     assert text.rindex("Generate") < text.index("LeftAnti")
     assert " round(" not in text and "(round(" not in text
+
+
+def test_tickers_are_parsed_before_lines_multiply(spark):
+    text = _plan(spark, "df06_uncovered_rows")
+    # quotes come last, and a ticker's conditions are not taken back to its parts
+    assert text.index("explode(coalesce(closes") < text.index("RLIKE")
+    assert "RLIKE(upper(trim(concat(" not in text

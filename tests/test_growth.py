@@ -1,10 +1,12 @@
 """What tasks hold and what is shuffled does not follow the rows of one group or one day."""
 
+import gzip
+
 import numpy as np
 from pyspark.sql import functions as F
 from test_oracles import SF
 
-from volsurf import fixtures
+from volsurf import fixtures, queries
 from volsurf.operators import joins, quantiles
 from volsurf.plans import features, maintenance, quality
 from volsurf.queries import QUERIES
@@ -167,3 +169,21 @@ def test_tickers_are_parsed_before_lines_multiply(spark):
     # quotes come last, and a ticker's conditions are not taken back to its parts
     assert text.index("explode(coalesce(closes") < text.index("RLIKE")
     assert "RLIKE(upper(trim(concat(" not in text
+
+
+def test_rows_of_a_day_file_are_made_behind_its_sort(spark, tmp_path):
+    rows = spark.range(3000).select(F.date_add(F.lit("2024-01-02").cast("date"), F.col("id").cast("int") % 3).alias("trade_date"), (F.col("id") * 7919 % 3000).alias("id"))
+    sinks.day_files(rows, str(tmp_path / "days"), ["id", "k"], sort=["id"], spread=lambda r: r.select("*", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("k")))
+    for day in ("02", "03", "04"):
+        lines = gzip.open(tmp_path / "days" / "2024" / "01" / f"2024-01-{day}.csv.gz", "rt").read().split()[1:]
+        found = [tuple(map(int, x.split(","))) for x in lines]
+        assert len(found) == 10_000 and found == sorted(found)
+
+
+def test_lines_of_one_place_share_an_order_of_closes(spark):
+    kinds = "_day string, ordinal long, ticker string, closes array<double>, base double, option_type string, strike double, vol double, t double, l_partkey long, volume long, close double"
+    line = lambda n, closes, volume: ("2024-01-02", n, "T", closes, 80.0, "call", 90.0, 0.2, 0.1, 1, volume, None)
+    lines = spark.createDataFrame([line(1, [140.0, 120.0], 1), line(1, [130.0], 2), line(2, None, 3)], kinds)
+    found = queries._quoted_in_order(lines.repartition(1).sortWithinPartitions("_day", "ordinal", "ticker")).collect()
+    assert [(r.ordinal, r.volume) for r in found] == [(1, 1), (1, 2), (1, 1), (2, 3)]
+    assert found[0].close < found[1].close < found[2].close

@@ -3,6 +3,7 @@
 import gzip
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from test_oracles import SF
 
@@ -187,3 +188,14 @@ def test_lines_of_one_place_share_an_order_of_closes(spark):
     found = queries._quoted_in_order(lines.repartition(1).sortWithinPartitions("_day", "ordinal", "ticker")).collect()
     assert [(r.ordinal, r.volume) for r in found] == [(1, 1), (1, 2), (1, 1), (2, 3)]
     assert found[0].close < found[1].close < found[2].close
+
+
+def test_rows_of_a_day_are_made_and_counted_behind_its_shuffle(spark, tmp_path):
+    rows = spark.range(3000).select(F.when(F.col("id") % 7 != 0, F.lit("2024-01-02").cast("date")).alias("trade_date"), F.col("id").cast("string").alias("underlying"))
+    made = []
+    with pytest.warns(UserWarning):
+        counts = sinks.write_days(rows, str(tmp_path / "days"), spread=lambda r: made.append(r) or r.select("*", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("k")))
+    assert counts == {"written": 25_710, "undated": 4_290}
+    assert "RebalancePartitions" in made[0]._jdf.queryExecution().analyzed().toString()
+    found = spark.read.parquet(str(tmp_path / "days"))
+    assert found.count() == found.select("underlying", "k").distinct().count() == 25_710

@@ -199,3 +199,12 @@ def test_rows_of_a_day_are_made_and_counted_behind_its_shuffle(spark, tmp_path):
     assert "RebalancePartitions" in made[0]._jdf.queryExecution().analyzed().toString()
     found = spark.read.parquet(str(tmp_path / "days"))
     assert found.count() == found.select("underlying", "k").distinct().count() == 25_710
+
+
+def test_rows_of_a_shard_are_made_behind_its_shuffle(spark, tmp_path):
+    rows = spark.range(300).select(F.lit("2024-01-02").cast("date").alias("trade_date"), F.col("id").cast("string").alias("underlying"))
+    table, made = versions.Table(spark, str(tmp_path / "table")), []
+    table.write_days(rows, 0, sort=("underlying",), spread=lambda r: made.append(r) or r.select("*", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("k")))
+    assert "RebalancePartitions" in made[0]._jdf.queryExecution().analyzed().toString()
+    found = table.read("trade_date date, underlying string, k int")
+    assert found.count() == found.distinct().count() == table.live()[0]["rows"] == 3000
